@@ -12,15 +12,23 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: The bounded sample that the dictionaries are made of: so many labelled documents of each language, one slice of each.
-SAMPLE_DOCS, SLICE_CHARS = 192, 768
+SAMPLE_DOCS, SLICE_CHARS = 1000, 400
 #: Texts are encoded whole, in blocks of so many bytes, each against the dictionary alone.
 BLOCK_BYTES = 4096
-LEVEL = 1
+#: Matches of four bytes on: words are made of short syllables. The window holds a dictionary and a block.
+MIN_MATCH, WINDOW_LOG, HASH_LOG = 4, 19, 17
 #: A decision is rejected if the runner-up needs less than this share more bytes.
-MIN_MARGIN = 0.0005
+MIN_MARGIN = 0.002
 #: Languages beyond so many are an error, as all dictionaries are sent to every executor (SLICE_CHARS * SAMPLE_DOCS each).
-MAX_LANGUAGES = 256
+MAX_LANGUAGES = 64
 UNKNOWN = "und"
+#: ASCII: letters in lower case, all else a space.
+_PLAIN = bytes(c if c >= 128 or 97 <= c <= 122 else c + 32 if 65 <= c <= 90 else 32 for c in range(256))
+
+
+def plain(text: str) -> bytes:
+    """What is encoded: the whole text in lower case, its ASCII digits and punctuation as spaces, runs of space as one."""
+    return b" ".join(text.lower().encode("utf-8", "surrogatepass").translate(_PLAIN).split())
 
 
 def fit_dictionaries(docs: DataFrame, train: Column | None = None, *, sample_docs: int = SAMPLE_DOCS, slice_chars: int = SLICE_CHARS, seed: int = 7) -> dict[str, bytes]:
@@ -43,7 +51,7 @@ def fit_dictionaries(docs: DataFrame, train: Column | None = None, *, sample_doc
         slices.setdefault(lang, []).append((doc, piece))
     if len(slices) > MAX_LANGUAGES:
         raise ValueError(f"{len(slices)} languages; at most {MAX_LANGUAGES} dictionaries are sent to executors")
-    return {lang: "\n".join(piece for _, piece in sorted(slices[lang])).encode() for lang in sorted(slices)}
+    return {lang: b" ".join(plain(piece) for _, piece in sorted(slices[lang])) for lang in sorted(slices)}
 
 
 class Classifier:
@@ -52,10 +60,11 @@ class Classifier:
     def __init__(self, dictionaries: dict[str, bytes], min_margin: float = MIN_MARGIN):
         self.langs, self.min_margin = sorted(dictionaries), min_margin
         self.coders = []
+        how = zstandard.ZstdCompressionParameters(window_log=WINDOW_LOG, hash_log=HASH_LOG, chain_log=HASH_LOG, search_log=4, min_match=MIN_MATCH, strategy=zstandard.STRATEGY_GREEDY, write_content_size=False, write_dict_id=False)
         for lang in self.langs:
             held = zstandard.ZstdCompressionDict(dictionaries[lang], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-            held.precompute_compress(level=LEVEL)
-            self.coders.append(zstandard.ZstdCompressor(dict_data=held, level=LEVEL, write_content_size=False, write_dict_id=False, write_checksum=False))
+            held.precompute_compress(compression_params=how)
+            self.coders.append(zstandard.ZstdCompressor(dict_data=held, compression_params=how))
 
     def sizes(self, data: bytes) -> list[int]:
         blocks = [data[i : i + BLOCK_BYTES] for i in range(0, len(data), BLOCK_BYTES)]
@@ -65,7 +74,7 @@ class Classifier:
         """Language, score in 0 to 1, whether the decision is rejected. Ties: the first language by code point."""
         if not text or not self.langs or not any(map(str.isalpha, text)):
             return UNKNOWN, 0.0, True
-        sizes = self.sizes(text.encode("utf-8", "surrogatepass"))
+        sizes = self.sizes(plain(text))
         best = min(range(len(sizes)), key=lambda i: (sizes[i], i))
         if len(sizes) == 1:
             return self.langs[0], 1.0, False
