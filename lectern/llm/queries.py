@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from . import langid, mixing
+from . import langid, licenses, media, mixing, packing, token_codes
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,13 +21,30 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs.select("doc_id", "text", held_out.alias("held_out")), dictionaries, keep=("doc_id", "held_out"))
 
 
+def op5_interleaved_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media.text_payload_report(table(spark, sf_dir, "documents"))
+
+
+def op6_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(table(spark, sf_dir, "documents"))
 
 
+def op8_addressable_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_codes.encode_and_read(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"), licenses.known_licenses(spark))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_language_id": op1_language_id, "op7_mix_sources": op7_mix_sources}
+    found = (op1_language_id, op5_interleaved_media, op6_pattern_packing, op7_mix_sources, op8_addressable_codes, op9_license_scan)
+    return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_mix_sources": mixing.ORACLE}
+    return {"op7_mix_sources": mixing.ORACLE, "op9_license_scan": licenses.oracle()}
