@@ -36,21 +36,27 @@ def fit_dictionaries(docs: DataFrame, train: Column | None = None, *, sample_doc
 
     Of each language the `sample_docs` rows of lowest seeded hash give one slice of `slice_chars` characters each, from
     a seeded place in the text (short texts whole), so the sample is bounded and the same on every run. The choice reads
-    doc_id and lang alone; texts are read for the chosen ids. Null or empty texts give nothing. No labelled rows: {}.
+    doc_id and lang alone, and ranks only rows below a hash that lets through about four times as many; texts are read for the chosen ids. Null or empty texts give nothing. No labelled rows: {}.
     """
     rows = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull())
     rows = rows if train is None else rows.where(train)
+    counts = rows.groupBy("lang").count().limit(MAX_LANGUAGES + 1).collect()
+    if len(counts) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages: all dictionaries are sent to executors")
+    if not counts:
+        return {}
     order = F.xxhash64(F.col("doc_id"), F.lit(seed))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(order, "doc_id"))
-    chosen = rows.select("doc_id", "lang").withColumn("_rank", rank).where(F.col("_rank") <= sample_docs).select("doc_id", "lang").distinct()
+    # so many that the lowest hashes are surely among them, and few for the task that ranks them
+    share = F.create_map(*[x for lang, n in counts for x in (F.lit(lang), F.lit(min(1.0, 4 * sample_docs / n)))])[F.col("lang")]
+    few = rows.select("doc_id", "lang", order.alias("_order")).where(F.col("_order") / F.lit(2.0**64) + 0.5 < share)
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("_order", "doc_id"))
+    chosen = few.withColumn("_rank", rank).where(F.col("_rank") <= sample_docs).select("doc_id", "lang").distinct()
     at = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(seed + 1)), F.greatest(F.length("text") - slice_chars, F.lit(0)) + 1) + 1
     picked = rows.join(F.broadcast(chosen), ["doc_id", "lang"]).where("text <> ''")
     picked = picked.select("lang", "doc_id", F.substring(F.col("text"), at.cast("int"), F.lit(slice_chars)).alias("slice"))
     slices: dict[str, list] = {}
     for lang, doc, piece in picked.dropDuplicates(["lang", "doc_id"]).collect():
         slices.setdefault(lang, []).append((doc, piece))
-    if len(slices) > MAX_LANGUAGES:
-        raise ValueError(f"{len(slices)} languages; at most {MAX_LANGUAGES} dictionaries are sent to executors")
     return {lang: b" ".join(plain(piece) for _, piece in sorted(slices[lang])) for lang in sorted(slices)}
 
 
