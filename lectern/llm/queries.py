@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import langid, licenses, media, mixing, packing, substring_dedup, token_codes
+from . import jaccard, langid, licenses, media, mixing, packing, substring_dedup, token_codes
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,10 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs.select("doc_id", "text", held_out.alias("held_out")), dictionaries, keep=("doc_id", "held_out"))
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar(table(spark, sf_dir, "documents"))
+
+
 def op5_interleaved_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.text_payload_report(table(spark, sf_dir, "documents"))
 
@@ -46,7 +50,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_language_id, op5_interleaved_media, op6_pattern_packing, op7_mix_sources, op8_addressable_codes, op9_license_scan, op10_substring_dedup)
+    found = (op1_language_id, op3_jaccard_join, op5_interleaved_media, op6_pattern_packing, op7_mix_sources, op8_addressable_codes, op9_license_scan, op10_substring_dedup)
     return {f.__name__: f for f in found}
 
 
