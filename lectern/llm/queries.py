@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import jaccard, langid, licenses, media, mixing, packing, substring_dedup, token_codes
+from . import jaccard, langid, licenses, media, mixing, packing, substring_dedup, token_codes, topk
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +26,11 @@ def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similar(table(spark, sf_dir, "documents"))
 
 
+def op4_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", topk.quantised(F.col("embedding")).alias("v"))
+    return topk.top_k(rows, F.col("vec_id") % 20 == 0)
+
+
 def op5_interleaved_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.text_payload_report(table(spark, sf_dir, "documents"))
 
@@ -50,9 +56,9 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_language_id, op3_jaccard_join, op5_interleaved_media, op6_pattern_packing, op7_mix_sources, op8_addressable_codes, op9_license_scan, op10_substring_dedup)
+    found = (op1_language_id, op3_jaccard_join, op4_exact_top_k, op5_interleaved_media, op6_pattern_packing, op7_mix_sources, op8_addressable_codes, op9_license_scan, op10_substring_dedup)
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_mix_sources": mixing.ORACLE, "op9_license_scan": licenses.oracle()}
+    return {"op4_exact_top_k": topk.ORACLE, "op7_mix_sources": mixing.ORACLE, "op9_license_scan": licenses.oracle()}
