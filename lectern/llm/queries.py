@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard, langid, licenses, media, mixing, packing, substring_dedup, token_codes, topk
+from . import jaccard, langid, licenses, media, mixing, packing, pii, substring_dedup, token_codes, topk
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +22,10 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs.select("doc_id", "text", held_out.alias("held_out")), dictionaries, keep=("doc_id", "held_out"))
 
 
+def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(table(spark, sf_dir, "documents"))
+
+
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similar(table(spark, sf_dir, "documents"))
 
@@ -55,8 +59,14 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_language_id, op3_jaccard_join, op4_exact_top_k, op5_interleaved_media, op6_pattern_packing, op7_mix_sources, op8_addressable_codes, op9_license_scan, op10_substring_dedup)
+    found = (op1_language_id, op2_personal_data, op3_jaccard_join, op4_exact_top_k, op5_interleaved_media, op6_pattern_packing, op7_mix_sources, op8_addressable_codes, op9_license_scan, op10_substring_dedup, pipeline)
     return {f.__name__: f for f in found}
 
 

@@ -97,12 +97,12 @@ class Reader:
 _FILE = "part int, segment int, n_ids long, doc_ids array<{kind}>, lengths array<long>, codes binary"
 
 
-def _write(path: str, spaced: bool, end_id: int, segment_ids: int, kind: pa.DataType):
+def _write(path: str, end_id: int, segment_ids: int, kind: pa.DataType):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         part, segment = TaskContext.get().partitionId(), 0
-        ids, end = encoder(path, spaced), int(end_id).to_bytes(4, "little")
+        ids, end = encoder(path), int(end_id).to_bytes(4, "little")
         docs, lengths, held, n = [], [], [], 0
 
         def closed() -> pa.RecordBatch:
@@ -127,7 +127,7 @@ def _write(path: str, spaced: bool, end_id: int, segment_ids: int, kind: pa.Data
     return run
 
 
-def write_codes(docs: DataFrame, tokenizer: str, path: str, *, spaced: bool = False, end_id: int = END_ID, segment_ids: int = SEGMENT_IDS) -> None:
+def write_codes(docs: DataFrame, tokenizer: str, path: str, *, end_id: int = END_ID, segment_ids: int = SEGMENT_IDS) -> None:
     """Writes the ids of docs (doc_id, text), each with the end id, in ascending doc_id order (nulls first, equal ids by text).
 
     The files are Parquet containers of segments, committed by Spark's writer, so any file system it writes to will do
@@ -140,7 +140,7 @@ def write_codes(docs: DataFrame, tokenizer: str, path: str, *, spaced: bool = Fa
     ordered = keyed.repartitionByRange(n, "doc_id", "_tie").sortWithinPartitions("doc_id", "_tie").select("doc_id", "text")
     kind = docs.schema["doc_id"].dataType.simpleString()
     arrow = pa.int32() if kind == "int" else pa.string() if kind == "string" else pa.int64()
-    ordered.mapInArrow(_write(tokenizer, spaced, end_id, segment_ids, arrow), _FILE.format(kind=kind)).write.option("compression", "none").parquet(path)
+    ordered.mapInArrow(_write(tokenizer, end_id, segment_ids, arrow), _FILE.format(kind=kind)).write.option("compression", "none").parquet(path)
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

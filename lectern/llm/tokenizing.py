@@ -7,60 +7,50 @@ import struct
 
 import numpy as np
 
-#: Pieces remembered by a worker; when so many are held all are forgotten, so memory is bounded.
-REMEMBERED = 600_000
+#: Pieces remembered by a worker; when so many are held all are forgotten, so memory is bounded (about 200 bytes each).
+REMEMBERED = 1_200_000
 #: White space other than the six ASCII ones: texts with any of it are encoded whole.
 _ODD = re.compile(r"[^\S \t-\r]")
-#: A run of ASCII white space and what follows it up to the next run. No token of the byte-level vocabulary crosses its ends.
-#: Most pieces: at most one separator, letters, then punctuation other than apostrophes. The library splits them between
-#: the groups, so the letters are merged once for all punctuation that follows them somewhere.
 _LETTERS = [chr(c) for c in (*range(65, 91), *range(97, 123), *range(0xC0, 0xD7), *range(0xD8, 0xF7), *range(0xF8, 0x100))]
-_PLAIN = re.compile("([ \n]?)([" + "".join(_LETTERS) + r"]+)([!-&(-/:-@\[-`{-~]*)")
-_PIECE = re.compile(r"[ \t-\r]*[^ \t-\r]+|[ \t-\r]+")
+_L, _P = "".join(_LETTERS), r"!-&(-/:-@\[-`{-~"
+#: Places where no token of either vocabulary crosses: before a run of ASCII white space, and between letters and the
+#: punctuation (apostrophes aside) that ends a word. So a word is merged once for all that may follow it.
+_PIECE = re.compile(f"[ \n]?[{_L}]+(?=[{_P}]*(?:[ \t-\r]|\\Z))|[{_P}]+(?=[ \t-\r]|\\Z)|[ \t-\r]*[^ \t-\r]+|[ \t-\r]+")
+_WORD = re.compile(f"([ \n]?)([{_L}]+)")
 
 
 class PieceEncoder:
     """text -> ids as little-endian unsigned 32-bit bytes; equal to the library's encode(text, add_special_tokens=False).
 
-    Strings of special tokens inside a text are ordinary text. `spaced`: white space belongs to tokens (the byte-level
-    vocabulary); else white space only separates (the word vocabulary). Each piece is normalised, split and merged by
-    the library itself; nothing is trained.
+    Strings of special tokens inside a text are ordinary text. For the byte-level and the word vocabulary. Each piece is
+    merged by the library's model, and, unless it is plain letters, normalised and split by the library too.
     """
 
-    def __init__(self, path: str, spaced: bool, remembered: int = REMEMBERED):
+    def __init__(self, path: str, remembered: int = REMEMBERED):
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
         self.whole.encode_special_tokens = True
         self.normalizer, self.split, self.model = self.whole.normalizer, self.whole.pre_tokenizer, self.whole.model
-        self.spaced, self.limit = spaced, remembered
-        self.known, self.cores = _Known(self.limit, self._piece), _Known(self.limit, self._core)
+        self.known = _Known(remembered, self._piece)
         lower = self.normalizer is not None
         self.mapped = {ord(c): "".join(part for part, _ in self.split.pre_tokenize_str(c.lower() if lower else c)) for c in _LETTERS}
-        self.mapped[32] = self.split.pre_tokenize_str(" a")[0][0][:-1]
-
-    def _core(self, core: str) -> bytes:
-        """Letters, perhaps behind one space: one word for the model."""
-        ids = [t.id for t in self.model.tokenize(core.translate(self.mapped))]
-        return struct.pack(f"<{len(ids)}I", *ids)
-
-    def _piece(self, piece: str | bytes) -> bytes:
-        piece = piece.decode("utf-8", "surrogatepass") if isinstance(piece, bytes) else piece
-        if plain := _PLAIN.fullmatch(piece):
-            space, letters, points = plain.groups()
-            if space == "\n":
-                return self.known["\n"] + self.cores[letters] + (self.known[points] if points else b"")
-            return self.cores[space + letters] + (self.known[points] if points else b"")
-        if self.normalizer is not None:
-            piece = self.normalizer.normalize_str(piece)
-        ids = [t.id for part, _ in self.split.pre_tokenize_str(piece) for t in self.model.tokenize(part)]
-        return struct.pack(f"<{len(ids)}I", *ids)
+        self.space = self.split.pre_tokenize_str(" a")[0][0][:-1]
+
+    def _piece(self, piece: str) -> bytes:
+        plain = _WORD.fullmatch(piece)
+        if plain and (plain[1] != "\n" or not self.space):
+            tokens = self.model.tokenize((self.space if plain[1] else "") + plain[2].translate(self.mapped))
+        elif plain:
+            return self.known["\n"] + self.known[plain[2]]
+        else:
+            text = piece if self.normalizer is None else self.normalizer.normalize_str(piece)
+            tokens = [t for part, _ in self.split.pre_tokenize_str(text) for t in self.model.tokenize(part)]
+        return struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens])
 
     def __call__(self, text: str | None) -> bytes:
         if not text:
             return b""
-        if not self.spaced:
-            return b"".join(map(self.known.__getitem__, text.encode("utf-8", "surrogatepass").split()))
         if _ODD.search(text):
             return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         return b"".join(map(self.known.__getitem__, _PIECE.findall(text)))
@@ -81,11 +71,11 @@ class _Known(dict):
         return found
 
 
-_LOADED: dict[tuple[str, bool], PieceEncoder] = {}
+_LOADED: dict[str, PieceEncoder] = {}
 
 
-def encoder(path: str, spaced: bool) -> PieceEncoder:
+def encoder(path: str) -> PieceEncoder:
     """One encoder for a worker process, which reuses what it has learned from task to task."""
-    if (path, spaced) not in _LOADED:
-        _LOADED[path, spaced] = PieceEncoder(path, spaced)
-    return _LOADED[path, spaced]
+    if path not in _LOADED:
+        _LOADED[path] = PieceEncoder(path)
+    return _LOADED[path]

@@ -21,9 +21,9 @@ def library(path):
     return t
 
 
-@pytest.mark.parametrize("name,spaced", [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
-def test_pieces_encode_as_whole_texts_do(spark, sf, name, spaced):
-    encode, whole = tokenizing.PieceEncoder(public_tokenizers.path(name), spaced, remembered=50), library(public_tokenizers.path(name))
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_pieces_encode_as_whole_texts_do(spark, sf, name):
+    encode, whole = tokenizing.PieceEncoder(public_tokenizers.path(name), remembered=50), library(public_tokenizers.path(name))
     texts = ODD + [r.text for r in spark.read.parquet(f"{sf}/documents.parquet").select("text").collect()]
     for text in texts:
         assert np.frombuffer(encode(text), "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids, text[:80]
@@ -32,9 +32,9 @@ def test_pieces_encode_as_whole_texts_do(spark, sf, name, spaced):
 @settings(max_examples=200, deadline=None)
 @given(st.text(alphabet=st.sampled_from("ab é'.,\n\t  _1²ΣÄ-s"), max_size=30))
 def test_any_text_encodes_as_the_library_does(text):
-    for name, spaced in (("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)):
+    for name in ("byte_bpe_50k.json", "word_bpe_49k.json"):
         path = public_tokenizers.path(name)
-        assert np.frombuffer(tokenizing.encoder(path, spaced)(text), "<u4").tolist() == tokenizing.encoder(path, spaced).whole.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(tokenizing.encoder(path)(text), "<u4").tolist() == tokenizing.encoder(path).whole.encode(text, add_special_tokens=False).ids
 
 
 @settings(max_examples=60, deadline=None)
