@@ -20,7 +20,8 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epo
 
     Every target is min(max_epochs * source_size, level * weight); the level is the one at which the targets sum to
     the sum of all sizes. That is the fixpoint of clamping and resharing the excess by weight. In the order of
-    cap/weight the clamped sources come first, so running sums give the level without a loop.
+    cap/weight the clamped sources come first, so running sums give the level without a loop: that of the first source
+    which it doesn't clamp. The levels of later ones are lower.
     Sources rank by code point, null last. An empty table gives an empty table; a source of size 0 has target 0.
     """
     everything = Window.partitionBy().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -37,7 +38,7 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epo
         F.sum("source_size").over(everything).alias("total"),
     )
     here = (F.col("total") - F.col("cap_before")) / (F.col("weight_all") - F.col("weight_before"))
-    level = F.min(F.when(here <= F.col("full_at"), here)).over(everything)
+    level = F.max(F.when(here <= F.col("full_at"), here)).over(everything)
     filled = running.withColumn("level", level)
     return filled.select("source", "source_size", F.least("cap", F.col("level") * F.col("weight")).alias("target"))
 
@@ -116,7 +117,7 @@ q as (select *, coalesce(sum(cap) over b, 0.0) as cap_before, coalesce(sum(weigh
              sum(weight) over () as weight_all, cast(sum(source_size) over () as bigint) as total
       from r window b as (order by full_at, source nulls last rows between unbounded preceding and 1 preceding)),
 l as (select *, (total - cap_before) / (weight_all - weight_before) as here from q),
-m as (select *, min(case when here <= full_at then here end) over () as level from l),
+m as (select *, max(case when here <= full_at then here end) over () as level from l),
 g as (select source, source_size, least(cap, level * weight) as target,
              case when source_size > 0 then cast(floor(least(cap, level * weight) / source_size) as bigint) else 0 end as whole from m),
 o as (select d.doc_id, d.size, g.source_size, g.target, g.whole, cast(round(g.target - g.whole * g.source_size) as bigint) as need,
