@@ -82,7 +82,6 @@ def align(reference: list[str], hypothesis: list[str]) -> tuple[int, int, int, i
     return counts[0], counts[1], counts[2], counts[3]
 
 
-@F.pandas_udf("mer double, wil double")
 def _match_rates(reference: pd.Series, hypothesis: pd.Series) -> pd.DataFrame:
     out = []
     for ref, hyp in zip(reference, hypothesis):
@@ -98,7 +97,7 @@ def _match_rates(reference: pd.Series, hypothesis: pd.Series) -> pd.DataFrame:
 def score(pairs: DataFrame, key: str = "video_id") -> DataFrame:
     """key, reference_word_count, hypothesis_word_count, wer, cer, mer, wil of scored pairs (key, reference, hypothesis)."""
     ref, hyp = F.col("reference"), F.col("hypothesis")
-    match = _match_rates(words(normalised(ref)), words(normalised(hyp)))
+    match = F.pandas_udf(_match_rates, "mer double, wil double")(words(normalised(ref)), words(normalised(hyp)))
     rows = pairs.withColumn("_m", match)
     return rows.select(
         key, F.size(words(ref)).alias("reference_word_count"), F.size(words(hyp)).alias("hypothesis_word_count"),
