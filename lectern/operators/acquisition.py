@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions.text import first_truthy
 from ..schemas import METADATA
@@ -27,7 +28,7 @@ def entry_url(webpage_url: Column, url: Column, id: Column) -> Column:
 def metadata(info: DataFrame) -> DataFrame:
     """The fixed columns of a metadata record, typed; missing ones null, others dropped."""
     have = set(info.columns)
-    return info.select(*[(F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in METADATA.fields])
+    return info.select(*[(F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in StructType.fromDDL(METADATA).fields])
 
 
 def mode(audio_only: Column) -> Column:

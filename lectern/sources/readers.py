@@ -33,10 +33,10 @@ def files(spark: SparkSession, folder: str, glob: str | None = None) -> DataFram
     return rows.select("path", "file_name", stem(F.col("file_name")).alias("stem"), "length", "modificationTime").orderBy("path")
 
 
-def documents(spark: SparkSession, folder: str, schema: StructType) -> DataFrame:
+def documents(spark: SparkSession, folder: str, schema: str) -> DataFrame:
     """One JSON document per file, with file_name, under an explicit schema."""
     if not exists(spark, folder):
-        return spark.createDataFrame([], StructType([*schema.fields, StructField("file_name", StringType())]))
+        return spark.createDataFrame([], f"{schema}, file_name string")
     rows = spark.read.schema(schema).option("multiLine", True).option("pathGlobFilter", "*.json").json(folder)
     return rows.select("*", F.col("_metadata.file_name").alias("file_name"))
 
@@ -62,7 +62,7 @@ def whole_texts(spark: SparkSession, folder: str, glob: str) -> DataFrame:
     """video_id (file stem), text: one row per file, its whole content."""
     if not exists(spark, folder):
         return spark.createDataFrame([], "video_id string, text string")
-    rows = spark.read.option("wholetext", True).option("pathGlobFilter", glob).text(folder)
+    rows = spark.read.option("pathGlobFilter", glob).text(folder, wholetext=True)
     return rows.select(stem(F.col("_metadata.file_name")).alias("video_id"), F.col("value").alias("text"))
 
 
@@ -86,7 +86,7 @@ def titles(spark: SparkSession, path: str) -> DataFrame:
     """video_id, title from a JSON object; null titles are known failures. Empty if it isn't there."""
     if not exists(spark, path):
         return spark.createDataFrame([], "video_id string, title string")
-    rows = spark.read.option("wholetext", True).text(path)
+    rows = spark.read.text(path, wholetext=True)
     return rows.select(F.explode(F.from_json("value", "map<string,string>")).alias("video_id", "title"))
 
 
