@@ -53,8 +53,9 @@ Unless required by applicable law or agreed to in writing, software distributed
 
 #: A known table of at most so many rows is sent to every executor (a digest and a name each); a larger one is shuffled.
 MAX_BROADCAST = 100_000
-#: A line that begins with a copyright mark, or is nothing but a reservation of rights.
-_COPYRIGHT = r"(?im)^[^\p{L}\p{N}\n]*(?:copyright|©|\(c\)|all rights reserved)[^\n]*$"
+#: A line that begins with a copyright mark and its owner, or with a reservation of rights; not one that a licence's
+#: sentence was wrapped into, such as COPYRIGHT HOLDERS BE LIABLE.
+_COPYRIGHT = r"(?im)^[^\p{L}\p{N}\n]*(?:copyright[ \t]*(?:©|\(c\)|by[ \t]|:|[0-9]{4})|©|\(c\)[ \t]*[0-9]{4}|all rights reserved)[^\n]*$"
 
 
 def canonical(text: Column) -> Column:
@@ -72,7 +73,7 @@ def canonical(text: Column) -> Column:
 
 def canonical_sql(text: str) -> str:
     """canonical() for DuckDB."""
-    kept = rf"regexp_replace(coalesce({text}, ''), '(?im)^[^\p{{L}}\p{{N}}\n]*(?:copyright|©|\(c\)|all rights reserved)[^\n]*$', '', 'g')"
+    kept = f"regexp_replace(coalesce({text}, ''), '{_COPYRIGHT}', '', 'g')"
     words = rf"' ' || trim(regexp_replace(lower({kept}), '[^\p{{L}}\p{{N}}]+', ' ', 'g')) || ' '"
     for old, new in SPELLINGS.items():
         if old != new:
