@@ -117,6 +117,17 @@ def stem(name: Column) -> Column:
     return F.regexp_extract(name, r"^(.+?)(\.[^.]+)?$", 1)
 
 
+def parent(path: Column) -> Column:
+    """A path without its last part; a single part stands in the folder `.`."""
+    return F.when(path.contains("/"), F.regexp_extract(path, "^(.*)/[^/]*$", 1)).otherwise(F.lit("."))
+
+
+def relative_to(path: Column, root: Column) -> Column:
+    """The rest of a path below a root; null if it isn't below."""
+    base = F.concat(F.regexp_replace(root, "/+$", ""), F.lit("/"))
+    return F.when(F.startswith(path, base), F.substr(path, F.length(base) + 1))
+
+
 def rate_limit(value: Column) -> Column:
     """Bytes a second of values such as 5M, 800K or 2048, truncated."""
     clean = F.upper(strip(value))

@@ -61,3 +61,23 @@ def summary(statuses: DataFrame, names: Sequence[str]) -> DataFrame:
     """One row: a count per status and their total."""
     counts = [F.count_if(F.col("status") == n).alias(n) for n in names]
     return statuses.agg(*counts, F.count_if(F.col("status").isin(*names)).alias("total"))
+
+
+def first_with(items: DataFrame, present: DataFrame, key: Sequence[str] = ("video_id",), order: str = "video_id") -> DataFrame:
+    """The first item, in order, whose key is present."""
+    return items.join(present.select(*key).distinct(), list(key), "left_semi").orderBy(order).limit(1)
+
+
+def compare(left: DataFrame, right: DataFrame, key: Sequence[str] = ("video_id",)) -> DataFrame:
+    """One row: distinct keys in either table, in both, and in one alone."""
+    a = left.select(*key).distinct().withColumn("_a", F.lit(True))
+    b = right.select(*key).distinct().withColumn("_b", F.lit(True))
+    both = a.join(b, list(key), "full_outer")
+    has_a, has_b = F.col("_a").isNotNull(), F.col("_b").isNotNull()
+    return both.agg(F.count_if(has_a).alias("n_left"), F.count_if(has_b).alias("n_right"), F.count_if(has_a & has_b).alias("n_both"), F.count_if(has_a & ~has_b).alias("only_left"), F.count_if(has_b & ~has_a).alias("only_right"))
+
+
+def numbered(items: DataFrame, order: str, by: str | None = None) -> DataFrame:
+    """items with `i` (from 1) and `n`, as progress lines show them; within each value of `by`, if given."""
+    over = Window.partitionBy(by) if by else Window.partitionBy()
+    return items.withColumn("i", F.row_number().over(over.orderBy(order))).withColumn("n", F.count("*").over(over))

@@ -202,6 +202,24 @@ def ledger_migration(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.groupBy("mode", "status", "title", "error").agg(F.count("*").alias("n"))
 
 
+def first_labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first document that has a label."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return ledger.first_with(docs.select("doc_id", "lang"), labels, ("doc_id",), "doc_id")
+
+
+def key_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of src0 against labelled ones."""
+    return ledger.compare(table(spark, sf_dir, "documents").where("source = 'src0'"), table(spark, sf_dir, "labels"), ("doc_id",))
+
+
+def numbered_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files of their source, numbered, with their folder and the path below the root."""
+    path = F.concat(F.lit("/data/"), "source", F.lit("/"), F.col("doc_id").cast("string"), F.lit(".json"))
+    rows = ledger.numbered(table(spark, sf_dir, "documents").select("doc_id", "source", path.alias("path")), "doc_id", "source")
+    return rows.select("doc_id", "i", "n", tx.parent(F.col("path")).alias("folder"), tx.relative_to(F.col("path"), F.lit("/data/")).alias("below"))
+
+
 def reference_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labelled documents have a reference, blank where toxic; documents of even id have a transcript."""
     refs = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("video_id"), F.when(F.col("toxic") == 1, F.lit(" \t")).otherwise(F.lit("said")).alias("reference"))
@@ -342,7 +360,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         word_count, repetition_score, doc_quality_flags, flagged_topn, flag_counts, report_counts, corpus_stats, stat_lines, speaker_stats, speaker_maps,
         target_speaker, target_distribution, target_segments, target_text, aligned_segments, kept_words, diarization_quality, confidence_stats, speech_coverage,
-        pending_work, run_summary, dedup_stem, ledger_migration, reference_coverage, caption_clean, topic_line, export_blocks, combined_text, normalise_text,
+        pending_work, run_summary, dedup_stem, ledger_migration, first_labelled, key_comparison, numbered_files, reference_coverage, caption_clean, topic_line, export_blocks, combined_text, normalise_text,
         text_scalars, word_counts_of_pairs, error_rates, cer_pairs, worst_rates, metadata_project, listing_entries, total_duration, rate_parse, backoff,
         download_plan, pair_generation, quality_report,
     )

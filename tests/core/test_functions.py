@@ -90,3 +90,8 @@ def test_durations(spark):
     rows = spark.createDataFrame([(1.5,), (None,), (2.5,)], "duration double")
     assert tuple(stats.total_duration(rows, factor=0.5).first()) == (4.0, 2.0)
     assert [r.x for r in rows.select(stats.real_time_factor(F.lit(3.0), F.coalesce("duration", F.lit(0.0))).alias("x")).collect()] == [2.0, None, 1.2]
+
+
+def test_paths(spark):
+    assert column(spark, tx.parent, ["/a/b.c", "x", "a/b"]) == ["/a", ".", "a"]
+    assert column(spark, lambda c: tx.relative_to(c, F.lit("/a/")), ["/a/b/c", "/ab/c", None]) == ["b/c", None, None]
