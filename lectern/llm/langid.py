@@ -55,7 +55,7 @@ def fit_dictionaries(docs: DataFrame, train: Column | None = None, *, sample_doc
     picked = rows.join(F.broadcast(chosen), ["doc_id", "lang"]).where("text <> ''")
     picked = picked.select("lang", "doc_id", F.substring(F.col("text"), at.cast("int"), F.lit(slice_chars)).alias("slice"))
     slices: dict[str, list] = {}
-    for lang, doc, piece in picked.dropDuplicates(["lang", "doc_id"]).collect():
+    for lang, doc, piece in picked.groupBy("lang", "doc_id").agg(F.min("slice").alias("slice")).collect():
         slices.setdefault(lang, []).append((doc, piece))
     return {lang: b" ".join(plain(piece) for _, piece in sorted(slices[lang])) for lang in sorted(slices)}
 

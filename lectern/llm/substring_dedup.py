@@ -110,11 +110,13 @@ def _edges(buckets: int) -> np.ndarray:
 
 
 def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    import uuid
+    from pyspark import TaskContext
+
+    part, made = TaskContext.get().partitionId(), 0
 
     def closed(rows: list) -> pa.RecordBatch:
         ids, texts = zip(*rows)
-        return pa.RecordBatch.from_arrays([pa.array([uuid.uuid4().hex]), pa.array([list(ids)], pa.list_(kind)), pa.array([list(texts)], pa.list_(pa.binary()))], names=["batch", "doc_ids", "texts"])
+        return pa.RecordBatch.from_arrays([pa.array([f"{part}-{made}"]), pa.array([list(ids)], pa.list_(kind)), pa.array([list(texts)], pa.list_(pa.binary()))], names=["batch", "doc_ids", "texts"])
 
     rows, held, kind = [], 0, None
     for batch in batches:
@@ -124,7 +126,7 @@ def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held += len(text or b"")
             if len(rows) >= BATCH_DOCS or held >= BATCH_BYTES:
                 yield closed(rows)
-                rows, held = [], 0
+                rows, held, made = [], 0, made + 1
     if rows:
         yield closed(rows)
 
@@ -210,7 +212,8 @@ def remove_repeats(docs: DataFrame, *, window: int = WINDOW, with_text: bool = F
     """doc_id, n_words, n_removed, kept_sha256 (and kept) for every row of docs (doc_id, text).
 
     Every word that lies in a window of `window` words whose sequence also begins anywhere else goes, judged on the input.
-    Documents are written once as batches, bucketed by batch, so that later joins don't move texts. At each level a
+    Documents are written once as batches, bucketed by batch, so that later joins don't move texts. A batch is named by its
+    partition and place, so a task that runs again makes the same ones, if docs is read from files (write it first, else). At each level a
     batch sends its distinct window hashes (8 bytes each), dealt by hash range, and gets one bit back for each. At the first
     level, about half the window, only local minima are sent; at the next only windows around minima that repeat.
     A hot passage is one hash from each batch. Windows count as equal if their 64-bit hashes are.
