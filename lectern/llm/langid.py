@@ -17,6 +17,8 @@ SAMPLE_DOCS, SLICE_CHARS = 1000, 400
 BLOCK_BYTES = 4096
 #: Matches of four bytes on: words are made of short syllables. The window holds a dictionary and a block.
 MIN_MATCH, WINDOW_LOG, HASH_LOG = 4, 19, 17
+#: Shorter texts are encoded several times over: of a few bytes alone zstandard makes raw blocks, as long in any language.
+LEAST_BYTES = 256
 #: A decision is rejected if the runner-up needs less than this share more bytes.
 MIN_MARGIN = 0.002
 #: Languages beyond so many are an error, as all dictionaries are sent to every executor (SLICE_CHARS * SAMPLE_DOCS each).
@@ -80,7 +82,10 @@ class Classifier:
         """Language, score in 0 to 1, whether the decision is rejected. Ties: the first language by code point."""
         if not text or not self.langs or not any(map(str.isalpha, text)):
             return UNKNOWN, 0.0, True
-        sizes = self.sizes(plain(text))
+        data = plain(text)
+        if len(data) < LEAST_BYTES:
+            data = (data + b" ") * -(-LEAST_BYTES // (len(data) + 1))
+        sizes = self.sizes(data)
         best = min(range(len(sizes)), key=lambda i: (sizes[i], i))
         if len(sizes) == 1:
             return self.langs[0], 1.0, False
