@@ -50,7 +50,7 @@ def text_key(text: Column) -> Column:
 class WordHashes(dict):
     """word (bytes) -> 64-bit hash; forgets everything once it holds `limit` words, so memory is bounded."""
 
-    def __init__(self, limit: int = 300_000):
+    def __init__(self, limit: int = 200_000):
         super().__init__()
         self.limit = limit
 

@@ -8,7 +8,7 @@ import struct
 import numpy as np
 
 #: Pieces remembered by a worker; when so many are held all are forgotten, so memory is bounded (about 200 bytes each).
-REMEMBERED = 1_200_000
+REMEMBERED = 400_000
 #: White space other than the six ASCII ones: texts with any of it are encoded whole.
 _ODD = re.compile(r"[^\S \t-\r]")
 _LETTERS = [chr(c) for c in (*range(65, 91), *range(97, 123), *range(0xC0, 0xD7), *range(0xD8, 0xF7), *range(0xF8, 0x100))]
