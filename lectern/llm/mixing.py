@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, word_count
+from .common import WORD, word_count, written
 
 #: Weights dealt to the sources by code point, repeating.
 WEIGHTS = (5, 2, 1)
@@ -53,7 +53,7 @@ def mix(docs: DataFrame, size: Column | None = None, *, carry: tuple[str, ...] =
     are alike in all of these are interchangeable. Null text: size 0, taken 0. Null source: a source of its own, last.
     Null doc_id: hashed as an empty id. Extra columns are ignored unless carried. Empty table: empty result.
 
-    Plan: one shuffle by (source, bucket) for sums, one for the order inside buckets; a hot source is spread over
+    Plan: one shuffle by (source, bucket) for sums, which are written, one for the order inside buckets; a hot source is spread over
     its buckets, and what the window over a whole source sees is one row per bucket.
     """
     size = word_count(F.col("text")) if size is None else size
@@ -61,7 +61,7 @@ def mix(docs: DataFrame, size: Column | None = None, *, carry: tuple[str, ...] =
     name = F.when(F.col("source").isNull(), F.lit("n")).otherwise(F.concat(F.lit("s"), F.col("source")))
     rows = docs.select(F.struct(*carry).alias("_carry"), F.col("source"), name.alias("_s"), size.alias("size"), digest.alias("_h"), F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("_t"))
     rows = rows.withColumn("_b", F.substring("_h", 1, BUCKET_HEX))
-    buckets = rows.groupBy("_s", "_b").agg(F.first("source").alias("source"), F.sum("size").alias("_in"))
+    buckets = written(rows.groupBy("_s", "_b").agg(F.first("source").alias("source"), F.sum("size").alias("_in")), "mix-buckets")
     sizes = buckets.groupBy("_s").agg(F.first("source").alias("source"), F.sum("_in").alias("source_size"))
     targets = source_targets(sizes, weights, max_epochs)
     targets = targets.select(F.when(F.col("source").isNull(), F.lit("n")).otherwise(F.concat(F.lit("s"), F.col("source"))).alias("_s"), "source_size", "target")
