@@ -28,6 +28,17 @@ def shared_path(spark: SparkSession, what: str) -> str:
     return f"{shared_folder(spark)}/{what}-{uuid.uuid4().hex}"
 
 
+#: Rows of texts that are handed to a Python worker at a time; ten thousand long ones would fill its memory.
+BATCH_ROWS = 1000
+
+
+def short_batches(spark: SparkSession) -> None:
+    """Lowers the session's Arrow batches to BATCH_ROWS rows, unless they are as short already."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def written(df: DataFrame, what: str, **options: str) -> DataFrame:
     """df as a Parquet table in the shared folder: its lineage ends there, and lost executors don't lose it."""
     spark = df.sparkSession

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, mixed, text_key, window_hashes, written
+from .common import WordHashes, mixed, short_batches, text_key, window_hashes, written
 
 WORDS = 5
 THRESHOLD = 0.8
@@ -180,6 +180,7 @@ def classes(docs: DataFrame, *, threshold: float = THRESHOLD, words: int = WORDS
     components of the verified links.
     """
     spark = docs.sparkSession
+    short_batches(spark)
     exact = Fraction(str(threshold))
     bands, rows = choose_bands(threshold, recall)
     keyed = docs.select("doc_id", text_key(F.col("text")).alias("k"), F.col("text").cast("binary").alias("text"))

@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import short_batches
+
 #: The bounded sample that the dictionaries are made of: so many labelled documents of each language, one slice of each.
 SAMPLE_DOCS, SLICE_CHARS = 1000, 400
 #: Texts are encoded whole, in blocks of so many bytes, each against the dictionary alone.
@@ -119,6 +121,7 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], *, keep: tuple[str
     """
     if {"lang_pred", "score", "rejected", text} & set(keep):
         raise ValueError("keep names a result column or the text")
+    short_batches(docs.sparkSession)
     source = docs.select(*keep, text)
     schema = T.StructType([*[source.schema[c] for c in keep], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("rejected", T.BooleanType())])
     return source.mapInArrow(_predict(dictionaries, min_margin, text, False), schema)
@@ -126,6 +129,7 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], *, keep: tuple[str
 
 def keep_identified(docs: DataFrame, dictionaries: dict[str, bytes], *, text: str = "text", min_margin: float = MIN_MARGIN) -> DataFrame:
     """The rows of docs, all columns unchanged, whose language decision isn't rejected."""
+    short_batches(docs.sparkSession)
     return docs.mapInArrow(_predict(dictionaries, min_margin, text, True), docs.schema)
 
 

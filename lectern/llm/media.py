@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import short_batches, written
 
 #: Payload bytes in a row of the stored image; payloads are padded with bytes 0 to a positive multiple.
 WIDTH = 64
@@ -115,6 +115,7 @@ def interleaved(pages: DataFrame, *, keep: tuple[str, ...], html: str = "html")
             found = pa.array([sequence(h) for h in batch.column(html).to_pylist()], pa.list_(_ITEM_ARROW))
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], found], names=[*keep, "items"])
 
+    short_batches(pages.sparkSession)
     source = pages.select(*keep, html)
     kinds = ", ".join(f"`{c}` {source.schema[c].dataType.simpleString()}" for c in keep)
     return source.mapInArrow(run, f"{kinds}, items array<{ITEM}>")
@@ -177,6 +178,7 @@ def store(payloads: DataFrame, payload: str = "payload") -> DataFrame:
 
 def store_features(media: DataFrame) -> DataFrame:
     """One row per digest of a media table: the payloads are read once, only digests and features are shuffled."""
+    short_batches(media.sparkSession)
     read = media.select("digest", "media").mapInArrow(_features, f"digest string, {FEATURES}")
     names = [c for c in read.columns if c != "digest"]
     return read.groupBy("digest").agg(*[F.min(c).alias(c) for c in names])

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import short_batches, written
 from .tokenizing import encoder
 
 CAPACITY = 2048
@@ -151,6 +151,7 @@ def pieces(docs: DataFrame, tokenizer: str, *, end_id: int = END_ID, capacity: i
     A longer document gives pieces of the full capacity, but for the first, which takes what doesn't fill one. Null and
     empty texts are the end id alone. No shuffle. Repeated rows give repeated pieces; extra columns are ignored.
     """
+    short_batches(docs.sparkSession)
     schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, piece int, start long, length long, ids_crc32 long" + ", ids binary" * with_ids
     return docs.select("doc_id", "text").mapInArrow(_pieces(tokenizer, end_id, capacity, with_ids, _NAMES), schema)
 

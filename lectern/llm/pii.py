@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import short_batches
+
 
 #: Kinds in the order in which spans that start together are listed. The first four are the base: always kept.
 BASE = ("email", "ip", "card", "phone")
@@ -239,6 +241,7 @@ def fit(docs: DataFrame, text: str = "text") -> tuple[dict[str, float], dict[str
                     held[key] = held.get(key, 0) + 1
         yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.string()), pa.array(list(held.values()), pa.int64())], names=["key", "n"])
 
+    short_batches(docs.sparkSession)
     keys = docs.select(text).mapInArrow(count, "key string, n long").groupBy("key").agg(F.sum("n").alias("n"))
     counts = {r.key: r.n for r in keys.collect()}
     posterior, _ = reliabilities(counts)
@@ -273,6 +276,7 @@ def find(docs: DataFrame, model: dict[str, float], *, keep: tuple[str, ...] = ("
             rows = [[dict(zip(("start", "end", "kind", "score"), s)) for s in _chosen(t, model, known, threshold)] for t in batch.column(text).to_pylist()]
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], pa.array(rows, pa.list_(_SPAN))], names=[*keep, "spans"])
 
+    short_batches(docs.sparkSession)
     source = docs.select(*keep, text)
     kinds = ", ".join(f"`{c}` {source.schema[c].dataType.simpleString()}" for c in keep)
     return source.mapInArrow(run, f"{kinds}, spans array<struct<start:int,end:int,kind:string,score:double>>")
@@ -331,4 +335,5 @@ def redact(docs: DataFrame, model: dict[str, float], *, text: str = "text", thre
                 columns[names.index("n_chars")] = pa.array([n if a is b or b is None else len(b) for a, b, n in zip(old, new, sizes)], batch.schema.field("n_chars").type)
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
+    short_batches(docs.sparkSession)
     return docs.mapInArrow(run, docs.schema)

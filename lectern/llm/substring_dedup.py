@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, mixed, shared_path, window_hashes
+from .common import WordHashes, mixed, shared_path, short_batches, window_hashes
 
 WINDOW = 35
 #: Documents and bytes of text after which a batch is closed. A batch is the unit in which windows are asked after and answered.
@@ -221,6 +221,7 @@ def remove_repeats(docs: DataFrame, *, window: int = WINDOW, with_text: bool = F
     Null ids are ids like any other; extra columns are ignored. Empty table: empty result.
     """
     spark = docs.sparkSession
+    short_batches(spark)
     kind = docs.schema["doc_id"].dataType.simpleString()
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     name = "lectern_batches_" + shared_path(spark, "x").rsplit("-", 1)[1]

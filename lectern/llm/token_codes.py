@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import shared_path
+from .common import shared_path, short_batches
 from .tokenizing import encoder
 
 END_ID = 2
@@ -135,6 +135,7 @@ def write_codes(docs: DataFrame, tokenizer: str, path: str, *, end_id: int = END
     range-partitioned once, by id and a hash of the text, so one repeated id doesn't make one task.
     """
     spark = docs.sparkSession
+    short_batches(spark)
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("_tie"))
     ordered = keyed.repartitionByRange(n, "doc_id", "_tie").sortWithinPartitions("doc_id", "_tie").select("doc_id", "text")
