@@ -288,17 +288,33 @@ def _turn_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.where("hypothesis is not null")
 
 
+def _cer(rows: DataFrame) -> DataFrame:
+    return rows.select("video_id", r6(accuracy.character_error_rate(F.col("reference"), F.col("hypothesis"))).alias("cer"))
+
+
+def _worst_cer(rows: DataFrame) -> DataFrame:
+    return accuracy.worst(rows.withColumnRenamed("cer", "wer"), "video_id", TOP_N).select("video_id", F.col("wer").alias("cer"))
+
+
+def cer_of_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Character error rate of every turn against the next turn, in code points. No SQL: DuckDB's levenshtein counts bytes."""
+    return _cer(_turn_pairs(spark, sf_dir))
+
+
+def worst_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The turns of highest character error rate, of all turns."""
+    return _worst_cer(cer_of_turns(spark, sf_dir))
+
+
 def cer_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Character error rate of ASCII turns against the next turn."""
+    """The part of cer_of_turns that SQL can check: turns that are ASCII on both sides."""
     ascii_only = F.concat("reference", "hypothesis").rlike(r"^[\x00-\x7f]*$")
-    rows = _turn_pairs(spark, sf_dir).where(ascii_only)
-    return rows.select("video_id", r6(accuracy.character_error_rate(F.col("reference"), F.col("hypothesis"))).alias("cer"))
+    return _cer(_turn_pairs(spark, sf_dir).where(ascii_only))
 
 
 def worst_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The turns of highest character error rate."""
-    rows = cer_pairs(spark, sf_dir).withColumnRenamed("cer", "wer")
-    return accuracy.worst(rows, "video_id", TOP_N).select("video_id", F.col("wer").alias("cer"))
+    """The part of worst_turns that SQL can check: the worst of cer_pairs."""
+    return _worst_cer(cer_pairs(spark, sf_dir))
 
 
 def metadata_project(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -361,7 +377,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         word_count, repetition_score, doc_quality_flags, flagged_topn, flag_counts, report_counts, corpus_stats, stat_lines, speaker_stats, speaker_maps,
         target_speaker, target_distribution, target_segments, target_text, aligned_segments, kept_words, diarization_quality, confidence_stats, speech_coverage,
         pending_work, run_summary, dedup_stem, ledger_migration, first_labelled, key_comparison, numbered_files, reference_coverage, caption_clean, topic_line, export_blocks, combined_text, normalise_text,
-        text_scalars, word_counts_of_pairs, error_rates, cer_pairs, worst_rates, metadata_project, listing_entries, total_duration, rate_parse, backoff,
+        text_scalars, word_counts_of_pairs, error_rates, cer_of_turns, worst_turns, cer_pairs, worst_rates, metadata_project, listing_entries, total_duration, rate_parse, backoff,
         download_plan, pair_generation, quality_report,
     )
     return {f.__name__: f for f in found}

@@ -1,0 +1,41 @@
+import unicodedata
+
+import pytest
+
+from lectern.plans import queries as plans
+
+
+def plain_distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(last + (x != y), row[j] + 1, row[j - 1] + 1)
+    return row[-1]
+
+
+def plain(text):
+    return " ".join("".join(c for c in text.lower() if not unicodedata.category(c).startswith("P")).split())
+
+
+def plain_cer(reference, hypothesis):
+    r, h = plain(reference), plain(hypothesis)
+    return plain_distance(r, h) / len(r) if r else float(plain_distance(r, h))
+
+
+@pytest.fixture(scope="module")
+def tables(spark, tmp_path_factory):
+    folder = tmp_path_factory.mktemp("pairs")
+    turns = [(1, 0, "user", "où est l'été"), (1, 1, "assistant", "the summer"), (1, 2, "user", "the summer!"), (2, 0, "user", "漢字 テスト"), (2, 1, "assistant", "漢字 テスト🙂 aé"), (3, 0, "user", "é"), (3, 1, "assistant", "a very long answer to one letter"), (4, 0, "user", "alone")]
+    spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").write.parquet(f"{folder}/conversations.parquet")
+    return str(folder), {c * 1000 + t: (a, b) for (c, t, _, a), (d, _, _, b) in zip(turns, turns[1:]) if c == d}
+
+
+def test_every_turn_has_a_character_rate(spark, tables):
+    folder, pairs = tables
+    registered = plans.queries()
+    got = {r.video_id: r.cer for r in registered["cer_of_turns"](spark, folder).collect()}
+    assert got == {k: round(plain_cer(*p), 6) for k, p in pairs.items()}
+    worst = [(r.video_id, r.cer) for r in registered["worst_turns"](spark, folder).collect()]
+    assert worst == sorted(got.items(), key=lambda r: (-r[1], r[0]))
+    assert worst[0][0] == 3000
