@@ -265,14 +265,38 @@ def text_scalars(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _pairs(spark: SparkSession, sf_dir: str, whole: bool = False) -> DataFrame:
-    """English ASCII documents against the benchmark item of their number; the rate of a whole text would be quadratic in SQL."""
+def _document_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document against one benchmark item: its number modulo the count of items is the item's place by item_id.
+
+    Documents without a number get the first item; without any items the references are null.
+    """
+    bench = table(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("reference"))
+    bench = bench.select((F.row_number().over(Window.orderBy("item_id", "reference")) - 1).cast("long").alias("place"), "reference")
+    place = F.coalesce(F.pmod(F.col("doc_id"), F.lit(max(1, bench.count()))), F.lit(0)).cast("long")
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("video_id"), place.alias("place"), F.col("text").alias("hypothesis"))
+    return docs.join(bench, "place", "left").select("video_id", "reference", "hypothesis")
+
+
+def word_counts_of_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document and of its benchmark item."""
+    rows = _document_pairs(spark, sf_dir)
+    return rows.select("video_id", tx.word_count(F.col("reference")).alias("reference_word_count"), tx.word_count(F.col("hypothesis")).alias("hypothesis_word_count"))
+
+
+def document_error_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Word, character, match and information rates of every document against its benchmark item, whole texts. No SQL."""
+    return accuracy.score(_document_pairs(spark, sf_dir))
+
+
+def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """English ASCII documents against the benchmark item of their number modulo 40, as the SQL of word_counts_of_pairs has it."""
     bench = table(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("reference"))
     docs = table(spark, sf_dir, "documents").where("lang = 'en'").where(F.col("text").rlike(r"^[\x00-\x7f]*$"))
     return docs.withColumn("item_id", F.col("doc_id") % 40).join(bench.where(F.col("reference").rlike(r"^[\x00-\x7f]*$")), "item_id").select(F.col("doc_id").alias("video_id"), "reference", F.col("text").alias("hypothesis"))
 
 
 def word_counts_of_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The part of word_counts_of_documents that its SQL has: English ASCII documents, 40 items."""
     rows = _pairs(spark, sf_dir)
     return rows.select("video_id", tx.word_count(F.col("reference")).alias("reference_word_count"), tx.word_count(F.col("hypothesis")).alias("hypothesis_word_count"))
 
@@ -377,7 +401,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         word_count, repetition_score, doc_quality_flags, flagged_topn, flag_counts, report_counts, corpus_stats, stat_lines, speaker_stats, speaker_maps,
         target_speaker, target_distribution, target_segments, target_text, aligned_segments, kept_words, diarization_quality, confidence_stats, speech_coverage,
         pending_work, run_summary, dedup_stem, ledger_migration, first_labelled, key_comparison, numbered_files, reference_coverage, caption_clean, topic_line, export_blocks, combined_text, normalise_text,
-        text_scalars, word_counts_of_pairs, error_rates, cer_of_turns, worst_turns, cer_pairs, worst_rates, metadata_project, listing_entries, total_duration, rate_parse, backoff,
+        text_scalars, word_counts_of_documents, document_error_rates, word_counts_of_pairs, error_rates, cer_of_turns, worst_turns, cer_pairs, worst_rates, metadata_project, listing_entries, total_duration, rate_parse, backoff,
         download_plan, pair_generation, quality_report,
     )
     return {f.__name__: f for f in found}

@@ -5,6 +5,10 @@ import pytest
 from lectern.plans import queries as plans
 
 
+ITEMS = ["the quick brown fox", "où est l'été", "漢字 テスト 漢字"]
+DOCS = [(0, "en", "The quick, brown dog"), (1, "fr", "où est l'hiver 🙂"), (2, "de", "漢字 テスト"), (3, "en", "naïve fox " * 300), (44, "es", ""), (None, "en", "fox"), (46, "en", None)]
+
+
 def plain_distance(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
@@ -28,6 +32,8 @@ def tables(spark, tmp_path_factory):
     folder = tmp_path_factory.mktemp("pairs")
     turns = [(1, 0, "user", "où est l'été"), (1, 1, "assistant", "the summer"), (1, 2, "user", "the summer!"), (2, 0, "user", "漢字 テスト"), (2, 1, "assistant", "漢字 テスト🙂 aé"), (3, 0, "user", "é"), (3, 1, "assistant", "a very long answer to one letter"), (4, 0, "user", "alone")]
     spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").write.parquet(f"{folder}/conversations.parquet")
+    spark.createDataFrame([(7, "the quick brown fox"), (9, "où est l'été"), (30, "漢字 テスト 漢字")], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    spark.createDataFrame(DOCS, "doc_id long, lang string, text string").write.parquet(f"{folder}/documents.parquet")
     return str(folder), {c * 1000 + t: (a, b) for (c, t, _, a), (d, _, _, b) in zip(turns, turns[1:]) if c == d}
 
 
@@ -39,3 +45,17 @@ def test_every_turn_has_a_character_rate(spark, tables):
     worst = [(r.video_id, r.cer) for r in registered["worst_turns"](spark, folder).collect()]
     assert worst == sorted(got.items(), key=lambda r: (-r[1], r[0]))
     assert worst[0][0] == 3000
+
+
+def test_every_document_has_counts_and_rates(spark, tables):
+    folder, _ = tables
+    want = {i: (ITEMS[(i or 0) % 3], t or "") for i, _, t in DOCS}
+    counts = {i: (len(r.split()), len(h.split())) for i, (r, h) in want.items()}
+    registered = plans.queries()
+    assert {r[0]: tuple(r)[1:] for r in registered["word_counts_of_documents"](spark, folder).collect()} == counts
+    got = {r.video_id: r for r in registered["document_error_rates"](spark, folder).collect()}
+    assert {i: (r.reference_word_count, r.hypothesis_word_count) for i, r in got.items()} == counts
+    for i, (r, h) in want.items():
+        a, b = plain(r).split(), plain(h).split()
+        assert got[i].wer == pytest.approx(plain_distance(a, b) / len(a)) and got[i].cer == pytest.approx(plain_cer(r, h))
+        assert 0 <= got[i].mer <= 1 and 0 <= got[i].wil <= 1
