@@ -27,7 +27,7 @@ _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 # Candidates that the base doesn't have; the classifier decides on these.
-_SECRET = re.compile(r"""(?<![A-Za-z0-9])(?:token|secret|password|passwd|api[_-]?key|access[_-]?key|auth)["']?\s{0,3}[:=]\s{0,3}["']?([A-Za-z0-9_/+.-]{8,200})""", re.IGNORECASE)
+_SECRET = re.compile(r"""(?<![A-Za-z0-9])(?:token|secret|password|passwd|api[_-]?key|access[_-]?key|auth)["']?\s{0,3}[:=]\s{0,3}["']?([A-Za-z0-9_/+.-]{8,}+)""", re.IGNORECASE)
 _OBFUSCATED = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63} ?[\[(] ?at ?[\])] ?[A-Za-z0-9-]{1,63}(?: ?[\[(] ?dot ?[\])] ?[A-Za-z0-9-]{2,63})+", re.IGNORECASE)
 _LOCAL_PHONE = re.compile(r"(?<![0-9+.(-])(?:\([0-9]{3}\) ?|[0-9]{3}[-.])[0-9]{3}[-.][0-9]{4}(?![0-9-])")
 _NUMBER = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])|(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?![A-Za-z0-9])")

@@ -71,6 +71,19 @@ def test_expectation_maximisation_finds_the_reliable_labeler():
     assert pii.reliabilities({}) == ({}, {})
 
 
+def test_long_secrets_are_one_whole_span():
+    for n in (8, 200, 201, 403, 100_000):
+        value = ("aB3_/+.-" * n)[:n]
+        assert (6, 6 + n, "secret") in pii.extra_spans(f"token={value}, and more")
+
+
+def test_redaction_leaves_nothing_of_a_long_secret(spark):
+    value = "".join(hashlib.sha256(str(i).encode()).hexdigest() for i in range(7))[:403]
+    docs = spark.createDataFrame([(i, f'call token = "{i}{value}" now') for i in range(30)], "doc_id long, text string")
+    model, _ = pii.fit(docs)
+    assert {r.text for r in pii.redact(docs, model).collect()} == {'call token = "[secret]" now'}
+
+
 def test_redaction(spark):
     docs = spark.createDataFrame([(1, "a b@c.de, +1 (743) 555-3824.", 9, "k"), (2, None, None, "k"), (3, "clean", 5, None)], "doc_id long, text string, n_chars long, kind string")
     model, _ = pii.fit(docs)
