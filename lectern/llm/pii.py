@@ -30,7 +30,13 @@ _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _SECRET = re.compile(r"""(?<![A-Za-z0-9])(?:token|secret|password|passwd|api[_-]?key|access[_-]?key|auth)["']?\s{0,3}[:=]\s{0,3}["']?([A-Za-z0-9_/+.-]{8,}+)""", re.IGNORECASE)
 _OBFUSCATED = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63} ?[\[(] ?at ?[\])] ?[A-Za-z0-9-]{1,63}(?: ?[\[(] ?dot ?[\])] ?[A-Za-z0-9-]{2,63})+", re.IGNORECASE)
 _LOCAL_PHONE = re.compile(r"(?<![0-9+.(-])(?:\([0-9]{3}\) ?|[0-9]{3}[-.])[0-9]{3}[-.][0-9]{4}(?![0-9-])")
-_NUMBER = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])|(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?![A-Za-z0-9])")
+#: Account numbers: length by country of the gazetteer, and any other of 15 characters or more. Written without spaces or
+#: in groups of four and a shorter last one. A listed country's own length goes first, so that no word after it is taken.
+ACCOUNT_LENGTHS = {"DE": 22, "FR": 27, "ES": 24, "GB": 22, "IT": 27, "NL": 18, "CH": 21, "AT": 20, "BE": 16, "PT": 25}
+_GROUP = " ?[A-Z0-9]"
+_LISTED = "|".join(f"{country}[0-9]{{2}}(?:{_GROUP}{{4}}){{{(n - 4) // 4}}}" + (f"{_GROUP}{{{n % 4}}}" if n % 4 else "") for country, n in ACCOUNT_LENGTHS.items())
+_ACCOUNT = rf"(?:{_LISTED})(?![A-Za-z0-9])|[A-Z]{{2}}[0-9]{{2}}(?:{_GROUP}{{4}}){{2}}(?:(?:{_GROUP}{{4}}){{1,5}}(?:{_GROUP}{{1,4}})?|{_GROUP}{{3}})(?![A-Za-z0-9])"
+_NUMBER = re.compile(rf"(?<![0-9-])[0-9]{{3}}-[0-9]{{2}}-[0-9]{{4}}(?![0-9-])|(?<![A-Za-z0-9])(?:{_ACCOUNT})")
 
 #: Gazetteers and context words, in lower case. Fixed values.
 DOMAIN_ENDS = frozenset("com org net edu gov int info biz io dev de fr es uk eu us ca it nl ch at be pt br mx jp cn in au example test".split())
@@ -138,7 +144,7 @@ def votes(text: str, start: int, end: int, kind: str) -> tuple[int, int, int]:
         gazetteer = -1 if digits[0] in "01" else 1
     else:
         pattern = 1 if "-" not in value or (digits[:3] not in ("000", "666") and digits[0] != "9") else -1
-        gazetteer = 1 if value[:2] in ("DE", "FR", "ES", "GB", "IT", "NL", "CH", "AT", "BE", "PT") else 0
+        gazetteer = 1 if value[:2] in ACCOUNT_LENGTHS else 0
     if kind == "secret":  # its name stands before it anyway
         context = 1 if before[-1:] in ("'", '"') else 0
     else:

@@ -84,6 +84,28 @@ def test_redaction_leaves_nothing_of_a_long_secret(spark):
     assert {r.text for r in pii.redact(docs, model).collect()} == {'call token = "[secret]" now'}
 
 
+ACCOUNTS = ["DE89370400440532013000", "FR1420041010050500013M02606", "ES9121000418450200051332", "GB29NWBK60161331926819", "IT60X0542811101000000123456", "NL91ABNA0417164300", "CH9300762011623852957", "AT611904300234573201", "BE68539007547034", "PT50000201231234567890154", "NO9386011117947"]
+
+
+def test_account_numbers_of_each_listed_country():
+    assert {a[:2] for a in ACCOUNTS} - {"NO"} == set(pii.ACCOUNT_LENGTHS)
+    for account in ACCOUNTS:
+        spaced = " ".join(account[i : i + 4] for i in range(0, len(account), 4))
+        for value in (account, spaced):
+            for after in ("", ".", " and so on", *(["", " AN", " IBAN X"] if account[:2] != "NO" else [])):
+                assert [(a, b) for a, b, k in pii.extra_spans(f"iban {value}{after}") if k == "number"] == [(5, 5 + len(value))], (value, after)
+        twice = pii.extra_spans(f"{spaced} {spaced}")
+        assert account[:2] == "NO" or [(a, b) for a, b, k in twice if k == "number"] == [(0, len(spaced)), (len(spaced) + 1, 2 * len(spaced) + 1)]
+    for other in ("AB12CD34EF56", "DE89 3704", "xDE89370400440532013000"):
+        assert not [s for s in pii.extra_spans(other) if s[2] == "number"]
+
+
+def test_redaction_leaves_nothing_of_an_account_number(spark):
+    docs = spark.createDataFrame([(i, f"konto {' '.join(a[j : j + 4] for j in range(0, len(a), 4))}, danke") for i, a in enumerate(ACCOUNTS * 3)], "doc_id long, text string")
+    model, _ = pii.fit(docs)
+    assert not [r.text for r in pii.redact(docs, model).collect() if not re.fullmatch(r"konto (\[[a-z]+\])+, danke", r.text)]
+
+
 def test_redaction(spark):
     docs = spark.createDataFrame([(1, "a b@c.de, +1 (743) 555-3824.", 9, "k"), (2, None, None, "k"), (3, "clean", 5, None)], "doc_id long, text string, n_chars long, kind string")
     model, _ = pii.fit(docs)
