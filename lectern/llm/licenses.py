@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .license_digests import DIGESTS
+
 #: Spellings that count as equal, in lower case. Fixed values.
 SPELLINGS = {
     "licence": "license",
@@ -51,6 +53,14 @@ Unless required by applicable law or agreed to in writing, software distributed
     "CC-BY-NC-4.0-line": "Licensed under CC BY-NC 4.0.",
 }
 
+#: Title lines under which the known texts are usually stored. Fixed values.
+TITLES = {
+    "MIT": ("MIT License", "The MIT License", "The MIT License (MIT)", "MIT License (MIT)", "This software is released under the MIT license:"),
+    "ISC": ("ISC License", "The ISC License", "ISC License (ISC)"),
+    "0BSD": ("BSD Zero Clause License", "Zero-Clause BSD", "Zero-Clause BSD License", "BSD-0-Clause License", "0BSD License"),
+    "Zlib": ("zlib License", "The zlib License", "zlib/libpng License", "The zlib/libpng License"),
+}
+
 #: A known table of at most so many rows is sent to every executor (a digest and a name each); a larger one is shuffled.
 MAX_BROADCAST = 100_000
 #: A line that begins with a copyright mark and its owner, or with a reservation of rights; not one that a licence's
@@ -90,16 +100,27 @@ def known_licenses(spark: SparkSession, known: dict[str, str] | None = None) ->
     return spark.createDataFrame(sorted((known or KNOWN).items()), "license_id string, text string")
 
 
-def scan(docs: DataFrame, known: DataFrame, max_broadcast: int = MAX_BROADCAST) -> DataFrame:
+def common_licenses(spark: SparkSession) -> DataFrame:
+    """canonical_sha256, license_id: the known texts under their titles, and the common full licence texts."""
+    titled = [(name, f"{title}\n\n{KNOWN[name]}") for name, titles in TITLES.items() for title in titles]
+    texts = spark.createDataFrame(titled, "license_id string, text string").select(digest(F.col("text")).alias("canonical_sha256"), "license_id")
+    return texts.union(spark.createDataFrame([(d, name) for name, ds in DIGESTS.items() for d in ds], "canonical_sha256 string, license_id string"))
+
+
+def scan(docs: DataFrame, known: DataFrame, max_broadcast: int = MAX_BROADCAST, digests: DataFrame | None = None) -> DataFrame:
     """doc_id, canonical_sha256, license_id (null: no known licence is the whole text) for every row of docs (doc_id, text).
 
     Known texts that share a digest are one licence, the first id by code point. An empty canonical text matches
     nothing. Null texts are empty; repeated rows stay; extra columns are ignored. The known table is sent to executors
-    only if a count of its rows stays within max_broadcast; else both sides meet by digest.
+    only if a count of its rows stays within max_broadcast; else both sides meet by digest. Licences whose digests are
+    known already (canonical_sha256, license_id) may be given beside the texts.
     """
     table = known.select(digest(F.col("text")).alias("canonical_sha256"), "license_id").where(canonical(F.col("text")) != "")
+    rows = known.select("license_id")
+    if digests is not None:
+        table, rows = table.union(digests.select("canonical_sha256", "license_id")), rows.union(digests.select("license_id"))
     table = table.groupBy("canonical_sha256").agg(F.min("license_id").alias("license_id"))
-    few = known.select("license_id").limit(max_broadcast + 1).count() <= max_broadcast
+    few = rows.limit(max_broadcast + 1).count() <= max_broadcast
     found = docs.select("doc_id", digest(F.col("text")).alias("canonical_sha256"))
     return found.join(F.broadcast(table) if few else table, "canonical_sha256", "left").select("doc_id", "canonical_sha256", "license_id")
 

@@ -52,7 +52,7 @@ def op8_addressable_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licenses.scan(table(spark, sf_dir, "documents"), licenses.known_licenses(spark))
+    return licenses.scan(table(spark, sf_dir, "documents"), licenses.known_licenses(spark), digests=licenses.common_licenses(spark))
 
 
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

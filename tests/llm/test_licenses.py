@@ -1,10 +1,12 @@
 import hashlib
 import re
+from pathlib import Path
 
 import duckdb
+import pytest
 from pyspark.sql import functions as F
 
-from lectern.llm import licenses
+from lectern.llm import licenses, queries
 
 ODD = [None, "", "  ", "Copyright (c) 2020 A B\n", "©2020 x\nwords", "(c) 2021 y\nwords", "(c) You may\nwords", "COPYRIGHT HOLDERS stay", "Licence, LICENCE licence", "É é ß 1.2"]
 
@@ -52,3 +54,34 @@ def test_sql_says_the_same(spark):
 
 def test_empty_table(spark):
     assert licenses.scan(spark.createDataFrame([], "doc_id long, text string"), licenses.known_licenses(spark)).count() == 0
+
+
+BSD2 = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.
+"""
+BSD3 = "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.\n"
+DISCLAIMER = """
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.
+"""
+
+
+def found(spark, folder, texts):
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.mode("overwrite").parquet(f"{folder}/documents.parquet")
+    return [r.license_id for r in sorted(queries.op9_license_scan(spark, str(folder)).collect())]
+
+
+def test_titled_and_full_texts_are_found(spark, tmp_path):
+    mit, owner = licenses.KNOWN["MIT"], "Copyright (c) 2020 A B\n\n"
+    texts = ["MIT License\n\n" + owner + mit, "The MIT License (MIT)\n\n" + owner + mit, mit, "ISC License\n\n" + owner + licenses.KNOWN["ISC"]]
+    texts += ["BSD 2-Clause License\n\n" + owner + BSD2 + DISCLAIMER, owner + BSD2 + DISCLAIMER, "BSD 3-Clause License\n\n" + owner + BSD2 + BSD3 + DISCLAIMER, BSD2 + BSD3 + DISCLAIMER]
+    texts += [BSD2 + BSD3, "MIT License", "Some License\n\n" + mit]
+    assert found(spark, tmp_path, texts) == ["MIT", "MIT", "MIT", "ISC", "BSD-2-Clause", "BSD-2-Clause", "BSD-3-Clause", "BSD-3-Clause", None, None, None]
+
+
+@pytest.mark.skipif(not Path("/usr/share/common-licenses").is_dir(), reason="no texts on this machine")
+def test_full_texts_of_the_system_are_found(spark, tmp_path):
+    names = {"Apache-2.0": "Apache-2.0", "BSD": "BSD-3-Clause", "CC0-1.0": "CC0-1.0", "GPL-1": "GPL-1.0", "GPL-2": "GPL-2.0", "GPL-3": "GPL-3.0", "LGPL-2": "LGPL-2.0", "LGPL-2.1": "LGPL-2.1", "LGPL-3": "LGPL-3.0", "MPL-1.1": "MPL-1.1", "MPL-2.0": "MPL-2.0"}
+    texts = [Path("/usr/share/common-licenses", n).read_text() for n in names]
+    assert dict(zip(names, found(spark, tmp_path, texts))) == names
