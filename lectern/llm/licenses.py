@@ -67,6 +67,15 @@ MAX_BROADCAST = 100_000
 #: sentence was wrapped into, such as COPYRIGHT HOLDERS BE LIABLE.
 _COPYRIGHT = r"(?im)^[^\p{L}\p{N}\n]*(?:copyright[ \t]*(?:©|\(c\)|by[ \t]|:|[0-9]{4})|©|\(c\)[ \t]*[0-9]{4}|all rights reserved)[^\n]*$"
 
+#: The mark that begins a copyright statement, anywhere in a line.
+_MARK = r"(?i)(?<![\p{L}\p{N}])copyright[ \t]*(?:©|\(c\)|by[ \t]|:|[0-9]{4})|©|\(c\)[ \t]*[0-9]{4}"
+#: How the known licences' own sentences begin. Fixed values.
+OPENINGS = (
+    "permission is hereby granted", "permission to use copy", "redistribution and use in", "this software is provided", "licensed under the", "licensed under cc",
+    "this work is licensed under", "everyone is permitted to copy", "terms and conditions for use", "this is free and unencumbered",
+)
+_OPENING = r"(?i)(?=(?<![\p{L}\p{N}])(?:" + "|".join(o.replace(" ", r"[^\p{L}\p{N}]+") for o in OPENINGS) + "))"
+
 
 def canonical(text: Column) -> Column:
     """Copyright lines dropped, lower case, runs of anything but letters and digits as one space, equivalent spellings as one.
@@ -95,6 +104,23 @@ def digest(text: Column) -> Column:
     return F.sha2(canonical(text), 256)
 
 
+def bound(value: Column, use) -> Column:
+    """use(value) with the value computed once."""
+    return F.transform(F.array(value), use)[0]
+
+
+def without_statement(text: Column) -> Column:
+    """The text without what stands from its first copyright mark to the licence's opening words in the same line; null if
+    there is no such mark or opening. A licence stored as one line is otherwise dropped as a copyright line, or keeps its owner.
+    """
+    parts = F.split(text, _MARK, 2)
+
+    def of(halves: Column) -> Column:
+        return bound(F.split(F.concat(F.lit(" "), F.get(halves, F.lit(1))), _OPENING, 2), lambda rest: F.when((F.size(rest) == 2) & ~rest[0].contains("\n"), F.concat(halves[0], F.lit("\n"), F.get(rest, F.lit(1)))))
+
+    return F.when(text.rlike(_MARK), bound(parts, of))
+
+
 def known_licenses(spark: SparkSession, known: dict[str, str] | None = None) -> DataFrame:
     """license_id, text of the fixed short licences, or of those given."""
     return spark.createDataFrame(sorted((known or KNOWN).items()), "license_id string, text string")
@@ -113,7 +139,8 @@ def scan(docs: DataFrame, known: DataFrame, max_broadcast: int = MAX_BROADCAST,
     Known texts that share a digest are one licence, the first id by code point. An empty canonical text matches
     nothing. Null texts are empty; repeated rows stay; extra columns are ignored. The known table is sent to executors
     only if a count of its rows stays within max_broadcast; else both sides meet by digest. Licences whose digests are
-    known already (canonical_sha256, license_id) may be given beside the texts.
+    known already (canonical_sha256, license_id) may be given beside the texts. A text that matches nothing is tried again
+    without its copyright statement alone; canonical_sha256 is that of the whole text.
     """
     table = known.select(digest(F.col("text")).alias("canonical_sha256"), "license_id").where(canonical(F.col("text")) != "")
     rows = known.select("license_id")
@@ -121,8 +148,12 @@ def scan(docs: DataFrame, known: DataFrame, max_broadcast: int = MAX_BROADCAST,
         table, rows = table.union(digests.select("canonical_sha256", "license_id")), rows.union(digests.select("license_id"))
     table = table.groupBy("canonical_sha256").agg(F.min("license_id").alias("license_id"))
     few = rows.limit(max_broadcast + 1).count() <= max_broadcast
-    found = docs.select("doc_id", digest(F.col("text")).alias("canonical_sha256"))
-    return found.join(F.broadcast(table) if few else table, "canonical_sha256", "left").select("doc_id", "canonical_sha256", "license_id")
+    whole = digest(F.col("text"))
+    found = docs.select("doc_id", whole.alias("canonical_sha256"), F.coalesce(bound(without_statement(F.col("text")), lambda t: F.when(t.isNotNull(), digest(t))), whole).alias("_again"))
+    again = table.select(F.col("canonical_sha256").alias("_again"), F.col("license_id").alias("_license"))
+    if few:
+        table, again = F.broadcast(table), F.broadcast(again)
+    return found.join(table, "canonical_sha256", "left").join(again, "_again", "left").select("doc_id", "canonical_sha256", F.coalesce("license_id", "_license").alias("license_id"))
 
 
 def oracle(known: dict[str, str] | None = None) -> str:

@@ -85,3 +85,12 @@ def test_full_texts_of_the_system_are_found(spark, tmp_path):
     names = {"Apache-2.0": "Apache-2.0", "BSD": "BSD-3-Clause", "CC0-1.0": "CC0-1.0", "GPL-1": "GPL-1.0", "GPL-2": "GPL-2.0", "GPL-3": "GPL-3.0", "LGPL-2": "LGPL-2.0", "LGPL-2.1": "LGPL-2.1", "LGPL-3": "LGPL-3.0", "MPL-1.1": "MPL-1.1", "MPL-2.0": "MPL-2.0"}
     texts = [Path("/usr/share/common-licenses", n).read_text() for n in names]
     assert dict(zip(names, found(spark, tmp_path, texts))) == names
+
+
+def test_licenses_of_one_line_are_found(spark, tmp_path):
+    flat = {k: " ".join(t.split()) for k, t in {**licenses.KNOWN, "BSD-2-Clause": BSD2 + DISCLAIMER, "BSD-3-Clause": BSD2 + BSD3 + DISCLAIMER}.items()}
+    for owner in ("Copyright (c) 2020 A B. ", "Copyright (c) 2020 J. R. Smith, Inc. All rights reserved. ", "© 2019 Ünal ", "(c) 2018 x Copyright 2020 y "):
+        assert found(spark, tmp_path, [owner + t for t in flat.values()]) == list(flat), owner
+    mit, owner = flat["MIT"], "Copyright (c) 2020 A B "
+    texts = ["MIT License " + owner + mit, owner + mit + " But not on Sundays.", "No. " + owner + mit, owner + "and more\nterms " + mit, owner, owner * 20_000, None]
+    assert found(spark, tmp_path, texts) == ["MIT", None, None, None, None, None, None]
