@@ -97,26 +97,27 @@ def top_k(vectors: DataFrame, is_query: Column, *, k: int = K, queries: int = QU
     """query_id, rank, vec_id, score: for each row of vectors (vec_id, v: array of integers) where is_query holds, the k
     rows of other ids with the highest inner products, ties to the smaller id; all, if there are fewer.
 
-    Rows with a null id or vector take no part, nor do rows whose length isn't the most common one. Repeated rows are
-    one. Queries go out in waves of about `queries` rows, which bounds what a wave sends to the executors; each wave scans
+    Rows with a null id or vector take no part. Vectors are compared with those of their own length, each length on its own
+    (lengths are few). Repeated rows are one. Queries go out in waves of about `queries` rows, which bounds what a wave sends to the executors; each wave scans
     the candidates once where they stand, and each task returns its best k for each query, so nothing but those is
     shuffled. Extra columns are ignored. Empty table: empty result.
     """
     spark = vectors.sparkSession
     usable = written(vectors.where("vec_id is not null and v is not null").select("vec_id", "v", F.coalesce(is_query, F.lit(False)).alias("_q")).dropDuplicates(["vec_id", "v"]), "vectors")
     result = "query_id long, vec_id long, score long"
-    common = usable.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), F.desc("n")).first()
     found = spark.createDataFrame([], result)
-    if common and common["n"]:
-        usable = usable.where(F.size("v") == common["n"])
-        asked = usable.where("_q")
+    for dims in sorted(r["n"] for r in usable.select(F.size("v").alias("n")).distinct().collect()):
+        alike = usable.where(F.size("v") == dims)
+        if not dims:  # every score is 0
+            alike, dims = alike.withColumn("v", F.array(F.lit(0).cast("long"))), 1
+        asked = alike.where("_q")
         waves = -(-asked.count() // queries)
         for wave in range(waves):
             some = asked.where(F.pmod(F.xxhash64("vec_id"), F.lit(waves)) == wave).select("vec_id", "v").toArrow().combine_chunks()
             if some.num_rows:
                 ids = some["vec_id"].to_numpy().astype(np.int64)
-                matrix = _matrix(some["v"].combine_chunks(), common["n"])
-                found = found.union(usable.select("vec_id", "v").mapInArrow(_search(ids, matrix, k, rows), result))
+                matrix = _matrix(some["v"].combine_chunks(), dims)
+                found = found.union(alike.select("vec_id", "v").mapInArrow(_search(ids, matrix, k, rows), result))
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.dropDuplicates().withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 

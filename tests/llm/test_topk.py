@@ -29,6 +29,14 @@ def test_against_brute_force_with_ties_and_waves(spark):
         assert ask(spark, rows, 7, queries=20, rows=50) == brute(rows, 7, lambda q: q % 5 == 0)
 
 
+def test_each_length_is_searched_on_its_own(spark):
+    rng = random.Random(5)
+    by = {n: [(i, tuple(rng.randrange(-9, 10) for _ in range(n))) for i in range(j, 200, 3)] for j, n in enumerate((40, 3, 0))}
+    by[3] = by[3][:20]
+    want = sorted(r for rows in by.values() for r in brute(rows, 7, lambda q: q % 5 == 0))
+    assert ask(spark, [r for rows in by.values() for r in rows], 7, queries=5, rows=10) == want
+
+
 def test_fewer_than_k(spark):
     rows = [(0, (1, 2)), (5, (3, 4)), (7, (-1, 0))]
     assert ask(spark, rows, 20) == brute(rows, 20, lambda q: q % 5 == 0)
