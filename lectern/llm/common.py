@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -14,13 +15,24 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+_LOCAL: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that the cluster names in spark.checkpoint.dir; one of this machine only where that is unset, as in tests."""
+    """The folder that the cluster names in spark.checkpoint.dir. Where that is unset, as in tests, a temporary folder if
+    the session runs on one machine alone, else an error: executors wouldn't see the driver's folders.
+    """
+    context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
-        held = spark.sparkContext._jsc.sc().getCheckpointDir()
-        named = held.get() if held.isDefined() else tempfile.mkdtemp(prefix="lectern-")
-        spark.conf.set("spark.checkpoint.dir", named)
+        held = context._jsc.sc().getCheckpointDir()
+        if held.isDefined():
+            named = held.get()
+        elif re.match(r"local(\[|$)", context.master):
+            named = _LOCAL.setdefault(context.applicationId, "") or tempfile.mkdtemp(prefix="lectern-")
+            _LOCAL[context.applicationId] = named
+        else:
+            raise ValueError("spark.checkpoint.dir names no folder that the driver and the executors share")
     return named.rstrip("/")
 
 
@@ -28,6 +40,12 @@ def shared_path(spark: SparkSession, what: str) -> str:
     return f"{shared_folder(spark)}/{what}-{uuid.uuid4().hex}"
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Removes a folder from the file system that it belongs to; nothing if it isn't there."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 #: Rows of texts that are handed to a Python worker at a time; ten thousand long ones would fill its memory.
 BATCH_ROWS = 1000
 
@@ -39,12 +57,107 @@ def short_batches(spark: SparkSession) -> None:
         spark.conf.set(name, str(BATCH_ROWS))
 
 
+#: Folders of tables that lazy results read, in the order in which they were written.
+_KEPT: list[str] = []
+
+
+def kept() -> int:
+    """How many tables written() has made so far; release() takes it to know which came later."""
+    return len(_KEPT)
+
+
+def keep(path: str) -> str:
+    """Notes a folder that a lazy result reads, for release()."""
+    _KEPT.append(path)
+    return path
+
+
+def release(spark: SparkSession, since: int = 0) -> None:
+    """Deletes what written() has made since then. To be called once the results that read it are written themselves."""
+    while len(_KEPT) > since:
+        delete(spark, _KEPT.pop())
+
+
+def _write(df: DataFrame, path: str, **options: str) -> DataFrame:
+    df.write.options(**{"compression": "zstd", **options}).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def written(df: DataFrame, what: str, **options: str) -> DataFrame:
     """df as a Parquet table in the shared folder: its lineage ends there, and lost executors don't lose it."""
-    spark = df.sparkSession
-    path = shared_path(spark, what)
-    df.write.options(**{"compression": "zstd", **options}).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return _write(df, keep(shared_path(df.sparkSession, what)), **options)
+
+
+class Scratch:
+    """Written tables of one piece of work, deleted when it ends: `with Scratch(spark) as scratch: scratch.written(...)`."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def path(self, what: str) -> str:
+        self.paths.append(shared_path(self.spark, what))
+        return self.paths[-1]
+
+    def written(self, df: DataFrame, what: str, **options: str) -> DataFrame:
+        return _write(df, self.path(what), **options)
+
+    def drop(self, first: int, last: int) -> None:
+        """Deletes the tables written from the first up to the last, which is left."""
+        for path in self.paths[first:last]:
+            delete(self.spark, path)
+        del self.paths[first:last]
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.drop(0, len(self.paths))
+
+
+#: Keys that are dealt out by salts: the most frequent ones, at most so many, of those with more rows than HOT_ROWS. Any
+#: other key has less than a thousandth of all rows.
+HOT_KEYS, HOT_ROWS, MAX_SALTS = 1000, 500, 1024
+
+
+def hot_keys(counts: DataFrame, key: str, n: str = "n") -> DataFrame | None:
+    """(key, _salts) of the frequent keys of counts (key, n), a row a key, at most HOT_KEYS rows; None if there are none."""
+    top = counts.where((F.col(n) > HOT_ROWS) & F.col(key).isNotNull()).select(key, n).orderBy(F.desc(n)).limit(HOT_KEYS).collect()
+    if not top:
+        return None
+    kind = counts.schema[key].dataType.simpleString()
+    return counts.sparkSession.createDataFrame([(k, min(MAX_SALTS, -(-c // HOT_ROWS))) for k, c in top], f"`{key}` {kind}, _salts int")
+
+
+def meet(many: DataFrame, one: DataFrame, key: str, hot: DataFrame | None, how: str = "inner") -> DataFrame:
+    """many joined with `one`, which has one row per key. The rows of a hot key are dealt out by a hash of their other
+    columns, and its one row is repeated for each part, so that a key with a third of all rows isn't one task.
+    """
+    if hot is None:
+        return many.join(one, key, how)
+    hot = F.broadcast(hot)  # at most HOT_KEYS rows
+    rest = F.xxhash64(*[F.col(f"`{c}`") for c in many.columns if c != key])
+    left = many.join(hot, key, "left").withColumn("_salt", F.coalesce(F.pmod(rest, F.col("_salts")).cast("int"), F.lit(0))).drop("_salts")
+    right = one.join(hot, key, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))).drop("_salts")
+    return left.join(right, [key, "_salt"], how).drop("_salt")
+
+
+#: Bits of a filter for each of its keys, about, and at most: 16 MB whatever the number of keys.
+FILTER_BITS, MAX_FILTER_BITS = 32, 1 << 27
+
+
+def may_hold(rows: DataFrame, keys: DataFrame, key: str, count: int) -> DataFrame:
+    """The rows whose key may be among `keys` (about `count` of them): all that are, and a few others. A bitmap of key
+    hashes, of bounded size, is sent to the executors, so that rows which meet nothing aren't shuffled for a join.
+    """
+    bits = FILTER_BITS
+    while bits < min(MAX_FILTER_BITS, FILTER_BITS * count):
+        bits *= 2
+    code = F.pmod(F.xxhash64(key), F.lit(bits))
+    maps = keys.select(code.alias("_c")).groupBy(F.expr("bitmap_bucket_number(_c)").alias("_b")).agg(F.expr("bitmap_construct_agg(bitmap_bit_position(_c))").alias("_bits"))
+    coded = rows.withColumn("_c", code).withColumn("_b", F.expr("bitmap_bucket_number(_c)")).withColumn("_at", F.expr("bitmap_bit_position(_c)"))
+    met = coded.join(F.broadcast(maps), "_b")  # at most MAX_FILTER_BITS
+    byte = F.conv(F.hex(F.expr("substring(_bits, cast(_at div 8 as int) + 1, 1)")), 16, 10).cast("int")
+    return met.where(F.expr("(1 << cast(_at % 8 as int))").bitwiseAND(byte) != 0).select(*rows.columns)
 
 
 def word_count(text: Column) -> Column:

@@ -5,6 +5,7 @@ from collections import Counter
 import pytest
 
 from lectern.llm import jaccard
+from lectern.llm.common import Scratch
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -53,7 +54,7 @@ def test_whole_table_against_brute_force(spark, sf):
     assert any(n for _, _, n in got)
 
 
-@pytest.mark.parametrize("block", [5, 1000])
+@pytest.mark.parametrize("block", [1, 2, 5, 1000])
 def test_groups_of_near_copies_and_odd_rows(spark, block):
     rng = random.Random(block)
     base = [f"w{i}" for i in range(60)]
@@ -73,14 +74,45 @@ def test_keep_one(spark):
 
 def test_bands_reach_the_recall():
     bands, rows = jaccard.choose_bands()
-    assert bands * rows <= jaccard.MAX_HASHES
+    assert bands * rows <= jaccard.HASHES
     assert 1 - (1 - 0.8**rows) ** bands >= 0.9999
 
 
+@pytest.mark.parametrize("threshold", [0.01, 0.05, 0.3, 0.5, 0.9, 0.99, 1.0])
+def test_any_threshold_has_its_recall(threshold):
+    bands, rows = jaccard.choose_bands(threshold)
+    assert 1 - (1 - threshold**rows) ** bands >= 0.9999
+
+
+def test_many_blocks_and_hot_keys(spark, monkeypatch):
+    """One large group of near copies and many small ones, with keys that count as hot from three rows on."""
+    monkeypatch.setattr("lectern.llm.common.HOT_ROWS", 3)
+    rng = random.Random(3)
+    docs, n = [], 0
+    for group, size in [("a", 60), ("b", 7), ("c", 2), ("d", 1), ("e", 3)] + [(f"g{i}", 2) for i in range(20)]:
+        base = [f"{group}{i}" for i in range(50)]
+        for _ in range(size):
+            docs += [(n, " ".join(w if rng.random() > 0.015 else f"x{rng.randrange(99)}" for w in base))] * (1 + (n % 9 == 0))
+            n += 1
+    assert ask(spark, docs, block=4) == brute(docs)
+
+
+@pytest.mark.parametrize("n", [0, 1, 500])
+def test_filter_keeps_what_it_holds(spark, n):
+    from pyspark.sql import functions as F
+
+    from lectern.llm.common import may_hold
+
+    rows = spark.range(5000).select(F.md5(F.col("id").cast("string").cast("binary")).alias("k"), "id")
+    got = {r.id for r in may_hold(rows, rows.where(F.col("id") < n).select("k"), "k", n).collect()}
+    assert set(range(n)) <= got and len(got) < n + 400
+
+
 def test_components(spark):
     rng = random.Random(1)
     edges = [(i, i + 1) for i in range(0, 60)] + [(100 + rng.randrange(40), 100 + rng.randrange(40)) for _ in range(25)] + [(7, 7)]
-    got = {r.k: r.c for r in jaccard.connected(spark.createDataFrame(edges, "a long, b long")).collect()}
+    with Scratch(spark) as scratch:
+        got = {r.k: r.c for r in jaccard.connected(spark.createDataFrame(edges, "a long, b long"), scratch).collect()}
     assert all(got[i] == 0 for i in range(61))
     assert all(got[a] == got[b] for a, b in edges)
     sizes = Counter(got.values())
