@@ -22,6 +22,7 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epo
     the sum of all sizes. That is the fixpoint of clamping and resharing the excess by weight. In the order of
     cap/weight the clamped sources come first, so running sums give the level without a loop: that of the first source
     which it doesn't clamp. The levels of later ones are lower.
+    The windows see all sources in one task: a row for each source, which are few, whatever the number of documents.
     Sources rank by code point, null last. An empty table gives an empty table; a source of size 0 has target 0.
     """
     everything = Window.partitionBy().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -84,11 +85,10 @@ def mix_report(docs: DataFrame, **options) -> DataFrame:
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The mix itself, with the columns of docs: each document as often as mix() takes it as a whole, and the document at
-    a source's boundary once more, cut after the words that are still due. Documents without words are not taken.
+    a source's boundary once more, cut after the words that are still due. Documents without words, null texts among
+    them, are not taken. Null sources are one source, the last. Columns may have any names; an empty table stays empty.
     """
     names = docs.columns
-    if "_carry" in names:
-        raise ValueError("a column is named _carry")
     boxed = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row"), "doc_id", "text", "source")
     taken = mix(boxed, carry=("_row",), **options)
     full = F.when(F.col("_part") == F.col("size"), F.lit(1)).otherwise(F.lit(0))

@@ -70,7 +70,7 @@ def fit(rows: np.ndarray, histogram: np.ndarray, steps: int = STEPS) -> np.ndarr
 def pack_histogram(histogram: dict[int, int], capacity: int = CAPACITY, max_patterns: int = MAX_PATTERNS) -> list[tuple[tuple[int, ...], int]]:
     """(lengths of one sequence, number of such sequences), using each length exactly as often as the histogram has it.
 
-    Fitted counts are rounded down and never use more than is left; the residual is packed best fit, longest first, on
+    Fitted counts are rounded to the nearest and never use more than is left; the residual is packed best fit, longest first, on
     counts, so the work follows the number of distinct lengths, not of documents.
     """
     left = np.zeros(capacity + 1, np.int64)
@@ -121,9 +121,9 @@ def pack_histogram(histogram: dict[int, int], capacity: int = CAPACITY, max_patt
     return bins + [x for free in room for x in groups[free]]
 
 
-def _pieces(path: str, end_id: int, capacity: int, with_ids: bool, names: tuple[str, ...]):
+def _pieces(path: str, end_id: int, capacity: int, with_ids: bool, special_as_text: bool, names: tuple[str, ...]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, end = encoder(path), int(end_id).to_bytes(4, "little")
+        encode, end = encoder(path, special_as_text), int(end_id).to_bytes(4, "little")
         for batch in batches:
             rows = []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -145,15 +145,16 @@ def _pieces(path: str, end_id: int, capacity: int, with_ids: bool, names: tuple[
 _NAMES = ("doc_id", "piece", "start", "length", "ids_crc32", "ids")
 
 
-def pieces(docs: DataFrame, tokenizer: str, *, end_id: int = END_ID, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
+def pieces(docs: DataFrame, tokenizer: str, *, end_id: int = END_ID, capacity: int = CAPACITY, with_ids: bool = False, special_as_text: bool = False) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 (and ids): each document's ids with the end id, cut only if over the capacity.
 
     A longer document gives pieces of the full capacity, but for the first, which takes what doesn't fill one. Null and
-    empty texts are the end id alone. No shuffle. Repeated rows give repeated pieces; extra columns are ignored.
+    empty texts are the end id alone. No shuffle. Repeated rows give repeated pieces; extra columns are ignored. With
+    special_as_text the strings of special tokens in a text are ordinary text, so that a text can't forge one.
     """
     short_batches(docs.sparkSession)
     schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, piece int, start long, length long, ids_crc32 long" + ", ids binary" * with_ids
-    return docs.select("doc_id", "text").mapInArrow(_pieces(tokenizer, end_id, capacity, with_ids, _NAMES), schema)
+    return docs.select("doc_id", "text").mapInArrow(_pieces(tokenizer, end_id, capacity, with_ids, special_as_text, _NAMES), schema)
 
 
 def _slots(bins: list[tuple[tuple[int, ...], int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -206,9 +207,9 @@ def place(cut: DataFrame, *, capacity: int = CAPACITY, max_patterns: int = MAX_P
     return ranked.mapInArrow(_place(keys, bases, offsets), f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
 
 
-def pack(docs: DataFrame, tokenizer: str, *, end_id: int = END_ID, capacity: int = CAPACITY, max_patterns: int = MAX_PATTERNS) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, *, end_id: int = END_ID, capacity: int = CAPACITY, max_patterns: int = MAX_PATTERNS, special_as_text: bool = False) -> DataFrame:
     """pieces() with their places: one row per piece. Texts are encoded once and aren't shuffled."""
-    cut = written(pieces(docs, tokenizer, end_id=end_id, capacity=capacity), "pack-pieces")
+    cut = written(pieces(docs, tokenizer, end_id=end_id, capacity=capacity, special_as_text=special_as_text), "pack-pieces")
     return place(cut, capacity=capacity, max_patterns=max_patterns)
 
 

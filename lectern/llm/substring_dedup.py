@@ -10,23 +10,31 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, mixed, shared_path, short_batches, window_hashes
+from .common import Scratch, WordHashes, mixed, shared_path, short_batches, window_hashes, written
 
 WINDOW = 35
 #: Documents and bytes of text after which a batch is closed. A batch is the unit in which windows are asked after and answered.
 BATCH_DOCS, BATCH_BYTES = 1500, 2_000_000
 #: Bytes of window hashes that one bucket should gather, about.
 BUCKET_BYTES = 24_000_000
+#: Bytes of texts in one bucket of batches, about: a task of every level.
+PART_BYTES = 128_000_000
 
 
-def levels(window: int) -> list[int]:
-    """Lengths that are asked after: halves of the window, rounded up, from about 16 words on, then the window itself.
+#: Length of the shortest windows that are asked after, about. Shorter ones repeat by chance: on the test documents the
+#: share of windows that repeat is 0.9 at 5 words, 0.5 at 9 and 0.2 at 18, so what a pass over them saves is less than it costs.
+SHORTEST = 16
+
+
+def levels(window: int, shortest: int = SHORTEST) -> list[int]:
+    """Lengths that are asked after: each at most twice the one before, the last the window itself, the first `shortest` or
+    a little more.
 
     The windows of the first length number as many as words, so of those only the local minima of a hash are asked
-    after. For any repeated run of twice the length (less one), both occurrences choose the same minima.
+    after. For any repeated run of the window's length both occurrences choose the same minima.
     """
     found = [window]
-    while found[0] > 20:
+    while found[0] > max(1, shortest) and -(-found[0] // 2) >= shortest:
         found.insert(0, -(-found[0] // 2))
     return found
 
@@ -86,9 +94,9 @@ class Batch:
         return at[inside], found[inside]
 
 
-def _asked(batch: Batch, answers: list[np.ndarray], window: int) -> tuple[np.ndarray, np.ndarray]:
+def _asked(batch: Batch, answers: list[np.ndarray], lengths: list[int]) -> tuple[np.ndarray, np.ndarray]:
     """Places and hashes of what is asked after at the next level, given the answers of the levels before."""
-    lengths = levels(window)
+    window = lengths[-1]
     at, found = batch.selected(lengths[0], window - lengths[0] + 1) if len(lengths) > 1 else batch.windows(window)
     for k, answer in enumerate(answers):
         repeated = answer[np.searchsorted(_distinct(found)[0], found)]
@@ -104,9 +112,9 @@ def _distinct(found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return values, counts > 1
 
 
-def _edges(buckets: int) -> np.ndarray:
-    """Least hash of each bucket: equal ranges of the 64-bit hashes."""
-    return np.array([(i << 64) // buckets for i in range(buckets)], np.uint64)
+def _buckets_of(values: np.ndarray, buckets: int) -> np.ndarray:
+    """The bucket of each hash: equal ranges of the upper 32 bits, so that sorted hashes have sorted buckets."""
+    return (values >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
 
 
 def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -144,22 +152,20 @@ def _masks(row: pa.RecordBatch, count: int) -> list[np.ndarray]:
     return out
 
 
-def _ask(window: int, count: int, buckets: int):
-    edges = _edges(buckets)
-
+def _ask(lengths: list[int], count: int, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1)
                 docs = Batch(row.column("texts")[0].as_py(), _HASHES)
-                values, twice = _distinct(_asked(docs, _masks(row, count), window)[1])
-                cuts = np.searchsorted(values, edges)
-                rows = []
-                for b, (x, y) in enumerate(zip(cuts, [*cuts[1:], len(values)])):
-                    if y > x:
-                        rows.append((b, row.column("batch")[0].as_py(), values[x:y].astype("<u8").tobytes(), np.packbits(twice[x:y]).tobytes()))
-                if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), (pa.int32(), pa.string(), pa.binary(), pa.binary()))], names=["bucket", "batch", "hashes", "twice"])
+                values, twice = _distinct(_asked(docs, _masks(row, count), lengths)[1])
+                if not len(values):
+                    continue
+                bucket = _buckets_of(values, buckets)
+                ends = np.append(np.flatnonzero(bucket[1:] != bucket[:-1]) + 1, len(values))
+                starts, name = np.append(0, ends[:-1]), row.column("batch")[0].as_py()
+                rows = [(b, name, values[x:y].astype("<u8").tobytes(), np.packbits(twice[x:y]).tobytes()) for b, x, y in zip(bucket[starts].tolist(), starts.tolist(), ends.tolist())]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), (pa.int32(), pa.string(), pa.binary(), pa.binary()))], names=["bucket", "batch", "hashes", "twice"])
 
     return run
 
@@ -183,13 +189,15 @@ def _answer(key: tuple, table: pa.Table) -> pa.Table:
     return pa.table({"batch": names, "bucket": pa.array([key[0].as_py()] * len(names), pa.int32()), "n": pa.array(sizes, pa.int32()), "bits": pa.array(bits, pa.binary())})
 
 
-def _finish(window: int, count: int, texts: bool):
+def _finish(lengths: list[int], texts: bool):
+    window = lengths[-1]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1)
                 docs = Batch(row.column("texts")[0].as_py(), _HASHES)
-                at, _ = _asked(docs, _masks(row, count), window)
+                at, _ = _asked(docs, _masks(row, len(lengths)), lengths)
                 cover = np.zeros(len(docs.flat) + 1, np.int64)
                 cover[at] += 1
                 cover[at + window] -= 1
@@ -208,26 +216,29 @@ def _finish(window: int, count: int, texts: bool):
     return run
 
 
-def remove_repeats(docs: DataFrame, *, window: int = WINDOW, with_text: bool = False) -> DataFrame:
+def remove_repeats(docs: DataFrame, *, window: int = WINDOW, shortest: int = SHORTEST, with_text: bool = False) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 (and kept) for every row of docs (doc_id, text).
 
     Every word that lies in a window of `window` words whose sequence also begins anywhere else goes, judged on the input.
     Documents are written once as batches, bucketed by batch, so that later joins don't move texts. A batch is named by its
     partition and place, so a task that runs again makes the same ones, if docs is read from files (write it first, else). At each level a
     batch sends its distinct window hashes (8 bytes each), dealt by hash range, and gets one bit back for each. At the first
-    level, about half the window, only local minima are sent; at the next only windows around minima that repeat.
+    level only local minima are sent; at the next, twice as long, only windows around those that repeat, and so on, up to
+    the window or until nothing repeats. The number of batch buckets and of hash ranges follows the size of the texts.
     A hot passage is one hash from each batch. Windows count as equal if their 64-bit hashes are.
     Null and empty texts have no words. Texts of fewer words than the window are kept. Repeated rows remove each other.
     Null ids are ids like any other; extra columns are ignored. Empty table: empty result.
+    The result is a written table; the batches and answers are deleted once it stands.
     """
     spark = docs.sparkSession
     short_batches(spark)
     kind = docs.schema["doc_id"].dataType.simpleString()
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // PART_BYTES))
+    buckets = max(2 * n, int(total * 8 / 6 / 2 / BUCKET_BYTES))
     name = "lectern_batches_" + shared_path(spark, "x").rsplit("-", 1)[1]
-    packed = docs.select("doc_id", F.col("text").cast("binary")).mapInArrow(_batches, f"batch string, doc_ids array<{kind}>, texts array<binary>")
-    packed.repartition(n, "batch").write.option("compression", "zstd").option("path", shared_path(spark, "batches")).bucketBy(n, "batch").sortBy("batch").saveAsTable(name)
-    lengths, answers = levels(window), []
+    lengths, answers = levels(window, shortest), []
+    result = f"doc_id {kind}, n_words long, n_removed long, kept_sha256 string" + ", kept string" * with_text
 
     def with_answers() -> DataFrame:
         rows = spark.table(name)
@@ -235,12 +246,14 @@ def remove_repeats(docs: DataFrame, *, window: int = WINDOW, with_text: bool = F
             rows = rows.join(found.groupBy("batch").agg(F.collect_list(F.struct("bucket", "n", "bits")).alias(f"answers{k}")), "batch", "left")
         return rows
 
-    total = spark.table(name).agg(F.sum(F.aggregate("texts", F.lit(0).cast("long"), lambda a, t: a + F.coalesce(F.length(t), F.lit(0))))).first()[0] or 0
-    buckets = max(2 * n, int(total * 8 / 6 / 2 / BUCKET_BYTES))
-    for k in range(len(lengths)):
-        asked = with_answers().mapInArrow(_ask(window, k, buckets), "bucket int, batch string, hashes binary, twice binary")
-        answered = asked.groupBy("bucket").applyInArrow(_answer, "batch string, bucket int, n int, bits binary")
-        path = shared_path(spark, "answers")
-        answered.write.parquet(path)
-        answers.append(spark.read.schema("batch string, bucket int, n int, bits binary").parquet(path))
-    return with_answers().mapInArrow(_finish(window, len(lengths), with_text), f"doc_id {kind}, n_words long, n_removed long, kept_sha256 string" + ", kept string" * with_text)
+    with Scratch(spark) as scratch:
+        packed = docs.select("doc_id", F.col("text").cast("binary")).mapInArrow(_batches, f"batch string, doc_ids array<{kind}>, texts array<binary>")
+        try:
+            packed.repartition(n, "batch").write.option("compression", "zstd").option("path", scratch.path("batches")).bucketBy(n, "batch").sortBy("batch").saveAsTable(name)
+            for k in range(len(lengths)):
+                asked = with_answers().mapInArrow(_ask(lengths, k, buckets), "bucket int, batch string, hashes binary, twice binary")
+                answered = asked.groupBy("bucket").applyInArrow(_answer, "batch string, bucket int, n int, bits binary")
+                answers.append(scratch.written(answered, "answers"))
+            return written(with_answers().mapInArrow(_finish(lengths, with_text), result), "kept")
+        finally:
+            spark.sql(f"drop table if exists {name}")

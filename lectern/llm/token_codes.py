@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import shared_path, short_batches
+from .common import keep, shared_path, short_batches
 from .tokenizing import encoder
 
 END_ID = 2
@@ -97,13 +97,13 @@ class Reader:
 _FILE = "part int, segment int, n_ids long, doc_ids array<{kind}>, lengths array<long>, codes binary"
 
 
-def _write(path: str, end_id: int, segment_ids: int, kind: pa.DataType):
+def _write(path: str, end_id: int, segment_ids: int, special_as_text: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         part, segment = TaskContext.get().partitionId(), 0
-        ids, end = encoder(path), int(end_id).to_bytes(4, "little")
-        docs, lengths, held, n = [], [], [], 0
+        ids, end = encoder(path, special_as_text), int(end_id).to_bytes(4, "little")
+        docs, lengths, held, n, kind = [], [], [], 0, None
 
         def closed() -> pa.RecordBatch:
             data = np.frombuffer(b"".join(held), "<u4")
@@ -111,6 +111,7 @@ def _write(path: str, end_id: int, segment_ids: int, kind: pa.DataType):
             return pa.RecordBatch.from_arrays(columns, names=["part", "segment", "n_ids", "doc_ids", "lengths", "codes"])
 
         for batch in batches:
+            kind = batch.schema.types[0]
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 data = ids(text) + end
                 docs.append(doc)
@@ -127,12 +128,14 @@ def _write(path: str, end_id: int, segment_ids: int, kind: pa.DataType):
     return run
 
 
-def write_codes(docs: DataFrame, tokenizer: str, path: str, *, end_id: int = END_ID, segment_ids: int = SEGMENT_IDS) -> None:
+def write_codes(docs: DataFrame, tokenizer: str, path: str, *, end_id: int = END_ID, segment_ids: int = SEGMENT_IDS, special_as_text: bool = False) -> None:
     """Writes the ids of docs (doc_id, text), each with the end id, in ascending doc_id order (nulls first, equal ids by text).
 
     The files are Parquet containers of segments, committed by Spark's writer, so any file system it writes to will do
     and a lost executor's work is done again; `codes` is the encoding above, (part, segment) the order. Texts are
-    range-partitioned once, by id and a hash of the text, so one repeated id doesn't make one task.
+    range-partitioned once, by id and a hash of the text, so one repeated id doesn't make one task. Ids may be of any type
+    that sorts; null and empty texts are the end id alone; extra columns are ignored. With special_as_text the strings of
+    special tokens in a text are ordinary text.
     """
     spark = docs.sparkSession
     short_batches(spark)
@@ -140,8 +143,7 @@ def write_codes(docs: DataFrame, tokenizer: str, path: str, *, end_id: int = END
     keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("_tie"))
     ordered = keyed.repartitionByRange(n, "doc_id", "_tie").sortWithinPartitions("doc_id", "_tie").select("doc_id", "text")
     kind = docs.schema["doc_id"].dataType.simpleString()
-    arrow = pa.int32() if kind == "int" else pa.string() if kind == "string" else pa.int64()
-    ordered.mapInArrow(_write(tokenizer, end_id, segment_ids, arrow), _FILE.format(kind=kind)).write.option("compression", "none").parquet(path)
+    ordered.mapInArrow(_write(tokenizer, end_id, segment_ids, special_as_text), _FILE.format(kind=kind)).write.option("compression", "none").parquet(path)
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -171,7 +173,7 @@ def read_report(docs_schema_kind: str, files: DataFrame) -> DataFrame:
 def encode_and_read(docs: DataFrame, tokenizer: str, **options) -> DataFrame:
     """write_codes() to a new folder under the shared one, and read_report() of what stands there. Empty table: empty."""
     spark = docs.sparkSession
-    path = shared_path(spark, "token-codes")
+    path = keep(shared_path(spark, "token-codes"))
     write_codes(docs, tokenizer, path, **options)
     kind = docs.schema["doc_id"].dataType.simpleString()
     return read_report(kind, spark.read.schema(_FILE.format(kind=kind)).parquet(path))

@@ -22,15 +22,20 @@ _WORD = re.compile(f"([ \n]?)([{_L}]+)")
 class PieceEncoder:
     """text -> ids as little-endian unsigned 32-bit bytes; equal to the library's encode(text, add_special_tokens=False).
 
-    Strings of special tokens inside a text are ordinary text. For the byte-level and the word vocabulary. Each piece is
-    merged by the library's model, and, unless it is plain letters, normalised and split by the library too.
+    A special token's string inside a text is that token, as the library has it by default; with special_as_text it is
+    ordinary text. For the byte-level and the word vocabulary. Each piece is merged by the library's model, and, unless it
+    is plain letters, normalised and split by the library too; texts that may hold a special token's string go to the
+    library whole.
     """
 
-    def __init__(self, path: str, remembered: int = REMEMBERED):
+    def __init__(self, path: str, remembered: int = REMEMBERED, special_as_text: bool = False):
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
-        self.whole.encode_special_tokens = True
+        self.whole.encode_special_tokens = special_as_text
+        strings = [] if special_as_text else [t.content for t in self.whole.get_added_tokens_decoder().values()]
+        # how they begin, in any case, or nothing, which every text holds
+        self.marks = {s[:2] if s[:2].upper() == s[:2].lower() else "" for s in strings}
         self.normalizer, self.split, self.model = self.whole.normalizer, self.whole.pre_tokenizer, self.whole.model
         self.known = _Known(remembered, self._piece)
         lower = self.normalizer is not None
@@ -51,7 +56,7 @@ class PieceEncoder:
     def __call__(self, text: str | None) -> bytes:
         if not text:
             return b""
-        if _ODD.search(text):
+        if _ODD.search(text) or any(mark in text for mark in self.marks):
             return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         return b"".join(map(self.known.__getitem__, _PIECE.findall(text)))
 
@@ -71,11 +76,11 @@ class _Known(dict):
         return found
 
 
-_LOADED: dict[str, PieceEncoder] = {}
+_LOADED: dict[tuple[str, bool], PieceEncoder] = {}
 
 
-def encoder(path: str) -> PieceEncoder:
+def encoder(path: str, special_as_text: bool = False) -> PieceEncoder:
     """One encoder for a worker process, which reuses what it has learned from task to task."""
-    if path not in _LOADED:
-        _LOADED[path] = PieceEncoder(path)
-    return _LOADED[path]
+    if (path, special_as_text) not in _LOADED:
+        _LOADED[path, special_as_text] = PieceEncoder(path, special_as_text=special_as_text)
+    return _LOADED[path, special_as_text]

@@ -1,5 +1,11 @@
+import hashlib
+import random
+import re
+import struct
 import zlib
 
+import xxhash
+import zstandard
 from pyspark.sql import functions as F
 
 from lectern.llm import langid
@@ -44,6 +50,58 @@ def test_equal_sizes_are_rejected():
     assert classify("one two three four") == ("a", 0.5, True)
 
 
+def spark_hash(doc, seed):
+    """xxhash64(doc, seed) as Spark has it: the columns one after the other, each seeded by the hash before."""
+    h = xxhash.xxh64_intdigest(struct.pack("<i", seed), xxhash.xxh64_intdigest(struct.pack("<q", doc), 42))
+    return h - (1 << 64) if h >> 63 else h
+
+
+def bare(text):
+    """Lower case, whatever is no ASCII letter as space, but for other bytes; single spaces."""
+    return re.sub(rb"[^a-z\x80-\xff]+", b" ", text.lower().encode()).strip()
+
+
+def test_dictionaries_and_sizes_against_brute_force(spark):
+    """The sample, the dictionaries and every decision again, in plain Python from the description."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    rows = [tuple(r) for r in docs.collect()]
+    want = {}
+    for lang in {l for *_, l in rows if l}:
+        own = sorted(((spark_hash(d, 7), d, t) for d, t, l in rows if l == lang))[:30]
+        cut = [(d, t[(a := spark_hash(d, 8) % (max(0, len(t) - 400) + 1)) : a + 400]) for _, d, t in own if t]
+        want[lang] = b" ".join(bare(piece) for _, piece in sorted(cut))
+    model = langid.fit_dictionaries(docs, sample_docs=30)
+    assert model == want
+    how = zstandard.ZstdCompressionParameters(window_log=19, hash_log=min(17, max(map(len, want.values())).bit_length()), chain_log=min(17, max(map(len, want.values())).bit_length()), search_log=4, min_match=4, strategy=zstandard.STRATEGY_GREEDY, write_content_size=False, write_dict_id=False)
+    for text in [t for _, t, _ in rows[:150]] + ["short", "une phrase courte"]:
+        data, found = bare(text), {}
+        if not re.search("[^\\W\\d_]", text):
+            continue
+        for lang, words in want.items():
+            given = zstandard.ZstdCompressionDict(words, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            given.precompute_compress(compression_params=how)
+            total = 0
+            for i in range(0, len(data), 4096):
+                block = data[i : i + 4096]
+                while len(block) < 256:
+                    block = (data[i : i + 4096] + b" ") * (len(block) // (len(data[i : i + 4096]) + 1) + 1)
+                total += len(zstandard.ZstdCompressor(dict_data=given, compression_params=how).compress(block))
+            found[lang] = total
+        lang, score, rejected = langid.Classifier(model)(text)
+        least, second = sorted(found.values())[:2]
+        assert lang == min(found, key=lambda x: (found[x], x)) and rejected == ((second - least) / second < 0.002)
+
+
+def test_many_languages(spark):
+    words = [[hashlib.sha256(f"{lang}-{w}".encode()).hexdigest().translate(str.maketrans("0123456789", "ghijklmnop"))[:7] for w in range(40)] for lang in range(90)]
+    rows = [(i, " ".join(random.Random(i).choices(words[i % 90], k=60)), f"l{i % 90:02}") for i in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit_dictionaries(docs, all_slices=450)
+    assert len(model) == 90
+    got = langid.identify(docs.where("doc_id < 90"), model, keep=("doc_id", "lang")).collect()
+    assert sum(r.lang == r.lang_pred for r in got) >= 0.9 * len(got)
+
+
 def test_nothing_to_learn_from(spark):
     empty = spark.createDataFrame([], "doc_id long, text string, lang string")
     assert langid.fit_dictionaries(empty) == {}

@@ -69,14 +69,14 @@ def test_whole_table_and_odd_rows(spark, sf):
 
 
 def test_the_mix_itself(spark, sf):
-    docs = spark.read.parquet(f"{sf}/documents.parquet").withColumn("target", F.lit("kept"))
+    docs = spark.read.parquet(f"{sf}/documents.parquet").withColumn("target", F.lit("kept")).withColumn("_carry", F.lit(1)).withColumn("_row", F.lit(2))
     taken = {r.doc_id: r.taken for r in mixing.mix_report(docs).collect()}
     out = mixing.mixed_documents(docs)
     assert out.columns == docs.columns
     words, texts = defaultdict(int), {r.doc_id: r.text for r in docs.collect()}
     for r in out.collect():
         words[r.doc_id] += len(WORD.findall(r.text))
-        assert r.target == "kept" and r.n_chars is not None
+        assert r.target == "kept" and (r._carry, r._row) == (1, 2) and r.n_chars is not None
         assert r.text == texts[r.doc_id] or WORD.findall(texts[r.doc_id])[: len(WORD.findall(r.text))] == r.text.split(" ")
     assert words == {d: n for d, n in taken.items() if n}
     assert abs(sum(taken.values()) - sum(len(WORD.findall(t)) for t in texts.values())) <= 20

@@ -12,13 +12,11 @@ from tokenizers import Tokenizer
 from lectern.llm import packing, tokenizing
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
-ODD = ["a  b\n\n c\t d 's it's", "  x", "x   y", "áb é", "I'll  do<|endoftext|>  ok", "\x1c a;\x1cb", "漢字 テスト🙂 x", "a b  c", "", "   ", "\n", "x" * 3000, "don't_do 12,5!?", "A.B_c'd"]
+ODD = ["a  b\n\n c\t d 's it's", "  x", "x   y", "áb é", "I'll  do<|endoftext|>  ok", "\x1c a;\x1cb", "漢字 テスト🙂 x", "a b  c", "", "   ", "\n", "x" * 3000, "don't_do 12,5!?", "A.B_c'd", "<|endoftext|>", "a <|endoftext|> b", "A<|STARTOFTEXT|>b <|startoftext|>\n<|EndOfText|>", "a <| b |>", "hello <|endoftext|><|endoftext|> world"]
 
 
 def library(path):
-    t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(path)
 
 
 @pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
@@ -37,6 +35,26 @@ def test_any_text_encodes_as_the_library_does(text):
         assert np.frombuffer(tokenizing.encoder(path)(text), "<u4").tolist() == tokenizing.encoder(path).whole.encode(text, add_special_tokens=False).ids
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from(["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|", "|>", " ", "\n", "word", "é", "."]), max_size=12))
+def test_special_strings_encode_as_the_library_does(parts):
+    for name in ("byte_bpe_50k.json", "word_bpe_49k.json"):
+        path = public_tokenizers.path(name)
+        plain = Tokenizer.from_file(path) if name not in _PLAIN else _PLAIN[name]
+        _PLAIN[name] = plain
+        assert np.frombuffer(tokenizing.encoder(path)("".join(parts)), "<u4").tolist() == plain.encode("".join(parts), add_special_tokens=False).ids
+
+
+_PLAIN = {}
+
+
+def test_special_strings_as_text():
+    whole = library(PATH)
+    whole.encode_special_tokens = True
+    for text in ODD:
+        assert np.frombuffer(tokenizing.encoder(PATH, True)(text), "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.dictionaries(st.integers(1, 64), st.integers(1, 400), max_size=40))
 def test_histogram_is_used_exactly(histogram):

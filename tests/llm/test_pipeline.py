@@ -52,7 +52,6 @@ def plain_run(spark, sf):
                 mixed.append((doc, " ".join(words[:left])))
             left -= min(left, len(words))
     whole = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    whole.encode_special_tokens = True
     pieces = Counter()
     for doc, text in mixed:
         ids = [*whole.encode(text, add_special_tokens=False).ids, 0]

@@ -37,9 +37,19 @@ def test_whole_table_against_brute_force(spark, sf):
     assert any(r[2] for r in got) and any(not r[2] for r in got)
 
 
-@pytest.mark.parametrize("window", [1, 2, 5, 20, 21, 35, 50, 100])
-def test_planted_repeats(spark, window, monkeypatch):
+def test_levels_double():
+    assert substring_dedup.levels(35) == [18, 35] and substring_dedup.levels(35, 1) == [1, 2, 3, 5, 9, 18, 35]
+    for window in range(1, 200):
+        for shortest in range(1, 40):
+            found = substring_dedup.levels(window, shortest)
+            assert found[-1] == window and all(a < b <= 2 * a for a, b in zip(found, found[1:]))
+            assert found[0] >= min(window, shortest)
+
+
+@pytest.mark.parametrize("window, shortest", [(1, 16), (2, 1), (5, 2), (20, 16), (35, 1), (35, 4), (35, 16), (50, 8), (100, 16)])
+def test_planted_repeats(spark, window, shortest, monkeypatch):
     monkeypatch.setattr(substring_dedup, "BATCH_DOCS", 7)
+    monkeypatch.setattr(substring_dedup, "PART_BYTES", 5000)
     rng = random.Random(window)
     passage = [f"p{i}" for i in range(130)]
     docs = []
@@ -51,7 +61,7 @@ def test_planted_repeats(spark, window, monkeypatch):
             words[at:at] = passage[a : a + rng.randrange(10, 120)]
         docs.append((i, "  ".join(words)))
     docs += [(100, "same " * 90), (101, None), (102, ""), (103, "a\x1cb c"), (None, " ".join(passage)), (104, docs[5][1]), (104, docs[5][1]), (105, "a b a b " * 60)]
-    got = sorted(map(tuple, substring_dedup.remove_repeats(frame(spark, docs), window=window).collect()), key=repr)
+    got = sorted(map(tuple, substring_dedup.remove_repeats(frame(spark, docs), window=window, shortest=shortest).collect()), key=repr)
     assert got == brute(docs, window)
 
 

@@ -26,9 +26,8 @@ def test_round_trip_and_random_access(ids, data):
 
 def test_files_against_plain_encoding(spark, sf):
     whole = Tokenizer.from_file(PATH)
-    whole.encode_special_tokens = True
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
-    docs += [(10**6, None), (10**6 + 1, ""), (-5, "one two " * 20_000), (10**6 + 3, "<|endoftext|> 漢字🙂")]
+    docs += [(10**6, None), (10**6 + 1, ""), (-5, "one two " * 20_000), (10**6 + 3, "<|endoftext|> 漢字🙂"), (10**6 + 4, "A <|startoftext|>b"), (10**6 + 5, "<|ENDOFTEXT|>")]
     frame = spark.createDataFrame([(t, d, 0) for d, t in docs], "text string, doc_id long, part int")
     got = sorted((tuple(r) for r in token_codes.encode_and_read(frame, PATH, segment_ids=5000).collect()))
     want, start = [], 0
@@ -46,5 +45,11 @@ def test_repeated_and_null_ids(spark):
     assert [r.start for r in rows] == list(np.cumsum([0, *[r.n_tokens for r in rows]])[:-1])
 
 
+def test_ids_of_other_types(spark):
+    frame = spark.createDataFrame([("2020-01-02", "b c"), ("2020-01-01", "a"), (None, "d")], "d string, text string").selectExpr("cast(d as date) as doc_id", "text")
+    rows = sorted(token_codes.encode_and_read(frame, PATH).collect(), key=lambda r: r.start)
+    assert [str(r.doc_id) for r in rows] == ["None", "2020-01-01", "2020-01-02"]
+
+
 def test_empty_table(spark):
     assert token_codes.encode_and_read(spark.createDataFrame([], "doc_id long, text string"), PATH).count() == 0
