@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import bound
 from .license_digests import DIGESTS
 
 #: Spellings that count as equal, in lower case. Fixed values.
@@ -63,9 +64,9 @@ TITLES = {
 
 #: A known table of at most so many rows is sent to every executor (a digest and a name each); a larger one is shuffled.
 MAX_BROADCAST = 100_000
-#: A line that begins with a copyright mark and its owner, or with a reservation of rights; not one that a licence's
-#: sentence was wrapped into, such as COPYRIGHT HOLDERS BE LIABLE.
-_COPYRIGHT = r"(?im)^[^\p{L}\p{N}\n]*(?:copyright[ \t]*(?:©|\(c\)|by[ \t]|:|[0-9]{4})|©|\(c\)[ \t]*[0-9]{4}|all rights reserved)[^\n]*$"
+#: A line that begins with a copyright mark and its owner, or with a reservation of rights, or that is the mark and
+#: `the`, a name and `authors` or the like and no more; not one that a licence's sentence was wrapped into, such as COPYRIGHT HOLDERS BE LIABLE.
+_COPYRIGHT = r"(?im)^[^\p{L}\p{N}\n]*(?:copyright[ \t]*(?:©|\(c\)|by[ \t]|:|[0-9]{4})|©|\(c\)[ \t]*[0-9]{4}|all rights reserved|copyright[ \t]+the[ \t][^\n]*(?:authors|contributors|developers|project|team|foundation)[^\p{L}\p{N}\n]*$)[^\n]*$"
 
 #: The mark that begins a copyright statement, anywhere in a line.
 _MARK = r"(?i)(?<![\p{L}\p{N}])copyright[ \t]*(?:©|\(c\)|by[ \t]|:|[0-9]{4})|©|\(c\)[ \t]*[0-9]{4}"
@@ -80,35 +81,33 @@ _OPENING = r"(?i)(?=(?<![\p{L}\p{N}])(?:" + "|".join(o.replace(" ", r"[^\p{L}\p{
 def canonical(text: Column) -> Column:
     """Copyright lines dropped, lower case, runs of anything but letters and digits as one space, equivalent spellings as one.
 
-    Null is the empty text.
+    Null is the empty text. Words stand between two spaces of their own while spellings are replaced, so that
+    neighbours are replaced both; each spelling is looked for once, in the order of the table.
     """
     kept = F.regexp_replace(F.coalesce(text, F.lit("")), _COPYRIGHT, "")
-    words = F.concat(F.lit(" "), F.trim(F.regexp_replace(F.lower(kept), r"[^\p{L}\p{N}]+", " ")), F.lit(" "))
+    words = F.concat(F.lit(" "), F.trim(F.regexp_replace(F.lower(kept), r"[^\p{L}\p{N}]+", "  ")), F.lit(" "))
     for old, new in SPELLINGS.items():
-        if old != new:
-            words = F.replace(words, F.lit(f" {old} "), F.lit(f" {new} "))
-    return F.trim(words)
+        words = F.replace(words, F.lit(_apart(old)), F.lit(_apart(new)))
+    return F.trim(F.replace(words, F.lit("  "), F.lit(" ")))
+
+
+def _apart(words: str) -> str:
+    return " " + words.replace(" ", "  ") + " "
 
 
 def canonical_sql(text: str) -> str:
     """canonical() for DuckDB."""
     kept = f"regexp_replace(coalesce({text}, ''), '{_COPYRIGHT}', '', 'g')"
-    words = rf"' ' || trim(regexp_replace(lower({kept}), '[^\p{{L}}\p{{N}}]+', ' ', 'g')) || ' '"
+    words = rf"' ' || trim(regexp_replace(lower({kept}), '[^\p{{L}}\p{{N}}]+', '  ', 'g')) || ' '"
     for old, new in SPELLINGS.items():
-        if old != new:
-            words = f"replace({words}, ' {old} ', ' {new} ')"
-    return f"trim({words})"
+        words = f"replace({words}, '{_apart(old)}', '{_apart(new)}')"
+    return f"trim(replace({words}, '  ', ' '))"
 
 
 def digest(text: Column) -> Column:
     return F.sha2(canonical(text), 256)
 
 
-def bound(value: Column, use) -> Column:
-    """use(value) with the value computed once."""
-    return F.transform(F.array(value), use)[0]
-
-
 def without_statement(text: Column) -> Column:
     """The text without what stands from its first copyright mark to the licence's opening words in the same line; null if
     there is no such mark or opening. A licence stored as one line is otherwise dropped as a copyright line, or keeps its owner.
@@ -156,11 +155,29 @@ def scan(docs: DataFrame, known: DataFrame, max_broadcast: int = MAX_BROADCAST,
     return found.join(table, "canonical_sha256", "left").join(again, "_again", "left").select("doc_id", "canonical_sha256", F.coalesce("license_id", "_license").alias("license_id"))
 
 
-def oracle(known: dict[str, str] | None = None) -> str:
+def matches(found: DataFrame) -> DataFrame:
+    """license_id, n, n_docs: the texts of a scan that are a known licence, and the documents that they are of."""
+    return found.where("license_id is not null").groupBy("license_id").agg(F.count("*").alias("n"), F.countDistinct("doc_id").alias("n_docs"))
+
+
+def _known_sql(known: dict[str, str] | None = None) -> str:
     values = ", ".join("('{}', '{}')".format(k, v.replace("'", "''")) for k, v in sorted((known or KNOWN).items()))
+    return f"""known(license_id, text) as (values {values}),
+k as (select sha256({canonical_sql('text')}) as canonical_sha256, min(license_id) as license_id from known group by 1)"""
+
+
+def oracle(known: dict[str, str] | None = None) -> str:
     return f"""
-with known(license_id, text) as (values {values}),
-k as (select sha256({canonical_sql('text')}) as canonical_sha256, min(license_id) as license_id from known group by 1),
+with {_known_sql(known)},
 d as (select doc_id, sha256({canonical_sql('text')}) as canonical_sha256 from documents)
 select d.doc_id, d.canonical_sha256, k.license_id from d left join k using (canonical_sha256)
 """
+
+
+def lines_oracle(known: dict[str, str] | None = None) -> str:
+    return f"""
+with {_known_sql(known)},
+d as (select doc_id, unnest(string_split(text, chr(10))) as text from documents),
+f as (select doc_id, sha256({canonical_sql('text')}) as canonical_sha256 from d)
+select license_id, count(*) as n, count(distinct doc_id) as n_docs from f join k using (canonical_sha256) group by 1
+"""

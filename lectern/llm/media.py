@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import short_batches, written
+from .common import bound, hot_keys, meet, short_batches, written
 
 #: Payload bytes in a row of the stored image; payloads are padded with bytes 0 to a positive multiple.
 WIDTH = 64
@@ -27,7 +27,11 @@ _ITEM_ARROW = pa.struct([("position", pa.int32()), ("kind", pa.string()), ("text
 
 
 class _Sequence(HTMLParser):
-    """Text blocks and media references in document order; a figure's caption goes to the figure's media."""
+    """Text blocks and media references in document order; a figure's caption goes to the figure's media.
+
+    What scripts, styles, templates and noscript hold is no text. One that is left open hides what follows, as in a browser,
+    but for templates and noscript only up to the end of the body.
+    """
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
@@ -70,6 +74,9 @@ class _Sequence(HTMLParser):
     def handle_endtag(self, tag: str) -> None:
         if tag in _SILENT:
             self.silent = max(0, self.silent - 1)
+        elif tag in ("body", "html"):
+            self.silent = 0
+            self.flush()
         elif tag == "figcaption" and self.caption is not None:
             said = " ".join("".join(self.caption).split())
             for item in self.figures[-1] if self.figures else []:
@@ -171,38 +178,104 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def store(payloads: DataFrame, payload: str = "payload") -> DataFrame:
-    """A written media table (digest, media) of the payloads; equal payloads may stand in it more than once."""
-    found = payloads.select(F.sha2(F.col(payload), 256).alias("digest"), as_image(F.col(payload)).alias("media"))
-    return written(found, "media")
+    """A written media table (digest, media) of the payloads; equal payloads may stand in it more than once.
+
+    Null payloads aren't stored. Empty table: empty table.
+    """
+    rows = payloads.where(F.col(payload).isNotNull())
+    return written(rows.select(F.sha2(F.col(payload), 256).alias("digest"), as_image(F.col(payload)).alias("media")), "media")
 
 
 def store_features(media: DataFrame) -> DataFrame:
-    """One row per digest of a media table: the payloads are read once, only digests and features are shuffled."""
+    """One row per digest of a media table: the payloads are read once, only digests and features are shuffled.
+
+    Rows of the same digest hold the same payload. A stored form that isn't whole is an error. Empty table: empty result.
+    """
     short_batches(media.sparkSession)
     read = media.select("digest", "media").mapInArrow(_features, f"digest string, {FEATURES}")
     names = [c for c in read.columns if c != "digest"]
     return read.groupBy("digest").agg(*[F.min(c).alias(c) for c in names])
 
 
-def resolve(sequences: DataFrame, found: DataFrame, *, keep: tuple[str, ...]) -> DataFrame:
+def hot_digests(media: DataFrame) -> DataFrame | None:
+    """The digests that many rows of a media table have, for the joins below; only the digests are read."""
+    return hot_keys(media.groupBy("digest").agg(F.count("*").alias("n")), "digest")
+
+
+def resolve(sequences: DataFrame, found: DataFrame, *, keep: tuple[str, ...], hot: DataFrame | None = None) -> DataFrame:
     """One row per item of the sequences, positions and captions beside what `found` (digest, ...) has for its digest.
 
-    Items without a stored payload keep nulls; `found` has one row per digest.
+    Items without a stored payload, texts among them, keep nulls; documents without items have no row. `found` has one
+    row per digest; `hot` (hot_digests) deals out digests that many items refer to. Repeated documents stay repeated.
     """
     items = sequences.select(*keep, F.explode("items").alias("_item")).select(*keep, "_item.*")
-    return items.join(found, "digest", "left")
+    return meet(items, found, "digest", hot, "left")
 
 
-def text_payload_report(docs: DataFrame) -> DataFrame:
-    """Each document (doc_id, text) as a figure whose image is its own text: stored, referred to by digest, read back.
+def resolve_references(sequences: DataFrame, found: DataFrame, *, keep: tuple[str, ...], hot: DataFrame | None = None) -> DataFrame:
+    """One row per document and digest that it refers to: `places`, an array of (position, kind, src, caption) in document
+    order, beside what `found` has for the digest. A payload that a document shows many times is met once.
+
+    References without a digest are one row of a null digest; documents without references have none.
+    """
+    shown = F.filter("items", lambda i: i["kind"] != "text")
+    rows = sequences.select(*keep, shown.alias("_shown")).where(F.size("_shown") > 0)
+    rows = rows.select(*keep, "_shown", F.explode(F.array_distinct(F.transform("_shown", lambda i: i["digest"]))).alias("digest"))
+    own = F.filter("_shown", lambda i: i["digest"].eqNullSafe(F.col("digest")))
+    places = F.transform(own, lambda i: F.struct(i["position"].alias("position"), i["kind"].alias("kind"), i["src"].alias("src"), i["caption"].alias("caption")))
+    return meet(rows.select(*keep, "digest", places.alias("places")), found, "digest", hot, "left")
+
 
-    Null texts are empty; empty ones are one row of bytes 0. Equal texts share a digest and all values. Repeated rows
-    stay repeated; extra columns are ignored; an empty table gives an empty result.
+def text_page(text: Column, digest: Column, caption: Column) -> Column:
+    """A page of a text: its lines as paragraphs, after the first of them a figure with the payload of that digest and its
+    caption, and the payload once more at the end.
+    """
+    safe = F.coalesce(text, F.lit(""))
+    for sign, name in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
+        safe = F.replace(safe, F.lit(sign), F.lit(name))
+    src = F.concat(F.lit(f' src="{SCHEME}'), digest, F.lit('"'))
+    figure = F.concat(F.lit("</p><figure><img"), src, F.lit("><figcaption>"), caption, F.lit("</figcaption></figure><p>"))
+    page = lambda lines: F.concat(F.lit("<article><p>"), lines[0], figure, F.array_join(F.slice(lines, 2, F.size(lines)), "</p><p>"), F.lit("</p><img"), src, F.lit(' alt="whole text"></article>'))
+    return bound(F.split(safe, "\n"), page)
+
+
+def text_payload_report(docs: DataFrame) -> DataFrame:
+    """Each document (doc_id, text) as a page of its own paragraphs and its own text as an image, shown between them and at
+    the end: parsed, stored, referred to by digest, read back.
+
+    doc_id, n_bytes, what features() says of the stored payload, and of the parsed sequence: n_items, n_texts,
+    texts_sha256 (text items, joined by line ends), places ("position kind caption" of each reference, joined by line ends).
+    Null texts are empty; empty ones are one row of bytes 0 and a page without text. Equal texts share a digest and all
+    values. Very long texts are read whole. Repeated rows stay repeated; extra columns are ignored; an empty table gives
+    an empty result.
     """
     payload = padded(F.col("text"))
     media = store(docs.select(payload.alias("payload")))
     size = F.octet_length(F.coalesce(F.col("text"), F.lit(""))).cast("long")
-    page = F.concat(F.lit(f'<figure><img src="{SCHEME}'), F.sha2(payload, 256), F.lit('"><figcaption>'), size.cast("string"), F.lit(" bytes</figcaption></figure>"))
-    pages = docs.select("doc_id", size.alias("n_bytes"), page.alias("html"))
-    rows = resolve(interleaved(pages, keep=("doc_id", "n_bytes")), store_features(media), keep=("doc_id", "n_bytes"))
-    return rows.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "position", "caption")
+    page = text_page(F.col("text"), F.sha2(payload, 256), F.concat(size.cast("string"), F.lit(" bytes")))
+    parsed = interleaved(docs.select("doc_id", size.alias("n_bytes"), page.alias("html")), keep=("doc_id", "n_bytes"))
+    texts = F.transform(F.filter("items", lambda i: i["kind"] == "text"), lambda i: i["text"])
+    own = ("doc_id", "n_bytes", "n_items", "n_texts", "texts_sha256")
+    parsed = parsed.select("doc_id", "n_bytes", F.size("items").cast("long").alias("n_items"), F.size(texts).cast("long").alias("n_texts"), F.sha2(F.array_join(texts, "\n"), 256).alias("texts_sha256"), F.filter("items", lambda i: i["kind"] != "text").alias("items"))
+    rows = resolve_references(parsed, store_features(media), keep=own, hot=hot_digests(media))
+    places = F.array_join(F.transform("places", lambda p: F.concat_ws(" ", p["position"].cast("string"), p["kind"], p["caption"])), "\n")
+    return rows.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "n_items", "n_texts", "texts_sha256", places.alias("places"))
+
+
+def page_report(pages: DataFrame) -> DataFrame:
+    """page_id, n_texts, n_media, first_text, texts_md5 (text items joined by line ends) of the sequence of each page."""
+    texts = F.transform(F.filter("items", lambda i: i["kind"] == "text"), lambda i: i["text"])
+    rows = interleaved(pages, keep=("page_id",)).select("page_id", texts.alias("_t"), F.size(F.filter("items", lambda i: i["kind"] != "text")).cast("long").alias("n_media"))
+    return rows.select("page_id", F.size("_t").cast("long").alias("n_texts"), "n_media", F.get("_t", F.lit(0)).alias("first_text"), F.md5(F.array_join("_t", "\n").cast("binary")).alias("texts_md5"))
+
+
+_HIDDEN = r"(?s)<script.*?</script>|<style.*?</style>|<!--.*?-->|<![^>]*>"
+#: The same for pages of plain tags and the character references that the test pages hold.
+PAGES_ORACLE = rf"""
+with m as (select page_id, regexp_replace(coalesce(html, ''), '{_HIDDEN}', '', 'g') as h from pages),
+b as (select page_id, h, regexp_replace(regexp_replace(h, '</?(?:{"|".join(sorted(_BLOCK))})(?:\s[^>]*)?>', chr(1), 'g'), '<[^>]*>', '', 'g') as t from m),
+u as (select page_id, h, replace(replace(replace(t, '&copy;', '©'), '&middot;', '·'), '&amp;', '&') as t from b),
+l as (select page_id, h, list_filter(list_transform(string_split(t, chr(1)), lambda x: trim(regexp_replace(x, '\s+', ' ', 'g'))), lambda x: x <> '') as t from u)
+select page_id, cast(len(t) as bigint) as n_texts, cast(len(regexp_extract_all(h, '<(?:{"|".join(sorted(_MEDIA))})\s[^>]*src=')) as bigint) as n_media,
+       t[1] as first_text, md5(array_to_string(t, chr(10))) as texts_md5 from l
+"""

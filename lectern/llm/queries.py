@@ -59,6 +59,17 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
 
 
+def media_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The interleaved sequences of the web pages, by which SQL checks the parser."""
+    return media.page_report(table(spark, sf_dir, "pages"))
+
+
+def license_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The license scan over each line of the documents as a text: how often each known license stands alone in one."""
+    lines = table(spark, sf_dir, "documents").select("doc_id", F.explode(F.split("text", "\n")).alias("text"))
+    return licenses.matches(licenses.scan(lines, licenses.known_licenses(spark)))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -66,9 +77,9 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_language_id, op2_personal_data, op3_jaccard_join, op4_exact_top_k, op5_interleaved_media, op6_pattern_packing, op7_mix_sources, op8_addressable_codes, op9_license_scan, op10_substring_dedup, pipeline)
+    found = (op1_language_id, op2_personal_data, op3_jaccard_join, op4_exact_top_k, op5_interleaved_media, op6_pattern_packing, op7_mix_sources, op8_addressable_codes, op9_license_scan, op10_substring_dedup, media_pages, license_lines, pipeline)
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_exact_top_k": topk.ORACLE, "op7_mix_sources": mixing.ORACLE, "op9_license_scan": licenses.oracle()}
+    return {"op4_exact_top_k": topk.ORACLE, "op7_mix_sources": mixing.ORACLE, "op9_license_scan": licenses.oracle(), "media_pages": media.PAGES_ORACLE, "license_lines": licenses.lines_oracle()}

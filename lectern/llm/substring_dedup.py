@@ -21,8 +21,9 @@ BUCKET_BYTES = 24_000_000
 PART_BYTES = 128_000_000
 
 
-#: Length of the shortest windows that are asked after, about. Shorter ones repeat by chance: on the test documents the
-#: share of windows that repeat is 0.9 at 5 words, 0.5 at 9 and 0.2 at 18, so what a pass over them saves is less than it costs.
+#: Length of the shortest windows that are asked after, about; results are the same for any. Of the windows in 9,800 different
+#: test documents 0.064 repeat at 35 words, 0.099 at 18, 0.130 at 9 and 0.185 at 5: a pass at 9 words would send the minima
+#: (0.07 of all windows) to be spared hardly fewer at 18 (0.10 there), and each pass reads all texts again.
 SHORTEST = 16
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import heapq
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,14 +9,20 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import Scratch, keep, shared_path
 
 K = 20
 SCALE = 64
 #: Dimensions added before bounds are taken again.
 DIM_BLOCK = 16
-#: Rows of a vertical block, and queries that are sent to the executors at a time (each a row of integers).
-ROWS, QUERIES = 4096, 4096
+#: Rows of a vertical block, queries that are sent to the executors at a time, at most, and bytes of them.
+ROWS, QUERIES, QUERY_BYTES = 1024, 4096, 4_000_000
+#: Queries of a wave against which each of them is scored beforehand: their k-th best score is a floor for all tasks.
+SAMPLE = 512
+#: Share of pairs left at which they are followed one by one, and no longer as a whole matrix.
+SPARSE = 0.2
+#: Up to here sums of products of integers are exact in double precision.
+_EXACT = 2.0**53
 
 
 def quantised(vector: Column, scale: int = SCALE) -> Column:
@@ -27,108 +32,186 @@ def quantised(vector: Column, scale: int = SCALE) -> Column:
     return F.when(vector.isNotNull() & ~F.coalesce(bad, F.lit(True)), F.transform(as_double, lambda x: F.floor(x * scale).cast("long")))
 
 
+def _product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """a @ b of integers, in double precision where that is exact and in 64-bit integers elsewhere."""
+    largest = float(np.abs(a).max(initial=0)) * float(np.abs(b).max(initial=0)) * a.shape[1]
+    return a.astype(np.float64) @ b.astype(np.float64) if largest < _EXACT else a @ b
+
+
+def floors(queries: np.ndarray, k: int, sample: int = SAMPLE) -> np.ndarray:
+    """For each of the queries (different rows of one table) a score that k other rows reach; -inf where too few are known."""
+    known = queries[:sample]
+    if len(known) <= k:
+        return np.full(len(queries), -np.inf)
+    score = _product(queries, known.T).astype(np.float64)
+    own = np.arange(len(known))
+    score[own, own] = -np.inf
+    return np.partition(score, score.shape[1] - k, 1)[:, score.shape[1] - k]
+
+
 class Bounded:
     """The best k so far of each query of one wave, over the vertical blocks that are shown to it."""
 
-    def __init__(self, ids: np.ndarray, queries: np.ndarray, k: int):
+    def __init__(self, ids: np.ndarray, queries: np.ndarray, k: int, floor: np.ndarray | None = None):
         self.ids, self.queries, self.k = ids, queries, k
-        self.order = np.argsort(-np.abs(queries).sum(0), kind="stable")  # heavy dimensions first
+        self.order = np.argsort(-np.abs(queries.astype(np.float64)).sum(0), kind="stable")  # heavy dimensions first
         self.q = queries[:, self.order]
-        left = np.cumsum((self.q.astype(np.float64) ** 2)[:, ::-1], 1)[:, ::-1]
-        self.q_left = np.sqrt(left)
-        self.best: list[list[tuple[int, int]]] = [[] for _ in ids]  # heaps of (score, -id)
-
-    def show(self, ids: np.ndarray, vectors: np.ndarray) -> None:
-        """vectors: one row per candidate; laid out by dimension here."""
+        self.q_left = np.sqrt(np.cumsum((self.q.astype(np.float64) ** 2)[:, ::-1], 1)[:, ::-1])
+        self.floor = np.full(len(ids), -np.inf) if floor is None else floor.astype(np.float64)
+        self.by_id = np.argsort(ids, kind="stable")
+        none = np.empty(0, np.int64)
+        self.found = (none, none, none, none)  # query's place, score, id, copies; by query, best first
+
+    def _own(self, ids: np.ndarray, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(query's place, candidate's place) of candidates that are the query's own row: same id, same vector."""
+        ordered = self.ids[self.by_id]
+        first, last = np.searchsorted(ordered, ids, "left"), np.searchsorted(ordered, ids, "right")
+        j = np.repeat(np.arange(len(ids)), last - first)
+        at = np.repeat(first - (np.cumsum(last - first) - (last - first)), last - first) + np.arange(len(j))
+        i = self.by_id[at]
+        same = (self.queries[i] == vectors[j]).all(1)
+        return i[same], j[same]
+
+    def show(self, ids: np.ndarray, vectors: np.ndarray, copies: np.ndarray) -> None:
+        """vectors: one row per candidate, of which there are so many copies; laid out by dimension here."""
         columns = np.ascontiguousarray(vectors[:, self.order].T)  # dimension x candidate
         dims, n = columns.shape
         cuts = [*range(0, dims, DIM_BLOCK), dims]
-        squares = columns.astype(np.float64) ** 2
-        left = [np.sqrt(squares[c:].sum(0)) for c in cuts]
-        # the first block for all queries and candidates at once
-        first = self.q[:, : cuts[1]] @ columns[: cuts[1]]
-        for i, query in enumerate(self.ids):
-            heap = self.best[i]
-            alive = np.flatnonzero(ids != query)
-            score = first[i, alive]
-            for b in range(1, len(cuts) - 1):
-                bound = self.q_left[i, cuts[b]] * left[b][alive] * (1 + 1e-9) + 1e-6
-                floor = heap[0][0] if len(heap) == self.k else -np.inf
-                if len(alive) > self.k:  # the k-th best of what is surely reached
-                    sure = score - bound
-                    floor = max(floor, np.partition(sure, len(sure) - self.k)[len(sure) - self.k])
-                stay = score + bound >= floor
-                alive, score = alive[stay], score[stay]
-                score = score + self.q[i, cuts[b] : cuts[b + 1]] @ columns[cuts[b] : cuts[b + 1], alive]
-            if len(alive) > self.k:
-                kth = np.partition(score, len(score) - self.k)[len(score) - self.k]
-                stay = score >= kth
-                alive, score = alive[stay], score[stay]
-            for s, j in zip(score.tolist(), ids[alive].tolist()):
-                if len(heap) < self.k:
-                    heapq.heappush(heap, (s, -j))
-                elif (s, -j) > heap[0]:
-                    heapq.heapreplace(heap, (s, -j))
-
-    def rows(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        out = [(q, -j, s) for q, heap in zip(self.ids.tolist(), self.best) for s, j in heap]
-        a = np.array(out, np.int64).reshape(-1, 3)
-        return a[:, 0], a[:, 1], a[:, 2]
+        squares = np.cumsum((columns.astype(np.float64) ** 2)[::-1], 0)[::-1]
+        own_i, own_j = self._own(ids, vectors)
+        single = copies[own_j] == 1
+        gone = (own_i[single], own_j[single])
+        score = _product(self.q[:, : cuts[1]], columns[: cuts[1]])
+        pairs = None
+        for b in range(1, len(cuts) - 1):
+            c, d = cuts[b], cuts[b + 1]
+            left, right = self.q_left[:, c], np.sqrt(squares[c])
+            if pairs is None:
+                bound = left[:, None] * right[None, :] * (1 + 1e-9) + 1e-6
+                sure = score - bound
+                sure[gone] = -np.inf
+                if n > self.k:  # the k-th best of what is surely reached
+                    open_ = np.flatnonzero(np.isneginf(self.floor))
+                    if len(open_):
+                        self.floor[open_] = np.partition(sure[open_], n - self.k, 1)[:, n - self.k]
+                stay = score + bound >= self.floor[:, None]
+                stay[gone] = False
+                if stay.mean() > SPARSE:
+                    score = score + _product(self.q[:, c:d], columns[c:d])
+                    continue
+                i, j = np.nonzero(stay)
+                pairs, score = (i, j), score[i, j]
+            else:
+                i, j = pairs
+                stay = score + left[i] * right[j] * (1 + 1e-9) + 1e-6 >= self.floor[i]
+                i, j, score = i[stay], j[stay], score[stay]
+                pairs = i, j
+            score = score + self._pair_products(i, j, columns, c, d)
+        if pairs is None:
+            stay = score >= self.floor[:, None]
+            stay[gone] = False
+            pairs = i, j = np.nonzero(stay)
+            score = score[i, j]
+        i, j = pairs
+        others = copies[j].copy()
+        own = np.zeros(len(others), bool)  # of the query's own row the other copies are candidates
+        if len(own_i):
+            own = np.isin(i * n + j, own_i * n + own_j)
+        others[own] -= 1
+        self._take(i, np.rint(score).astype(np.int64) if score.dtype.kind == "f" else score, ids[j], others)
+
+    def _pair_products(self, i: np.ndarray, j: np.ndarray, columns: np.ndarray, c: int, d: int) -> np.ndarray:
+        out = np.empty(len(i), columns.dtype)
+        rows = np.ascontiguousarray(columns[c:d].T)
+        for a in range(0, len(i), 1 << 18):
+            out[a : a + (1 << 18)] = np.einsum("pd,pd->p", self.q[i[a : a + (1 << 18)], c:d], rows[j[a : a + (1 << 18)]])
+        return out
+
+    def _take(self, i: np.ndarray, score: np.ndarray, ids: np.ndarray, copies: np.ndarray) -> None:
+        """Keeps the k best of what is held and what has come; a query that holds k has the last one's score as its floor."""
+        i, score, ids, copies = (np.concatenate(x) for x in zip(self.found, (i, score, ids, copies)))
+        order = np.lexsort((ids, -score, i))
+        i, score, ids, copies = i[order], score[order], ids[order], copies[order]
+        starts = np.flatnonzero(np.concatenate([[True], i[1:] != i[:-1]])) if len(i) else np.empty(0, np.int64)
+        rank = np.arange(len(i)) - np.repeat(starts, np.diff(np.append(starts, len(i))))
+        some = rank < self.k
+        self.found = (i[some], score[some], ids[some], copies[some])
+        full = rank == self.k - 1
+        self.floor[i[full]] = np.maximum(self.floor[i[full]], score[full])
 
 
 def _matrix(column: pa.Array, dims: int) -> np.ndarray:
     return column.flatten().to_numpy().reshape(-1, dims)
 
 
-def _search(ids: np.ndarray, queries: np.ndarray, k: int, rows: int):
+_FOUND = "q int, query_id long, vec_id long, score long, copies long"
+
+
+def _search(ids: np.ndarray, queries: np.ndarray, floor: np.ndarray, k: int, rows: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best = Bounded(ids, queries, k)
+        best = Bounded(ids, queries, k, floor.copy())
         for batch in batches:
-            names, vectors = batch.column("vec_id").to_numpy(), _matrix(batch.column("v"), queries.shape[1])
+            names, vectors, copies = batch.column("vec_id").to_numpy(), _matrix(batch.column("v"), queries.shape[1]), batch.column("n").to_numpy()
             for a in range(0, len(names), rows):
-                best.show(names[a : a + rows], vectors[a : a + rows])
-        q, j, s = best.rows()
-        yield pa.RecordBatch.from_arrays([pa.array(q), pa.array(j), pa.array(s)], names=["query_id", "vec_id", "score"])
+                best.show(names[a : a + rows], vectors[a : a + rows], copies[a : a + rows])
+        q, score, names, copies = best.found
+        yield pa.RecordBatch.from_arrays([pa.array(q, pa.int32()), pa.array(ids[q]), pa.array(names), pa.array(score), pa.array(copies)], names=["q", "query_id", "vec_id", "score", "copies"])
 
     return run
 
 
 def top_k(vectors: DataFrame, is_query: Column, *, k: int = K, queries: int = QUERIES, rows: int = ROWS) -> DataFrame:
     """query_id, rank, vec_id, score: for each row of vectors (vec_id, v: array of integers) where is_query holds, the k
-    rows of other ids with the highest inner products, ties to the smaller id; all, if there are fewer.
-
-    Rows with a null id or vector take no part. Vectors are compared with those of their own length, each length on its own
-    (lengths are few). Repeated rows are one. Queries go out in waves of about `queries` rows, which bounds what a wave sends to the executors; each wave scans
-    the candidates once where they stand, and each task returns its best k for each query, so nothing but those is
-    shuffled. Extra columns are ignored. Empty table: empty result.
+    other rows with the highest inner products, ties to the smaller id; all, if there are fewer.
+
+    Rows with a null id or vector take no part; other ids than integers are an error. Vectors are compared with those of
+    their own length, each length on its own (lengths are few). Repeated rows are candidates and queries each: they are
+    one row with a count until ranks are given, so that many of them aren't many candidates. Queries go out in waves, which
+    bounds what a wave sends to the executors (QUERY_BYTES); each wave scans the candidates once where they stand, each
+    task returns its best k for each query, and a wave's result is written before the next is asked, so neither the
+    driver nor the plan grows with the number of waves. Extra columns are ignored. Empty table: empty result.
     """
     spark = vectors.sparkSession
-    usable = written(vectors.where("vec_id is not null and v is not null").select("vec_id", "v", F.coalesce(is_query, F.lit(False)).alias("_q")).dropDuplicates(["vec_id", "v"]), "vectors")
-    result = "query_id long, vec_id long, score long"
-    found = spark.createDataFrame([], result)
-    for dims in sorted(r["n"] for r in usable.select(F.size("v").alias("n")).distinct().collect()):
-        alike = usable.where(F.size("v") == dims)
-        if not dims:  # every score is 0
-            alike, dims = alike.withColumn("v", F.array(F.lit(0).cast("long"))), 1
-        asked = alike.where("_q")
-        waves = -(-asked.count() // queries)
-        for wave in range(waves):
-            some = asked.where(F.pmod(F.xxhash64("vec_id"), F.lit(waves)) == wave).select("vec_id", "v").toArrow().combine_chunks()
-            if some.num_rows:
-                ids = some["vec_id"].to_numpy().astype(np.int64)
-                matrix = _matrix(some["v"].combine_chunks(), dims)
-                found = found.union(alike.select("vec_id", "v").mapInArrow(_search(ids, matrix, k, rows), result))
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.dropDuplicates().withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    if vectors.schema["vec_id"].dataType.simpleString() not in ("tinyint", "smallint", "int", "bigint"):
+        raise ValueError("vec_id isn't an integer")
+    out = keep(shared_path(spark, "nearest"))
+    spark.createDataFrame([], f"wave int, {_FOUND}, asked long").write.parquet(out)
+    with Scratch(spark) as scratch:
+        chosen = vectors.where("vec_id is not null and v is not null").select(F.col("vec_id").cast("long").alias("vec_id"), "v", F.coalesce(is_query, F.lit(False)).cast("long").alias("_q"))
+        usable = scratch.written(chosen.groupBy("vec_id", "v").agg(F.count("*").alias("n"), F.sum("_q").alias("nq")), "vectors")
+        wave = 0
+        for dims in sorted(r["n"] for r in usable.select(F.size("v").alias("n")).distinct().collect()):
+            alike = usable.where(F.size("v") == dims)
+            if not dims:  # every score is 0
+                alike, dims = alike.withColumn("v", F.array(F.lit(0).cast("long"))), 1
+            asked = alike.where("nq > 0")
+            waves = -(-asked.count() // max(1, min(queries, QUERY_BYTES // (8 * dims))))
+            for part in range(waves):
+                some = asked.where(F.pmod(F.xxhash64("vec_id", "v"), F.lit(waves)) == part).select("vec_id", "v", "nq").toArrow().combine_chunks()
+                if some.num_rows:
+                    ids = some["vec_id"].to_numpy().astype(np.int64)
+                    matrix = _matrix(some["v"].combine_chunks(), dims)
+                    found = alike.select("vec_id", "v", "n").mapInArrow(_search(ids, matrix, floors(matrix, k), k, rows), _FOUND)
+                    best = Window.partitionBy("q").orderBy(F.desc("score"), "vec_id")
+                    found = found.withColumn("_r", F.row_number().over(best)).where(F.col("_r") <= k).drop("_r")
+                    times = spark.createDataFrame([(i, n) for i, n in enumerate(some["nq"].to_pylist())], "q int, asked long")
+                    found = found.join(F.broadcast(times), "q")  # a row for each query of the wave
+                    found.select(F.lit(wave).alias("wave"), "q", "query_id", "vec_id", "score", "copies", "asked").write.mode("append").parquet(out)
+                    wave += 1
+    found = spark.read.schema(f"wave int, {_FOUND}, asked long").parquet(out)
+    each = found.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.least("copies", F.lit(k).cast("long")))))
+    best = Window.partitionBy("wave", "q").orderBy(F.desc("score"), "vec_id", "_copy")
+    ranked = each.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+    return ranked.withColumn("_time", F.explode(F.sequence(F.lit(1).cast("long"), F.col("asked")))).select("query_id", "rank", "vec_id", "score")
 
 
 ORACLE = f"""
 with v as (
-  select vec_id, [cast(floor({SCALE} * cast(x as double)) as bigint) for x in embedding] as v from embeddings
+  select row_number() over () as r, vec_id, [cast(floor({SCALE} * cast(x as double)) as bigint) for x in embedding] as v from embeddings
   where embedding is not null and vec_id is not null
     and len([x for x in embedding if x is null or isnan(x) or isinf(x)]) = 0),
-s as (select q.vec_id as query_id, c.vec_id, cast(list_dot_product(q.v::double[], c.v::double[]) as bigint) as score
-      from v q join v c on q.vec_id <> c.vec_id where q.vec_id % 20 = 0),
-r as (select *, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank from s)
-select query_id, rank, vec_id, score from r where rank <= {K}
+s as (select q.r, q.vec_id as query_id, c.vec_id, cast(list_dot_product(q.v::double[], c.v::double[]) as bigint) as score
+      from v q join v c on q.r <> c.r and len(q.v) = len(c.v) where q.vec_id % 20 = 0),
+k as (select *, cast(row_number() over (partition by r order by score desc, vec_id) as integer) as rank from s)
+select query_id, rank, vec_id, score from k where rank <= {K}
 """

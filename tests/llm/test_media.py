@@ -2,6 +2,7 @@ import hashlib
 import zlib
 from collections import Counter
 
+import duckdb
 from pyspark.sql import functions as F
 
 from lectern.llm import media
@@ -28,7 +29,7 @@ def test_odd_pages():
 
 def test_whole_table_round_trip(spark, sf):
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
-    docs += [(10**6, None), (10**6 + 1, ""), (10**6 + 2, "x" * 64), (10**6 + 3, "é" * 100_001), (None, "same"), (7, "same"), (7, "same"), (8, "\0" * 3)]
+    docs += [(10**6, None), (10**6 + 1, ""), (10**6 + 2, "x" * 64), (10**6 + 3, "é" * 100_001), (None, "same"), (7, "same"), (7, "same"), (8, "\0" * 3), (9, "a <b> &amp; c\n\n \n<img src=x> &lt;\nd\r\n"), (10, "\n\n"), (11, "x &copy y\n<!-- z --> </p>")]
     frame = spark.createDataFrame([(d, t, "x", b"y") for d, t in docs], "doc_id long, text string, digest string, media binary")
     rows = media.text_payload_report(frame).collect()
     want = Counter()
@@ -40,7 +41,41 @@ def test_whole_table_round_trip(spark, sf):
     by = {}
     for r in rows:
         assert by.setdefault(r.payload_sha256, tuple(r[c] for c in ("media_bytes", "media_sha256", "feature"))) == tuple(r[c] for c in ("media_bytes", "media_sha256", "feature"))
-        assert r.media_bytes > r.payload_bytes and r.caption == f"{r.n_bytes} bytes"
+        assert r.media_bytes > r.payload_bytes
+    want = Counter()
+    for doc, text in docs:
+        lines = [" ".join(x.split()) for x in (text or "").split("\n")]
+        texts = [x for x in lines if x]
+        first = int(bool(lines[0]))
+        places = f"{first} image {len((text or '').encode())} bytes\n{len(texts) + 1} image whole text"
+        want[doc, len(texts) + 2, len(texts), hashlib.sha256("\n".join(texts).encode()).hexdigest(), places] += 1
+    assert Counter((r.doc_id, r.n_items, r.n_texts, r.texts_sha256, r.places) for r in rows) == want
+
+
+def test_hidden_parts_end_with_the_body():
+    assert said(media.sequence("<body>a<noscript>no<p>no</body><p>b")) == [("text", "a", None), ("text", "b", None)]
+    assert said(media.sequence("<template>no")) == []
+
+
+def test_one_payload_in_many_places(spark, monkeypatch):
+    monkeypatch.setattr("lectern.llm.common.HOT_ROWS", 3)
+    payloads = [b"a" * 64, b"b" * 64]
+    digests = [hashlib.sha256(p).hexdigest() for p in payloads]
+    img = lambda i, alt: f'<img src="sha256:{digests[i]}" alt="{alt}">'
+    pages = [(i, "p " + img(0, "x") + "<p>q" + img(1, "y") + img(0, "z") + '<img src="http://e/x.png" alt="far">') for i in range(20)] + [(90, "no media"), (91, None)]
+    stored = media.store(spark.createDataFrame([(payloads[0],)] * 9 + [(payloads[1],), (None,)], "payload binary"))
+    assert stored.count() == 10
+    hot = media.hot_digests(stored)
+    assert [r.digest for r in hot.collect()] == [digests[0]]
+    parsed = media.interleaved(spark.createDataFrame(pages, "page_id long, html string"), keep=("page_id",))
+    rows = media.resolve_references(parsed, media.store_features(stored), keep=("page_id",), hot=hot).collect()
+    got = {(r.page_id, r.digest): ([tuple(p)[:2] + (p.caption,) for p in r.places], r.payload_bytes) for r in rows}
+    assert len(got) == len(rows) == 60
+    for i in range(20):
+        assert got[i, digests[0]] == ([(1, "image", "x"), (4, "image", "z")], 64)
+        assert got[i, digests[1]] == ([(3, "image", "y")], 64)
+        assert got[i, None] == ([(5, "image", "far")], None)
+    assert media.resolve(parsed, media.store_features(stored), keep=("page_id",), hot=hot).count() == 20 * 6 + 1
 
 
 def test_stored_images_are_lossless(spark):
@@ -63,6 +98,14 @@ def test_pages_resolve_what_is_stored(spark, sf):
     assert rows.where("page_id >= 0 and kind = 'text'").select("page_id").distinct().count() == pages.count()
 
 
+def test_sql_reads_the_pages_alike(spark, sf):
+    with duckdb.connect() as con:
+        con.execute(f"create view pages as select * from '{sf}/pages.parquet'")
+        want = sorted(con.execute(media.PAGES_ORACLE).fetchall())
+    got = sorted(map(tuple, media.page_report(spark.read.parquet(f"{sf}/pages.parquet")).collect()))
+    assert got == want and all(r[1] > 3 for r in got)
+
+
 def test_empty_table(spark):
     assert media.text_payload_report(spark.createDataFrame([], "doc_id long, text string")).count() == 0
     assert spark.range(1).select(media.padded(F.lit(None).cast("string")).alias("p")).first().p == bytearray(64)

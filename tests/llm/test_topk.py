@@ -1,16 +1,16 @@
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from lectern.llm import topk
 
 
 def brute(rows, k, is_query):
-    rows = sorted(set(rows))
     out = []
-    for q, v in rows:
+    for here, (q, v) in enumerate(rows):
         if is_query(q):
-            found = sorted((-sum(a * b for a, b in zip(v, w)), j) for j, w in rows if j != q)
+            found = sorted((-sum(a * b for a, b in zip(v, w)), j) for there, (j, w) in enumerate(rows) if there != here)
             out += [(q, i + 1, j, -s) for i, (s, j) in enumerate(found[:k])]
     return sorted(out)
 
@@ -24,7 +24,7 @@ def test_against_brute_force_with_ties_and_waves(spark):
     rng = random.Random(4)
     for dims, top in ((40, 64), (40, 1), (3, 2), (1, 1)):
         rows = [(i, tuple(rng.randrange(-top, top + 1) for _ in range(dims))) for i in range(300)] + [(1000 + i, (1,) * dims) for i in range(30)]
-        rows += rows[:5]
+        rows += rows[:5] * 2 + [(rows[5][0], (1,) * dims), (rows[0][0], (2,) * dims)] + [(2000, (top,) * dims)] * 30
         assert ask(spark, rows, 7) == brute(rows, 7, lambda q: q % 5 == 0)
         assert ask(spark, rows, 7, queries=20, rows=50) == brute(rows, 7, lambda q: q % 5 == 0)
 
@@ -37,6 +37,17 @@ def test_each_length_is_searched_on_its_own(spark):
     assert ask(spark, [r for rows in by.values() for r in rows], 7, queries=5, rows=10) == want
 
 
+def test_large_values_stay_exact(spark):
+    rng = random.Random(6)
+    rows = [(i, tuple(rng.randrange(2**26, 2**27) for _ in range(20))) for i in range(60)]
+    assert ask(spark, rows, 5) == brute(rows, 5, lambda q: q % 5 == 0)
+
+
+def test_other_ids_are_an_error(spark):
+    with pytest.raises(ValueError):
+        topk.top_k(spark.createDataFrame([("a", [1])], "vec_id string, v array<long>"), F.lit(True))
+
+
 def test_fewer_than_k(spark):
     rows = [(0, (1, 2)), (5, (3, 4)), (7, (-1, 0))]
     assert ask(spark, rows, 20) == brute(rows, 20, lambda q: q % 5 == 0)
