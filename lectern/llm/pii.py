@@ -11,8 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import short_batches
-
+from .common import short_batches, written
 
 #: Kinds in the order in which spans that start together are listed. The first four are the base: always kept.
 BASE = ("email", "ip", "card", "phone")
@@ -41,7 +40,7 @@ _NUMBER = re.compile(rf"(?<![0-9-])[0-9]{{3}}-[0-9]{{2}}-[0-9]{{4}}(?![0-9-])|(?
 #: Gazetteers and context words, in lower case. Fixed values.
 DOMAIN_ENDS = frozenset("com org net edu gov int info biz io dev de fr es uk eu us ca it nl ch at be pt br mx jp cn in au example test".split())
 CONTEXT = {
-    "email": ("mail", "email", "e-mail", "contact", "write", "correo", "courriel", "schreiben", "kontakt"),
+    "email": ("mail", "email", "contact", "write", "correo", "courriel", "schreiben", "kontakt"),
     "ip": ("ip", "host", "address", "server", "login", "from", "addr", "adresse"),
     "card": ("card", "visa", "mastercard", "credit", "karte", "carte", "tarjeta", "payment", "account"),
     "phone": ("phone", "call", "tel", "mobile", "fax", "whatsapp", "telefon", "téléphone", "teléfono"),
@@ -118,37 +117,60 @@ def _entropy(value: str) -> float:
     return -sum(c * math.log2(c) for c in counts)
 
 
+#: Calling codes that international numbers begin with, two digits or one, of the regions in the gazetteers. Fixed values.
+CALLING_CODES = ("1", "31", "32", "33", "34", "39", "41", "43", "44", "49", "55", "52", "81", "86", "91", "61", "351")
+_WORDS = re.compile(r"[^\W_]+")
+_TOP = re.compile(r"[A-Za-z]{2,}")
+
+
+def words_before(text: str, start: int) -> set[str]:
+    """The whole words, in lower case, of the BEFORE characters in front of a span; a word that is cut there is left out."""
+    a = max(0, start - BEFORE)
+    found = _WORDS.findall(text[a:start].lower())
+    return set(found[1:] if a and found and text[a - 1].isalnum() and text[a].isalnum() else found)
+
+
 def votes(text: str, start: int, end: int, kind: str) -> tuple[int, int, int]:
-    """What the labelers say of a span: 1 personal, -1 not, 0 nothing. In the order of LABELERS."""
+    """What the labelers say of a span: 1 personal, -1 not, 0 nothing. In the order of LABELERS.
+
+    The pattern labeler judges the form beyond what made the span a candidate, the gazetteer its parts against lists, the
+    context labeler the whole words before it. Each may say no where another says yes.
+    """
     value = text[start:end]
-    before = text[max(0, start - BEFORE) : start].lower()
     digits = _digits(value)
-    if kind in ("email", "obfuscated"):
-        pattern = 1 if kind == "email" or len(value) <= 100 else 0
-        gazetteer = 1 if re.split(r"[^A-Za-z0-9]+", value.lower().rstrip(")]"))[-1] in DOMAIN_ENDS else -1
+    few = len(set(digits)) < 3  # 0000, 1212: placeholders
+    if kind == "email":
+        local, _, domain = value.rpartition("@")
+        odd = local[0] == "." or local[-1] == "." or ".." in local or len(local) > 64 or not _TOP.fullmatch(domain.rsplit(".", 1)[-1])
+        pattern = -1 if odd else 1
+        gazetteer = 1 if domain.rsplit(".", 1)[-1].lower() in DOMAIN_ENDS else -1
+    elif kind == "obfuscated":
+        last = re.split(r"[^A-Za-z0-9]+", value.lower().rstrip(")]"))[-1]
+        pattern = 1 if _TOP.fullmatch(last) and ".." not in value else -1
+        gazetteer = 1 if last in DOMAIN_ENDS else -1
     elif kind == "ip":
         parts = value.split(".")
         pattern = -1 if any(len(p) > 1 and p[0] == "0" for p in parts) else 1
         gazetteer = -1 if parts[0] in ("0", "255") or parts == ["1", "0", "0", "0"] else 0
     elif kind == "card":
-        pattern = 1 if len(digits) in (15, 16) else 0
+        pattern = -1 if few else 1 if len(digits) in (15, 16) else 0
         gazetteer = 1 if digits[0] in "3456" else -1
     elif kind == "phone":
-        pattern = 1
-        gazetteer = 1 if digits[0] in "123456789" else -1
+        pattern = -1 if few or digits[0] == "0" else 1
+        gazetteer = 1 if digits.startswith(CALLING_CODES) else 0
     elif kind == "secret":
         pattern = 1 if _entropy(value) >= 3 and any(c.isdigit() for c in value) else -1
         gazetteer = -1 if value.rstrip("._-").isalpha() else 0
     elif kind == "local":
-        pattern = 1
-        gazetteer = -1 if digits[0] in "01" else 1
+        pattern = -1 if few or digits[3] in "01" else 1
+        gazetteer = -1 if digits[0] in "01" or digits[1:3] == "11" else 1
     else:
-        pattern = 1 if "-" not in value or (digits[:3] not in ("000", "666") and digits[0] != "9") else -1
+        pattern = -1 if few or ("-" in value and (digits[:3] in ("000", "666") or digits[0] == "9" or digits[3:5] == "00")) else 1
         gazetteer = 1 if value[:2] in ACCOUNT_LENGTHS else 0
     if kind == "secret":  # its name stands before it anyway
-        context = 1 if before[-1:] in ("'", '"') else 0
+        context = 1 if text[max(0, start - 1) : start] in ("'", '"') else 0
     else:
-        context = 1 if any(w in before for w in CONTEXT[kind]) else 0
+        context = 0 if words_before(text, start).isdisjoint(CONTEXT[kind]) else 1
     return pattern, gazetteer, context
 
 
@@ -232,6 +254,12 @@ def decide(key: str, model: dict[str, float]) -> float:
     return 1 / (1 + math.exp(-max(-30.0, min(30.0, sum(model.get(c, 0.0) for c in _columns(key))))))
 
 
+def _fitted(keys: DataFrame) -> tuple[dict[str, float], dict[str, float]]:
+    counts = {r.key: r.n for r in keys.groupBy("key").agg(F.sum("n").alias("n")).collect()}
+    posterior, _ = reliabilities(counts)
+    return train(counts, posterior), posterior
+
+
 def fit(docs: DataFrame, text: str = "text") -> tuple[dict[str, float], dict[str, float]]:
     """(classifier weights, probability of every counted key) from the candidate spans of all texts.
 
@@ -248,10 +276,12 @@ def fit(docs: DataFrame, text: str = "text") -> tuple[dict[str, float], dict[str
         yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.string()), pa.array(list(held.values()), pa.int64())], names=["key", "n"])
 
     short_batches(docs.sparkSession)
-    keys = docs.select(text).mapInArrow(count, "key string, n long").groupBy("key").agg(F.sum("n").alias("n"))
-    counts = {r.key: r.n for r in keys.collect()}
-    posterior, _ = reliabilities(counts)
-    return train(counts, posterior), posterior
+    return _fitted(docs.select(text).mapInArrow(count, "key string, n long"))
+
+
+def fit_to(found: DataFrame) -> tuple[dict[str, float], dict[str, float]]:
+    """The same from the candidate spans that candidate_spans() has found."""
+    return _fitted(found.select(F.explode("spans.key").alias("key"), F.lit(1).cast("long").alias("n")))
 
 
 _SPAN = pa.struct([("start", pa.int32()), ("end", pa.int32()), ("kind", pa.string()), ("score", pa.float64())])
@@ -267,38 +297,62 @@ def _chosen(text: str | None, model: dict[str, float], known: dict[str, float],
     return out
 
 
+def _of_kind(kind: str):
+    return lambda s: s["kind"] == kind
+
+
+_CANDIDATE = pa.struct([("start", pa.int32()), ("end", pa.int32()), ("kind", pa.string()), ("key", pa.string())])
+
+
+def _mapped(rows: DataFrame, keep: tuple[str, ...], column: str, make, kind: pa.DataType, sql: str) -> DataFrame:
+    """The columns `keep`, then spans: make(value of `column`) as a list of that kind. No shuffle."""
+    if {"spans", column} & set(keep):
+        raise ValueError("keep names the result column or the one it is made of")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = [kind.field(i).name for i in range(kind.num_fields)]
+        one = make()
+        for batch in batches:
+            found = [[dict(zip(names, s)) for s in one(v)] for v in batch.column(column).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], pa.array(found, pa.list_(kind))], names=[*keep, "spans"])
+
+    short_batches(rows.sparkSession)
+    source = rows.select(*[F.col(f"`{c}`") for c in keep], column)
+    kinds = "".join(f"`{c}` {source.schema[c].dataType.simpleString()}, " for c in keep)
+    return source.mapInArrow(run, f"{kinds}spans array<struct<{sql}>>")
+
+
+def candidate_spans(docs: DataFrame, *, keep: tuple[str, ...] = ("doc_id",), text: str = "text") -> DataFrame:
+    """The columns `keep`, then spans: array of (start, end, kind, key) of every candidate in the text, in code points."""
+    return _mapped(docs, keep, text, lambda: candidates, _CANDIDATE, "start:int,end:int,kind:string,key:string")
+
+
 def find(docs: DataFrame, model: dict[str, float], *, keep: tuple[str, ...] = ("doc_id",), text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """The columns `keep`, then spans: array of (start, end, kind, score), in code points, by start and then kind. No shuffle.
 
     Base spans are always among them; others where the classifier's probability reaches the threshold. Null and empty
     texts have no spans. Repeated rows stay repeated; extra columns are ignored.
     """
-    if {"spans", text} & set(keep):
-        raise ValueError("keep names the result column or the text")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def make():
         known: dict[str, float] = {}
-        for batch in batches:
-            rows = [[dict(zip(("start", "end", "kind", "score"), s)) for s in _chosen(t, model, known, threshold)] for t in batch.column(text).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], pa.array(rows, pa.list_(_SPAN))], names=[*keep, "spans"])
+        return lambda t: _chosen(t, model, known, threshold)
 
-    short_batches(docs.sparkSession)
-    source = docs.select(*keep, text)
-    kinds = ", ".join(f"`{c}` {source.schema[c].dataType.simpleString()}" for c in keep)
-    return source.mapInArrow(run, f"{kinds}, spans array<struct<start:int,end:int,kind:string,score:double>>")
-
-
-def _of_kind(kind: str):
-    return lambda s: s["kind"] == kind
+    return _mapped(docs, keep, text, make, _SPAN, "start:int,end:int,kind:string,score:double")
 
 
-def report(docs: DataFrame) -> DataFrame:
+def report(docs: DataFrame, *, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans ("kind:start:end", comma-joined) for every row of docs (doc_id, text).
 
-    Fitted to all of docs. Null ids and repeated rows are reported as they come; an empty table gives an empty result.
+    The texts are read once: their candidate spans are written, the models are fitted to all of them, and one score for each
+    key, a few thousand at most, goes out to choose among them. Null ids and repeated rows are reported as they come; null and empty
+    texts have no spans; extra columns are ignored; an empty table gives an empty result.
     """
-    model, _ = fit(docs)
-    found = find(docs, model)
+    found = written(candidate_spans(docs), "candidates")
+    model, counted = fit_to(found)
+    chosen = [key for key in counted if key.split("|")[0] in BASE or decide(key, model) >= threshold]
+    one_of = F.lit(chosen) if chosen else F.array().cast("array<string>")
+    found = found.withColumn("spans", F.filter("spans", lambda s: F.array_contains(one_of, s["key"])))
     written_as = lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))
     base = F.filter("spans", lambda s: s["kind"].isin(*BASE))
     counts = [F.size(F.filter("spans", _of_kind(k))).cast("long").alias(f"n_{k}") for k in BASE]
@@ -312,7 +366,8 @@ def report(docs: DataFrame) -> DataFrame:
 def redact(docs: DataFrame, model: dict[str, float], *, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """docs with every found span of `text` replaced by its kind in brackets, overlapping spans by the kind of the first.
 
-    All other columns stay, but n_chars, if it is there, counts the new text. Texts without spans, and nulls, are unchanged.
+    All other columns stay, whatever their names, but n_chars, if it is there, counts the new text. Texts without spans, and
+    nulls, are unchanged. Repeated rows stay repeated; very long texts are read whole; an empty table stays empty.
     """
     names = docs.columns
 
