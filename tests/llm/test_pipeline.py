@@ -8,7 +8,7 @@ import public_tokenizers
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from lectern.llm import langid, mixing, packing, pii
+from lectern.llm import common, langid, mixing, packing, pii
 from tests.llm.test_jaccard import brute as similar
 from tests.llm.test_mixing import WORD, filled
 
@@ -83,6 +83,37 @@ def test_stages_return_documents(spark, sf):
         assert stage(spark, docs, sf).dtypes == docs.dtypes
 
 
+def test_stages_on_odd_rows(spark, sf):
+    """Nulls in every column, empty and very long texts, repeated rows, and names that the operators use themselves."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    rows = [tuple(r) for r in docs.limit(40).collect()]
+    rows += [(None, None, None, None, None), (10**6, None, "en", "src0", None), (10**6 + 1, "", None, None, 0), (None, rows[0][1], None, "src1", 3)]
+    rows += [rows[5], rows[5], (10**6 + 2, rows[1][1] * 200, "en", None, None), (10**6 + 3, " \n", "en", "new", 2)]
+    clash = ["k", "h", "bands", "_row", "_carry", "spans", "_salt", "size", "target", "length", "sequence_id", "class_id", "rejected"]
+    frame = spark.createDataFrame([(*r, *range(len(clash))) for r in rows], "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{c}` int" for c in clash))
+    left = frame
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        for given in (frame, left):
+            out = stage(spark, given, sf)
+            assert out.columns == frame.columns, name
+            found = out.collect()
+            assert all(tuple(r)[5:] == tuple(range(len(clash))) for r in found) and found, name
+        left = spark.createDataFrame(found, frame.schema)
+    for given in (frame, left):
+        packed = corpus_pipeline.STAGES[-1][1](spark, given, sf).collect()
+        assert {r.doc_id for r in packed} == {r.doc_id for r in given.collect()}
+
+
+def test_intermediate_tables_are_deleted(spark, sf, tmp_path, monkeypatch):
+    monkeypatch.setattr(common, "shared_folder", lambda _: f"file://{tmp_path}")
+    names = lambda: sorted(p.name.rsplit("-", 1)[0] for p in tmp_path.iterdir())
+    since = common.kept()
+    assert corpus_pipeline.run(spark, sf).count()
+    assert names() == ["pack-counts", "pack-pieces", "stage-mixing-sources"]
+    common.release(spark, since)
+    assert names() == ["stage-mixing-sources"]
+
+
 def test_stages_on_an_empty_table(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
