@@ -7,8 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Equal ranges of a metric's values; only counts per distinct value meet in them.
-BUCKETS = 1024
+#: Ranges of a metric's values in which only counts per distinct value meet: so many for each doubling of the value.
+RANGES = 1024
+
+
+def value_range(value: Column) -> Column:
+    """The number of a value's range, in the order of the values, from the value alone: an outlier changes no other's."""
+    size = F.floor(F.log2(F.abs(value)) * RANGES) + 2 * 1100 * RANGES  # above 0 for the least double there is
+    return F.when(value > 0, size).when(value < 0, -size).otherwise(F.lit(0)).cast("long")
 
 
 def _ranks(total: Column) -> dict[str, Column]:
@@ -28,8 +34,7 @@ def corpus_stats(rows: DataFrame, metrics: Sequence[str]) -> DataFrame:
     long = rows.select(F.stack(F.lit(len(metrics)), *[x for m in metrics for x in (F.lit(m), F.col(m).cast("double"))]).alias("metric", "value"))
     counts = long.where("value is not null").groupBy("metric", "value").agg(F.count("*").alias("n"))
     bounds = counts.groupBy("metric").agg(F.min("value").alias("min"), F.max("value").alias("max"), F.sum("n").alias("total"), (F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("mean"))
-    wide = F.when(F.col("max") > F.col("min"), F.least(F.lit(BUCKETS - 1), F.floor((F.col("value") - F.col("min")) / (F.col("max") - F.col("min")) * BUCKETS))).otherwise(F.lit(0))
-    ranged = counts.join(bounds.select("metric", "min", "max"), "metric").select("metric", "value", "n", wide.cast("int").alias("range"))
+    ranged = counts.select("metric", "value", "n", value_range(F.col("value")).alias("range"))
     before = Window.partitionBy("metric").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     starts = ranged.groupBy("metric", "range").agg(F.sum("n").alias("in")).select("metric", "range", F.coalesce(F.sum("in").over(before), F.lit(0)).alias("start"))
     inside = Window.partitionBy("metric", "range").orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -62,8 +67,12 @@ def flag_counts(rows: DataFrame, key: str) -> DataFrame:
     return seen.orderBy(F.desc("n"), "first").select("flag", "n")
 
 
+def report_columns() -> list[Column]:
+    return [F.count("*").alias("num_files"), F.count_if(F.size("flags") > 0).alias("num_flagged")]
+
+
 def report_counts(rows: DataFrame) -> DataFrame:
-    return rows.agg(F.count("*").alias("num_files"), F.count_if(F.size("flags") > 0).alias("num_flagged"))
+    return rows.agg(*report_columns())
 
 
 def worst_first(rows: DataFrame, by: Column, key: str, top_n: int) -> DataFrame:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # White space as Python's str.split() and str.strip() know it, and line ends as str.splitlines() does.
@@ -20,6 +22,8 @@ NO_SPEECH = "(no speech isolated)"
 TOPIC_WORDS = 15
 NGRAM = 4
 RATE_UNITS = {"K": 1024, "M": 1024**2, "G": 1024**3}
+#: Seconds before the second try, and what each further wait is multiplied by. Fixed values.
+BACKOFF_BASE, BACKOFF_FACTOR = 5.0, 2.0
 
 
 def bound(value: Column, use) -> Column:
@@ -27,6 +31,15 @@ def bound(value: Column, use) -> Column:
     return F.transform(F.array(value), use)[0]
 
 
+def once(rows: DataFrame, keep: Sequence[str], value: Column) -> DataFrame:
+    """The columns `keep` and the fields of `value`, an array of one struct, computed once a row.
+
+    An optimizer that merges projections would compute an expression again wherever its result is used, in filters and sort
+    keys too; it doesn't merge across a generator.
+    """
+    return rows.select(*keep, F.inline(value))
+
+
 def words(text: Column) -> Column:
     """The words of a text as an array, split at Unicode white space; empty for null."""
     return F.filter(F.split(F.coalesce(text, F.lit("")), f"[{SPACE}]+"), lambda w: w != "")

@@ -1,4 +1,4 @@
-"""Error rates against reference texts: word and character rates natively, match and information rates by alignment."""
+"""Error rates against reference texts: character rates natively, word, match and information rates by alignment."""
 
 from __future__ import annotations
 
@@ -9,9 +9,6 @@ from pyspark.sql import functions as F
 
 from ..functions.text import bound, normalised, strip, words
 
-#: First code unit for words; below it are control characters. A pair may hold 55,040 distinct words.
-FIRST_SYMBOL = 256
-
 
 def covered(references: DataFrame, transcripts: DataFrame, key: str = "video_id") -> DataFrame:
     """references (key, reference) beside transcripts (key, hypothesis), with bucket: missing_transcript, then
@@ -26,28 +23,11 @@ def coverage_counts(rows: DataFrame) -> DataFrame:
     return rows.agg(F.count_if(F.col("bucket") == "scored").alias("num_scored"), F.count_if(F.col("bucket") == "missing_transcript").alias("missing_transcript"), F.count_if(F.col("bucket") == "empty_reference").alias("empty_reference"))
 
 
-def _symbols(tokens: Column, vocabulary: Column) -> Column:
-    """Each word as one character, the same for equal words of a pair, so that levenshtein() counts words."""
-    codes = F.transform(tokens, lambda w: F.lpad(F.hex(F.array_position(vocabulary, w) + (FIRST_SYMBOL - 1)), 4, "0"))
-    return F.decode(F.unhex(F.array_join(codes, "")), "UTF-16BE")
-
-
-def word_distance(reference: Column, hypothesis: Column) -> Column:
-    """Levenshtein distance between two arrays of words."""
-    sides = F.struct(reference.alias("r"), hypothesis.alias("h"), F.array_distinct(F.concat(reference, hypothesis)).alias("v"))
-    return bound(sides, lambda s: F.levenshtein(_symbols(s["r"], s["v"]), _symbols(s["h"], s["v"])))
-
-
 def rate(errors: Column, length: Column) -> Column:
     """Errors by length; of an empty reference 0 without errors, else as many as there are."""
     return F.when(length > 0, errors / length).otherwise(errors.cast("double"))
 
 
-def word_error_rate(reference: Column, hypothesis: Column) -> Column:
-    sides = F.struct(words(normalised(reference)).alias("r"), words(normalised(hypothesis)).alias("h"))
-    return bound(sides, lambda s: rate(word_distance(s["r"], s["h"]), F.size(s["r"])))
-
-
 def character_error_rate(reference: Column, hypothesis: Column) -> Column:
     sides = F.struct(normalised(reference).alias("r"), normalised(hypothesis).alias("h"))
     return bound(sides, lambda s: rate(F.levenshtein(s["r"], s["h"]), F.length(s["r"])))
@@ -55,53 +35,61 @@ def character_error_rate(reference: Column, hypothesis: Column) -> Column:
 
 def align(reference: list[str], hypothesis: list[str]) -> tuple[int, int, int, int]:
     """(hits, substitutions, deletions, insertions) of one cheapest alignment: going back, a diagonal step if it is
-    cheapest, then a deletion, then an insertion. The rows of the cost table are computed as vectors.
+    cheapest, then a deletion, then an insertion.
+
+    Two rows of costs and of hits are held, so memory follows the hypothesis, and time the product of both; words are coded
+    by a dictionary. The step back from a cell depends on costs next to it alone, so the hits on its way are carried along;
+    cells that come by insertions take those of the last cell in the row that doesn't. The counts follow from hits and cost.
     """
     codes: dict[str, int] = {}
     ref, hyp = (np.array([codes.setdefault(w, len(codes)) for w in side], np.int64) for side in (reference, hypothesis))
     n, m = len(ref), len(hyp)
-    cost = np.zeros((n + 1, m + 1), np.int32)
-    cost[0] = ramp = np.arange(m + 1)
-    for i in range(1, n + 1):
-        row = np.empty(m + 1, np.int32)
-        row[0] = i
-        row[1:] = np.minimum(cost[i - 1, :-1] + (hyp != ref[i - 1]), cost[i - 1, 1:] + 1)
-        cost[i] = np.minimum.accumulate(row - ramp) + ramp
-    i, j, counts = n, m, [0, 0, 0, 0]
-    while i or j:
-        differs = i > 0 and j > 0 and int(ref[i - 1] != hyp[j - 1])
-        if i and j and cost[i, j] == cost[i - 1, j - 1] + differs:
-            counts[int(differs)] += 1
-            i, j = i - 1, j - 1
-        elif i and cost[i, j] == cost[i - 1, j] + 1:
-            counts[2] += 1
-            i -= 1
-        else:
-            counts[3] += 1
-            j -= 1
-    return counts[0], counts[1], counts[2], counts[3]
-
-
-def _match_rates(reference: pd.Series, hypothesis: pd.Series) -> pd.DataFrame:
+    ramp = np.arange(m + 1)
+    cost, hits = ramp.copy(), np.zeros(m + 1, np.int64)
+    step, came = np.empty(m + 1, np.int64), np.empty(m + 1, np.int64)
+    for word in ref:
+        differs = hyp != word
+        diagonal = cost[:-1] + differs
+        step[0], came[0] = cost[0] + 1, hits[0]
+        step[1:] = np.minimum(diagonal, cost[1:] + 1)
+        row = np.minimum.accumulate(step - ramp) + ramp
+        came[1:] = np.where(diagonal == row[1:], hits[:-1] + ~differs, hits[1:])
+        hits = came[np.maximum.accumulate(np.where(step == row, ramp, 0))]
+        cost = row
+    h, errors = int(hits[m]), int(cost[m])
+    insertions = errors - n + h
+    deletions = insertions + n - m
+    return h, n - h - deletions, deletions, insertions
+
+
+def _rates(reference: pd.Series, hypothesis: pd.Series) -> pd.DataFrame:
     out = []
     for ref, hyp in zip(reference, hypothesis):
         ref, hyp = list(ref), list(hyp)
         h, s, d, i = align(ref, hyp)
-        total = h + s + d + i
-        mer = (s + d + i) / total if total else 0.0
+        errors = s + d + i
+        wer = errors / len(ref) if ref else float(errors)
+        mer = errors / (errors + h) if errors + h else 0.0
         wil = 1 - h * h / (len(ref) * len(hyp)) if ref and hyp else float(bool(ref or hyp))
-        out.append((mer, wil))
-    return pd.DataFrame(out, columns=["mer", "wil"])
+        out.append((wer, mer, wil))
+    return pd.DataFrame(out, columns=["wer", "mer", "wil"])
+
+
+def word_rates(reference: Column, hypothesis: Column) -> Column:
+    """A struct of wer, mer, wil of two texts, of any number of words."""
+    return F.pandas_udf(_rates, "wer double, mer double, wil double")(words(normalised(reference)), words(normalised(hypothesis)))
 
 
 def score(pairs: DataFrame, key: str = "video_id") -> DataFrame:
-    """key, reference_word_count, hypothesis_word_count, wer, cer, mer, wil of scored pairs (key, reference, hypothesis)."""
+    """key, reference_word_count, hypothesis_word_count, wer, cer, mer, wil of scored pairs (key, reference, hypothesis).
+
+    Null texts are empty; of two empty texts all rates are 0. Repeated rows stay repeated.
+    """
     ref, hyp = F.col("reference"), F.col("hypothesis")
-    match = F.pandas_udf(_match_rates, "mer double, wil double")(words(normalised(ref)), words(normalised(hyp)))
-    rows = pairs.withColumn("_m", match)
+    rows = pairs.withColumn("_m", word_rates(ref, hyp))
     return rows.select(
         key, F.size(words(ref)).alias("reference_word_count"), F.size(words(hyp)).alias("hypothesis_word_count"),
-        word_error_rate(ref, hyp).alias("wer"), character_error_rate(ref, hyp).alias("cer"), "_m.mer", "_m.wil",
+        F.col("_m.wer").alias("wer"), character_error_rate(ref, hyp).alias("cer"), F.col("_m.mer").alias("mer"), F.col("_m.wil").alias("wil"),
     )
 
 

@@ -44,12 +44,17 @@ def flat_words(transcripts: DataFrame, key: str = "video_id") -> DataFrame:
 
 
 def in_turns(words: DataFrame, turns: DataFrame, key: str) -> DataFrame:
-    """The words whose midpoint lies in some turn of the same recording, both ends included: one shuffle by key, the range
-    as the residual of a semi-join.
+    """The words whose midpoint lies in some turn of the same recording, both ends included.
+
+    That is so if the latest end of the turns that begin up to the midpoint isn't before it: one shuffle by key and one sort,
+    not words times turns. Words and turns without times, and null keys, match nothing; repeated words stay repeated.
     """
-    w, t = words.alias("w"), turns.select(F.col(key).alias("_k"), F.col("start").alias("_a"), F.col("end").alias("_b")).alias("t")
-    mid = (F.col("w.start") + F.col("w.end")) / 2
-    return w.join(t, (F.col(f"w.{key}") == F.col("t._k")) & (mid >= F.col("t._a")) & (mid <= F.col("t._b")), "left_semi")
+    mid = (F.col("start") + F.col("end")) / 2
+    word = words.select(F.col(key).alias("_k"), mid.alias("_t"), F.lit(1).alias("_kind"), F.lit(None).cast("double").alias("_end"), F.struct(*[F.col(f"`{c}`") for c in words.columns]).alias("_word"))
+    turn = turns.select(F.col(key).alias("_k"), F.col("start").cast("double").alias("_t"), F.lit(0).alias("_kind"), F.col("end").cast("double").alias("_end"), F.lit(None).cast(word.schema["_word"].dataType).alias("_word"))
+    every = word.where("_k is not null and _t is not null").unionByName(turn.where("_k is not null and _t is not null and _end is not null"))
+    before = Window.partitionBy("_k").orderBy("_t", "_kind").rowsBetween(Window.unboundedPreceding, 0)
+    return every.withColumn("_last", F.max("_end").over(before)).where("_kind = 1 and _last >= _t").select("_word.*")
 
 
 def in_turn_array(mid: Column, turns: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import strip, titled
@@ -23,9 +23,13 @@ def with_topics(rows: DataFrame, titles: DataFrame | None, key: str = "video_id"
     return joined.select(key, titled(F.col("_title"), F.col("text")).alias("topic"), "text", source.alias("title_source"))
 
 
+def block_of(topic: Column, text: Column) -> Column:
+    return F.concat(F.lit("Topic: "), topic, F.lit("\nText: "), text, F.lit("\n"))
+
+
 def blocks(topics: DataFrame, key: str = "video_id") -> DataFrame:
     """key, block: the part of a combined file that belongs to a recording."""
-    return topics.select(key, F.concat(F.lit("Topic: "), "topic", F.lit("\nText: "), "text", F.lit("\n")).alias("block"))
+    return topics.select(key, block_of(F.col("topic"), F.col("text")).alias("block"))
 
 
 def combined(rows: DataFrame, key: str = "video_id") -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import repetition_of, words
+from ..functions.text import once, repetition_of, words
 
 # Thresholds and flag names; flags are listed in this order, all comparisons are strict.
 LOW_WORD_CONFIDENCE = 0.5
@@ -51,23 +51,32 @@ def transcript_flags(avg_confidence: Column, low_ratio: Column, rate: Column, co
     )
 
 
+def text_metrics(text: Column) -> Column:
+    """An array of one struct for once(): word_count, repetition_score."""
+    return F.transform(F.array(words(text)), lambda w: F.struct(F.size(w).alias("word_count"), repetition_of(w).alias("repetition_score")))
+
+
+def average(values: Column) -> Column:
+    """Of an array, its nulls left out; null if nothing is left."""
+    return F.transform(F.array(F.filter(values, lambda v: v.isNotNull())), lambda a: F.when(F.size(a) > 0, F.aggregate(a, F.lit(0.0), lambda x, y: x + y) / F.size(a)))[0]
+
+
+def low_share(values: Column, below: float = LOW_WORD_CONFIDENCE) -> Column:
+    """The share of an array's values, its nulls left out, that are below a limit; null if nothing is left."""
+    return F.transform(F.array(F.filter(values, lambda v: v.isNotNull())), lambda a: F.when(F.size(a) > 0, F.size(F.filter(a, lambda p: p < below)) / F.size(a)))[0]
+
+
 def transcript_quality(transcripts: DataFrame) -> DataFrame:
-    """The quality row of each transcript document; nested throughout, no shuffle."""
-    probabilities = F.filter(F.flatten(F.transform(F.coalesce("segments", F.array()), lambda s: F.transform(F.coalesce(s["words"], F.array()), lambda w: w["probability"]))), lambda p: p.isNotNull())
-    total = lambda a: F.aggregate(a, F.lit(0.0), lambda x, y: x + y)
-    base = transcripts.select(
-        F.coalesce("video_id", F.lit("")).alias("video_id"), F.coalesce("duration", F.lit(0.0)).alias("duration"),
-        words(F.col("text")).alias("_w"), probabilities.alias("_p"), F.coalesce("segments", F.array()).alias("_s"),
-    )
-    any_word = F.size("_p") > 0
-    rows = base.select(
-        "video_id", "duration", F.size("_w").alias("word_count"),
-        F.when(any_word, total(F.col("_p")) / F.size("_p")).alias("avg_word_confidence"),
-        F.when(any_word, F.size(F.filter("_p", lambda p: p < LOW_WORD_CONFIDENCE)) / F.size("_p")).alias("low_confidence_word_ratio"),
-        per_second(F.size("_w"), F.col("duration")).alias("words_per_second"),
-        coverage(F.col("_s"), F.col("duration")).alias("speech_coverage_ratio"),
-        repetition_of(F.col("_w")).alias("repetition_score"),
+    """The quality row of each transcript document; nested throughout, no shuffle, each metric computed once."""
+    segments = F.coalesce("segments", F.array())
+    probabilities = F.flatten(F.transform(segments, lambda s: F.transform(F.coalesce(s["words"], F.array()), lambda w: w["probability"])))
+    parts = F.struct(words(F.col("text")).alias("w"), probabilities.alias("p"), segments.alias("s"), F.coalesce("duration", F.lit(0.0)).alias("d"))
+    metrics = lambda x: F.struct(
+        x["d"].alias("duration"), F.size(x["w"]).alias("word_count"), average(x["p"]).alias("avg_word_confidence"), low_share(x["p"]).alias("low_confidence_word_ratio"),
+        per_second(F.size(x["w"]), x["d"]).alias("words_per_second"), coverage(x["s"], x["d"]).alias("speech_coverage_ratio"), repetition_of(x["w"]).alias("repetition_score"),
     )
+    named = transcripts.select(F.coalesce("video_id", F.lit("")).alias("video_id"), "duration", "segments", "text")
+    rows = once(named, ["video_id"], F.transform(F.array(parts), metrics))
     return rows.withColumn("flags", transcript_flags(*map(F.col, ("avg_word_confidence", "low_confidence_word_ratio", "words_per_second", "speech_coverage_ratio", "repetition_score", "word_count"))))
 
 
@@ -92,19 +101,23 @@ def diarization_quality(diarized: DataFrame, transcript_words: DataFrame) -> Dat
     """The quality row of each diarized document; transcript_words (video_id, full_transcript_word_count) may miss some."""
     own = F.col("speakers")[F.col("target_speaker")]
     length = lambda t: t["end"] - t["start"]
-    base = diarized.join(transcript_words, "video_id", "left").select(
-        "video_id", F.coalesce("duration", F.lit(0.0)).alias("duration"), F.coalesce(F.size("speakers"), F.lit(0)).alias("num_speakers"), "target_speaker",
-        F.coalesce(own["total_seconds"], F.lit(0.0)).alias("_seconds"), F.coalesce(own["turn_count"], F.lit(0)).alias("target_turn_count"),
-        F.coalesce("target_speaker_segments", F.array()).alias("_s"), F.filter(F.coalesce("turns", F.array()), lambda t: t["speaker"] == F.col("target_speaker")).alias("_t"),
-        words(F.col("target_speaker_text")).alias("_w"), "full_transcript_word_count",
-    )
-    seconds = F.aggregate("_s", F.lit(0.0), lambda a, s: a + F.greatest(length(s), F.lit(0.0)))
-    rows = base.select(
-        "video_id", "duration", "num_speakers", "target_speaker", per_second(F.col("_seconds"), F.col("duration")).alias("target_speaker_share"),
-        "target_turn_count", F.size("_s").alias("num_target_segments"), F.when(F.size("_s") > 0, seconds / F.size("_s")).otherwise(F.lit(0.0)).alias("avg_target_segment_seconds"),
-        F.when(F.size("_t") > 0, F.size(F.filter("_t", lambda t: length(t) < SHORT_TURN_SECONDS)) / F.size("_t")).otherwise(F.lit(0.0)).alias("short_turn_ratio"),
-        F.size("_w").alias("target_word_count"), per_second(F.size("_w"), F.col("_seconds")).alias("target_words_per_second"), "full_transcript_word_count",
-        retention(F.size("_w"), F.col("full_transcript_word_count")).alias("target_text_retention_ratio"), repetition_of(F.col("_w")).alias("repetition_score"),
+    segments, target = F.coalesce("target_speaker_segments", F.array()), F.filter(F.coalesce("turns", F.array()), lambda t: t["speaker"] == F.col("target_speaker"))
+    parts = F.struct(
+        F.coalesce("duration", F.lit(0.0)).alias("d"), F.coalesce(F.size("speakers"), F.lit(0)).alias("n"), F.coalesce(own["total_seconds"], F.lit(0.0)).alias("seconds"),
+        F.coalesce(own["turn_count"], F.lit(0)).alias("turns"), segments.alias("s"), target.alias("t"), words(F.col("target_speaker_text")).alias("w"), F.col("full_transcript_word_count").alias("full"),
     )
+
+    def metrics(x: Column) -> Column:
+        spoken = F.aggregate(x["s"], F.lit(0.0), lambda a, s: a + F.greatest(length(s), F.lit(0.0)))
+        return F.struct(
+            x["d"].alias("duration"), x["n"].alias("num_speakers"), per_second(x["seconds"], x["d"]).alias("target_speaker_share"), x["turns"].alias("target_turn_count"),
+            F.size(x["s"]).alias("num_target_segments"), F.when(F.size(x["s"]) > 0, spoken / F.size(x["s"])).otherwise(F.lit(0.0)).alias("avg_target_segment_seconds"),
+            F.when(F.size(x["t"]) > 0, F.size(F.filter(x["t"], lambda t: length(t) < SHORT_TURN_SECONDS)) / F.size(x["t"])).otherwise(F.lit(0.0)).alias("short_turn_ratio"),
+            F.size(x["w"]).alias("target_word_count"), per_second(F.size(x["w"]), x["seconds"]).alias("target_words_per_second"), x["full"].alias("full_transcript_word_count"),
+            retention(F.size(x["w"]), x["full"]).alias("target_text_retention_ratio"), repetition_of(x["w"]).alias("repetition_score"),
+        )
+
+    joined = diarized.join(transcript_words, "video_id", "left")
+    rows = once(joined, ["video_id", "target_speaker"], F.transform(F.array(parts), metrics))
     names = ("target_word_count", "num_speakers", "duration", "target_speaker_share", "short_turn_ratio", "target_words_per_second", "target_text_retention_ratio", "repetition_score")
     return rows.withColumn("flags", diarization_flags(*map(F.col, names)))

@@ -87,6 +87,36 @@ b as (select user_id as video_id, cast(num_speakers as integer) as num_speakers,
 c as (select *, cast(len(w) as integer) as target_word_count, case when total > 0 then len(w) / total else 0.0 end as wps, len(w)::double / nullif(full_words, 0) as retained, {repetition('w')} as rep from b)"""
 
 
+DIARIZATION_FLAGS = """
+df as (select *, list_filter([case when target_word_count = 0 then 'empty_target_text' end, case when num_speakers <= 1 then 'single_speaker_detected' end, case when num_speakers > 5 then 'many_speakers_detected' end,
+  case when duration > 0 and share < 0.15 then 'low_target_speaker_share' end, case when short_turn_ratio > 0.3 then 'fragmented_turns' end, case when wps > 0 and wps < 1.0 then 'implausibly_slow' end,
+  case when wps > 4.5 then 'implausibly_fast' end, case when retained < 0.05 then 'low_text_retention' end, case when rep > 0.3 then 'possible_repetition_artifact' end], lambda x: x is not null) as flags from c)"""
+
+TRANSCRIPTS = f"""
+v0 as (select user_id, event_id, event_type, value, row_number() over (partition by user_id order by ts, event_id) as pos, count(*) over (partition by user_id) as n from events),
+v1 as (select *, n::double / (0.5::double + user_id % 6) as duration, event_type || case when user_id % 2 = 1 then cast(pos as varchar) else '' end as word,
+  case when user_id % 3 = 0 then 0.5::double + (value - floor(value)) / 2 else value - floor(value) end as p from v0),
+v2 as (select user_id, any_value(duration) as duration, any_value(n) as n, case when user_id % 7 <> 0 then string_agg(word, ' ' order by pos) else '' end as text,
+  case when user_id % 8 <> 0 then avg(p) end as conf, case when user_id % 8 <> 0 then count(*) filter (where p < 0.5)::double / count(*) end as low,
+  least(sum(duration / n * case when user_id % 5 = 0 then 0.1::double else 0.9::double end) / any_value(duration), 1.0) as covered from v1 group by user_id),
+v3 as (select *, {words('text')} as w from v2),
+v4 as (select *, cast(len(w) as integer) as word_count, len(w) / duration as wps, {repetition('w')} as rep from v3),
+tr as (select *, cast(user_id as varchar) as video_id, list_filter([case when conf < 0.7 then 'low_avg_confidence' end, case when low > 0.15 then 'many_low_confidence_words' end, case when wps > 0 and wps < 1.0 then 'implausibly_slow' end,
+  case when wps > 4.5 then 'implausibly_fast' end, case when covered < 0.15 then 'low_speech_coverage' end, case when rep > 0.3 then 'possible_repetition_hallucination' end, case when word_count = 0 then 'empty_transcript' end], lambda x: x is not null) as flags from v4)"""
+
+#: Word error rates by the rows of the cost table, all pairs a row at a time; insertions are a running minimum.
+WORD_RATES = f"""with recursive p0 as (select conv_id * 1000 + turn as video_id, text as reference, lead(text) over (partition by conv_id order by turn) as hypothesis from conversations),
+p as (select video_id, {words(normalised('reference'))} as r, {words(normalised('hypothesis'))} as h from p0 where hypothesis is not null),
+g as (select video_id, unnest(h) as word, generate_subscripts(h, 1) as j from p),
+c as (
+  select video_id, 0 as i, unnest(range(0, cast(len(h) as bigint) + 1)) as j, unnest(range(0, cast(len(h) as bigint) + 1)) as cost from p
+  union all
+  select video_id, i + 1, j, j + min(t - j) over (partition by video_id order by j) from (
+    select c.video_id, c.i, c.j, least(c.cost + 1, coalesce(lag(c.cost) over (partition by c.video_id order by c.j) + case when g.word = p.r[c.i + 1] then 0 else 1 end, c.cost + 1)) as t
+    from c join p on p.video_id = c.video_id left join g on g.video_id = c.video_id and g.j = c.j where c.i < len(p.r)))
+select p.video_id, round(case when len(r) > 0 then cost::double / len(r) else cost::double end, 6) as wer from c join p on p.video_id = c.video_id and c.i = len(p.r) and c.j = len(p.h)"""
+
+
 def oracle_sql() -> dict[str, str]:
     label = "case when quality = 1 then 'success' else 'failed' end"
     ascii_pairs = "p as (select d.doc_id as video_id, b.text as reference, d.text as hypothesis from documents d join benchmark b on d.doc_id % 40 = b.item_id where d.lang = 'en' and regexp_full_match(d.text, '[\\x00-\\x7f]*') and regexp_full_match(b.text, '[\\x00-\\x7f]*'))"
@@ -108,7 +138,7 @@ def oracle_sql() -> dict[str, str]:
         "flagged_topn": f"with {DOC_QUALITY} select doc_id, cast(len(flags) as integer) as n_flags, array_to_string(flags, ',') as flags from q where len(flags) > 0 order by len(flags) desc, words_per_second, doc_id limit 20",
         "flag_counts": f"with {DOC_QUALITY} select flag, count(*) as n from (select unnest(flags) as flag from q) group by flag",
         "report_counts": f"with {DOC_QUALITY} select count(*) as num_files, count(*) filter (where len(flags) > 0) as num_flagged from q",
-        "quality_report": f"with {DOC_QUALITY} select count(*) as num_files, count(*) filter (where len(flags) > 0) as num_flagged, cast(count(*) filter (where len(flags) > 0) as integer) as n_listed from q",
+        "quality_report": f"with {DOC_QUALITY} select count(*) as num_files, count(*) filter (where len(flags) > 0) as num_flagged, cast(count(*) filter (where len(flags) > 0) as integer) as n_listed, md5(coalesce(string_agg(doc_id || ':' || array_to_string(flags, ','), ';' order by doc_id) filter (where len(flags) > 0), '')) as listed_md5 from q",
         "corpus_stats": f"with {DOC_QUALITY}, {STATS} select metric, round(mean, 6) as mean, round(median, 6) as median, round(min, 6) as min, round(max, 6) as max, round(p10, 6) as p10, round(p90, 6) as p90 from s",
         "stat_lines": f"with {DOC_QUALITY}, {STATS} select metric, printf('%-28s mean=%.3f median=%.3f p10=%.3f p90=%.3f min=%.3f max=%.3f', metric, mean, median, p10, p90, min, max) as line from s where metric in ('duration', 'word_count')",
         "speaker_stats": f"with {ROLES} select conv_id, speaker, total_seconds, turn_count from st",
@@ -119,12 +149,17 @@ def oracle_sql() -> dict[str, str]:
         "target_text": f"with {ROLE_SEGMENTS} select conv_id, string_agg(text, ' ' order by id) as text from sg group by conv_id",
         "aligned_segments": f'with {ALIGNED} select user_id, target_speaker, row_number() over (partition by user_id order by island) - 1 as id, round(start, 6) as start, round("end", 6) as "end", text from gr',
         "kept_words": f"with {EVENTS} select user_id, count(*) as n from e w where exists (select 1 from e t where t.user_id = w.user_id and t.speaker = 'purchase' and (w.start + w.\"end\") / 2 between t.start and t.turn_end) group by 1",
-        "diarization_quality": f"""with {DIARIZATION} select video_id, num_speakers, target_speaker, target_turn_count, num_target_segments, target_word_count, round(duration, 6) as duration, round(share, 6) as target_speaker_share,
+        "worst_diarized": f"""with {DIARIZATION}, {DIARIZATION_FLAGS} select cast(video_id as bigint) as video_id, printf('%s | speakers=%d share=%.2f retention=%s frag=%.2f rep=%.2f | %s', cast(video_id as varchar), num_speakers, share,
+            case when retained is null then 'n/a' else printf('%.2f', retained) end, short_turn_ratio, rep, array_to_string(flags, ', ')) as line from df where len(flags) > 0 order by len(flags) desc, share, video_id limit 20""",
+        "transcript_audit": f"with {TRANSCRIPTS} select video_id, word_count, round(duration, 6) as duration, round(conf, 6) as avg_word_confidence, round(low, 6) as low_confidence_word_ratio, round(wps, 6) as words_per_second, round(covered, 6) as speech_coverage_ratio, round(rep, 6) as repetition_score, array_to_string(flags, ',') as flags from tr",
+        "transcript_flag_counts": f"with {TRANSCRIPTS} select flag, count(*) as n from (select unnest(flags) as flag from tr) group by flag",
+        "worst_transcripts": f"""with {TRANSCRIPTS} select video_id, printf('%s | conf=%s wps=%.2f coverage=%.2f repetition=%.2f | %s', video_id, case when conf is null then 'n/a' else printf('%.2f', conf) end, wps, covered, rep, array_to_string(flags, ', ')) as line
+            from tr where len(flags) > 0 order by len(flags) desc, coalesce(conf, 1.0), video_id limit 20""",
+        "word_error_rates": WORD_RATES,
+        "diarization_quality": f"""with {DIARIZATION}, {DIARIZATION_FLAGS} select video_id, num_speakers, target_speaker, target_turn_count, num_target_segments, target_word_count, round(duration, 6) as duration, round(share, 6) as target_speaker_share,
             round(avg_seconds, 6) as avg_target_segment_seconds, round(short_turn_ratio, 6) as short_turn_ratio, round(wps, 6) as target_words_per_second, round(retained, 6) as target_text_retention_ratio, round(rep, 6) as repetition_score,
-            array_to_string(list_filter([case when target_word_count = 0 then 'empty_target_text' end, case when num_speakers <= 1 then 'single_speaker_detected' end, case when num_speakers > 5 then 'many_speakers_detected' end,
-              case when duration > 0 and share < 0.15 then 'low_target_speaker_share' end, case when short_turn_ratio > 0.3 then 'fragmented_turns' end, case when wps > 0 and wps < 1.0 then 'implausibly_slow' end,
-              case when wps > 4.5 then 'implausibly_fast' end, case when retained < 0.05 then 'low_text_retention' end, case when rep > 0.3 then 'possible_repetition_artifact' end], lambda x: x is not null), ',') as flags from c""",
-        "confidence_stats": "select user_id, round(avg(value - floor(value)), 6) as avg_word_confidence, count(*) filter (where value - floor(value) < 0.5)::double / count(value) as low_confidence_word_ratio from events group by 1",
+            array_to_string(flags, ',') as flags from df""",
+        "confidence_stats": "with p as (select user_id, case when event_id % 11 <> 0 then value - floor(value) end as p from events) select user_id, round(avg(p), 9) as avg_word_confidence, case when count(p) > 0 then count(*) filter (where p < 0.5)::double / count(p) end as low_confidence_word_ratio from p group by 1",
         "speech_coverage": f'with {EVENTS}, c as (select user_id, max(turn_end) as duration, sum(greatest("end" - start, 0.0)) as spoken from e group by 1) select user_id, round(case when duration > 0 then least(spoken / duration, 1.0) else 0.0 end, 6) as speech_coverage_ratio from c',
         "pending_work": "select cast(doc_id as varchar) as video_id, source from documents where source <> 'src1' and doc_id not in (select doc_id from labels where quality = 1)",
         "run_summary": """with s as (select case when doc_id in (select doc_id from labels where quality = 1) then 'skipped' when lang <> 'en' then 'missing' else 'would_diarize' end as status from documents)

@@ -35,8 +35,9 @@ def repetition_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _doc_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Transcript audit without confidences and segments; n_chars / 15 stands for seconds."""
-    rows = table(spark, sf_dir, "documents").select("doc_id", tx.words(F.col("text")).alias("_w"), (F.col("n_chars") / CHARS_PER_SECOND).alias("duration"))
-    rows = rows.select("doc_id", "duration", F.size("_w").alias("word_count"), quality.per_second(F.size("_w"), F.col("duration")).alias("words_per_second"), tx.repetition_of(F.col("_w")).alias("repetition_score"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", (F.col("n_chars") / CHARS_PER_SECOND).alias("duration"))
+    rows = tx.once(docs, ["doc_id", "duration"], quality.text_metrics(F.col("text")))
+    rows = rows.withColumn("words_per_second", quality.per_second(F.col("word_count"), F.col("duration")))
     none = F.lit(None).cast("double")
     return rows.withColumn("flags", quality.transcript_flags(none, none, F.col("words_per_second"), F.lit(1.0), F.col("repetition_score"), F.col("word_count")))
 
@@ -147,19 +148,69 @@ def kept_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.in_turns(rows.select("user_id", "pos", "start", "end"), turns, "user_id").groupBy("user_id").agg(F.count("*").alias("n"))
 
 
-def diarization_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _diarization_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Users of even id have a transcript, whose words are all their events."""
     docs = alignment.isolate(*_event_documents(spark, sf_dir), key="user_id").withColumnRenamed("user_id", "video_id")
     counts = _events(spark, sf_dir).where("user_id % 2 = 0").groupBy(F.col("user_id").alias("video_id")).agg(F.count("*").cast("int").alias("full_transcript_word_count"))
-    rows = quality.diarization_quality(docs, counts)
+    return quality.diarization_quality(docs, counts)
+
+
+def diarization_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _diarization_rows(spark, sf_dir)
     numbers = ("duration", "target_speaker_share", "avg_target_segment_seconds", "short_turn_ratio", "target_words_per_second", "target_text_retention_ratio", "repetition_score")
     return rows.select("video_id", "num_speakers", "target_speaker", "target_turn_count", "num_target_segments", "target_word_count", *[r6(c).alias(c) for c in numbers], F.array_join("flags", ",").alias("flags"))
 
 
+def worst_diarized(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flagged recordings, most flags first, then least target share, with their report lines."""
+    rows = stats.worst_first(_diarization_rows(spark, sf_dir), F.col("target_speaker_share"), "video_id", TOP_N)
+    return export.diarization_lines(rows)
+
+
 def confidence_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """value modulo 1 stands for a word's probability."""
-    p = F.col("value") - F.floor("value")
-    return _events(spark, sf_dir).groupBy("user_id").agg(r6(F.avg(p)).alias("avg_word_confidence"), (F.count_if(p < quality.LOW_WORD_CONFIDENCE) / F.count(p)).alias("low_confidence_word_ratio"))
+    """value modulo 1 stands for a word's probability; every eleventh event has none."""
+    p = F.when(F.col("event_id") % 11 != 0, F.col("value") - F.floor("value"))
+    rows = table(spark, sf_dir, "events").groupBy("user_id").agg(F.collect_list(F.struct("event_id", p.alias("p")))["p"].alias("p"))
+    return rows.select("user_id", F.round(quality.average(F.col("p")), 9).alias("avg_word_confidence"), quality.low_share(F.col("p")).alias("low_confidence_word_ratio"))
+
+
+def _transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users as transcripts: a segment of one word for each event, of its type, or of its type and number for odd users.
+
+    Every third user is spoken clearly, every fifth hardly speaks, every seventh has no text, every eighth no words in its segments, and the pace is 0.5 to
+    5.5 words a second, so that every flag is met.
+    """
+    own = Window.partitionBy("user_id")
+    rows = table(spark, sf_dir, "events").select("user_id", "event_id", "event_type", "value", F.row_number().over(own.orderBy("ts", "event_id")).alias("pos"), F.count("*").over(own).alias("n"))
+    duration = F.col("n") / (0.5 + F.col("user_id") % 6)
+    start = (F.col("pos") - 1) * duration / F.col("n")
+    end = start + duration / F.col("n") * F.when(F.col("user_id") % 5 == 0, 0.1).otherwise(0.9)
+    word = F.concat(F.lit(" "), "event_type", F.when(F.col("user_id") % 2 == 1, F.col("pos").cast("string")).otherwise(F.lit("")))
+    part = F.col("value") - F.floor("value")
+    words = F.array(F.struct(start.alias("start"), end.alias("end"), word.alias("word"), F.when(F.col("user_id") % 3 == 0, 0.5 + part / 2).otherwise(part).alias("probability")))
+    segment = F.struct(F.col("pos").alias("id"), start.alias("start"), end.alias("end"), F.ltrim(word).alias("text"), F.when(F.col("user_id") % 8 != 0, words).alias("words"))
+    found = rows.select("user_id", "pos", duration.alias("duration"), segment.alias("segment")).groupBy("user_id", "duration").agg(F.array_sort(F.collect_list(F.struct("pos", "segment")))["segment"].alias("segments"))
+    text = F.when(F.col("user_id") % 7 != 0, F.array_join(F.transform("segments", lambda s: s["text"]), " ")).otherwise(F.lit(""))
+    return found.select(F.col("user_id").cast("string").alias("video_id"), "duration", "segments", text.alias("text"))
+
+
+def _transcript_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.transcript_quality(_transcripts(spark, sf_dir))
+
+
+def transcript_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    numbers = ("duration", "avg_word_confidence", "low_confidence_word_ratio", "words_per_second", "speech_coverage_ratio", "repetition_score")
+    return _transcript_rows(spark, sf_dir).select("video_id", "word_count", *[r6(c).alias(c) for c in numbers], F.array_join("flags", ",").alias("flags"))
+
+
+def transcript_flag_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stats.flag_counts(_transcript_rows(spark, sf_dir), "video_id")
+
+
+def worst_transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flagged transcripts, most flags first, then least confidence, none being 1, with their report lines."""
+    rows = stats.worst_first(_transcript_rows(spark, sf_dir), F.coalesce("avg_word_confidence", F.lit(1.0)), "video_id", TOP_N)
+    return export.transcript_lines(rows)
 
 
 def speech_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -241,7 +292,7 @@ def export_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     title = F.when(F.col("toxic") == 1, F.lit(None)).when(F.col("quality") == 1, F.concat(F.lit("Title "), F.col("doc_id").cast("string"))).otherwise(F.lit(""))
     titles = table(spark, sf_dir, "labels").select("doc_id", title.alias("title"))
     topics = export.with_topics(table(spark, sf_dir, "documents"), titles, "doc_id")
-    return topics.select("doc_id", "topic", "title_source").join(export.blocks(topics, "doc_id"), "doc_id").select("doc_id", "topic", "title_source", F.md5(F.col("block").cast("binary")).alias("block_md5"))
+    return topics.select("doc_id", "topic", "title_source", F.md5(export.block_of(F.col("topic"), F.col("text")).cast("binary")).alias("block_md5"))
 
 
 def combined_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -306,6 +357,17 @@ def error_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return accuracy.score(_turn_pairs(spark, sf_dir))
 
 
+def word_error_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The word error rates of error_rates alone, which SQL can say."""
+    rows = _turn_pairs(spark, sf_dir)
+    return rows.select("video_id", r6(accuracy.word_rates(F.col("reference"), F.col("hypothesis"))["wer"]).alias("wer"))
+
+
+def worst_error_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report lines of the turns of highest word error rate."""
+    return export.accuracy_lines(accuracy.worst(accuracy.score(_turn_pairs(spark, sf_dir)), "video_id", TOP_N))
+
+
 def _turn_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     w = Window.partitionBy("conv_id").orderBy("turn")
     rows = table(spark, sf_dir, "conversations").select((F.col("conv_id") * 1000 + F.col("turn")).alias("video_id"), F.col("text").alias("reference"), F.lead("text").over(w).alias("hypothesis"))
@@ -388,20 +450,20 @@ def pair_generation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The report of flagged documents as one row of JSON: counts, then ids and flags."""
-    rows = _doc_quality(spark, sf_dir)
-    flagged = rows.where(F.size("flags") > 0).select("doc_id", "flags")
-    value = writers.report(flagged.orderBy("doc_id"), stats.report_counts(rows), "flagged_files")
+    """The report of flagged documents as one row of JSON, read back: counts, then ids and flags."""
+    flagged = F.size("flags") > 0
+    value = writers.report(_doc_quality(spark, sf_dir), stats.report_columns(), ["doc_id", "flags"], name="flagged_files", listed=flagged)
     found = F.from_json("value", "num_files long, num_flagged long, flagged_files array<struct<doc_id:long,flags:array<string>>>")
-    return value.select(found.alias("r")).select("r.num_files", "r.num_flagged", F.size("r.flagged_files").alias("n_listed"))
+    each = F.transform("r.flagged_files", lambda f: F.concat_ws(":", f["doc_id"].cast("string"), F.array_join(f["flags"], ",")))
+    return value.select(found.alias("r")).select("r.num_files", "r.num_flagged", F.size("r.flagged_files").alias("n_listed"), F.md5(F.array_join(each, ";").cast("binary")).alias("listed_md5"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         word_count, repetition_score, doc_quality_flags, flagged_topn, flag_counts, report_counts, corpus_stats, stat_lines, speaker_stats, speaker_maps,
-        target_speaker, target_distribution, target_segments, target_text, aligned_segments, kept_words, diarization_quality, confidence_stats, speech_coverage,
+        target_speaker, target_distribution, target_segments, target_text, aligned_segments, kept_words, diarization_quality, worst_diarized, confidence_stats, speech_coverage, transcript_audit, transcript_flag_counts, worst_transcripts,
         pending_work, run_summary, dedup_stem, ledger_migration, first_labelled, key_comparison, numbered_files, reference_coverage, caption_clean, topic_line, export_blocks, combined_text, normalise_text,
-        text_scalars, word_counts_of_documents, document_error_rates, word_counts_of_pairs, error_rates, cer_of_turns, worst_turns, cer_pairs, worst_rates, metadata_project, listing_entries, total_duration, rate_parse, backoff,
+        text_scalars, word_counts_of_documents, document_error_rates, word_counts_of_pairs, error_rates, word_error_rates, worst_error_rates, cer_of_turns, worst_turns, cer_pairs, worst_rates, metadata_project, listing_entries, total_duration, rate_parse, backoff,
         download_plan, pair_generation, quality_report,
     )
     return {f.__name__: f for f in found}

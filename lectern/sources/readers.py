@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -22,6 +22,19 @@ def exists(spark: SparkSession, path: str) -> bool:
     return at.getFileSystem(conf).exists(at)
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Removes a folder from the file system that it belongs to; nothing if it isn't there."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def folders(spark: SparkSession, path: str, key: str) -> DataFrame:
+    """The distinct values of a key whose folders (key=value) stand under a path; no file is opened."""
+    rows = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path")
+    value = F.regexp_extract("path", f"/{key}=([^/]*)/[^/]*$", 1)
+    return rows.select(F.url_decode(F.replace(value, F.lit("+"), F.lit("%2B"))).alias(key)).where(F.col(key) != "").distinct()
+
+
 def files(spark: SparkSession, folder: str, glob: str | None = None) -> DataFrame:
     """path, file_name, stem, length, modificationTime of the regular files directly in a folder, by path; contents unread."""
     if not exists(spark, folder):
@@ -33,12 +46,35 @@ def files(spark: SparkSession, folder: str, glob: str | None = None) -> DataFram
     return rows.select("path", "file_name", stem(F.col("file_name")).alias("stem"), "length", "modificationTime").orderBy("path")
 
 
+def _file_name() -> Column:
+    """The name of the file a row is from, as it is on disk; the metadata column has it escaped."""
+    return F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
+
+
+def matching(spark: SparkSession, pattern: str) -> bool:
+    """Whether a path pattern matches anything."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(at)
+    return found is not None and len(found) > 0
+
+
 def documents(spark: SparkSession, folder: str, schema: str) -> DataFrame:
-    """One JSON document per file, with file_name, under an explicit schema."""
-    if not exists(spark, folder):
+    """One JSON document per file, with file_name, under an explicit schema.
+
+    Files directly in the folder and, as writers.write_documents() makes them, in folders of a key (key=value); other
+    folders, such as a ledger's, aren't read.
+    """
+    reader = lambda: spark.read.schema(schema).option("multiLine", True).option("pathGlobFilter", "*.json")
+    found = []
+    if matching(spark, f"{folder}/*.json"):
+        found.append(reader().json(f"{folder}/*.json"))
+    if matching(spark, f"{folder}/*=*"):
+        found.append(reader().option("basePath", folder).json(f"{folder}/*=*"))
+    if not found:
         return spark.createDataFrame([], f"{schema}, file_name string")
-    rows = spark.read.schema(schema).option("multiLine", True).option("pathGlobFilter", "*.json").json(folder)
-    return rows.select("*", F.col("_metadata.file_name").alias("file_name"))
+    names = spark.createDataFrame([], schema).columns
+    rows = [r.select(*names, _file_name().alias("file_name")) for r in found]
+    return rows[0] if len(rows) == 1 else rows[0].unionByName(rows[1])
 
 
 def transcripts(spark: SparkSession, folder: str) -> DataFrame:
@@ -63,7 +99,7 @@ def whole_texts(spark: SparkSession, folder: str, glob: str) -> DataFrame:
     if not exists(spark, folder):
         return spark.createDataFrame([], "video_id string, text string")
     rows = spark.read.option("pathGlobFilter", glob).text(folder, wholetext=True)
-    return rows.select(stem(F.col("_metadata.file_name")).alias("video_id"), F.col("value").alias("text"))
+    return rows.select(stem(_file_name()).alias("video_id"), F.col("value").alias("text"))
 
 
 def references(spark: SparkSession, folder: str) -> DataFrame:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Collection, Mapping, Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import export
@@ -25,16 +27,28 @@ def append_ledger(rows: DataFrame, path: str, columns: tuple[str, ...]) -> None:
     rows.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in columns]).write.mode("append").option("header", True).option("escape", '"').option("emptyValue", "").csv(path)
 
 
-def report(rows: DataFrame, summary: DataFrame, name: str = "files") -> DataFrame:
-    """One row, one column of JSON: the summary's columns and the rows as an array."""
-    listed = rows.agg(F.collect_list(F.struct(*rows.columns)).alias(name))
-    return summary.crossJoin(listed).select(F.to_json(F.struct(*summary.columns, name), {"ignoreNullFields": "false"}).alias("value"))
+def report(rows: DataFrame, summary: Sequence[Column], fields: Sequence[str], *, name: str = "files", listed: Column | None = None) -> DataFrame:
+    """One row, one column of JSON: the summary's aggregates over rows, and an array of the fields of the rows that are listed,
+    in the order of the fields. One pass over rows. The array is one value: list few rows, or write_report_table().
+    """
+    found = F.struct(*fields)
+    array = F.array_sort(F.collect_list(found if listed is None else F.when(listed, found))).alias(name)
+    one = rows.agg(*summary, array)
+    return one.select(F.to_json(F.struct(*one.columns), {"ignoreNullFields": "false"}).alias("value"))
 
 
 def write_report(value: DataFrame, path: str) -> None:
     value.coalesce(1).write.mode("overwrite").text(path)
 
 
+def write_report_table(rows: DataFrame, summary: Sequence[Column], path: str, *, order: str, name: str = "files") -> None:
+    """A report of any number of rows: `path/name` holds them as JSON lines in the order of a column, `path/summary` the
+    aggregates as one line.
+    """
+    rows.repartitionByRange(order).sortWithinPartitions(order).write.mode("overwrite").option("ignoreNullFields", "false").json(f"{path}/{name}")
+    rows.agg(*summary).coalesce(1).write.mode("overwrite").option("ignoreNullFields", "false").json(f"{path}/summary")
+
+
 def write_texts(rows: DataFrame, path: str, key: str = "video_id", overwrite: bool = False) -> DataFrame:
     """A text per key under path; keys that have one are skipped unless overwrite. One row: exported, skipped."""
     texts = export.plain_texts(rows, key)
@@ -43,7 +57,8 @@ def write_texts(rows: DataFrame, path: str, key: str = "video_id", overwrite: bo
         there = rows.sparkSession.read.option("basePath", path).text(path).select(F.col(key).cast("string").alias(key)).distinct()
     new = texts if there is None else texts.join(there, key, "left_anti")
     total, fresh = rows.count(), new.count()
-    new.write.mode("overwrite" if overwrite else "append").partitionBy(key).text(path)
+    lines = new.select(key, F.expr("left(value, length(value) - 1)").alias("value"))  # the writer ends a line itself
+    lines.write.mode("overwrite" if overwrite else "append").partitionBy(key).text(path)
     return rows.sparkSession.createDataFrame([(fresh, total - fresh)], "exported long, skipped long")
 
 
@@ -59,3 +74,15 @@ def mirror(rows: DataFrame, path: str, key: str, delete: bool = False) -> None:
     writer = rows.write.mode("overwrite").partitionBy(key)
     (writer if delete else writer.option("partitionOverwriteMode", "dynamic")).parquet(path)
 
+
+def mirror_targets(sources: Mapping[str, DataFrame], root: str, key: str, *, only: Collection[str] | None = None, delete: bool = False) -> list[str]:
+    """mirror() for each named table to root/name, for those in `only` if it is given; the names done. Unknown names are an
+    error before anything is written.
+    """
+    unknown = set(only or ()) - set(sources)
+    if unknown:
+        raise ValueError(f"unknown targets: {sorted(unknown)}")
+    names = [n for n in sources if only is None or n in only]
+    for name in names:
+        mirror(sources[name], f"{root.rstrip('/')}/{name}", key, delete)
+    return names

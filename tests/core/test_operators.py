@@ -22,6 +22,10 @@ def test_equal_totals_go_to_the_first_turn(spark):
 def test_midpoints_on_the_ends_are_inside(spark):
     words = spark.createDataFrame([("v", i, a, b) for i, (a, b) in enumerate([(0.5, 1.5), (1.5, 2.5), (2.0, 2.2)])], "video_id string, i int, start double, end double")
     assert sorted(r.i for r in alignment.in_turns(words, turns(spark, [("A", 1, 2)]), "video_id").collect()) == [0, 1]
+    odd = words.union(spark.createDataFrame([("v", 9, None, 1.0), (None, 8, 1.0, 1.2), ("v", 0, 0.5, 1.5), ("other", 7, 1.0, 1.2)], words.schema))
+    held = turns(spark, [("A", 0, 0.2), ("A", 1, 2), ("A", 1, 1.5), ("A", 5, 4), ("A", 30, 40)])
+    held = held.union(spark.createDataFrame([("v", "A", None, 99.0), ("v", "A", 0.0, None), (None, "A", 0.0, 99.0)], held.schema))
+    assert sorted(r.i for r in alignment.in_turns(odd, held, "video_id").collect()) == [0, 0, 1]
     nested = words.withColumn("t", F.array(F.struct(F.lit(1.0).alias("start"), F.lit(2.0).alias("end"))))
     assert sorted(r.i for r in nested.where(alignment.in_turn_array((F.col("start") + F.col("end")) / 2, F.col("t"))).collect()) == [0, 1]
 
@@ -89,6 +93,41 @@ def plain_distance(a, b):
     return row[-1]
 
 
+def whole_table(a, b):
+    """(hits, substitutions, deletions, insertions) from the whole table of costs, walked back by the rule."""
+    cost = [[i + j if not i or not j else 0 for j in range(len(b) + 1)] for i in range(len(a) + 1)]
+    for i in range(1, len(a) + 1):
+        for j in range(1, len(b) + 1):
+            cost[i][j] = min(cost[i - 1][j - 1] + (a[i - 1] != b[j - 1]), cost[i - 1][j] + 1, cost[i][j - 1] + 1)
+    i, j, n = len(a), len(b), [0, 0, 0, 0]
+    while i or j:
+        if i and j and cost[i][j] == cost[i - 1][j - 1] + (a[i - 1] != b[j - 1]):
+            i, j, k = i - 1, j - 1, int(a[i - 1] != b[j - 1])
+        elif i and cost[i][j] == cost[i - 1][j] + 1:
+            i, k = i - 1, 2
+        else:
+            j, k = j - 1, 3
+        n[k] += 1
+    return tuple(n)
+
+
+def test_alignments_against_the_whole_table():
+    rng = random.Random(11)
+    for letters in ("ab", "abc", "abcdefgh"):
+        for _ in range(300):
+            a, b = ([rng.choice(letters) for _ in range(rng.randrange(0, 14))] for _ in range(2))
+            assert accuracy.align(a, b) == whole_table(a, b), (a, b)
+    assert accuracy.align("a b".split(), "b a".split()) == (0, 2, 0, 0)
+
+
+def test_long_texts_of_many_different_words(spark):
+    long = " ".join(f"w{i}" for i in range(60_000))
+    rows = spark.createDataFrame([("a", long, "x"), ("b", "x", long), ("c", " ".join(f"w{i}" for i in range(3000)), " ".join(f"w{i}" for i in range(1, 3001)))], "video_id string, reference string, hypothesis string")
+    got = {r.video_id: r for r in rows.select("video_id", accuracy.word_rates(F.col("reference"), F.col("hypothesis")).alias("m")).select("video_id", "m.*").collect()}
+    assert (got["a"].wer, got["b"].wer, got["c"].wer) == (1.0, 60_000.0, 2 / 3000)
+    assert got["c"].mer == pytest.approx(2 / 3001) and got["c"].wil == pytest.approx(1 - (2999 / 3000) ** 2)
+
+
 def test_error_rates(spark):
     rng = random.Random(5)
     data = [(str(i), " ".join(rng.choice("abcdef") for _ in range(rng.randrange(1, 30))), " ".join(rng.choice("abcdef") for _ in range(rng.randrange(0, 30)))) for i in range(60)]
@@ -101,6 +140,7 @@ def test_error_rates(spark):
         h, s, d, i = accuracy.align(a, b)
         assert s + d + i == plain_distance(a, b) and h + s + d == len(a) and h + s + i == len(b)
         assert rows[k].mer == (s + d + i) / (len(a) + i)
+        assert rows[k].wil == (1 - h * h / (len(a) * len(b)) if b else 1.0)
     assert (rows["same"].wer, rows["same"].cer, rows["same"].mer, rows["same"].wil) == (0.0, 0.0, 0.0, 0.0)
     assert rows["none"].wer == 2.0 and rows["both"].wer == 0.0
 

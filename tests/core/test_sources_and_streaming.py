@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 import __spark_entry__
 from lectern.operators import ledger
 from lectern.schemas import TRANSCRIPT
-from lectern.sources import readers, settings, writers
+from lectern.sources import readers, writers
 from lectern.streaming import incremental
 
 
@@ -59,13 +59,20 @@ def test_texts_and_report(spark, tmp_path):
     path = str(tmp_path / "texts")
     rows = spark.createDataFrame([("a", " x "), ("b", "y")], "video_id string, text string")
     assert tuple(writers.write_texts(rows, path).first()) == (2, 0)
+    assert [p.read_text() for p in (tmp_path / "texts/video_id=a").glob("*.txt")] == ["x\n"]
     more = rows.union(spark.createDataFrame([("c", "z")], rows.schema))
     assert tuple(writers.write_texts(more, path).first()) == (1, 2)
-    value = writers.report(rows, rows.agg(F.count("*").alias("num_files"))).first().value
+    value = writers.report(rows, [F.count("*").alias("num_files")], ["video_id", "text"]).first().value
     assert json.loads(value) == {"num_files": 2, "files": [{"video_id": "a", "text": " x "}, {"video_id": "b", "text": "y"}]}
     writers.write_report(spark.createDataFrame([(value,)], "value string"), str(tmp_path / "report"))
     writers.write_captions(rows, str(tmp_path / "captions"))
     assert {r.parsed for r in spark.read.parquet(str(tmp_path / "captions")).collect()} == {"x", "y"}
+    few = writers.report(rows, [F.count("*").alias("n")], ["video_id"], listed=F.col("text") == "y").first().value
+    assert json.loads(few) == {"n": 2, "files": [{"video_id": "b"}]}
+    with pytest.raises(ValueError, match="unknown targets"):
+        writers.mirror_targets({"a": rows}, str(tmp_path / "all"), "video_id", only=["z"])
+    assert writers.mirror_targets({"a": rows, "b": rows}, str(tmp_path / "all"), "video_id", only=["b"]) == ["b"]
+    assert spark.read.parquet(str(tmp_path / "all/b")).count() == 2 and not (tmp_path / "all/a").exists()
     for delete in (False, True):
         writers.mirror(rows, str(tmp_path / "mirror"), "video_id", delete)
         writers.mirror(rows.where("video_id = 'a'"), str(tmp_path / "mirror"), "video_id", delete)
@@ -80,14 +87,6 @@ def test_waveforms(spark, tmp_path):
     assert [(r.video_id, r.sample_rate, r.samples) for r in rows] == [("x", 16000, [0.5, -0.5])]
 
 
-def test_settings(tmp_path):
-    with pytest.raises(FileNotFoundError):
-        settings.load(tmp_path / "none.yaml")
-    (tmp_path / "s.yaml").write_text('{"input": "in", "download": {"quality": "lowest"}, "unknown": 1}')
-    got = settings.load(tmp_path / "s.yaml")
-    assert got.input == str(tmp_path / "in") and got.download.quality == "lowest" and got.download.retries == 3
-
-
 def test_stream_skips_what_succeeded(spark, tmp_path):
     schema = spark.createDataFrame([], "video_id string").schema
     folder, book, checkpoint = (str(tmp_path / n) for n in ("in", "ledger", "checkpoint"))
