@@ -36,7 +36,7 @@ def folders(spark: SparkSession, path: str, key: str) -> DataFrame:
 
 
 def files(spark: SparkSession, folder: str, glob: str | None = None) -> DataFrame:
-    """path, file_name, stem, length, modificationTime of the regular files directly in a folder, by path; contents unread."""
+    """path, file_name, stem, length, modificationTime of the regular files directly in a folder, by path; contents unread. Empty files aren't listed."""
     if not exists(spark, folder):
         return spark.createDataFrame([], "path string, file_name string, stem string, length long, modificationTime timestamp")
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "false")
@@ -95,11 +95,18 @@ def listing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def whole_texts(spark: SparkSession, folder: str, glob: str) -> DataFrame:
-    """video_id (file stem), text: one row per file, its whole content."""
-    if not exists(spark, folder):
-        return spark.createDataFrame([], "video_id string, text string")
-    rows = spark.read.option("pathGlobFilter", glob).text(folder, wholetext=True)
-    return rows.select(stem(_file_name()).alias("video_id"), F.col("value").alias("text"))
+    """video_id, text: one row per file, its whole content; files directly in the folder by their stems, and files in folders
+    of a key (video_id=value) by that.
+    """
+    reader = lambda: spark.read.option("pathGlobFilter", glob)
+    empty = spark.createDataFrame([], "video_id string, text string")
+    if matching(spark, f"{folder}/{glob}"):
+        empty = empty.union(reader().text(f"{folder}/{glob}", wholetext=True).select(stem(_file_name()), "value"))
+    if matching(spark, f"{folder}/video_id=*"):
+        value = F.regexp_extract(F.col("_metadata.file_path"), "/video_id=([^/]*)/[^/]*$", 1)
+        twice = lambda c: F.url_decode(F.replace(c, F.lit("+"), F.lit("%2B")))
+        empty = empty.union(reader().text(f"{folder}/video_id=*", wholetext=True).select(twice(twice(value)), "value"))
+    return empty
 
 
 def references(spark: SparkSession, folder: str) -> DataFrame:

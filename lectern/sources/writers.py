@@ -2,15 +2,41 @@
 
 from __future__ import annotations
 
+import re
+import tempfile
+import uuid
 from collections.abc import Collection, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import export
 from .readers import exists
 
 
+def put(spark: SparkSession, path: str, text: str) -> None:
+    """One small file of a given name, written by the driver; an old one is replaced."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    out = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(at, True)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+
+
+_LOCAL: dict[str, str] = {}
+
+
+def work_folder(spark: SparkSession, what: str) -> str:
+    """A new folder's path below spark.checkpoint.dir, which all machines see; a temporary one only on a single machine."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir names no folder that the driver and the executors share")
+        named = _LOCAL.setdefault(spark.sparkContext.applicationId, tempfile.mkdtemp(prefix="lectern-"))
+    return f"{named.rstrip('/')}/{what}-{uuid.uuid4().hex}"
+
+
 def guarded(rows: DataFrame, key: str = "video_id") -> DataFrame:
     """Fails on a blank key."""
     blank = F.coalesce(F.col(key), F.lit("")) == ""
