@@ -2,8 +2,10 @@ import os
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
-from lectern.plans import files
+from lectern.operators import answers as op
+from lectern.plans import answers, files
 
 
 @pytest.fixture(scope="module")
@@ -14,11 +16,43 @@ def con(sf):
         yield c
 
 
-@pytest.mark.parametrize("name", sorted(files.queries()))
-def test_files_hold_what_sql_says(spark, sf, con, name):
-    found = files.queries()[name](spark, sf)
+QUERIES, SQL = {**files.queries(), **answers.queries()}, {**files.oracle_sql(), **answers.oracle_sql()}
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_queries_give_what_sql_says(spark, sf, con, name):
+    found = QUERIES[name](spark, sf)
     got = sorted((tuple(r[c] for c in sorted(found.columns)) for r in found.collect()), key=repr)
-    told = con.execute(files.oracle_sql()[name])
+    told = con.execute(SQL[name])
     names = [d[0] for d in told.description]
     assert sorted(names) == sorted(found.columns)
     assert got == sorted((tuple(r[names.index(c)] for c in sorted(names)) for r in told.fetchall()), key=repr) and got
+
+
+def test_cleaning(spark):
+    texts = {"Um, so it was... uh fine. er, and then? hmm": "So it was... Fine. And then?", None: "", "  ": "", "umbrella erm": "Umbrella", "a\u00a0b!  c": "A b! C"}
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, t string").select("i", op.clean(F.col("t")).alias("c")).collect()
+    assert [r.c for r in sorted(rows)] == list(texts.values())
+
+
+def test_chunks_hold_whole_sentences(spark):
+    text = "One two three. Four five! Six? Seven eight nine ten eleven twelve. End"
+    rows = op.chunks(spark.createDataFrame([("a", text), ("b", None), ("c", "")], "id string, text string"), "id", max_words=5).collect()
+    assert [(r.chunk, r.n_words, r.text) for r in sorted(rows, key=lambda r: r.chunk)] == [(0, 5, "One two three. Four five!"), (1, 7, "Six? Seven eight nine ten eleven twelve."), (2, 1, "End")]
+
+
+def test_metrics_of_odd_pairs(spark):
+    pairs = [("same", "a b c d e", "a b c d e"), ("none", "", ""), ("null", None, "x"), ("part", "the cat sat on the mat", "the cat on the mat"), ("apart", "a b c d", "e f g h")]
+    rows = {r.video_id: r for r in op.gram_metrics(spark.createDataFrame(pairs, "video_id string, reference string, hypothesis string")).collect()}
+    assert tuple(rows["same"])[1:] == (1.0, 1.0, 1.0)
+    assert all(tuple(rows[k])[1:] == (0.0, 0.0, 0.0) for k in ("none", "null", "apart"))
+    assert rows["part"].rouge1 == pytest.approx(10 / 11) and rows["part"].rouge2 == pytest.approx(2 * 3 / 9) and rows["part"].bleu == 0.0
+
+
+def test_too_many_queries_are_an_error(spark, monkeypatch):
+    monkeypatch.setattr(op, "MAX_QUERIES", 2)
+    rows = spark.createDataFrame([(i, [1.0, float(i)]) for i in range(3)], "vec_id long, embedding array<double>")
+    with pytest.raises(ValueError):
+        op.retrieve(rows, rows.withColumnRenamed("vec_id", "query_id"))
+    got = op.retrieve(rows, rows.where("vec_id = 0").withColumnRenamed("vec_id", "query_id"), k=2).collect()
+    assert [(r.rank, r.vec_id) for r in got] == [(1, 0), (2, 1)]
