@@ -119,10 +119,14 @@ select p.video_id, round(case when len(r) > 0 then cost::double / len(r) else co
 
 def oracle_sql() -> dict[str, str]:
     label = "case when quality = 1 then 'success' else 'failed' end"
-    ascii_pairs = "p as (select d.doc_id as video_id, b.text as reference, d.text as hypothesis from documents d join benchmark b on d.doc_id % 40 = b.item_id where d.lang = 'en' and regexp_full_match(d.text, '[\\x00-\\x7f]*') and regexp_full_match(b.text, '[\\x00-\\x7f]*'))"
-    turn_pairs = "p as (select conv_id * 1000 + turn as video_id, text as reference, lead(text) over (partition by conv_id order by turn) as hypothesis from conversations)"
-    cer = f"""{turn_pairs}, n as (select video_id, {normalised('reference')} as r, {normalised('hypothesis')} as h from p where hypothesis is not null and regexp_full_match(reference || hypothesis, '[\\x00-\\x7f]*')),
-        c as (select video_id, round(case when length(r) > 0 then levenshtein(r, h)::double / length(r) else levenshtein(r, h)::double end, 6) as cer from n)"""
+    # levenshtein() counts bytes: characters beyond ASCII are mapped to ASCII ones that normalised texts don't have
+    free = " || ".join(["'ABCDEFGHIJKLMNOPQRSTUVWXYZ!#%&()*,-./:;?@[]_{}'", *[f"chr({i})" for i in (*range(1, 9), *range(14, 28), 127)]])
+    cer = f"""p as (select conv_id * 1000 + turn as video_id, text as reference, lead(text) over (partition by conv_id order by turn) as hypothesis from conversations),
+        n as (select video_id, {normalised('reference')} as r, {normalised('hypothesis')} as h from p where hypothesis is not null),
+        o as (select distinct unnest(string_split(r || h, '')) as ch from n), m as (select coalesce(string_agg(ch, '' order by ch), '') as odd, left({free}, count(*)) as free from o where unicode(ch) > 127),
+        c as (select video_id, levenshtein(translate(r, odd, free), translate(h, odd, free))::double as d, r from n, m), e as (select video_id, round(case when length(r) > 0 then d / length(r) else d end, 6) as cer from c)"""
+    document_pairs = """b as (select row_number() over (order by item_id, text) - 1 as place, text as reference from benchmark),
+        p as (select d.doc_id as video_id, b.reference, d.text as hypothesis from documents d left join b on b.place = coalesce(((d.doc_id % (select greatest(1, count(*)) from b)) + (select greatest(1, count(*)) from b)) % (select greatest(1, count(*)) from b), 0))"""
     caption_lines = f"list_transform(regexp_split_to_array(coalesce(html, ''), '{tx.LINE_END}'), lambda x: {strip('x')})"
     label_free = tx.SPEAKER_LABEL.replace("'", "''")
     spoken = f"list_filter({caption_lines}, lambda x: x <> '' and not regexp_matches(x, '{tx.CAPTION_HEADERS}') and not contains(x, '-->') and not regexp_matches(x, '{tx.DIGITS_ONLY}'))"
@@ -181,9 +185,9 @@ def oracle_sql() -> dict[str, str]:
             select md5(text) as text_md5, cast(length(text) as integer) as n_chars from c""",
         "normalise_text": f"select doc_id, md5({normalised('text')}) as normalised_md5 from documents",
         "text_scalars": f"""select doc_id, {last} as last_line, right({strip('text')}, 50) as tail, left(text, 30) as preview, source || '.v' || doc_id as stem, case when lang = 'es' then null else {strip('lang')} end as language, md5({sentence(strip('text'))}) as first_sentence_md5 from documents""",
-        "word_counts_of_pairs": f"with {ascii_pairs} select video_id, cast(len({words('reference')}) as integer) as reference_word_count, cast(len({words('hypothesis')}) as integer) as hypothesis_word_count from p",
-        "cer_pairs": f"with {cer} select video_id, cer from c",
-        "worst_rates": f"with {cer} select video_id, cer from c order by cer desc, video_id limit 20",
+        "word_counts_of_documents": f"with {document_pairs} select video_id, cast(len({words('reference')}) as integer) as reference_word_count, cast(len({words('hypothesis')}) as integer) as hypothesis_word_count from p",
+        "cer_of_turns": f"with {cer} select video_id, cer from e",
+        "worst_turns": f"with {cer} select video_id, cer from e order by cer desc, video_id limit 20",
         "metadata_project": f"""select cast(page_id as varchar) as id, regexp_extract(url, '^https?://([^/]+)', 1) as title, cast(length(html) as double) as duration, cast(null as boolean) as was_live, cast(null as bigint) as view_count,
             case when page_id % 2 = 0 and url <> '' then url else '{acquisition.URL_PREFIX}' || page_id end as url from pages""",
         "listing_entries": "select page_id as position, cast(page_id as varchar) as id from (select page_id from pages order by page_id limit 100) where page_id % 7 <> 0",

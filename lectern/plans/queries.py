@@ -339,19 +339,6 @@ def document_error_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return accuracy.score(_document_pairs(spark, sf_dir))
 
 
-def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """English ASCII documents against the benchmark item of their number modulo 40, as the SQL of word_counts_of_pairs has it."""
-    bench = table(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("reference"))
-    docs = table(spark, sf_dir, "documents").where("lang = 'en'").where(F.col("text").rlike(r"^[\x00-\x7f]*$"))
-    return docs.withColumn("item_id", F.col("doc_id") % 40).join(bench.where(F.col("reference").rlike(r"^[\x00-\x7f]*$")), "item_id").select(F.col("doc_id").alias("video_id"), "reference", F.col("text").alias("hypothesis"))
-
-
-def word_counts_of_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The part of word_counts_of_documents that its SQL has: English ASCII documents, 40 items."""
-    rows = _pairs(spark, sf_dir)
-    return rows.select("video_id", tx.word_count(F.col("reference")).alias("reference_word_count"), tx.word_count(F.col("hypothesis")).alias("hypothesis_word_count"))
-
-
 def error_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Speaker turns against the next turn of the conversation: word, character, match and information rates, whole texts."""
     return accuracy.score(_turn_pairs(spark, sf_dir))
@@ -383,7 +370,7 @@ def _worst_cer(rows: DataFrame) -> DataFrame:
 
 
 def cer_of_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Character error rate of every turn against the next turn, in code points. No SQL: DuckDB's levenshtein counts bytes."""
+    """Character error rate of every turn against the next turn, in code points."""
     return _cer(_turn_pairs(spark, sf_dir))
 
 
@@ -392,17 +379,6 @@ def worst_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _worst_cer(cer_of_turns(spark, sf_dir))
 
 
-def cer_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The part of cer_of_turns that SQL can check: turns that are ASCII on both sides."""
-    ascii_only = F.concat("reference", "hypothesis").rlike(r"^[\x00-\x7f]*$")
-    return _cer(_turn_pairs(spark, sf_dir).where(ascii_only))
-
-
-def worst_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The part of worst_turns that SQL can check: the worst of cer_pairs."""
-    return _worst_cer(cer_pairs(spark, sf_dir))
-
-
 def metadata_project(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages are info records; every other one lacks a web address."""
     host = F.regexp_extract("url", "^https?://([^/]+)", 1)
@@ -463,7 +439,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         word_count, repetition_score, doc_quality_flags, flagged_topn, flag_counts, report_counts, corpus_stats, stat_lines, speaker_stats, speaker_maps,
         target_speaker, target_distribution, target_segments, target_text, aligned_segments, kept_words, diarization_quality, worst_diarized, confidence_stats, speech_coverage, transcript_audit, transcript_flag_counts, worst_transcripts,
         pending_work, run_summary, dedup_stem, ledger_migration, first_labelled, key_comparison, numbered_files, reference_coverage, caption_clean, topic_line, export_blocks, combined_text, normalise_text,
-        text_scalars, word_counts_of_documents, document_error_rates, word_counts_of_pairs, error_rates, word_error_rates, worst_error_rates, cer_of_turns, worst_turns, cer_pairs, worst_rates, metadata_project, listing_entries, total_duration, rate_parse, backoff,
+        text_scalars, word_counts_of_documents, document_error_rates, error_rates, word_error_rates, worst_error_rates, cer_of_turns, worst_turns, metadata_project, listing_entries, total_duration, rate_parse, backoff,
         download_plan, pair_generation, quality_report,
     )
     return {f.__name__: f for f in found}
