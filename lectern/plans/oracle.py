@@ -94,7 +94,7 @@ df as (select *, list_filter([case when target_word_count = 0 then 'empty_target
 
 TRANSCRIPTS = f"""
 v0 as (select user_id, event_id, event_type, value, row_number() over (partition by user_id order by ts, event_id) as pos, count(*) over (partition by user_id) as n from events),
-v1 as (select *, n::double / (0.5::double + user_id % 6) as duration, event_type || case when user_id % 2 = 1 then cast(pos as varchar) else '' end as word,
+v1 as (select *, n::double / (0.5::double + user_id % 6) as duration, case when user_id % 4 = 0 then 'w' || pos % 5 else event_type end || case when user_id % 2 = 1 then cast(pos as varchar) else '' end as word,
   case when user_id % 3 = 0 then 0.5::double + (value - floor(value)) / 2 else value - floor(value) end as p from v0),
 v2 as (select user_id, any_value(duration) as duration, any_value(n) as n, case when user_id % 7 <> 0 then string_agg(word, ' ' order by pos) else '' end as text,
   case when user_id % 8 <> 0 then avg(p) end as conf, case when user_id % 8 <> 0 then count(*) filter (where p < 0.5)::double / count(*) end as low,

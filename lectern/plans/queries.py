@@ -177,7 +177,7 @@ def confidence_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Users as transcripts: a segment of one word for each event, of its type, or of its type and number for odd users.
 
-    Every third user is spoken clearly, every fifth hardly speaks, every seventh has no text, every eighth no words in its segments, and the pace is 0.5 to
+    Every fourth user repeats five words, every third user is spoken clearly, every fifth hardly speaks, every seventh has no text, every eighth no words in its segments, and the pace is 0.5 to
     5.5 words a second, so that every flag is met.
     """
     own = Window.partitionBy("user_id")
@@ -185,7 +185,8 @@ def _transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
     duration = F.col("n") / (0.5 + F.col("user_id") % 6)
     start = (F.col("pos") - 1) * duration / F.col("n")
     end = start + duration / F.col("n") * F.when(F.col("user_id") % 5 == 0, 0.1).otherwise(0.9)
-    word = F.concat(F.lit(" "), "event_type", F.when(F.col("user_id") % 2 == 1, F.col("pos").cast("string")).otherwise(F.lit("")))
+    kind = F.when(F.col("user_id") % 4 == 0, F.concat(F.lit("w"), (F.col("pos") % 5).cast("string"))).otherwise(F.col("event_type"))
+    word = F.concat(F.lit(" "), kind, F.when(F.col("user_id") % 2 == 1, F.col("pos").cast("string")).otherwise(F.lit("")))
     part = F.col("value") - F.floor("value")
     words = F.array(F.struct(start.alias("start"), end.alias("end"), word.alias("word"), F.when(F.col("user_id") % 3 == 0, 0.5 + part / 2).otherwise(part).alias("probability")))
     segment = F.struct(F.col("pos").alias("id"), start.alias("start"), end.alias("end"), F.ltrim(word).alias("text"), F.when(F.col("user_id") % 8 != 0, words).alias("words"))

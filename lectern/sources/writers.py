@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import export
-from .readers import exists
+from .readers import delete, exists
 
 
 def put(spark: SparkSession, path: str, text: str) -> None:
@@ -69,10 +69,16 @@ def write_report(value: DataFrame, path: str) -> None:
 
 def write_report_table(rows: DataFrame, summary: Sequence[Column], path: str, *, order: str, name: str = "files") -> None:
     """A report of any number of rows: `path/name` holds them as JSON lines in the order of a column, `path/summary` the
-    aggregates as one line.
+    aggregates as one line. The rows are computed once, into a table that goes when both stand.
     """
-    rows.repartitionByRange(order).sortWithinPartitions(order).write.mode("overwrite").option("ignoreNullFields", "false").json(f"{path}/{name}")
-    rows.agg(*summary).coalesce(1).write.mode("overwrite").option("ignoreNullFields", "false").json(f"{path}/summary")
+    spark, once = rows.sparkSession, f"{path}/_rows-{uuid.uuid4().hex}"
+    try:
+        rows.write.parquet(once)
+        rows = spark.read.parquet(once)
+        rows.repartitionByRange(order).sortWithinPartitions(order).write.mode("overwrite").option("ignoreNullFields", "false").json(f"{path}/{name}")
+        rows.agg(*summary).coalesce(1).write.mode("overwrite").option("ignoreNullFields", "false").json(f"{path}/summary")
+    finally:
+        delete(spark, once)
 
 
 def write_texts(rows: DataFrame, path: str, key: str = "video_id", overwrite: bool = False) -> DataFrame:
