@@ -77,7 +77,29 @@ def compare(left: DataFrame, right: DataFrame, key: Sequence[str] = ("video_id",
     return both.agg(F.count_if(has_a).alias("n_left"), F.count_if(has_b).alias("n_right"), F.count_if(has_a & has_b).alias("n_both"), F.count_if(has_a & ~has_b).alias("only_left"), F.count_if(has_b & ~has_a).alias("only_right"))
 
 
+#: Ranges of the order in which numbered() counts, and rows by which their bounds are found.
+RANGES, SAMPLED = 256, 4096
+
+
 def numbered(items: DataFrame, order: str, by: str | None = None) -> DataFrame:
-    """items with `i` (from 1) and `n`, as progress lines show them; within each value of `by`, if given."""
-    over = Window.partitionBy(by) if by else Window.partitionBy()
-    return items.withColumn("i", F.row_number().over(over.orderBy(order))).withColumn("n", F.count("*").over(over))
+    """items with `i` (from 1) and `n`, as progress lines show them; within each value of `by`, if given.
+
+    Rows are numbered within ranges of the order, and each range begins after the rows of those before, so neither one
+    source nor the whole is one task; the bounds are those of the SAMPLED rows of lowest hash. Nulls come first. Equal values share a range; which of them
+    is first is open. An empty table stays empty.
+    """
+    names = items.columns
+    value = F.col(f"`{order}`")
+    low = items.select(value.alias("v")).where("v is not null").orderBy(F.xxhash64("v"), "v").limit(SAMPLED)
+    found = sorted({r.v for r in low.collect()})
+    bounds = found[:: max(1, len(found) // RANGES)][1:]
+    kind = items.schema[order].dataType
+    place = F.size(F.filter(F.array(*[F.lit(b).cast(kind) for b in bounds]), lambda b: b <= value)) if bounds else F.lit(0)
+    rows = items.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row"), value.alias("_v"), (F.col(f"`{by}`") if by else F.lit(0)).alias("_by"), F.when(value.isNull(), -1).otherwise(place).alias("_range"))
+    counts = rows.groupBy("_by", "_range").agg(F.count("*").alias("_c"))
+    own = Window.partitionBy("_by")
+    before = own.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select(F.col("_by").alias("_b"), F.col("_range").alias("_r"), F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_start"), F.sum("_c").over(own).alias("n"))
+    inside = rows.withColumn("_i", F.row_number().over(Window.partitionBy("_by", "_range").orderBy("_v")))
+    met = inside.join(starts, F.col("_by").eqNullSafe(F.col("_b")) & (F.col("_range") == F.col("_r")))
+    return met.select("_row.*", (F.col("_start") + F.col("_i")).cast("long").alias("i"), "n")

@@ -173,7 +173,7 @@ def oracle_sql() -> dict[str, str]:
         "first_labelled": "select doc_id, lang from documents where doc_id in (select doc_id from labels) order by doc_id limit 1",
         "key_comparison": """with k as (select d.doc_id as a, l.doc_id as b from (select distinct doc_id from documents where source = 'src0') d full join (select distinct doc_id from labels) l on d.doc_id = l.doc_id)
             select count(a) as n_left, count(b) as n_right, count(*) filter (where a is not null and b is not null) as n_both, count(*) filter (where b is null) as only_left, count(*) filter (where a is null) as only_right from k""",
-        "numbered_files": "select doc_id, cast(row_number() over (partition by source order by doc_id) as integer) as i, count(*) over (partition by source) as n, '/data/' || source as folder, source || '/' || doc_id || '.json' as below from documents",
+        "numbered_files": "select doc_id, row_number() over (partition by source order by doc_id) as i, count(*) over (partition by source) as n, '/data/' || source as folder, source || '/' || doc_id || '.json' as below from documents",
         "reference_coverage": """with b as (select case when l.doc_id % 2 <> 0 or d.doc_id is null then 'm' when l.toxic = 1 then 'e' else 's' end as b from labels l left join documents d on l.doc_id = d.doc_id)
             select count(*) filter (where b = 's') as num_scored, count(*) filter (where b = 'm') as missing_transcript, count(*) filter (where b = 'e') as empty_reference from b""",
         "caption_clean": f"select page_id, {strip(f'''regexp_replace(regexp_replace(array_to_string({plain}, ' '), '{tx.PARENTHESIS}', '', 'g'), '[{S}]+', ' ', 'g')''')} as text from pages",

@@ -168,6 +168,23 @@ def test_ledger(spark):
     assert sorted(r.path for r in ledger.first_of_stem(paths).collect()) == ["s.mkv", "t.mp4"]
 
 
+def test_numbers_follow_the_order(spark, monkeypatch):
+    monkeypatch.setattr(ledger, "RANGES", 7)
+    rng = random.Random(12)
+    keys = rng.sample(range(100_000), 300)
+    rows = spark.createDataFrame([(k, rng.choice(["a", "b", None]), "x") for k in keys] + [(None, "a", "y")], "k long, s string, _row string").repartition(5)
+    for by in (None, "s"):
+        got = ledger.numbered(rows, "k", by).collect()
+        assert len(got) == 301
+        for group in {r.s if by else 0 for r in got}:
+            own = sorted([r for r in got if not by or r.s == group], key=lambda r: r.i)
+            assert [r.i for r in own] == list(range(1, len(own) + 1)) and {r.n for r in own} == {len(own)}
+            assert own == sorted(own, key=lambda r: (r.k is not None, r.k or 0))
+    words = spark.createDataFrame([(w,) for w in ("é", "a", "Z", "b", "")], "w string")
+    assert [r.w for r in sorted(ledger.numbered(words, "w").collect(), key=lambda r: r.i)] == ["", "Z", "a", "b", "é"]
+    assert ledger.numbered(rows.limit(0), "k").count() == 0
+
+
 def test_export(spark):
     rows = spark.createDataFrame([("a", " Hi there. More."), ("b", None), ("c", "x"), ("d", "y")], "video_id string, text string")
     titles = spark.createDataFrame([("a", "Title"), ("c", None)], "video_id string, title string")
