@@ -28,9 +28,9 @@ def sentence_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def retrieved(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The vectors whose number divides by 100 ask all others and themselves."""
+    """The vectors whose number divides by 50 ask all others and themselves."""
     vectors = base.table(spark, sf_dir, "embeddings")
-    rows = answers.retrieve(vectors, vectors.where("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"), "embedding"))
+    rows = answers.retrieve(vectors, vectors.where("vec_id % 50 = 0").select(F.col("vec_id").alias("query_id"), "embedding"))
     return rows.select("query_id", "rank", "vec_id", base.r6("score").alias("score"))
 
 
@@ -61,7 +61,7 @@ def oracle_sql() -> dict[str, str]:
             a as (select *, cast(floor(coalesce(sum(n) over (partition by doc_id order by pos rows between unbounded preceding and 1 preceding), 0) / 100) as integer) as place from n),
             g as (select doc_id, place, cast(sum(n) as bigint) as n_words, string_agg(s, ' ' order by pos) as text from a group by doc_id, place)
             select doc_id, cast(dense_rank() over (partition by doc_id order by place) - 1 as integer) as chunk, n_words, md5(text) as text_md5 from g""",
-        "retrieved": """with s as (select q.vec_id as query_id, v.vec_id, list_cosine_similarity(v.embedding::double[], q.embedding::double[]) as score from embeddings v join embeddings q on q.vec_id % 100 = 0),
+        "retrieved": """with s as (select q.vec_id as query_id, v.vec_id, list_cosine_similarity(v.embedding::double[], q.embedding::double[]) as score from embeddings v join embeddings q on q.vec_id % 50 = 0),
             r as (select *, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank from s) select query_id, rank, vec_id, round(score, 6) as score from r where rank <= 10""",
         "answer_metrics": f"""with p0 as (select conv_id * 1000 + turn as video_id, text as reference, lead(text) over (partition by conv_id order by turn) as hypothesis from conversations),
             p as (select video_id, {oracle.words('lower(reference)')} as r, {oracle.words('lower(hypothesis)')} as h from p0 where hypothesis is not null),

@@ -49,10 +49,10 @@ def test_metrics_of_odd_pairs(spark):
     assert rows["part"].rouge1 == pytest.approx(10 / 11) and rows["part"].rouge2 == pytest.approx(2 * 3 / 9) and rows["part"].bleu == 0.0
 
 
-def test_too_many_queries_are_an_error(spark, monkeypatch):
+def test_queries_in_waves(spark, monkeypatch):
+    rows = spark.createDataFrame([(i, [1.0, float(i)]) for i in range(12)] + [(90, None), (91, []), (92, [0.0, 0.0]), (93, [1.0])], "vec_id long, embedding array<double>")
+    asked = rows.withColumnRenamed("vec_id", "query_id")
+    want = sorted(map(tuple, op.retrieve(rows, asked, k=3).collect()))
+    assert [r[:3] for r in want if r[0] == 0] == [(0, 1, 0), (0, 2, 1), (0, 3, 2)] and [r[:3] for r in want if r[0] > 11] == [(93, 1, 93)]
     monkeypatch.setattr(op, "MAX_QUERIES", 2)
-    rows = spark.createDataFrame([(i, [1.0, float(i)]) for i in range(3)], "vec_id long, embedding array<double>")
-    with pytest.raises(ValueError):
-        op.retrieve(rows, rows.withColumnRenamed("vec_id", "query_id"))
-    got = op.retrieve(rows, rows.where("vec_id = 0").withColumnRenamed("vec_id", "query_id"), k=2).collect()
-    assert [(r.rank, r.vec_id) for r in got] == [(1, 0), (2, 1)]
+    assert sorted(map(tuple, op.retrieve(rows, asked, k=3).collect())) == want
