@@ -135,7 +135,8 @@ def meet(many: DataFrame, one: DataFrame, key: str, hot: DataFrame | None, how:
     if hot is None:
         return many.join(one, key, how)
     hot = F.broadcast(hot)  # at most HOT_KEYS rows
-    rest = F.xxhash64(*[F.col(f"`{c}`") for c in many.columns if c != key])
+    others = [F.col(f"`{c}`") for c in many.columns if c != key]
+    rest = F.xxhash64(*others) if others else F.lit(0)
     left = many.join(hot, key, "left").withColumn("_salt", F.coalesce(F.pmod(rest, F.col("_salts")).cast("int"), F.lit(0))).drop("_salts")
     right = one.join(hot, key, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))).drop("_salts")
     return left.join(right, [key, "_salt"], how).drop("_salt")
