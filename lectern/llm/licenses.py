@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -78,13 +81,23 @@ OPENINGS = (
 _OPENING = r"(?i)(?=(?<![\p{L}\p{N}])(?:" + "|".join(o.replace(" ", r"[^\p{L}\p{N}]+") for o in OPENINGS) + "))"
 
 
+#: What a text holds, in lower case, if one of the two patterns above is to find anything. Fixed values.
+_SIGNS = ("copyright", "©", "(c)", "all rights reserved")
+
+
+def _signed(text: Column) -> Column:
+    """Whether a pattern may find anything: a plain search, by which most texts are spared the patterns."""
+    return bound(F.lower(text), lambda low: reduce(or_, [low.contains(sign) for sign in _SIGNS]))
+
+
 def canonical(text: Column) -> Column:
     """Copyright lines dropped, lower case, runs of anything but letters and digits as one space, equivalent spellings as one.
 
     Null is the empty text. Words stand between two spaces of their own while spellings are replaced, so that
     neighbours are replaced both; each spelling is looked for once, in the order of the table.
     """
-    kept = F.regexp_replace(F.coalesce(text, F.lit("")), _COPYRIGHT, "")
+    whole = F.coalesce(text, F.lit(""))
+    kept = F.when(_signed(whole), F.regexp_replace(whole, _COPYRIGHT, "")).otherwise(whole)
     words = F.concat(F.lit(" "), F.trim(F.regexp_replace(F.lower(kept), r"[^\p{L}\p{N}]+", "  ")), F.lit(" "))
     for old, new in SPELLINGS.items():
         words = F.replace(words, F.lit(_apart(old)), F.lit(_apart(new)))
@@ -117,7 +130,7 @@ def without_statement(text: Column) -> Column:
     def of(halves: Column) -> Column:
         return bound(F.split(F.concat(F.lit(" "), F.get(halves, F.lit(1))), _OPENING, 2), lambda rest: F.when((F.size(rest) == 2) & ~rest[0].contains("\n"), F.concat(halves[0], F.lit("\n"), F.get(rest, F.lit(1)))))
 
-    return F.when(text.rlike(_MARK), bound(parts, of))
+    return F.when(_signed(text) & text.rlike(_MARK), bound(parts, of))
 
 
 def known_licenses(spark: SparkSession, known: dict[str, str] | None = None) -> DataFrame:
