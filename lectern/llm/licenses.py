@@ -160,8 +160,10 @@ def scan(docs: DataFrame, known: DataFrame, max_broadcast: int = MAX_BROADCAST,
         table, rows = table.union(digests.select("canonical_sha256", "license_id")), rows.union(digests.select("license_id"))
     table = table.groupBy("canonical_sha256").agg(F.min("license_id").alias("license_id"))
     few = rows.limit(max_broadcast + 1).count() <= max_broadcast
-    whole = digest(F.col("text"))
-    found = docs.select("doc_id", whole.alias("canonical_sha256"), F.coalesce(bound(without_statement(F.col("text")), lambda t: F.when(t.isNotNull(), digest(t))), whole).alias("_again"))
+    again = bound(without_statement(F.col("text")), lambda t: F.when(t.isNotNull(), digest(t)))
+    # the whole text's digest once a row, whatever the optimizer merges
+    both = F.transform(F.array(digest(F.col("text"))), lambda whole: F.struct(whole.alias("canonical_sha256"), F.coalesce(again, whole).alias("_again")))
+    found = docs.select("doc_id", "text").select("doc_id", F.inline(both))
     again = table.select(F.col("canonical_sha256").alias("_again"), F.col("license_id").alias("_license"))
     if few:
         table, again = F.broadcast(table), F.broadcast(again)
