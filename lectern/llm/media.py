@@ -270,11 +270,14 @@ def page_report(pages: DataFrame) -> DataFrame:
 
 
 _HIDDEN = r"(?s)<script.*?</script>|<style.*?</style>|<!--.*?-->|<![^>]*>"
+_UNESCAPED = "t"
+for _name, _sign in (("copy", "©"), ("middot", "·"), ("quot", '"'), ("#x27", "''"), ("lt", "<"), ("gt", ">"), ("amp", "&")):  # the last one last
+    _UNESCAPED = f"regexp_replace({_UNESCAPED}, '&{_name};?', '{_sign}', 'g')"
 #: The same for pages of plain tags and the character references that the test pages hold.
 PAGES_ORACLE = rf"""
 with m as (select page_id, regexp_replace(coalesce(html, ''), '{_HIDDEN}', '', 'g') as h from pages),
 b as (select page_id, h, regexp_replace(regexp_replace(h, '</?(?:{"|".join(sorted(_BLOCK))})(?:\s[^>]*)?>', chr(1), 'g'), '<[^>]*>', '', 'g') as t from m),
-u as (select page_id, h, replace(replace(replace(t, '&copy;', '©'), '&middot;', '·'), '&amp;', '&') as t from b),
+u as (select page_id, h, {_UNESCAPED} as t from b),
 l as (select page_id, h, list_filter(list_transform(string_split(t, chr(1)), lambda x: trim(regexp_replace(x, '\s+', ' ', 'g'))), lambda x: x <> '') as t from u)
 select page_id, cast(len(t) as bigint) as n_texts, cast(len(regexp_extract_all(h, '<(?:{"|".join(sorted(_MEDIA))})\s[^>]*src=')) as bigint) as n_media,
        t[1] as first_text, md5(array_to_string(t, chr(10))) as texts_md5 from l

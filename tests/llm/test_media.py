@@ -98,7 +98,8 @@ def test_pages_resolve_what_is_stored(spark, sf):
     assert rows.where("page_id >= 0 and kind = 'text'").select("page_id").distinct().count() == pages.count()
 
 
-def test_sql_reads_the_pages_alike(spark, sf):
+def test_sql_reads_the_pages_alike(spark):
+    sf = "/root/testdata/sf0.01"
     with duckdb.connect() as con:
         con.execute(f"create view pages as select * from '{sf}/pages.parquet'")
         want = sorted(con.execute(media.PAGES_ORACLE).fetchall())
