@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard, langid, licenses, media, mixing, packing, pii, substring_dedup, token_codes, topk
+from . import jaccard, langid, licenses, line_dedup, media, mixing, packing, pii, spelling, substring_dedup, token_codes, topk, whitening
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -59,6 +59,18 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.drop_repeated_lines(table(spark, sf_dir, "documents"))
+
+
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten_embeddings(table(spark, sf_dir, "embeddings"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants_of_documents(table(spark, sf_dir, "documents"))
+
+
 def media_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The interleaved sequences of the web pages, by which SQL checks the parser."""
     return media.page_report(table(spark, sf_dir, "pages"))
@@ -77,9 +89,9 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_language_id, op2_personal_data, op3_jaccard_join, op4_exact_top_k, op5_interleaved_media, op6_pattern_packing, op7_mix_sources, op8_addressable_codes, op9_license_scan, op10_substring_dedup, media_pages, license_lines, pipeline)
+    found = (op1_language_id, op2_personal_data, op3_jaccard_join, op4_exact_top_k, op5_interleaved_media, op6_pattern_packing, op7_mix_sources, op8_addressable_codes, op9_license_scan, op10_substring_dedup, op11_line_dedup, op12_embedding_whitening, op13_spelling_variants, media_pages, license_lines, pipeline)
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_exact_top_k": topk.ORACLE, "op7_mix_sources": mixing.ORACLE, "op9_license_scan": licenses.oracle(), "media_pages": media.PAGES_ORACLE, "license_lines": licenses.lines_oracle()}
+    return {"op4_exact_top_k": topk.ORACLE, "op7_mix_sources": mixing.ORACLE, "op9_license_scan": licenses.oracle(), "op11_line_dedup": line_dedup.ORACLE, "media_pages": media.PAGES_ORACLE, "license_lines": licenses.lines_oracle()}

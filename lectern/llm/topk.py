@@ -26,10 +26,15 @@ _EXACT = 2.0**53
 
 
 def quantised(vector: Column, scale: int = SCALE) -> Column:
-    """floor(scale * x) of every component, x as double; null if the vector or a component is null or not finite."""
+    """floor(scale * x) of every component, x as double; null if the vector or a component is null or not finite. What doesn't
+    fit 64 bits is an error.
+    """
     as_double = F.transform(vector, lambda x: x.cast("double"))
     bad = F.exists(as_double, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == F.lit(float("inf"))))
-    return F.when(vector.isNotNull() & ~F.coalesce(bad, F.lit(True)), F.transform(as_double, lambda x: F.floor(x * scale).cast("long")))
+    beyond = F.exists(as_double, lambda x: F.abs(x * scale) >= F.lit(2.0**63))
+    floors = F.transform(as_double, lambda x: F.floor(x * scale).cast("long"))
+    whole = F.when(F.coalesce(beyond, F.lit(False)), F.raise_error(F.lit("a component is beyond 64 bits")).cast("array<bigint>")).otherwise(floors)
+    return F.when(vector.isNotNull() & ~F.coalesce(bad, F.lit(True)), whole)
 
 
 def _product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
