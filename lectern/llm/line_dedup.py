@@ -254,11 +254,11 @@ _KEY = r"translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) ||
 
 ORACLE = f"""
 with parts as (select doc_id, string_split(coalesce(text, ''), chr(10)) as lines from documents),
-places as (select doc_id, unnest(lines) as line, unnest(range(len(lines))) as at from parts),
-keyed as (select doc_id, at, line, {_KEY} as key from places),
+places as (select doc_id, unnest(lines) as line, unnest(range(len(lines))) as place from parts),
+keyed as (select doc_id, place, line, {_KEY} as key from places),
 gone as (select key from keyed where length(key) >= {MIN_CHARS} group by key having count(distinct doc_id) >= {MIN_DOCS}),
-marked as (select k.doc_id, k.at, k.line, g.key is not null as dropped from keyed k left join gone g on k.key = g.key)
+marked as (select k.doc_id, k.place, k.line, g.key is not null as dropped from keyed k left join gone g on k.key = g.key)
 select doc_id, count(*) as n_lines, cast(sum(cast(dropped as integer)) as bigint) as n_dropped,
-  sha256(coalesce(string_agg(line, chr(10) order by at) filter (where not dropped), '')) as kept_sha256
+  sha256(coalesce(string_agg(line, chr(10) order by place) filter (where not dropped), '')) as kept_sha256
 from marked group by doc_id
 """
