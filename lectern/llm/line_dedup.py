@@ -218,7 +218,7 @@ def keep_bitmaps(docs: DataFrame, *, min_docs: int = MIN_DOCS, min_chars: int =
 def drop_lines(docs: DataFrame, bitmaps: DataFrame, *, with_text: bool = False) -> DataFrame:
     """doc_id, n_lines, n_dropped, kept_sha256 (and kept) for every row of docs, given its keep_bitmaps().
 
-    Lines that stay are joined by \\n. Rows without a bitmap keep all; null texts are empty. Repeated rows are treated alike.
+    Lines that stay are joined by \\n. Texts are shuffled once, here, and sorted nowhere. Rows without a bitmap keep all; null texts are empty. Repeated rows are treated alike.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
 
@@ -241,7 +241,8 @@ def drop_lines(docs: DataFrame, bitmaps: DataFrame, *, with_text: bool = False)
 
     short_batches(docs.sparkSession)
     found = bitmaps.select(F.col("doc_id").alias("_id"), F.col("copy").alias("_copy"), "keep")
-    joined = _named(docs).join(found, F.expr("copy = _copy and doc_id <=> _id"), "left").select("doc_id", "text", "keep")
+    # texts meet their bitmaps by a shuffle at every size; what a task holds in memory is bitmaps, not texts
+    joined = _named(docs).join(found.hint("shuffle_hash"), F.expr("copy = _copy and doc_id <=> _id"), "left").select("doc_id", "text", "keep")
     return joined.mapInArrow(run, f"doc_id {kind}, n_lines long, n_dropped long, kept_sha256 string" + ", kept string" * with_text)
 
 
