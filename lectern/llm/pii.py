@@ -27,7 +27,9 @@ _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 # Candidates that the base doesn't have; the classifier decides on these.
 _SECRET = re.compile(r"""(?<![A-Za-z0-9])(?:token|secret|password|passwd|api[_-]?key|access[_-]?key|auth)["']?\s{0,3}[:=]\s{0,3}["']?([A-Za-z0-9_/+.-]{8,}+)""", re.IGNORECASE)
-_OBFUSCATED = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63} ?[\[(] ?at ?[\])] ?[A-Za-z0-9-]{1,63}(?: ?[\[(] ?dot ?[\])] ?[A-Za-z0-9-]{2,63})+", re.IGNORECASE)
+# The look-behind lets a run of address characters be tried once, from its first letter or digit on; no part has a longest length.
+_ADDRESS = "A-Za-z0-9._%+-"
+_OBFUSCATED = re.compile(rf"(?<![{_ADDRESS}])[._%+-]*+([A-Za-z0-9][{_ADDRESS}]*+ *+[\[(] *+at *+[\])] *+[A-Za-z0-9-]++(?: *+[\[(] *+dot *+[\])] *+[A-Za-z0-9-]{{2,}}+)+)", re.IGNORECASE)
 _LOCAL_PHONE = re.compile(r"(?<![0-9+.(-])(?:\([0-9]{3}\) ?|[0-9]{3}[-.])[0-9]{3}[-.][0-9]{4}(?![0-9-])")
 #: Account numbers: length by country of the gazetteer, and any other of 15 characters or more. Written without spaces or
 #: in groups of four and a shorter last one. A listed country's own length goes first, so that no word after it is taken.
@@ -105,7 +107,7 @@ def extra_spans(text: str) -> list[tuple[int, int, str]]:
     if "=" in text or ":" in text:
         out += [(m.start(1), m.end(1), "secret") for m in _SECRET.finditer(text)]
     if "[" in text or "(" in text:
-        out += [(m.start(), m.end(), "obfuscated") for m in _OBFUSCATED.finditer(text)]
+        out += [(m.start(1), m.end(1), "obfuscated") for m in _OBFUSCATED.finditer(text)]
     if _HAS_DIGIT.search(text):
         out += [(m.start(), m.end(), "local") for m in _LOCAL_PHONE.finditer(text)]
         out += [(m.start(), m.end(), "number") for m in _NUMBER.finditer(text)]

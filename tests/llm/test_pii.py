@@ -203,3 +203,43 @@ def test_redaction(spark):
 
 def test_empty_table(spark):
     assert pii.report(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def plain_written_out(text):
+    """Written-out addresses, piece by piece: text is cut at its signs for at and dot."""
+    out, ats = [], list(re.finditer(r"(?i) *[\[(] *at *[\])] *", text))
+    done = 0
+    for m in ats:
+        start = m.start()
+        while start > 0 and re.match(r"[A-Za-z0-9._%+-]", text[start - 1]):
+            start -= 1
+        while start < m.start() and not (text[start].isascii() and text[start].isalnum()):
+            start += 1
+        end, parts = m.end(), 0
+        while True:
+            part = re.compile(r"[A-Za-z0-9-]+").match(text, end)
+            if not part or (parts and len(part[0]) < 2):
+                break
+            parts, last = parts + 1, part.end()
+            dot = re.compile(r"(?i) *[\[(] *dot *[\])] *").match(text, last)
+            if not dot:
+                break
+            end = dot.end()
+        if start < m.start() and parts > 1 and start >= done:
+            out.append((start, last))
+            done = last
+    return out
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.lists(st.sampled_from(["joe", "a.b", "-", " ", "[at]", " (AT) ", "[ dot ]", "(dot)", "com", "x", "é", ".", "é "]), max_size=14))
+def test_written_out_addresses_against_plain_cuts(parts):
+    text = "".join(parts)
+    assert [s[:2] for s in pii.extra_spans(text) if s[2] == "obfuscated"] == plain_written_out(text)
+
+
+def test_written_out_addresses_have_no_longest_length(spark):
+    texts = [f"mail {'x' * 65} [at] example [dot] com now", f"mail joe [at] {'d' * 70} [dot] com now", f"mail {'y' * 9000}(at){'z' * 9000}(dot){'q' * 9000} now", "mail ..joe  [ at ]  example (dot) org now"]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts * 20)], "doc_id long, text string")
+    model, _ = pii.fit(docs)
+    assert {r.text for r in pii.redact(docs, model).collect()} == {"mail [obfuscated] now", "mail ..[obfuscated] now"}
