@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import hashlib
+import html as entities
+import re
 import zlib
 from collections.abc import Iterator
-from html.parser import HTMLParser
 
 import numpy as np
 import pyarrow as pa
@@ -21,24 +22,42 @@ SCHEME = "sha256:"
 _MEDIA = {"img": "image", "audio": "audio", "video": "video", "source": "source", "embed": "embed"}
 _BLOCK = {"p", "div", "article", "section", "figure", "figcaption", "h1", "h2", "h3", "h4", "h5", "h6", "li", "ul", "ol", "table", "tr", "td", "th", "br", "hr", "body", "html", "head", "title", "blockquote", "pre", "header", "footer", "nav", "main", "aside"}
 _SILENT = {"script", "style", "template", "noscript"}
+#: Elements whose content holds no tags but their own end tag.
+_RAW = {"script", "style", "title", "textarea"}
+#: A tag up to its end: quotes count behind an equals sign only, and one that is never closed is a sign like any other.
+_TAG = re.compile(r"""<(/?)([A-Za-z][^\s/>]*+)((?:[^>"'=]++|=\s*+(?:"[^"]*+"|'[^']*+')|[="'])*+)>""")
+_ATTRIBUTE = re.compile(r"""([^\s"'<>/=]++)\s*+(?:=\s*+("[^"]*+"|'[^']*+'|[^\s>]*+))?""")
 
 ITEM = "struct<position:int,kind:string,text:string,src:string,digest:string,caption:string>"
 _ITEM_ARROW = pa.struct([("position", pa.int32()), ("kind", pa.string()), ("text", pa.string()), ("src", pa.string()), ("digest", pa.string()), ("caption", pa.string())])
 
 
-class _Sequence(HTMLParser):
+class _Figure:
+    """The media of a figure, and its last caption, which is that of all media before it."""
+
+    def __init__(self) -> None:
+        self.media: list[dict] = []
+        self.caption, self.upto = "", 0
+
+    def close(self) -> None:
+        for item in self.media[: self.upto]:
+            item["caption"] = self.caption
+
+
+class _Sequence:
     """Text blocks and media references in document order; a figure's caption goes to the figure's media.
 
     What scripts, styles, templates and noscript hold is no text. One that is left open hides what follows, as in a browser,
-    but for templates and noscript only up to the end of the body.
+    but for templates and noscript only up to the end of the body. A caption ends with its tag, its figure, another caption
+    or the body; blocks inside it are words apart. Comments, declarations and marked sections are no text, whatever they
+    hold. A comment or tag that the page never closes ends it. Every sign is looked at a fixed number of times at most.
     """
 
     def __init__(self) -> None:
-        super().__init__(convert_charrefs=True)
         self.items: list[dict] = []
         self.words: list[str] = []
         self.caption: list[str] | None = None
-        self.figures: list[list[dict]] = []
+        self.figures: list[_Figure] = []  # those that are open
         self.silent = 0
 
     def flush(self) -> None:
@@ -47,63 +66,116 @@ class _Sequence(HTMLParser):
         if text:
             self.items.append({"position": len(self.items), "kind": "text", "text": text, "src": None, "digest": None, "caption": None})
 
-    def handle_starttag(self, tag: str, attrs: list) -> None:
+    def handle_starttag(self, tag: str, given: dict[str, str]) -> None:
         if tag in _SILENT:
             self.silent += 1
         elif tag in _MEDIA:
             self.flush()
-            given = dict(attrs)
             if src := given.get("src"):
                 digest = src[len(SCHEME) :].lower() if src.startswith(SCHEME) else None
                 item = {"position": len(self.items), "kind": _MEDIA[tag], "text": None, "src": src, "digest": digest, "caption": given.get("alt") or given.get("title")}
                 self.items.append(item)
                 if self.figures:
-                    self.figures[-1].append(item)
-        elif tag == "figcaption":
-            self.flush()
-            self.caption = []
+                    self.figures[-1].media.append(item)
         elif tag in _BLOCK:
+            if tag == "figcaption" or tag == "figure":
+                self.end_caption()
+            elif self.caption is not None:
+                self.caption.append(" ")
+                return
             self.flush()
             if tag == "figure":
-                self.figures.append([])
+                self.figures.append(_Figure())
+            elif tag == "figcaption":
+                self.caption = []
+
+    def end_caption(self) -> None:
+        """What the open caption says goes to its figure's media, or is text where there are none."""
+        if self.caption is None:
+            return
+        said = " ".join("".join(self.caption).split())
+        self.caption = None
+        if said and self.figures and self.figures[-1].media:
+            self.figures[-1].caption, self.figures[-1].upto = said, len(self.figures[-1].media)
+        elif said:
+            self.words.append(said)
+        self.flush()
 
-    def handle_startendtag(self, tag: str, attrs: list) -> None:
-        if tag not in _SILENT:
-            self.handle_starttag(tag, attrs)
+    def feed(self, page: str) -> None:
+        """Cuts the page into tags, text and what is skipped."""
+        done = at = 0
+        while (at := page.find("<", at)) >= 0:
+            follows = page[at + 1 : at + 2]
+            if not (follows in ("!", "?") or (follows.isascii() and follows.isalpha()) or (follows == "/" and len(page) > at + 2)):
+                at += 1  # a sign like any other
+                continue
+            self.handle_data(entities.unescape(page[done:at]))
+            if page.startswith("<!--", at):
+                shut = next((x for x in ("<!-->", "<!--->") if page.startswith(x, at)), None)
+                end = at + len(shut) if shut else page.find("-->", at + 4) + 3
+                if end == 2:
+                    return
+            elif found := _TAG.match(page, at):
+                end, tag = found.end(), found[2].lower()
+                if found[1]:
+                    self.handle_endtag(tag)
+                else:
+                    shut = found[3].endswith("/")
+                    given: dict[str, str] = {}
+                    if tag in _MEDIA:
+                        for name, value in _ATTRIBUTE.findall(found[3]):
+                            given.setdefault(name.lower(), entities.unescape(value[1:-1] if value[:1] in ("'", '"') and value[-1:] == value[:1] and len(value) > 1 else value))
+                    if not (shut and tag in _SILENT):
+                        self.handle_starttag(tag, given)
+                    if tag in _RAW and not shut:
+                        close = re.compile(rf"</{tag}(?=[\s/>])", re.IGNORECASE).search(page, end)
+                        rest = page[end : close.start()] if close else page[end:]
+                        self.handle_data(entities.unescape(rest) if tag not in _SILENT else "")
+                        end += len(rest)
+            elif follows.isalpha() or page[at + 2 : at + 3].isalpha() and follows == "/":
+                return  # a tag without an end
+            else:
+                end = page.find(">", at) + 1
+                if not end:
+                    return
+            done = at = end
+        self.handle_data(entities.unescape(page[done:]))
 
     def handle_endtag(self, tag: str) -> None:
         if tag in _SILENT:
             self.silent = max(0, self.silent - 1)
         elif tag in ("body", "html"):
             self.silent = 0
+            self.end_caption()
             self.flush()
-        elif tag == "figcaption" and self.caption is not None:
-            said = " ".join("".join(self.caption).split())
-            for item in self.figures[-1] if self.figures else []:
-                item["caption"] = said or item["caption"]
-            if said and not (self.figures and self.figures[-1]):
-                self.words.append(said)
-            self.caption = None
-            self.flush()
+        elif tag == "figcaption":
+            self.end_caption()
         elif tag in _BLOCK:
+            if tag == "figure":
+                self.end_caption()
+                if self.figures:
+                    self.figures.pop().close()
+            elif self.caption is not None:
+                self.caption.append(" ")
+                return
             self.flush()
-            if tag == "figure" and self.figures:
-                self.figures.pop()
 
     def handle_data(self, data: str) -> None:
         if not self.silent:
             (self.words if self.caption is None else self.caption).append(data)
 
     def finish(self) -> list[dict]:
-        self.close()
-        if self.caption:
-            self.words += self.caption
+        self.end_caption()
         self.flush()
+        for figure in self.figures:
+            figure.close()
         return self.items
 
 
 def sequence(html: str | None) -> list[dict]:
-    """The items of a page. Null, empty or broken pages give what can be read, perhaps nothing; nothing raises."""
+    """The items of a page. Null, empty or broken pages give what can be read, perhaps nothing; no markup raises or takes
+    more than linear time.
+    """
     parser = _Sequence()
     parser.feed(html or "")
     return parser.finish()

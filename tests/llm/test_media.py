@@ -1,8 +1,11 @@
 import hashlib
+import time
 import zlib
 from collections import Counter
 
 import duckdb
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from lectern.llm import media
@@ -27,6 +30,31 @@ def test_odd_pages():
     assert said(media.sequence("<figcaption>alone</figcaption>")) == [("text", "alone", None)]
 
 
+def test_broken_markup_neither_raises_nor_moves_captions():
+    assert said(media.sequence("a<![foo[bar]]>b<![CDATA[<img src=x>]]>c<![if IE]>d<!>e<?php x ?>f</3>g")) == [("text", "ab]]>cdefg", None)]
+    open_caption = "<figure><img src=x><figcaption>c1</figure><p>a<p>b<img src=y><p>c"
+    assert said(media.sequence(open_caption)) == [("image", "x", "c1"), ("text", "a", None), ("text", "b", None), ("image", "y", None), ("text", "c", None)]
+    assert said(media.sequence("<figure><img src=x><figcaption><p>c1</p><div>c2</div></figcaption></figure>d")) == [("image", "x", "c1 c2"), ("text", "d", None)]
+    assert said(media.sequence("<figure><img src=x><figcaption>one<img src=y><figcaption>two</figure>e")) == [("image", "x", "two"), ("image", "y", "two"), ("text", "e", None)]
+    assert said(media.sequence("<!-- a")) == said(media.sequence("<p a='")) == []
+    assert said(media.sequence("""1 < 2 <img alt='a>b' src="c&amp;d" x=>e<IMG SRC=/f/g.png/>h <img src='i>j<p>k""")) == [("text", "1 < 2", None), ("image", "c&d", "a>b"), ("text", "e", None), ("image", "/f/g.png/", None), ("text", "h", None), ("image", "'i", None), ("text", "j", None), ("text", "k", None)]
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.lists(st.sampled_from(["<", ">", "!", "--", "[", "]", "/", "figure", "figcaption", "img src=x", "'", '"', "=", "p", " ", "script", "&lt;", "é", "<p>", "</", "<!--", "-->", "title"]), max_size=40))
+def test_no_markup_raises(parts):
+    items = media.sequence("".join(parts))
+    assert [i["position"] for i in items] == list(range(len(items)))
+
+
+def test_broken_markup_takes_linear_time():
+    n = 40_000
+    began = time.perf_counter()
+    for page in ("<a " * n, "<!--" * n, "<a b='" * n, "<a/" * n, "</a " * n, "<![ " * n, "<" * n, '<a b="c>' * n, "<script>" * n, "<title>a</titl" * n, "<figure>" + "<img src=x><figcaption>c" * n, "<a b=' >" + "<a c=\" >" * n, "<img src = " * n + ">", "<a" + " " * n + ">"):
+        media.sequence(page)
+    assert time.perf_counter() - began < 20
+
+
 def test_whole_table_round_trip(spark, sf):
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
     docs += [(10**6, None), (10**6 + 1, ""), (10**6 + 2, "x" * 64), (10**6 + 3, "é" * 100_001), (None, "same"), (7, "same"), (7, "same"), (8, "\0" * 3), (9, "a <b> &amp; c\n\n \n<img src=x> &lt;\nd\r\n"), (10, "\n\n"), (11, "x &copy y\n<!-- z --> </p>")]
