@@ -37,10 +37,22 @@ def quantised(vector: Column, scale: int = SCALE) -> Column:
     return F.when(vector.isNotNull() & ~F.coalesce(bad, F.lit(True)), whole)
 
 
+def _largest(a: np.ndarray) -> float:
+    return float(max(a.max(initial=0), -float(a.min(initial=0))))
+
+
+def _in_double(a: float, b: float, dims: int) -> bool:
+    """Whether sums of products of integers up to a and b, over so many dimensions, are exact in double precision. It is
+    asked of all dimensions, not of a block: blocks are added up.
+    """
+    return a * b * dims < _EXACT
+
+
 def _product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """a @ b of integers, in double precision where that is exact and in 64-bit integers elsewhere."""
-    largest = float(np.abs(a).max(initial=0)) * float(np.abs(b).max(initial=0)) * a.shape[1]
-    return a.astype(np.float64) @ b.astype(np.float64) if largest < _EXACT else a @ b
+    """a @ b of integers, whole vectors each, in double precision where that is exact and in 64-bit integers elsewhere."""
+    if _in_double(_largest(a), _largest(b), a.shape[1]):
+        return a.astype(np.float64) @ b.astype(np.float64)
+    return a @ b
 
 
 def floors(queries: np.ndarray, k: int, sample: int = SAMPLE) -> np.ndarray:
@@ -61,7 +73,8 @@ class Bounded:
         self.ids, self.queries, self.k = ids, queries, k
         self.order = np.argsort(-np.abs(queries.astype(np.float64)).sum(0), kind="stable")  # heavy dimensions first
         self.q = queries[:, self.order]
-        self.q_left = np.sqrt(np.cumsum((self.q.astype(np.float64) ** 2)[:, ::-1], 1)[:, ::-1])
+        self.q_double, self.largest = self.q.astype(np.float64), _largest(queries)
+        self.q_left = np.sqrt(np.cumsum((self.q_double**2)[:, ::-1], 1)[:, ::-1])
         self.floor = np.full(len(ids), -np.inf) if floor is None else floor.astype(np.float64)
         self.by_id = np.argsort(ids, kind="stable")
         none = np.empty(0, np.int64)
@@ -83,16 +96,24 @@ class Bounded:
         dims, n = columns.shape
         cuts = [*range(0, dims, DIM_BLOCK), dims]
         squares = np.cumsum((columns.astype(np.float64) ** 2)[::-1], 0)[::-1]
+        if self.q_left[:, 0].max(initial=0) * np.sqrt(squares[0].max(initial=0)) >= 2.0**62.99:
+            raise OverflowError("scores are beyond 64 bits")  # no partial sum is larger than the norms' product
+        double = _in_double(self.largest, _largest(columns), dims)
+        q = self.q_double if double else self.q
+        columns = columns.astype(np.float64) if double else columns
+        unsure = 0.0 if double else 2.0**-50  # share of a 64-bit score that comparing it in double precision may lose
         own_i, own_j = self._own(ids, vectors)
         single = copies[own_j] == 1
         gone = (own_i[single], own_j[single])
-        score = _product(self.q[:, : cuts[1]], columns[: cuts[1]])
+        score = q[:, : cuts[1]] @ columns[: cuts[1]]
         pairs = None
         for b in range(1, len(cuts) - 1):
             c, d = cuts[b], cuts[b + 1]
             left, right = self.q_left[:, c], np.sqrt(squares[c])
             if pairs is None:
                 bound = left[:, None] * right[None, :] * (1 + 1e-9) + 1e-6
+                if unsure:
+                    bound += np.abs(score) * unsure
                 sure = score - bound
                 sure[gone] = -np.inf
                 if n > self.k:  # the k-th best of what is surely reached
@@ -102,16 +123,16 @@ class Bounded:
                 stay = score + bound >= self.floor[:, None]
                 stay[gone] = False
                 if stay.mean() > SPARSE:
-                    score = score + _product(self.q[:, c:d], columns[c:d])
+                    score = score + q[:, c:d] @ columns[c:d]
                     continue
                 i, j = np.nonzero(stay)
                 pairs, score = (i, j), score[i, j]
             else:
                 i, j = pairs
-                stay = score + left[i] * right[j] * (1 + 1e-9) + 1e-6 >= self.floor[i]
+                stay = score + (left[i] * right[j] * (1 + 1e-9) + 1e-6 + np.abs(score) * unsure) >= self.floor[i]
                 i, j, score = i[stay], j[stay], score[stay]
                 pairs = i, j
-            score = score + self._pair_products(i, j, columns, c, d)
+            score = score + self._pair_products(q, i, j, columns, c, d)
         if pairs is None:
             stay = score >= self.floor[:, None]
             stay[gone] = False
@@ -125,11 +146,11 @@ class Bounded:
         others[own] -= 1
         self._take(i, np.rint(score).astype(np.int64) if score.dtype.kind == "f" else score, ids[j], others)
 
-    def _pair_products(self, i: np.ndarray, j: np.ndarray, columns: np.ndarray, c: int, d: int) -> np.ndarray:
+    def _pair_products(self, q: np.ndarray, i: np.ndarray, j: np.ndarray, columns: np.ndarray, c: int, d: int) -> np.ndarray:
         out = np.empty(len(i), columns.dtype)
         rows = np.ascontiguousarray(columns[c:d].T)
         for a in range(0, len(i), 1 << 18):
-            out[a : a + (1 << 18)] = np.einsum("pd,pd->p", self.q[i[a : a + (1 << 18)], c:d], rows[j[a : a + (1 << 18)]])
+            out[a : a + (1 << 18)] = np.einsum("pd,pd->p", q[i[a : a + (1 << 18)], c:d], rows[j[a : a + (1 << 18)]])
         return out
 
     def _take(self, i: np.ndarray, score: np.ndarray, ids: np.ndarray, copies: np.ndarray) -> None:
@@ -174,7 +195,8 @@ def top_k(vectors: DataFrame, is_query: Column, *, k: int = K, queries: int = QU
     one row with a count until ranks are given, so that many of them aren't many candidates. Queries go out in waves, which
     bounds what a wave sends to the executors (QUERY_BYTES); each wave scans the candidates once where they stand, each
     task returns its best k for each query, and a wave's result is written before the next is asked, so neither the
-    driver nor the plan grows with the number of waves. Extra columns are ignored. Empty table: empty result.
+    driver nor the plan grows with the number of waves. Scores are exact; where the vectors' norms allow one beyond 64 bits
+    that is an error. Extra columns are ignored. Empty table: empty result.
     """
     spark = vectors.sparkSession
     if vectors.schema["vec_id"].dataType.simpleString() not in ("tinyint", "smallint", "int", "bigint"):

@@ -1,4 +1,6 @@
+import math
 import random
+import struct
 
 import pytest
 from pyspark.sql import functions as F
@@ -43,6 +45,25 @@ def test_large_values_stay_exact(spark):
     assert ask(spark, rows, 5) == brute(rows, 5, lambda q: q % 5 == 0)
 
 
+def test_sums_of_blocks_stay_exact(spark):
+    """Each block of dimensions would be exact in double precision, their sum isn't."""
+    rng = random.Random(7)
+    for low in (2**16, 2**12):
+        vectors = [(i, [struct.unpack("f", struct.pack("f", rng.uniform(low, 2 * low)))[0] for _ in range(512)]) for i in range(60)]
+        frame = spark.createDataFrame(vectors, "vec_id long, embedding array<float>").select("vec_id", topk.quantised(F.col("embedding")).alias("v"))
+        rows = [(i, tuple(math.floor(64 * x) for x in v)) for i, v in vectors]
+        assert {r.vec_id: tuple(r.v) for r in frame.collect()} == dict(rows)
+        found = sorted(map(tuple, topk.top_k(frame, F.col("vec_id") % 5 == 0, k=10, rows=16).collect()))
+        assert found == brute(rows, 10, lambda q: q % 5 == 0)
+
+
+def test_beyond_64_bits_is_an_error(spark):
+    with pytest.raises(Exception, match="64 bits"):
+        ask(spark, [(0, (2**40, 1)), (1, (2**40, 2))], 1)
+    with pytest.raises(Exception, match="64 bits"):
+        spark.createDataFrame([([1e30],)], "e array<double>").select(topk.quantised(F.col("e"))).collect()
+
+
 def test_other_ids_are_an_error(spark):
     with pytest.raises(ValueError):
         topk.top_k(spark.createDataFrame([("a", [1])], "vec_id string, v array<long>"), F.lit(True))
