@@ -23,22 +23,29 @@ def _ledger(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame
     return readers.read_ledger(spark, path, columns)
 
 
-def _run(items: DataFrame, finished: DataFrame, done_by: Callable[[DataFrame], DataFrame], save: Callable[[DataFrame], None], book: str, columns: tuple[str, ...], work: str, verb: str, *, key: Sequence[str] = ("video_id",), required: DataFrame | None = None, dry_run: bool = False) -> DataFrame:
-    """The frame of every job: done_by() gives items a result and an error, save() writes those without an error."""
+def _run(items: DataFrame, finished: DataFrame, done_by: Callable[[DataFrame], DataFrame], save: Callable[[DataFrame], None], book: str, columns: tuple[str, ...], work: str, verb: str, *, order: str, key: Sequence[str] = ("video_id",), required: DataFrame | None = None, dry_run: bool = False) -> DataFrame:
+    """The frame of every job: done_by() gives items a result and an error, save() writes those without an error.
+
+    Items that share a key are tried in their order, the next only if the one before failed; a success leaves the rest of
+    its key skipped. A dry run counts them all.
+    """
     spark = items.sparkSession
     rows = ledger.classify(items, finished, key, required=required, dry_run=dry_run, verb=verb)
     names = ("skipped", "missing", f"would_{verb}") if dry_run else ("skipped", "missing", "succeeded", "failed")
     if dry_run:
         return ledger.summary(rows, names)
-    at = f"{work.rstrip('/')}/_run-{uuid.uuid4().hex}"
-    try:
-        done_by(rows.where("status = 'pending'").drop("status")).write.parquet(at)
-        done = spark.read.parquet(at)
+
+    def after(done: DataFrame) -> None:
         save(done.where("error is null"))
         status = F.when(F.col("error").isNull(), F.lit("success")).otherwise(F.lit("failed"))
         writers.append_ledger(done.withColumn("status", status).withColumn("timestamp", utc_now()), book, columns)
-        outcome = done.select(F.when(F.col("error").isNull(), F.lit("succeeded")).otherwise(F.lit("failed")).alias("status"))
-        counts = ledger.summary(rows.select("status").where("status <> 'pending'").union(outcome), names).first()
+
+    at = f"{work.rstrip('/')}/_run-{uuid.uuid4().hex}"
+    try:
+        rows.write.parquet(f"{at}/all")  # before anything is done that would change it
+        rows = spark.read.parquet(f"{at}/all")
+        tried = ledger.rounds(rows.where("status = 'pending'").drop("status"), done_by, at, key=key, order=(order,), after=after)
+        counts = ledger.summary(rows.select("status").where("status <> 'pending'").union(tried.select("status")), names).first()
     finally:
         readers.delete(spark, at)
     return spark.createDataFrame([tuple(counts)], ", ".join(f"{c} long" for c in (*names, "total")))
@@ -52,8 +59,8 @@ def _outputs(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _audio(spark: SparkSession, folder: str, source: str) -> DataFrame:
-    """One item for each stem; of files that share one the first by path."""
-    return ledger.first_of_stem(readers.files(spark, folder).select("stem", "path")).select(F.col("stem").alias("video_id"), F.col("path").alias(source))
+    """The files of a folder; those that share a stem are one recording, in the order of their paths."""
+    return readers.files(spark, folder).select(F.col("stem").alias("video_id"), F.col("path").alias(source))
 
 
 def transcribe(spark: SparkSession, config: settings.Transcription, load: Callable[[], Callable[[dict], dict]], *, dry_run: bool = False, attempts: int = 1) -> DataFrame:
@@ -70,7 +77,7 @@ def transcribe(spark: SparkSession, config: settings.Transcription, load: Callab
         docs = models.transcript_documents(done.withColumnRenamed("source_path", "source_audio"), size=model.size, device=model.device, compute_type=model.compute_type)
         writers.write_documents(docs, out)
 
-    return _run(items, finished, done_by, save, book, ledger.TRANSCRIPTION, out, "transcribe", dry_run=dry_run)
+    return _run(items, finished, done_by, save, book, ledger.TRANSCRIPTION, out, "transcribe", order="source_path", dry_run=dry_run)
 
 
 def _struct(ddl: str) -> str:
@@ -100,7 +107,7 @@ def diarize(spark: SparkSession, config: settings.Diarization, load: Callable[[]
         docs = alignment.isolate(texts.select("video_id", "duration", "segments").join(done.select("video_id"), "video_id", "left_semi"), turns, strategy=config.target_speaker.strategy)
         writers.write_documents(docs.join(done.select("video_id", "source_audio"), "video_id").withColumn("diarized_at", utc_now()), out)
 
-    return _run(items, finished, done_by, save, book, ledger.DIARIZATION, out, "diarize", required=texts.select("video_id"), dry_run=dry_run)
+    return _run(items, finished, done_by, save, book, ledger.DIARIZATION, out, "diarize", order="source_audio", required=texts.select("video_id"), dry_run=dry_run)
 
 
 def extract_audio(spark: SparkSession, config: settings.Audio, load: Callable[[], Callable[[dict], dict]], *, dry_run: bool = False) -> DataFrame:
@@ -116,7 +123,7 @@ def extract_audio(spark: SparkSession, config: settings.Audio, load: Callable[[]
         asked = todo.select("*", path.alias("output_path"), acquisition.codec(F.lit(how.format)).alias("codec"), F.lit(how.sample_rate).alias("sample_rate"), F.lit(how.channels).alias("channels"))
         return asked.join(models.apply_model(asked, "encoder", load, "struct<ok:boolean>"), "video_id")
 
-    return _run(items, finished, done_by, lambda done: None, book, ledger.AUDIO, made, "extract", dry_run=dry_run)
+    return _run(items, finished, done_by, lambda done: None, book, ledger.AUDIO, made, "extract", order="source_path", dry_run=dry_run)
 
 
 def download(spark: SparkSession, config: settings.Acquisition, listing: DataFrame, load: Callable[[], Callable[[dict], dict]], *, dry_run: bool = False, sleep: Callable[[float], None] | None = None) -> DataFrame:
@@ -130,7 +137,6 @@ def download(spark: SparkSession, config: settings.Acquisition, listing: DataFra
         F.col("id").alias("video_id"), F.coalesce(F.nullif("title", F.lit("")), "id").alias("title"), acquisition.entry_url(F.col("webpage_url"), F.col("url"), F.col("id")).alias("url"),
         acquisition.mode(audio).alias("mode"), acquisition.format_selector(audio, F.lit(how.quality)).alias("selector"), F.col("position"),
     )
-    items = ledger.first_of_stem(items, "video_id", "position").drop("position")
     key = ("video_id", "mode")
     there = readers.files(spark, folder).select(F.col("stem").alias("video_id"), acquisition.mode(audio).alias("mode"))
     finished = ledger.done(_ledger(spark, book, ledger.DOWNLOAD), there, key)
@@ -146,7 +152,7 @@ def download(spark: SparkSession, config: settings.Acquisition, listing: DataFra
         docs = acquisition.metadata(info.withColumn("id", F.coalesce("id", "_id")).withColumn("url", F.coalesce("url", "_url")).withColumn("downloaded_at", utc_now()))
         writers.write_documents(docs, out.metadata_dir, "id")
 
-    return _run(items, finished, done_by, save, book, ledger.DOWNLOAD, out.metadata_dir, "download", key=key, dry_run=dry_run)
+    return _run(items, finished, done_by, save, book, ledger.DOWNLOAD, out.metadata_dir, "download", order="position", key=key, dry_run=dry_run)
 
 
 def fetch(items: DataFrame, existing: DataFrame, load: Callable[[], Callable[[dict], dict]], work: str, *, key: str = "video_id", attempts: int = 3) -> tuple[DataFrame, DataFrame]:

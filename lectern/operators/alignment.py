@@ -44,7 +44,7 @@ def flat_words(transcripts: DataFrame, key: str = "video_id") -> DataFrame:
     return segments.select(key, "seg_pos", F.posexplode(F.when(F.size(F.coalesce("seg.words", F.array())) > 0, given).otherwise(whole)).alias("word_pos", "w")).select(key, "seg_pos", "word_pos", "w.*")
 
 
-def in_turns(words: DataFrame, turns: DataFrame, key: str, *, bucket_rows: int = scan.BUCKET_ROWS) -> DataFrame:
+def in_turns(words: DataFrame, turns: DataFrame, key: str, *, bucket_rows: int | None = scan.BUCKET_ROWS) -> DataFrame:
     """The words whose midpoint lies in some turn of the same recording, both ends included.
 
     That is so if the latest end of the turns that begin up to the midpoint isn't before it: one shuffle and one sort, not
@@ -64,7 +64,7 @@ def in_turn_array(mid: Column, turns: Column) -> Column:
     return F.exists(turns, lambda t: mid.between(t["start"], t["end"]))
 
 
-def islands(rows: DataFrame, key: str, order: Sequence[str], keep: Column, *, bucket_rows: int = scan.BUCKET_ROWS) -> DataFrame:
+def islands(rows: DataFrame, key: str, order: Sequence[str], keep: Column, *, bucket_rows: int | None = scan.BUCKET_ROWS) -> DataFrame:
     """The rows where keep holds, with `island`: rows of a key with no dropped row between them share one. Long keys are cut
     by their order, and the count of dropped rows is carried on.
     """
@@ -73,7 +73,7 @@ def islands(rows: DataFrame, key: str, order: Sequence[str], keep: Column, *, bu
     return scan.running(marked, key, order, {"island": ("sum", dropped)}, bucket_rows=bucket_rows).where("_keep").drop("_keep")
 
 
-def segments(kept: DataFrame, key: str, order: Sequence[str], *, text: str = "word", separator: str = "", bucket_rows: int = scan.BUCKET_ROWS) -> DataFrame:
+def segments(kept: DataFrame, key: str, order: Sequence[str], *, text: str = "word", separator: str = "", bucket_rows: int | None = scan.BUCKET_ROWS) -> DataFrame:
     """key, id (from 0), start, end, text of each island: first start, last word's end, texts joined in order and stripped.
 
     An island's text is one value by nature; the islands of a key are numbered bucket by bucket where they are many.
@@ -90,7 +90,7 @@ def joined_text(found: DataFrame, key: str) -> DataFrame:
     return found.groupBy(key).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("id", "text"))), lambda s: s["text"]), " ").alias("text"))
 
 
-def isolate(transcripts: DataFrame, turns: DataFrame, key: str = "video_id", *, strategy: str = "longest_total_duration", bucket_rows: int = scan.BUCKET_ROWS) -> DataFrame:
+def isolate(transcripts: DataFrame, turns: DataFrame, key: str = "video_id", *, strategy: str = "longest_total_duration", bucket_rows: int | None = scan.BUCKET_ROWS) -> DataFrame:
     """Diarized documents from transcripts (key, duration, segments) and turns (key, speaker, start, end).
 
     Recordings without a turn give no row (the caller records them as failed). Everything is keyed by recording; the
@@ -100,6 +100,7 @@ def isolate(transcripts: DataFrame, turns: DataFrame, key: str = "video_id", *,
     chosen = target_speaker(stats, key, strategy=strategy)
     own = turns.join(chosen, key).where("speaker = target_speaker")
     words = flat_words(transcripts, key)
+    bucket_rows = bucket_rows if scan.any_long(words.select(key).union(turns.select(key)), key, bucket_rows) else None
     order = ["seg_pos", "word_pos"]
     hit = in_turns(words, own, key, bucket_rows=bucket_rows).select(key, *order).withColumn("hit", F.lit(True))
     found = segments(islands(words.join(hit, [key, *order], "left"), key, order, F.col("hit"), bucket_rows=bucket_rows), key, order, bucket_rows=bucket_rows)

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -42,6 +43,38 @@ def first_of_stem(items: DataFrame, stem: str = "stem", order: str = "path") ->
     return items.withColumn("_n", F.row_number().over(Window.partitionBy(stem).orderBy(order))).where("_n = 1").drop("_n")
 
 
+def rounds(items: DataFrame, attempt: Callable[[DataFrame], DataFrame], work: str, *, key: Sequence[str] = ("stem",), order: Sequence[str] = ("path",), after: Callable[[DataFrame], None] = lambda done: None) -> DataFrame:
+    """items with `status` and `error`: those of one key are tried in order until one succeeds, the rest are skipped.
+
+    attempt() gives what it was given a string `error`, null where it succeeded, and other columns if it likes, the same
+    in each round. Round n tries the n-th item of each key whose item before failed, so a round is a join with the round
+    before, of whatever size, and there are as many as some key has failures in a row. Each round is written under `work`
+    before after() sees it: what is tried is tried once. Items of equal order share a place and are told apart by nothing,
+    so order should name each; null keys are one key. No items: no rows, no round.
+    """
+    spark, key = items.sparkSession, list(key)
+    ranked = items.withColumn("_n", F.row_number().over(Window.partitionBy(*key).orderBy(*order)))
+    ranked.write.parquet(f"{work}/items")
+    ranked = spark.read.parquet(f"{work}/items")
+    match = lambda a, b: reduce(Column.__and__, [a[c].eqNullSafe(b[c]) for c in key])
+    todo, n, tried = ranked.where("_n = 1"), 1, []
+    while not todo.isEmpty():
+        attempt(todo.drop("_n")).withColumn("_n", F.lit(n)).write.parquet(f"{work}/round-{n}")
+        done = spark.read.parquet(f"{work}/round-{n}")
+        tried.append(done)
+        after(done.drop("_n"))
+        n += 1
+        failed = done.where("error is not null").select(*key)
+        following = ranked.where(F.col("_n") == n)
+        todo = following.join(failed, match(following, failed), "left_semi")
+    if not tried:
+        return items.select("*", F.lit("skipped").alias("status"), F.lit(None).cast("string").alias("error")).limit(0)
+    tried = reduce(DataFrame.unionByName, tried)
+    rest = ranked.join(tried, match(ranked, tried) & (ranked["_n"] == tried["_n"]), "left_anti").withColumn("status", F.lit("skipped"))
+    status = F.when(F.col("error").isNull(), F.lit("succeeded")).otherwise(F.lit("failed"))
+    return tried.withColumn("status", status).unionByName(rest, allowMissingColumns=True).drop("_n")
+
+
 def classify(items: DataFrame, finished: DataFrame, key: Sequence[str] = ("video_id",), *, required: DataFrame | None = None, dry_run: bool = True, verb: str = "process") -> DataFrame:
     """items with `status`: skipped if finished, then missing if what is required isn't there, else would_<verb> or pending.
 

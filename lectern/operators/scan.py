@@ -41,12 +41,21 @@ def _bounds(rows: DataFrame, key: str, order: Sequence[str], bucket_rows: int) -
     return spark.createDataFrame(made, f"_scan_k {kind.simpleString()}, _scan_coarse array<{kinds}>, _scan_fine array<array<{kinds}>>")
 
 
-def running(rows: DataFrame, key: str, order: Sequence[str], found: Mapping[str, tuple[str, Column]], *, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+def any_long(rows: DataFrame, key: str, bucket_rows: int | None = BUCKET_ROWS) -> bool:
+    """Whether some key has more than bucket_rows rows; False for None."""
+    if bucket_rows is None:
+        return False
+    counts = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n"))
+    return not counts.where(F.col("_n") > bucket_rows).limit(1).isEmpty()
+
+
+def running(rows: DataFrame, key: str, order: Sequence[str], found: Mapping[str, tuple[str, Column]], *, bucket_rows: int | None = BUCKET_ROWS) -> DataFrame:
     """rows with a column for each of found, name -> (max or sum, value): the aggregate over the rows of its key up to this one,
     in the order of the columns `order` (nulls first), itself included.
 
     Keys of up to bucket_rows rows are one window each. Longer ones are cut where a sample says, a window a bucket, and
-    every bucket takes over the aggregates of those before it, a row a bucket: so one key may hold all rows. Rows whose
+    every bucket takes over the aggregates of those before it, a row a bucket: so one key may hold all rows. Counting the
+    keys is a pass of its own; None spares it where the caller knows that no key is long (any_long). Rows whose
     order is equal stay together, so order should tell rows apart where many could be equal. Null keys are a key like any
     other, but never cut. An empty table stays empty.
     """
@@ -55,7 +64,7 @@ def running(rows: DataFrame, key: str, order: Sequence[str], found: Mapping[str,
         raise ValueError(f"rows have columns of the result's names: {used}")
     whole = {"max": F.max, "sum": F.sum}
     place = F.struct(*[F.col(c) for c in order])
-    bounds = _bounds(rows, key, order, bucket_rows)
+    bounds = None if bucket_rows is None else _bounds(rows, key, order, bucket_rows)
     if bounds is None:
         w = Window.partitionBy(key).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
         return rows.select("*", *[whole[how](value).over(w).alias(name) for name, (how, value) in found.items()])

@@ -130,6 +130,14 @@ def _shouting():
     return model
 
 
+def stem_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files of which up to five share a stem; one in three can be read. A stem's files are tried in order until one can."""
+    number = F.concat(F.lit("f"), F.floor(F.col("doc_id") / 5).cast("string"))
+    items = base.table(spark, sf_dir, "documents").select(number.alias("stem"), F.concat(number, F.lit("."), (F.col("doc_id") % 5).cast("string")).alias("path"), "n_chars")
+    failed = F.when(F.col("n_chars") % 3 != 0, F.concat(F.lit("cannot read "), "path"))
+    return ledger.rounds(items, lambda todo: todo.withColumn("error", failed), writers.work_folder(spark, "rounds")).select("path", "status", "error")
+
+
 def model_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nations through a model that fails for some: outcomes beside the assembled transcripts."""
     rows = _nations(spark, sf_dir).withColumn("video_id", F.col("key").cast("string"))
@@ -176,7 +184,7 @@ def real_time_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (listed_files, json_documents, text_files, caption_files, ledger_files, title_file, mirrored, report_table, streamed_outcomes, model_documents, flat_words, ordered_turns, nested_kept_words, real_time_factors)
+    found = (listed_files, json_documents, text_files, caption_files, ledger_files, title_file, mirrored, report_table, streamed_outcomes, stem_rounds, model_documents, flat_words, ordered_turns, nested_kept_words, real_time_factors)
     return {f.__name__: f for f in found}
 
 
@@ -197,6 +205,9 @@ def oracle_sql() -> dict[str, str]:
             select target, cast(c_nationkey as integer) as c_nationkey, count(*) as n, max(c_custkey) as last from c group by all""",
         "report_table": f"with {oracle.DOC_QUALITY} select doc_id, word_count, array_to_string(flags, ',') as flags, (select count(*) from q) as num_files, (select count(*) from q where len(flags) > 0) as num_flagged from q",
         "streamed_outcomes": "select cast(doc_id as varchar) as video_id, case when doc_id % 10 = 3 then 'failed' else 'success' end as status, case when doc_id % 10 = 3 then 'no' else '' end as error, case when doc_id % 10 = 3 then 2 else 1 end::bigint as n from documents",
+        "stem_rounds": """with f as (select 'f' || (doc_id // 5) as stem, 'f' || (doc_id // 5) || '.' || (doc_id % 5) as path, n_chars % 3 = 0 as ok from documents),
+            b as (select *, coalesce(bool_or(ok) over (partition by stem order by path rows between unbounded preceding and 1 preceding), false) as over from f)
+            select path, case when over then 'skipped' when ok then 'succeeded' else 'failed' end as status, case when not over and not ok then 'cannot read ' || path end as error from b""",
         "model_documents": """select cast(n_nationkey as varchar) as video_id, case when n_nationkey % 7 = 3 then 'failed' else 'success' end as status, case when n_nationkey % 7 = 3 then 500 else 0 end as error_length,
             case when n_nationkey % 7 <> 3 then n_name || ' end' end as text, case when n_nationkey % 7 = 3 then null when n_nationkey % 2 = 1 then '1,-1' else '-1,-1' end as words, case when n_nationkey % 7 <> 3 then true end as stamped from nation""",
         "flat_words": f"with {oracle.TRANSCRIPTS} select cast(user_id as varchar) as video_id, count(*) as n, md5(string_agg(case when user_id % 8 <> 0 then ' ' else '' end || word, '' order by pos)) as words_md5 from v1 group by user_id",

@@ -50,9 +50,9 @@ def row(df):
 
 def test_transcribe_then_diarize_then_evaluate(spark, project):
     config = load(project, "transcription")
-    assert row(jobs.transcribe(spark, config, speech, dry_run=True)) == {"skipped": 0, "missing": 0, "would_transcribe": 4, "total": 4}
-    assert row(jobs.transcribe(spark, config, speech)) == {"skipped": 0, "missing": 0, "succeeded": 3, "failed": 1, "total": 4}
-    assert row(jobs.transcribe(spark, config, speech)) == {"skipped": 3, "missing": 0, "succeeded": 0, "failed": 1, "total": 4}
+    assert row(jobs.transcribe(spark, config, speech, dry_run=True)) == {"skipped": 0, "missing": 0, "would_transcribe": 5, "total": 5}
+    assert row(jobs.transcribe(spark, config, speech)) == {"skipped": 1, "missing": 0, "succeeded": 3, "failed": 1, "total": 5}
+    assert row(jobs.transcribe(spark, config, speech)) == {"skipped": 4, "missing": 0, "succeeded": 0, "failed": 1, "total": 5}
     folder = config.output.transcripts_dir
     docs = {r.video_id: r for r in readers.transcripts(spark, folder).collect()}
     assert set(docs) == {"a", "b c", "mute"}
@@ -63,9 +63,9 @@ def test_transcribe_then_diarize_then_evaluate(spark, project):
     assert {r.error for r in book if r.status == "failed"} == {"cannot decode"}
 
     config = load(project, "diarization")
-    assert row(jobs.diarize(spark, config, speakers, dry_run=True)) == {"skipped": 0, "missing": 1, "would_diarize": 3, "total": 4}
-    assert row(jobs.diarize(spark, config, speakers)) == {"skipped": 0, "missing": 1, "succeeded": 2, "failed": 1, "total": 4}
-    assert row(jobs.diarize(spark, config, speakers)) == {"skipped": 2, "missing": 1, "succeeded": 0, "failed": 1, "total": 4}
+    assert row(jobs.diarize(spark, config, speakers, dry_run=True)) == {"skipped": 0, "missing": 1, "would_diarize": 4, "total": 5}
+    assert row(jobs.diarize(spark, config, speakers)) == {"skipped": 1, "missing": 1, "succeeded": 2, "failed": 1, "total": 5}
+    assert row(jobs.diarize(spark, config, speakers)) == {"skipped": 3, "missing": 1, "succeeded": 0, "failed": 1, "total": 5}
     docs = {r.video_id: r for r in readers.diarized(spark, config.output.diarized_dir).collect()}
     assert set(docs) == {"a", "b c"} and docs["a"].target_speaker == "A" and docs["a"].target_speaker_text == "w0 w1 w2 w3 w5tail"
 
@@ -92,6 +92,40 @@ def test_transcribe_then_diarize_then_evaluate(spark, project):
     assert text.startswith("Topic: A title\nText: w0") and text.count("-" * 80) == 2
 
 
+def test_the_next_file_of_a_stem_is_tried(spark, tmp_path):
+    """x.mp3 fails, x.wav succeeds; all of y fail; z's first succeeds. Counts are those of a loop over the files."""
+    (tmp_path / "configs").mkdir()
+    (tmp_path / "configs/transcription.yaml").write_text("{}")
+    audio = tmp_path / "data/raw/audio"
+    audio.mkdir(parents=True)
+    for name in ("x.mp3", "x.wav", "y.flac", "y.mp3", "y.wav", "z.mp3", "z.wav"):
+        (audio / name).write_bytes(b"x")
+
+    def load_model():
+        def model(row):
+            if not row["source_path"].endswith(("x.wav", "z.mp3")):
+                raise RuntimeError(row["source_path"][-6:])
+            return {"language": "en", "duration": 1.0, "segments": []}
+
+        return model
+
+    config = load(tmp_path, "transcription")
+    assert row(jobs.transcribe(spark, config, load_model, dry_run=True)) == {"skipped": 0, "missing": 0, "would_transcribe": 7, "total": 7}
+    assert row(jobs.transcribe(spark, config, load_model)) == {"skipped": 1, "missing": 0, "succeeded": 2, "failed": 4, "total": 7}
+    book = readers.read_ledger(spark, config.output.history_file, ledger.TRANSCRIPTION).collect()
+    assert sorted((r.video_id, r.status, r.source_path.rsplit("/", 1)[1]) for r in book) == [("x", "failed", "x.mp3"), ("x", "success", "x.wav"), ("y", "failed", "y.flac"), ("y", "failed", "y.mp3"), ("y", "failed", "y.wav"), ("z", "success", "z.mp3")]
+    assert {r.video_id: r.source_audio.rsplit("/", 1)[1] for r in readers.transcripts(spark, config.output.transcripts_dir).collect()} == {"x": "x.wav", "z": "z.mp3"}
+    assert row(jobs.transcribe(spark, config, load_model)) == {"skipped": 4, "missing": 0, "succeeded": 0, "failed": 3, "total": 7}
+
+
+def test_rounds_of_nothing(spark, tmp_path):
+    none = ledger.rounds(spark.createDataFrame([], "stem string, path string"), lambda t: t, str(tmp_path / "w"))
+    assert none.count() == 0 and none.columns == ["stem", "path", "status", "error"]
+    odd = spark.createDataFrame([(None, "a"), (None, "b"), ("s", "c")], "stem string, path string")
+    found = ledger.rounds(odd, lambda t: t.selectExpr("*", "case when path = 'a' then 'no' end as error"), str(tmp_path / "v"))
+    assert sorted((r.path, r.status) for r in found.collect()) == [("a", "failed"), ("b", "succeeded"), ("c", "succeeded")]
+
+
 def test_extract_audio(spark, tmp_path):
     (tmp_path / "configs").mkdir()
     (tmp_path / "configs/audio.yaml").write_text('{"extract": {"format": "flac"}}')
@@ -138,13 +172,13 @@ def test_download_waits_between_tries(spark, tmp_path):
         with open(log, "a") as f:
             f.write(f"{seconds} ")
 
-    assert row(jobs.download(spark, config, listing, fetcher, dry_run=True))["would_download"] == 2
-    assert row(jobs.download(spark, config, listing, fetcher, sleep=sleep)) == {"skipped": 0, "missing": 0, "succeeded": 1, "failed": 1, "total": 2}
+    assert row(jobs.download(spark, config, listing, fetcher, dry_run=True))["would_download"] == 3
+    assert row(jobs.download(spark, config, listing, fetcher, sleep=sleep)) == {"skipped": 1, "missing": 0, "succeeded": 1, "failed": 1, "total": 3}
     assert log.read_text().split() == ["5.0", "10.0"]
     book = {r.video_id: r for r in readers.read_ledger(spark, config.output.history_file).collect()}
     assert book["a"].title == "a" and book["a"].url == "http://e/a" and book["a"].output_path.endswith("videos/a.webm")
     assert book["b"].error == "refused" and book["b"].url.endswith("watch?v=b")
-    assert row(jobs.download(spark, config, listing, fetcher, sleep=lambda s: None))["skipped"] == 1
+    assert row(jobs.download(spark, config, listing, fetcher, sleep=lambda s: None))["skipped"] == 2
     assert [r.title for r in spark.read.json(config.output.metadata_dir).collect()] == ["T"]
 
 
