@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import SPACE, once, strip, words
+from . import vectors
 
 #: Words that carry nothing, with the comma after them. Fixed values.
 FILLERS = ("um", "umm", "uh", "uhh", "er", "erm", "hmm", "mhm")
@@ -15,8 +14,6 @@ _FILLER = r"(?i)(^|[^\p{L}\p{N}])(?:(?:" + "|".join(FILLERS) + r")(?:,|\.\.\.)?(
 #: A mark that stands in no text for the end of a sentence.
 _CUT = "\x01"
 CHUNK_WORDS, TOP_K, LONGEST_GRAM = 200, 10, 4
-#: Queries that retrieve() sends to the executors at a time, about.
-MAX_QUERIES = 4096
 
 
 def sentences(text: Column) -> Column:
@@ -56,20 +53,9 @@ def cosine(a: Column, b: Column) -> Column:
 
 def retrieve(index: DataFrame, queries: DataFrame, *, key: str = "vec_id", vector: str = "embedding", k: int = TOP_K) -> DataFrame:
     """query_id, rank, key, score: for each of the queries (query_id, vector) the k rows of highest cosine, ties to the smaller
-    key. Rows without a cosine, of other lengths among them, are left out; query ids should be unique.
-
-    Queries go out in waves of about MAX_QUERIES, so what is sent is bounded; each row of the index meets each query where it
-    stands. Meant for questions, not for a table against itself.
+    key, by vectors.nearest(): exact, a matrix product a batch. For tables that many ask, vectors.write_index() and search().
     """
-    waves = max(1, -(-queries.count() // MAX_QUERIES))
-    met = index.select(key, F.col(vector).alias("_v"))
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), key)
-    found = []
-    for wave in range(waves):
-        asked = queries.where(F.pmod(F.xxhash64("query_id"), F.lit(waves)) == wave).select("query_id", F.col(vector).alias("_q"))
-        scored = met.join(F.broadcast(asked), F.size("_v") == F.size("_q")).select("query_id", key, cosine(F.col("_v"), F.col("_q")).alias("score"))
-        found.append(scored.where("score is not null").withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k))
-    return reduce(DataFrame.unionAll, found).select("query_id", "rank", key, "score")
+    return vectors.nearest(index, queries, key=key, vector=vector, k=k)
 
 
 def gram_metrics(pairs: DataFrame, key: str = "video_id", longest: int = LONGEST_GRAM) -> DataFrame:

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
-from ..operators import answers
+from ..operators import answers, vectors
+from ..sources import writers
 from . import oracle
 from . import queries as base
 
@@ -29,11 +30,42 @@ def sentence_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def retrieved(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The vectors whose number divides by 50 ask all others and themselves."""
-    vectors = base.table(spark, sf_dir, "embeddings")
-    rows = answers.retrieve(vectors, vectors.where("vec_id % 50 = 0").select(F.col("vec_id").alias("query_id"), "embedding"))
+    rows = base.table(spark, sf_dir, "embeddings")
+    rows = answers.retrieve(rows, _asked(rows))
     return rows.select("query_id", "rank", "vec_id", base.r6("score").alias("score"))
 
 
+def _asked(rows: DataFrame) -> DataFrame:
+    return rows.where("vec_id % 50 = 0").select(F.col("vec_id").alias("query_id"), "embedding")
+
+
+def _indexed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str, DataFrame]:
+    """The table, its index's folder, and what the queries of retrieved() find by it."""
+    rows, path = base.table(spark, sf_dir, "embeddings"), writers.work_folder(spark, "index")
+    model = vectors.fit(rows)
+    vectors.write_index(rows, model, path)
+    return rows, path, vectors.search(spark, path, model, _asked(rows)).withColumnRenamed("key", "vec_id")
+
+
+def indexed_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """retrieved() by the index: about the ten nearest. No SQL; index_report() measures it."""
+    return _indexed(spark, sf_dir)[2].select("query_id", "rank", "vec_id", base.r6("score").alias("score"))
+
+
+def index_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The index against exact retrieval: its rows, the queries, whether 0.9 of the exact answers are among its own, and
+    whether every score it returned is the pair's cosine.
+    """
+    rows, path, found = _indexed(spark, sf_dir)
+    exact = vectors.nearest(rows, _asked(rows))
+    both = exact.select("query_id", "vec_id").join(found.select("query_id", "vec_id", F.lit(1).alias("hit")), ["query_id", "vec_id"], "left")
+    recall = both.agg((F.count("hit") / F.count("*")).alias("recall"))
+    pairs = found.join(rows.select("vec_id", F.col("embedding").alias("v")), "vec_id").join(_asked(rows).withColumnRenamed("embedding", "q"), "query_id")
+    off = pairs.agg(F.max(F.abs(F.col("score") - answers.cosine(F.col("v"), F.col("q")))).alias("off"), F.countDistinct("query_id").alias("n_queries"), F.count("*").alias("n_found"))
+    index = spark.read.parquet(path).agg(F.count("*").alias("n_rows"), F.countDistinct("key").alias("n_keys"))
+    return index.crossJoin(off).crossJoin(recall).select("n_rows", "n_keys", "n_queries", "n_found", (F.col("recall") >= 0.9).alias("recall_reached"), (F.col("off") < 1e-9).alias("scores_exact"))  # a row each
+
+
 def answer_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Turns against the next turn."""
     rows = answers.gram_metrics(base._turn_pairs(spark, sf_dir))
@@ -41,7 +73,7 @@ def answer_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (cleaned_text, sentence_chunks, retrieved, answer_metrics)
+    found = (cleaned_text, sentence_chunks, retrieved, indexed_search, index_report, answer_metrics)
     return {f.__name__: f for f in found}
 
 
@@ -63,6 +95,8 @@ def oracle_sql() -> dict[str, str]:
             select doc_id, cast(dense_rank() over (partition by doc_id order by place) - 1 as integer) as chunk, n_words, md5(text) as text_md5 from g""",
         "retrieved": """with s as (select q.vec_id as query_id, v.vec_id, list_cosine_similarity(v.embedding::double[], q.embedding::double[]) as score from embeddings v join embeddings q on q.vec_id % 50 = 0),
             r as (select *, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank from s) select query_id, rank, vec_id, round(score, 6) as score from r where rank <= 10""",
+        "index_report": """select count(*) as n_rows, count(distinct vec_id) as n_keys, count(*) filter (where vec_id % 50 = 0) as n_queries, 10 * count(*) filter (where vec_id % 50 = 0) as n_found,
+            true as recall_reached, true as scores_exact from embeddings""",
         "answer_metrics": f"""with p0 as (select conv_id * 1000 + turn as video_id, text as reference, lead(text) over (partition by conv_id order by turn) as hypothesis from conversations),
             p as (select video_id, {oracle.words('lower(reference)')} as r, {oracle.words('lower(hypothesis)')} as h from p0 where hypothesis is not null),
             k as (select unnest([1, 2, 3, 4]) as n),
