@@ -1,13 +1,15 @@
-"""Error rates against reference texts: character rates natively, word, match and information rates by alignment."""
+"""Error rates against reference texts: character and word rates by bit-parallel distances, match and information rates by alignment."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import bound, normalised, strip, words
+from ..functions.text import normalised, strip, words
 
 
 def covered(references: DataFrame, transcripts: DataFrame, key: str = "video_id") -> DataFrame:
@@ -23,14 +25,69 @@ def coverage_counts(rows: DataFrame) -> DataFrame:
     return rows.agg(F.count_if(F.col("bucket") == "scored").alias("num_scored"), F.count_if(F.col("bucket") == "missing_transcript").alias("missing_transcript"), F.count_if(F.col("bucket") == "empty_reference").alias("empty_reference"))
 
 
-def rate(errors: Column, length: Column) -> Column:
-    """Errors by length; of an empty reference 0 without errors, else as many as there are."""
-    return F.when(length > 0, errors / length).otherwise(errors.cast("double"))
+#: Stands in no word.
+SEPARATOR = "\n"
+#: Bits of the places of items that a pair keeps: 64 MB.
+KEPT_BITS = 1 << 29
+
+
+def distances(references: Sequence[Sequence], hypotheses: Sequence[Sequence]) -> list[int]:
+    """The edit distance of each pair of sequences of hashable items (characters of a string, words).
+
+    Bit-parallel: a column of the table of distances is two bit vectors as long as the longer side, of how neighbours
+    differ, and each item of the shorter one moves them by a few operations on machine words: Python's integers are
+    such vectors of any length. What both sides begin and end with costs nothing, so it is cut off. Memory is linear: the
+    places of the shorter side's items in the longer one are kept up to KEPT_BITS and found again beyond that.
+    """
+    return [_distance(a, b) for a, b in zip(references, hypotheses)]
+
+
+def _coded(a: Sequence, b: Sequence) -> tuple[np.ndarray, np.ndarray]:
+    if isinstance(a, str) and isinstance(b, str):
+        return tuple(np.frombuffer(x.encode("utf-32-le", "surrogatepass"), "<u4") for x in (a, b))
+    codes: dict = {}
+    return tuple(np.fromiter((codes.setdefault(x, len(codes)) for x in side), np.uint32, len(side)) for side in (a, b))
+
+
+def _distance(a: Sequence, b: Sequence) -> int:
+    a, b = _coded(a, b)
+    if len(a) < len(b):
+        a, b = b, a
+    if not len(b):
+        return len(a)
+    differ = np.flatnonzero(a[: len(b)] != b)
+    start = int(differ[0]) if len(differ) else len(b)
+    a, b = a[start:], b[start:]
+    differ = np.flatnonzero(a[len(a) - len(b) :] != b)
+    end = len(b) - 1 - int(differ[-1]) if len(differ) else len(b)
+    a, b = a[: len(a) - end], b[: len(b) - end]
+    size = len(a)
+    if not len(b):
+        return size
+    found: dict[int, int] = {}
+    full, top = (1 << size) - 1, size - 1
+    up, down, distance = full, 0, size  # where going down a column adds one, and where it takes one away
+    for item in b.tolist():
+        same = found.get(item)
+        if same is None:
+            same = int.from_bytes(np.packbits(a == item, bitorder="little").tobytes(), "little")
+            if (len(found) + 1) * size <= KEPT_BITS:
+                found[item] = same
+        zero = (((same & up) + up) ^ up) | same | down
+        right_up, right_down = down | ~(zero | up), up & zero
+        distance += (right_up >> top & 1) - (right_down >> top & 1)
+        right_up, right_down = right_up << 1 | 1, right_down << 1
+        up, down = (right_down | ~(zero | right_up)) & full, right_up & zero & full
+    return distance
 
 
 def character_error_rate(reference: Column, hypothesis: Column) -> Column:
-    sides = F.struct(normalised(reference).alias("r"), normalised(hypothesis).alias("h"))
-    return bound(sides, lambda s: rate(F.levenshtein(s["r"], s["h"]), F.length(s["r"])))
+    """Of normalised texts, in code points; null texts are empty."""
+    return F.pandas_udf(lambda r, h: pd.Series([_rate(d, len(x)) for d, x in zip(distances(r, h), r)], dtype="float64"), "double")(normalised(reference), normalised(hypothesis))
+
+
+def _rate(errors: int, length: int) -> float:
+    return errors / length if length else float(errors)
 
 
 def align(reference: list[str], hypothesis: list[str]) -> tuple[int, int, int, int]:
@@ -80,6 +137,16 @@ def word_rates(reference: Column, hypothesis: Column) -> Column:
     return F.pandas_udf(_rates, "wer double, mer double, wil double")(words(normalised(reference)), words(normalised(hypothesis)))
 
 
+def word_error_rate(reference: Column, hypothesis: Column) -> Column:
+    """The word error rate alone, of normalised texts; null texts are empty."""
+    def rates(r: pd.Series, h: pd.Series) -> pd.Series:
+        pairs = [(x.split(SEPARATOR) if x else [], y.split(SEPARATOR) if y else []) for x, y in zip(r, h)]
+        return pd.Series([_rate(_distance(x, y), len(x)) for x, y in pairs], dtype="float64")
+
+    joined = lambda text: F.array_join(words(normalised(text)), SEPARATOR)
+    return F.pandas_udf(rates, "double")(joined(reference), joined(hypothesis))
+
+
 def score(pairs: DataFrame, key: str = "video_id") -> DataFrame:
     """key, reference_word_count, hypothesis_word_count, wer, cer, mer, wil of scored pairs (key, reference, hypothesis).
 

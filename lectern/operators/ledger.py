@@ -118,8 +118,8 @@ def numbered(items: DataFrame, order: str, by: str | None = None) -> DataFrame:
     """items with `i` (from 1) and `n`, as progress lines show them; within each value of `by`, if given.
 
     Rows are numbered within ranges of the order, and each range begins after the rows of those before, so neither one
-    source nor the whole is one task; the bounds are those of the SAMPLED rows of lowest hash. Nulls come first. Equal values share a range; which of them
-    is first is open. An empty table stays empty.
+    source nor the whole is one task; the bounds are those of the SAMPLED rows of lowest hash. Nulls come first. Equal values
+    share a range and go by a hash of their other columns, so that a rerun agrees. An empty table stays empty.
     """
     names = items.columns
     value = F.col(f"`{order}`")
@@ -133,6 +133,6 @@ def numbered(items: DataFrame, order: str, by: str | None = None) -> DataFrame:
     own = Window.partitionBy("_by")
     before = own.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select(F.col("_by").alias("_b"), F.col("_range").alias("_r"), F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_start"), F.sum("_c").over(own).alias("n"))
-    inside = rows.withColumn("_i", F.row_number().over(Window.partitionBy("_by", "_range").orderBy("_v")))
+    inside = rows.withColumn("_i", F.row_number().over(Window.partitionBy("_by", "_range").orderBy("_v", F.xxhash64("_row"), "_row")))
     met = inside.join(starts, F.col("_by").eqNullSafe(F.col("_b")) & (F.col("_range") == F.col("_r")))
     return met.select("_row.*", (F.col("_start") + F.col("_i")).cast("long").alias("i"), "n")

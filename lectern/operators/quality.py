@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -51,9 +53,15 @@ def transcript_flags(avg_confidence: Column, low_ratio: Column, rate: Column, co
     )
 
 
-def text_metrics(text: Column) -> Column:
-    """An array of one struct for once(): word_count, repetition_score."""
-    return F.transform(F.array(words(text)), lambda w: F.struct(F.size(w).alias("word_count"), repetition_of(w).alias("repetition_score")))
+TEXT_METRICS = ("word_count", "repetition_score")
+
+
+def text_metrics(text: Column, wanted: Sequence[str] = TEXT_METRICS) -> Column:
+    """An array of one struct for once(): those of TEXT_METRICS that are wanted. What once() computes isn't pruned later, so
+    ask for what is used.
+    """
+    made = {"word_count": F.size, "repetition_score": repetition_of}
+    return F.transform(F.array(words(text)), lambda w: F.struct(*[made[name](w).alias(name) for name in wanted]))
 
 
 def average(values: Column) -> Column:

@@ -160,6 +160,10 @@ def oracle_sql() -> dict[str, str]:
         "worst_transcripts": f"""with {TRANSCRIPTS} select video_id, printf('%s | conf=%s wps=%.2f coverage=%.2f repetition=%.2f | %s', video_id, case when conf is null then 'n/a' else printf('%.2f', conf) end, wps, covered, rep, array_to_string(flags, ', ')) as line
             from tr where len(flags) > 0 order by len(flags) desc, coalesce(conf, 1.0), video_id limit 20""",
         "word_error_rates": WORD_RATES,
+        # the reference's different words are characters, all other words one more; so are their distances
+        "document_word_error_rates": f"""with {document_pairs}, w as (select video_id, {words(normalised('reference'))} as r, {words(normalised('hypothesis'))} as h from p), d as (select *, list_distinct(r) as d from w),
+            s as (select video_id, len(r) as n, array_to_string(list_transform(r, lambda x: chr(cast(33 + list_position(d, x) as integer))), '') as a, array_to_string(list_transform(h, lambda x: chr(cast(33 + coalesce(list_position(d, x), 0) as integer))), '') as b from d)
+            select video_id, round(case when n > 0 then levenshtein(a, b)::double / n else length(b)::double end, 6) as wer from s""",
         "diarization_quality": f"""with {DIARIZATION}, {DIARIZATION_FLAGS} select video_id, num_speakers, target_speaker, target_turn_count, num_target_segments, target_word_count, round(duration, 6) as duration, round(share, 6) as target_speaker_share,
             round(avg_seconds, 6) as avg_target_segment_seconds, round(short_turn_ratio, 6) as short_turn_ratio, round(wps, 6) as target_words_per_second, round(retained, 6) as target_text_retention_ratio, round(rep, 6) as repetition_score,
             array_to_string(flags, ',') as flags from df""",

@@ -33,9 +33,13 @@ def repetition_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", tx.repetition_score(F.col("text")).alias("repetition_score"))
 
 
+def _timed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select("doc_id", "text", (F.col("n_chars") / CHARS_PER_SECOND).alias("duration"))
+
+
 def _doc_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Transcript audit without confidences and segments; n_chars / 15 stands for seconds."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", (F.col("n_chars") / CHARS_PER_SECOND).alias("duration"))
+    docs = _timed_documents(spark, sf_dir)
     rows = tx.once(docs, ["doc_id", "duration"], quality.text_metrics(F.col("text")))
     rows = rows.withColumn("words_per_second", quality.per_second(F.col("word_count"), F.col("duration")))
     none = F.lit(None).cast("double")
@@ -68,7 +72,10 @@ def corpus_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stat_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return export.stat_lines(stats.corpus_stats(_doc_quality(spark, sf_dir), _METRICS[:2]))
+    """The lines of two metrics; the others aren't computed."""
+    docs = _timed_documents(spark, sf_dir)
+    rows = tx.once(docs, ["doc_id", "duration"], quality.text_metrics(F.col("text"), ("word_count",)))
+    return export.stat_lines(stats.corpus_stats(rows, _METRICS[:2]))
 
 
 def _role_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -351,6 +358,12 @@ def word_error_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("video_id", r6(accuracy.word_rates(F.col("reference"), F.col("hypothesis"))["wer"]).alias("wer"))
 
 
+def document_word_error_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The word error rates of document_error_rates by bit-parallel distances."""
+    rows = _document_pairs(spark, sf_dir)
+    return rows.select("video_id", r6(accuracy.word_error_rate(F.col("reference"), F.col("hypothesis"))).alias("wer"))
+
+
 def worst_error_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The report lines of the turns of highest word error rate."""
     return export.accuracy_lines(accuracy.worst(accuracy.score(_turn_pairs(spark, sf_dir)), "video_id", TOP_N))
@@ -440,7 +453,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         word_count, repetition_score, doc_quality_flags, flagged_topn, flag_counts, report_counts, corpus_stats, stat_lines, speaker_stats, speaker_maps,
         target_speaker, target_distribution, target_segments, target_text, aligned_segments, kept_words, diarization_quality, worst_diarized, confidence_stats, speech_coverage, transcript_audit, transcript_flag_counts, worst_transcripts,
         pending_work, run_summary, dedup_stem, ledger_migration, first_labelled, key_comparison, numbered_files, reference_coverage, caption_clean, topic_line, export_blocks, combined_text, normalise_text,
-        text_scalars, word_counts_of_documents, document_error_rates, error_rates, word_error_rates, worst_error_rates, cer_of_turns, worst_turns, metadata_project, listing_entries, total_duration, rate_parse, backoff,
+        text_scalars, word_counts_of_documents, document_error_rates, document_word_error_rates, error_rates, word_error_rates, worst_error_rates, cer_of_turns, worst_turns, metadata_project, listing_entries, total_duration, rate_parse, backoff,
         download_plan, pair_generation, quality_report,
     )
     return {f.__name__: f for f in found}
