@@ -52,10 +52,10 @@ def _run(items: DataFrame, finished: DataFrame, done_by: Callable[[DataFrame], D
 
 
 def _outputs(spark: SparkSession, folder: str) -> DataFrame:
-    """The keys that have a document in a folder of folders by key."""
+    """The keys that have a document in a folder, `<key>.json` or in a folder of the key."""
     if not readers.exists(spark, folder):
         return spark.createDataFrame([], "video_id string")
-    return readers.folders(spark, folder, "video_id")
+    return readers.files(spark, folder, "*.json").select(F.col("stem").alias("video_id")).union(readers.folders(spark, folder, "video_id"))
 
 
 def _audio(spark: SparkSession, folder: str, source: str) -> DataFrame:
@@ -71,7 +71,7 @@ def transcribe(spark: SparkSession, config: settings.Transcription, load: Callab
 
     def done_by(todo: DataFrame) -> DataFrame:
         said = models.apply_model(todo, "speech", load, f"struct<{_struct(models.SPEECH)}>", attempts=attempts, wait=0)
-        return todo.join(said, "video_id").withColumn("output_path", F.when(F.col("error").isNull(), F.concat(F.lit(f"{out}/video_id="), "video_id")))
+        return todo.join(said, "video_id").withColumn("output_path", F.when(F.col("error").isNull(), writers.document_path(out, F.col("video_id"))))
 
     def save(done: DataFrame) -> None:
         docs = models.transcript_documents(done.withColumnRenamed("source_path", "source_audio"), size=model.size, device=model.device, compute_type=model.compute_type)
@@ -100,7 +100,7 @@ def diarize(spark: SparkSession, config: settings.Diarization, load: Callable[[]
         said = models.apply_model(todo, "speakers", load, f"struct<{_struct(models.TURNS)}>", attempts=attempts, wait=0)
         none = F.col("error").isNull() & (F.size(F.coalesce("result.turns", F.array())) == 0)
         said = said.withColumn("error", F.when(none, F.lit("no speech turns")).otherwise(F.col("error")))
-        return todo.join(said, "video_id").withColumn("output_path", F.when(F.col("error").isNull(), F.concat(F.lit(f"{out}/video_id="), "video_id")))
+        return todo.join(said, "video_id").withColumn("output_path", F.when(F.col("error").isNull(), writers.document_path(out, F.col("video_id"))))
 
     def save(done: DataFrame) -> None:
         turns = done.select("video_id", F.inline("result.turns"))
@@ -128,7 +128,7 @@ def extract_audio(spark: SparkSession, config: settings.Audio, load: Callable[[]
 
 def download(spark: SparkSession, config: settings.Acquisition, listing: DataFrame, load: Callable[[], Callable[[dict], dict]], *, dry_run: bool = False, sleep: Callable[[float], None] | None = None) -> DataFrame:
     """Every entry of a listing (position, id, title, webpage_url, url) that isn't there: the fetcher gets video_id, url, mode,
-    selector and gives a metadata record; it is tried again with growing waits.
+    selector and gives a metadata record. What failed is tried again after growing waits, in which no core is held.
     """
     how, out, book = config.download, config.output, config.output.history_file
     audio, folder = F.lit(how.audio_only), out.audio_dir if how.audio_only else out.videos_dir
@@ -141,9 +141,13 @@ def download(spark: SparkSession, config: settings.Acquisition, listing: DataFra
     there = readers.files(spark, folder).select(F.col("stem").alias("video_id"), acquisition.mode(audio).alias("mode"))
     finished = ledger.done(_ledger(spark, book, ledger.DOWNLOAD), there, key)
 
+    tries: list[str] = []
+
     def done_by(todo: DataFrame) -> DataFrame:
         waits = {} if sleep is None else {"sleep": sleep}
-        got = models.apply_model(todo, "fetcher", load, f"struct<{_struct(METADATA)},requested:array<string>>", attempts=config.retry.max_retries, wait=config.retry.retry_delay_seconds, factor=config.retry.backoff_factor, **waits)
+        tries.append(f"{out.metadata_dir.rstrip('/')}/_tries-{uuid.uuid4().hex}")
+        once = lambda rows: models.apply_model(rows, "fetcher", load, f"struct<{_struct(METADATA)},requested:array<string>>")
+        got = models.retried(todo, once, tries[-1], attempts=config.retry.max_retries, wait=config.retry.retry_delay_seconds, factor=config.retry.backoff_factor, **waits)
         path = acquisition.output_path(F.coalesce("result.requested", F.array().cast("array<string>")), F.lit(folder), F.col("video_id"), F.coalesce("result.ext", F.lit(how.format)))
         return todo.join(got, "video_id").withColumn("output_path", F.when(F.col("error").isNull(), path))
 
@@ -152,7 +156,11 @@ def download(spark: SparkSession, config: settings.Acquisition, listing: DataFra
         docs = acquisition.metadata(info.withColumn("id", F.coalesce("id", "_id")).withColumn("url", F.coalesce("url", "_url")).withColumn("downloaded_at", utc_now()))
         writers.write_documents(docs, out.metadata_dir, "id")
 
-    return _run(items, finished, done_by, save, book, ledger.DOWNLOAD, out.metadata_dir, "download", order="position", key=key, dry_run=dry_run)
+    try:
+        return _run(items, finished, done_by, save, book, ledger.DOWNLOAD, out.metadata_dir, "download", order="position", key=key, dry_run=dry_run)
+    finally:
+        for at in tries:
+            readers.delete(rows.sparkSession, at)
 
 
 def fetch(items: DataFrame, existing: DataFrame, load: Callable[[], Callable[[dict], dict]], work: str, *, key: str = "video_id", attempts: int = 3) -> tuple[DataFrame, DataFrame]:
@@ -170,11 +178,10 @@ def fetch(items: DataFrame, existing: DataFrame, load: Callable[[], Callable[[di
 
 
 def fetch_references(items: DataFrame, folder: str, load: Callable[[], Callable[[dict], dict]], work: str) -> DataFrame:
-    """Caption files of the items as raw and parsed text in `folder`; the counts of fetch()."""
-    spark = items.sparkSession
-    existing = spark.read.parquet(folder) if readers.exists(spark, folder) else spark.createDataFrame([], "video_id string")
+    """Caption files of the items, `<video_id>.vtt` and parsed `<video_id>.txt`, in `folder`; the counts of fetch()."""
+    existing = readers.files(items.sparkSession, folder, "*.txt").select(F.col("stem").alias("video_id"))
     found, counts = fetch(items, existing, load, work)
-    found.select("video_id", F.col("text").alias("raw"), caption_text(F.col("text")).alias("parsed")).write.mode("append").parquet(folder)
+    writers.write_caption_files(found, folder)
     return counts
 
 
@@ -222,5 +229,5 @@ def export_target_texts(spark: SparkSession, diarized: str, folder: str, titles:
     """Topic and text blocks of the target speakers, in the order of their ids, as files of one folder; the rows written."""
     rows = readers.diarized(spark, diarized).select("video_id", strip(F.coalesce("target_speaker_text", F.lit(""))).alias("text"))
     blocks = export.blocks(export.with_topics(rows, titles))
-    blocks.repartitionByRange("video_id").sortWithinPartitions("video_id").select(F.concat("block", F.lit(export.RULE[:-1])).alias("value")).write.mode("overwrite").text(folder)
+    writers.write_blocks(blocks, folder)
     return blocks

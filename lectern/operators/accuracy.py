@@ -147,13 +147,19 @@ def word_error_rate(reference: Column, hypothesis: Column) -> Column:
     return F.pandas_udf(rates, "double")(joined(reference), joined(hypothesis))
 
 
+def dealt(pairs: DataFrame) -> DataFrame:
+    """The rows spread over all tasks by a hash of their texts."""
+    return pairs.repartition(F.xxhash64("reference", "hypothesis"))
+
+
 def score(pairs: DataFrame, key: str = "video_id") -> DataFrame:
     """key, reference_word_count, hypothesis_word_count, wer, cer, mer, wil of scored pairs (key, reference, hypothesis).
 
-    Null texts are empty; of two empty texts all rates are 0. Repeated rows stay repeated.
+    Null texts are empty; of two empty texts all rates are 0. Repeated rows stay repeated. Pairs are dealt out first: what
+    they cost is the product of their lengths, and moving them is little beside it.
     """
     ref, hyp = F.col("reference"), F.col("hypothesis")
-    rows = pairs.withColumn("_m", word_rates(ref, hyp))
+    rows = dealt(pairs).withColumn("_m", word_rates(ref, hyp))
     return rows.select(
         key, F.size(words(ref)).alias("reference_word_count"), F.size(words(hyp)).alias("hypothesis_word_count"),
         F.col("_m.wer").alias("wer"), character_error_rate(ref, hyp).alias("cer"), F.col("_m.mer").alias("mer"), F.col("_m.wil").alias("wil"),

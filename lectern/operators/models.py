@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import time
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -46,6 +47,26 @@ def apply_model(rows: DataFrame, name: str, load: Callable[[], Callable[[dict],
     return done.select(key, F.from_json("_json", result).alias("result"), "error")
 
 
+def retried(rows: DataFrame, attempt: Callable[[DataFrame], DataFrame], work: str, *, key: str = "video_id", attempts: int = 1, wait: float = BACKOFF_BASE, factor: float = BACKOFF_FACTOR, sleep: Callable[[float], None] = time.sleep) -> DataFrame:
+    """key, result, error of each row's last try: attempt() gives (key, result, error) of all rows, then of those that failed.
+
+    Between tries the driver waits, `wait` seconds, then `factor` times as long each time, and no task does: no core is held.
+    Tries are written under `work`, so a round reads the failures of the one before and what is tried is tried once. Keys
+    should be unique.
+    """
+    todo, tried = rows, []
+    for n in range(max(1, attempts)):
+        if n:
+            sleep(wait * factor ** (n - 1))
+        attempt(todo).select(key, "result", "error").write.parquet(f"{work}/try-{n}")
+        tried.append(rows.sparkSession.read.parquet(f"{work}/try-{n}"))
+        failed = tried[-1].where("error is not null")
+        if failed.isEmpty():
+            break
+        todo = rows.join(failed.select(key), key, "left_semi")
+    return reduce(DataFrame.unionByName, [t.where("error is null") for t in tried[:-1]] + tried[-1:])
+
+
 def outcomes(done: DataFrame, key: str = "video_id") -> DataFrame:
     """key, status, error: ledger rows of a model run."""
     return done.select(key, F.when(F.col("error").isNull(), F.lit("success")).otherwise(F.lit("failed")).alias("status"), F.coalesce("error", F.lit("")).alias("error"))

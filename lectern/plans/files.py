@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import stats
 from ..functions import text as tx
-from ..operators import alignment, ledger, models
-from ..sources import readers, writers
+from ..operators import alignment, export, ledger, models
+from ..sources import keyed_files, readers, writers
 from ..streaming import incremental
 from . import queries as base
 
@@ -23,13 +23,12 @@ def _nations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def listed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nations as media files, listed without their contents; a folder among them is no file. In the order of the paths."""
+    """Documents as files of a key each, listed without their contents, numbered in the order of their names; empty ones aren't listed."""
     folder = writers.work_folder(spark, "media")
-    for r in _nations(spark, sf_dir).collect():  # 25 small files
-        writers.put(spark, f"{folder}/{r.name}.v{r.region}.mp4", "x" * (r.key + 1))
-    writers.put(spark, f"{folder}/sub/inner.mp4", "x")
-    rows = readers.files(spark, folder)
-    return rows.select("file_name", "stem", "length", F.row_number().over(Window.orderBy("path")).alias("i"))
+    name = F.concat("source", F.lit(" "), F.col("doc_id").cast("string"), F.lit(".v"), F.col("lang"))
+    keyed_files.write(base.table(spark, sf_dir, "documents").select(name.alias("name"), "text"), folder, ".mp4", key="name", content="text")
+    rows = ledger.numbered(readers.files(spark, folder).select("file_name", "stem", "length"), "file_name")
+    return rows.select("file_name", "stem", "length", "i")
 
 
 def json_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,12 +55,22 @@ def text_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def caption_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nations as caption files; raw and parsed text stand side by side."""
-    folder, out = writers.work_folder(spark, "captions"), writers.work_folder(spark, "parsed")
-    for r in _nations(spark, sf_dir).collect():  # 25 small files
-        writers.put(spark, f"{folder}/{r.name}.vtt", f"WEBVTT\nKind: captions\n\n1\n00:01.000 --> 00:02.000\nHost A: <b>{r.name}</b> (laughs\n\n2\n00:02.000 --> 00:03.000\nloud)  has {r.key}\n")
-    writers.write_captions(readers.captions(spark, folder), out)
-    return spark.read.parquet(out).select("video_id", "parsed", F.length("raw").alias("raw_length"))
+    """Documents as caption files, read, and written again beside their parsed texts; both are read back."""
+    raw, out = writers.work_folder(spark, "captions"), writers.work_folder(spark, "parsed")
+    cue = F.concat(F.lit("WEBVTT\nKind: captions\n\n1\n00:01.000 --> 00:02.000\nHost A: <b>"), "source", F.lit("</b> (laughs\n\n2\n00:02.000 --> 00:03.000\nloud)  has "), F.col("doc_id").cast("string"), F.lit("\n"))
+    rows = base.table(spark, sf_dir, "documents").select(F.concat(F.lit("doc "), F.col("doc_id").cast("string")).alias("video_id"), cue.alias("text"))
+    keyed_files.write(rows, raw, ".vtt", key="video_id", content="text")
+    writers.write_caption_files(readers.captions(spark, raw), out)
+    return readers.captions(spark, out).withColumnRenamed("text", "raw").join(readers.references(spark, out).withColumnRenamed("text", "parsed"), "video_id").select("video_id", "parsed", F.length("raw").alias("raw_length"))
+
+
+def written_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The combined export of all documents as files in order, read back: each block's place, and what it says."""
+    folder = writers.work_folder(spark, "blocks")
+    writers.write_blocks(export.blocks(export.with_topics(base.table(spark, sf_dir, "documents").select("doc_id", "text"), None, "doc_id"), "doc_id"), folder, "doc_id")
+    parts = spark.read.text(folder, wholetext=True).select(F.col("_metadata.file_name").alias("file"), F.posexplode(F.split("value", export.RULE)).alias("pos", "block"))
+    named = parts.where("block <> ''").select(F.concat("file", F.lpad(F.col("pos").cast("string"), 12, "0")).alias("place"), F.md5(F.col("block").cast("binary")).alias("block_md5"))
+    return ledger.numbered(named, "place").select("i", "block_md5")
 
 
 def ledger_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,10 +85,10 @@ def ledger_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def title_file(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nations as a title cache, with a known failure for those of region 0."""
-    path = writers.work_folder(spark, "titles") + "/titles.json"
-    entry = F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.col("key").cast("string"), F.when(F.col("region") != 0, F.col("name"))))))
-    writers.put(spark, path, _nations(spark, sf_dir).agg(F.to_json(entry, {"ignoreNullFields": "false"}).alias("v")).first().v)
+    """Documents as a title cache, with a known failure for those of src0."""
+    path = writers.work_folder(spark, "titles")
+    title = F.when(F.col("source") != "src0", F.concat("source", F.lit(' "of" '), F.col("doc_id").cast("string")))
+    writers.write_titles(base.table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("video_id"), title.alias("title")), path, entries=300)
     return readers.titles(spark, path)
 
 
@@ -130,6 +139,30 @@ def _shouting():
     return model
 
 
+def retry_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents through a stream and two calls for what is due: the first at once, when nothing is, the second an hour on.
+    One in ten always fails, one in twenty succeeds in the end; each key's tries, and the seconds that it waits for the next.
+    """
+    folder, book, checkpoint = (writers.work_folder(spark, n) for n in ("in", "outcomes", "checkpoint"))
+    rows = base.table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("video_id"))
+    rows.write.parquet(folder)
+    items = spark.read.schema(rows.schema).parquet(folder)
+
+    def process(late: bool):
+        number = F.col("video_id").cast("long")
+        failed = (number % 10 == 3) & ~((number % 20 == 3) & F.lit(late))
+        return lambda todo: todo.select("video_id", F.when(failed, F.lit("failed")).otherwise(F.lit("success")).alias("status"), F.when(failed, F.lit("no")).alias("error"))
+
+    incremental.follow(spark, folder, rows.schema, book, checkpoint, process(False)).awaitTermination()
+    incremental.run_due(items, book, process(True), attempts=3, wait=60.0)
+    incremental.run_due(items, book, process(True), attempts=3, wait=60.0, now=F.current_timestamp() + F.expr("interval 1 hour"))
+    found = incremental.read_outcomes(spark, book)
+    last = found.where("status = 'failed'").groupBy("video_id").agg(F.max("timestamp").alias("_last"))
+    waits = incremental.schedule(found, wait=60.0).join(last, "video_id").select("video_id", "attempts", (F.unix_seconds("due") - F.unix_seconds(F.to_timestamp("_last"))).alias("wait_seconds"))
+    tries = found.groupBy("video_id").agg(F.count("*").alias("n_tries"), F.count_if(F.col("status") == "success").alias("n_success"))
+    return tries.join(waits, "video_id", "left")
+
+
 def stem_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as files of which up to five share a stem; one in three can be read. A stem's files are tried in order until one can."""
     number = F.concat(F.lit("f"), F.floor(F.col("doc_id") / 5).cast("string"))
@@ -184,7 +217,7 @@ def real_time_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (listed_files, json_documents, text_files, caption_files, ledger_files, title_file, mirrored, report_table, streamed_outcomes, stem_rounds, model_documents, flat_words, ordered_turns, nested_kept_words, real_time_factors)
+    found = (listed_files, json_documents, text_files, caption_files, written_blocks, ledger_files, title_file, mirrored, report_table, streamed_outcomes, retry_schedule, stem_rounds, model_documents, flat_words, ordered_turns, nested_kept_words, real_time_factors)
     return {f.__name__: f for f in found}
 
 
@@ -193,18 +226,21 @@ def oracle_sql() -> dict[str, str]:
 
     odd = "'" + ODD.replace("'", "''").replace("\n", "' || chr(10) || '") + "'"
     return {
-        "listed_files": "select n_name || '.v' || n_regionkey || '.mp4' as file_name, n_name || '.v' || n_regionkey as stem, cast(n_nationkey + 1 as bigint) as length, cast(row_number() over (order by n_name || '.v') as integer) as i from nation",
+        "listed_files": "select source || ' ' || doc_id || '.v' || lang || '.mp4' as file_name, source || ' ' || doc_id || '.v' || lang as stem, cast(strlen(text) as bigint) as length, row_number() over (order by source || ' ' || doc_id || '.v' || lang || '.mp4') as i from documents where strlen(text) > 0",
         "json_documents": "select 'n ' || n_nationkey as video_id, n_nationkey::double as duration, case when n_regionkey = 0 then 'second' else 'first' end as text, 'É ' || n_name as segment_text, case when n_nationkey % 2 = 0 then 1 else 0 end as n_words, true as no_language from nation",
         "text_files": f"""select 'item ' || item_id as video_id, md5({oracle.strip('text')} || chr(10)) as text_md5, cast((select count(*) from benchmark where item_id % 2 <> 0) as bigint) as exported,
             cast((select count(*) from benchmark where item_id % 2 = 0) as bigint) as skipped from benchmark""",
-        "caption_files": "select n_name as video_id, n_name || ' has ' || n_nationkey as parsed, cast(length(n_name) + length(cast(n_nationkey as varchar)) + 112 as integer) as raw_length from nation",
+        "caption_files": "select 'doc ' || doc_id as video_id, source || ' has ' || doc_id as parsed, cast(length(source) + length(cast(doc_id as varchar)) + 112 as integer) as raw_length from documents",
+        "written_blocks": f"""select row_number() over (order by doc_id) as i, md5('Topic: ' || {oracle.topic('text')} || chr(10) || 'Text: ' || {oracle.strip("coalesce(text, '')")} || chr(10)) as block_md5 from documents""",
         "ledger_files": f"""with r as (select *, case when quality = 1 then 'success' else 'failed' end as status from labels), a as (select * from r union all select * from r where status = 'failed')
             select 'video' as mode, status, md5(case when toxic = 1 then {odd} else '' end) as error_md5, count(*) as n, (select count(distinct doc_id) from r where status = 'success') as n_done from a group by all""",
-        "title_file": "select cast(n_nationkey as varchar) as video_id, case when n_regionkey <> 0 then n_name end as title from nation",
+        "title_file": """select cast(doc_id as varchar) as video_id, case when source <> 'src0' then source || ' "of" ' || doc_id end as title from documents""",
         "mirrored": """with l as (select c_custkey + 1000000 as c_custkey, c_nationkey from customer where c_nationkey < 5), c as (select 'copy' as target, * from l union all select 'copy', c_custkey, c_nationkey from customer where c_nationkey >= 5 union all select 'mirror', * from l)
             select target, cast(c_nationkey as integer) as c_nationkey, count(*) as n, max(c_custkey) as last from c group by all""",
         "report_table": f"with {oracle.DOC_QUALITY} select doc_id, word_count, array_to_string(flags, ',') as flags, (select count(*) from q) as num_files, (select count(*) from q where len(flags) > 0) as num_flagged from q",
         "streamed_outcomes": "select cast(doc_id as varchar) as video_id, case when doc_id % 10 = 3 then 'failed' else 'success' end as status, case when doc_id % 10 = 3 then 'no' else '' end as error, case when doc_id % 10 = 3 then 2 else 1 end::bigint as n from documents",
+        "retry_schedule": """select cast(doc_id as varchar) as video_id, case when doc_id % 10 = 3 then 2 else 1 end::bigint as n_tries, case when doc_id % 10 = 3 and doc_id % 20 <> 3 then 0 else 1 end::bigint as n_success,
+            case when doc_id % 10 = 3 and doc_id % 20 <> 3 then 2 end::bigint as attempts, case when doc_id % 10 = 3 and doc_id % 20 <> 3 then 120 end::bigint as wait_seconds from documents""",
         "stem_rounds": """with f as (select 'f' || (doc_id // 5) as stem, 'f' || (doc_id // 5) || '.' || (doc_id % 5) as path, n_chars % 3 = 0 as ok from documents),
             b as (select *, coalesce(bool_or(ok) over (partition by stem order by path rows between unbounded preceding and 1 preceding), false) as over from f)
             select path, case when over then 'skipped' when ok then 'succeeded' else 'failed' end as status, case when not over and not ok then 'cannot read ' || path end as error from b""",

@@ -360,7 +360,7 @@ def word_error_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def document_word_error_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The word error rates of document_error_rates by bit-parallel distances."""
-    rows = _document_pairs(spark, sf_dir)
+    rows = accuracy.dealt(_document_pairs(spark, sf_dir))
     return rows.select("video_id", r6(accuracy.word_error_rate(F.col("reference"), F.col("hypothesis"))).alias("wer"))
 
 

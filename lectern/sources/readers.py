@@ -11,6 +11,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from ..functions.text import stem
 from ..operators import ledger
 from ..schemas import DIARIZED, LISTING, METADATA, TRANSCRIPT
+from . import keyed_files
 
 _FILES = "path string, modificationTime timestamp, length long"
 
@@ -96,11 +97,13 @@ def listing(spark: SparkSession, folder: str) -> DataFrame:
 
 def whole_texts(spark: SparkSession, folder: str, glob: str) -> DataFrame:
     """video_id, text: one row per file, its whole content; files directly in the folder by their stems, and files in folders
-    of a key (video_id=value) by that.
+    of a key (video_id=value) by that. Of a mounted folder many files are one partition.
     """
     reader = lambda: spark.read.option("pathGlobFilter", glob)
     empty = spark.createDataFrame([], "video_id string, text string")
-    if matching(spark, f"{folder}/{glob}"):
+    if keyed_files.mounted(folder):
+        empty = empty.union(keyed_files.read(spark, folder, glob.removeprefix("*")))
+    elif matching(spark, f"{folder}/{glob}"):
         empty = empty.union(reader().text(f"{folder}/{glob}", wholetext=True).select(stem(_file_name()), "value"))
     if matching(spark, f"{folder}/video_id=*"):
         value = F.regexp_extract(F.col("_metadata.file_path"), "/video_id=([^/]*)/[^/]*$", 1)
@@ -126,10 +129,14 @@ def read_ledger(spark: SparkSession, path: str, columns: Sequence[str] = ledger.
 
 
 def titles(spark: SparkSession, path: str) -> DataFrame:
-    """video_id, title from a JSON object; null titles are known failures. Empty if it isn't there."""
+    """video_id, title from a JSON object, or a folder of files with an object a line; null titles are known failures. Empty if
+    it isn't there.
+    """
     if not exists(spark, path):
         return spark.createDataFrame([], "video_id string, title string")
-    rows = spark.read.text(path, wholetext=True)
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    whole = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(at).isFile()
+    rows = spark.read.text(path, wholetext=whole)
     return rows.select(F.explode(F.from_json("value", "map<string,string>")).alias("video_id", "title"))
 
 

@@ -7,10 +7,12 @@ import tempfile
 import uuid
 from collections.abc import Collection, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.text import caption_text
 from ..operators import export
+from . import keyed_files
 from .readers import delete, exists
 
 
@@ -43,9 +45,18 @@ def guarded(rows: DataFrame, key: str = "video_id") -> DataFrame:
     return rows.withColumn(key, F.when(blank, F.raise_error(F.lit(f"blank {key}"))).otherwise(F.col(key)))
 
 
-def write_documents(rows: DataFrame, path: str, key: str = "video_id", fmt: str = "json") -> None:
-    """A document per key, in a folder of its key; keys that are there already are replaced, others stay."""
-    guarded(rows, key).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("ignoreNullFields", "false").partitionBy(key).format(fmt).save(path)
+def write_documents(rows: DataFrame, path: str, key: str = "video_id") -> None:
+    """A JSON document `<key>.json` for each row; those that are there already are replaced, others stay. On a store that
+    isn't mounted the document stands in a folder of its key, under a name of Spark's.
+    """
+    if keyed_files.mounted(path):
+        return keyed_files.write_documents(rows, path, key)
+    guarded(rows, key).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("ignoreNullFields", "false").partitionBy(key).format("json").save(path)
+
+
+def document_path(path: str, key: Column) -> Column:
+    """Where write_documents() puts the document of a key."""
+    return F.concat(F.lit(f"{path}/"), key, F.lit(".json")) if keyed_files.mounted(path) else F.concat(F.lit(f"{path}/video_id="), key)
 
 
 def append_ledger(rows: DataFrame, path: str, columns: tuple[str, ...]) -> None:
@@ -82,25 +93,52 @@ def write_report_table(rows: DataFrame, summary: Sequence[Column], path: str, *,
 
 
 def write_texts(rows: DataFrame, path: str, key: str = "video_id", overwrite: bool = False) -> DataFrame:
-    """A text per key under path; keys that have one are skipped unless overwrite. One row: exported, skipped."""
-    texts = export.plain_texts(rows, key)
-    there = None
-    if not overwrite and exists(rows.sparkSession, path):
-        there = rows.sparkSession.read.option("basePath", path).text(path).select(F.col(key).cast("string").alias(key)).distinct()
-    new = texts if there is None else texts.join(there, key, "left_anti")
-    total, fresh = rows.count(), new.count()
-    lines = new.select(key, F.expr("left(value, length(value) - 1)").alias("value"))  # the writer ends a line itself
-    lines.write.mode("overwrite" if overwrite else "append").partitionBy(key).text(path)
-    return rows.sparkSession.createDataFrame([(fresh, total - fresh)], "exported long, skipped long")
+    """A text `<key>.txt` for each row; keys that have one are skipped unless overwrite. One row: exported, skipped. On a
+    store that isn't mounted the text stands in a folder of its key.
+    """
+    spark, texts, seen = rows.sparkSession, export.plain_texts(rows, key), Observation()
+    texts = texts.observe(seen, F.count(F.lit(1)).alias("n"))
+    if keyed_files.mounted(path):
+        keyed_files.write(texts, path, ".txt", key=key, content="value", existing="replace" if overwrite else "skip")
+        fresh = keyed_files.last_commit(path)
+    else:
+        there = None
+        if not overwrite and exists(spark, path):
+            there = spark.read.option("basePath", path).text(path).select(F.col(key).cast("string").alias(key)).distinct()
+        new, written = texts if there is None else texts.join(there, key, "left_anti"), Observation()
+        lines = new.observe(written, F.count(F.lit(1)).alias("n")).select(key, F.expr("left(value, length(value) - 1)").alias("value"))  # the writer ends a line itself
+        lines.write.mode("overwrite" if overwrite else "append").partitionBy(key).text(path)
+        fresh = written.get["n"]
+    return spark.createDataFrame([(fresh, seen.get["n"] - fresh)], "exported long, skipped long")
 
 
 def write_captions(raw: DataFrame, path: str) -> None:
-    """video_id, raw and parsed caption text side by side."""
-    from ..functions.text import caption_text
-
+    """video_id, raw and parsed caption text side by side, as a table."""
     raw.select("video_id", F.col("text").alias("raw"), caption_text(F.col("text")).alias("parsed")).write.mode("overwrite").parquet(path)
 
 
+def write_caption_files(raw: DataFrame, path: str) -> None:
+    """`<video_id>.vtt` as it is and `<video_id>.txt` parsed, of captions (video_id, text), in a mounted folder."""
+    keyed_files.write(raw, path, ".vtt", key="video_id", content="text")
+    keyed_files.write(raw.select("video_id", caption_text(F.col("text")).alias("text")), path, ".txt", key="video_id", content="text")
+
+
+def write_blocks(blocks: DataFrame, path: str, key: str = "video_id") -> None:
+    """The blocks (key, block) of a combined export in the order of their keys, as text files in that order, a rule after each.
+    Any number of blocks: no file is more than a range of them.
+    """
+    rows = blocks.repartitionByRange(key).sortWithinPartitions(key)
+    rows.select(F.concat("block", F.lit(export.RULE[:-1])).alias("value")).write.mode("overwrite").text(path)
+
+
+def write_titles(titles: DataFrame, path: str, entries: int = 10_000) -> None:
+    """A title cache (video_id, title; null titles are known failures) as a folder of JSON objects of about so many entries."""
+    parts = max(1, -(-titles.count() // entries))
+    entry = F.map_from_entries(F.array_sort(F.collect_list(F.struct("video_id", "title"))))
+    objects = titles.groupBy(F.pmod(F.xxhash64("video_id"), F.lit(parts)).alias("_part")).agg(F.to_json(entry, {"ignoreNullFields": "false"}).alias("value"))
+    objects.select("value").write.mode("overwrite").text(path)
+
+
 def mirror(rows: DataFrame, path: str, key: str, delete: bool = False) -> None:
     """Copy: keys of rows replace those of the target, others stay. With delete the target becomes rows."""
     writer = rows.write.mode("overwrite").partitionBy(key)

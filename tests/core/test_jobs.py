@@ -194,7 +194,7 @@ def test_fetched_captions(spark, tmp_path):
     items = spark.createDataFrame([("a",), ("b",), ("c",)], "video_id string")
     folder = str(tmp_path / "captions")
     assert row(jobs.fetch_references(items, folder, fetcher, str(tmp_path / "w1"))) == {"existing": 0, "fetched": 1, "none": 1, "failed": 1, "total": 3}
-    assert [r.parsed for r in spark.read.parquet(folder).collect()] == ["Hi there"]
+    assert [(r.video_id, r.text) for r in readers.references(spark, folder).collect()] == [("a", "Hi there")]
     assert row(jobs.fetch_references(items, folder, fetcher, str(tmp_path / "w2"))) == {"existing": 1, "fetched": 0, "none": 1, "failed": 1, "total": 3}
 
 

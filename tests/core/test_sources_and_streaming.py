@@ -1,5 +1,6 @@
 import csv
 import json
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,7 +8,7 @@ from pyspark.sql import functions as F
 import __spark_entry__
 from lectern.operators import ledger
 from lectern.schemas import TRANSCRIPT
-from lectern.sources import readers, writers
+from lectern.sources import commit_log, readers, writers
 from lectern.streaming import incremental
 
 
@@ -59,7 +60,7 @@ def test_texts_and_report(spark, tmp_path):
     path = str(tmp_path / "texts")
     rows = spark.createDataFrame([("a", " x "), ("b", "y")], "video_id string, text string")
     assert tuple(writers.write_texts(rows, path).first()) == (2, 0)
-    assert [p.read_text() for p in (tmp_path / "texts/video_id=a").glob("*.txt")] == ["x\n"]
+    assert {p.name: p.read_text() for p in (tmp_path / "texts").glob("*.txt")} == {"a.txt": "x\n", "b.txt": "y\n"}
     more = rows.union(spark.createDataFrame([("c", "z")], rows.schema))
     assert tuple(writers.write_texts(more, path).first()) == (1, 2)
     value = writers.report(rows, [F.count("*").alias("num_files")], ["video_id", "text"]).first().value
@@ -106,6 +107,45 @@ def test_stream_skips_what_succeeded(spark, tmp_path):
     assert seen[-1] == ["b"]
 
 
+def test_a_replayed_batch_is_recorded_once(spark, tmp_path):
+    book = str(tmp_path / "book")
+    rows = spark.createDataFrame([("a",), ("b",)], "video_id string")
+    runs = []
+
+    def process(todo):
+        runs.append(todo.count())
+        return todo.selectExpr("video_id", "case when video_id = 'b' then 'failed' else 'success' end as status", "'x' as error")
+
+    for _ in range(2):
+        incremental.run_pending(rows, book, process, ("query", 0))
+    assert runs == [2] and incremental.read_outcomes(spark, book).count() == 2
+    assert not incremental.record(process(rows), book, ("query", 0))  # it came in while this one was processed
+    incremental.run_pending(rows, book, process, ("query", 1))
+    incremental.run_pending(rows, book, process, ("other", 0))
+    assert runs == [2, 2, 1, 1] and incremental.read_outcomes(spark, book).count() == 4
+    commit_log.compact(spark, book, incremental.LEDGER)
+    commit_log.vacuum(spark, book)
+    assert len(list((tmp_path / "book/data").iterdir())) == 1
+    assert incremental.read_outcomes(spark, book).count() == 4 and commit_log.holds(spark, book, "query", 1) and not commit_log.holds(spark, book, "query", 2)
+    assert not incremental.record(process(rows), book, ("query", 1))
+
+
+def test_two_writers_lose_nothing(spark, tmp_path):
+    book = f"file://{tmp_path}/book"
+    row = lambda i: spark.createDataFrame([(str(i), "success", "", "")], incremental.LEDGER)
+    with ThreadPoolExecutor(6) as pool:
+        assert all(pool.map(lambda i: commit_log.append(row(i), book), range(12)))
+        assert sum(pool.map(lambda i: commit_log.append(row(99), book, stream="s", batch=0), range(4))) == 1
+    assert sorted(r.video_id for r in incremental.read_outcomes(spark, book).collect()) == sorted([*map(str, range(12)), "99"])
+    assert sorted(commit_log._entries(spark, book)) == list(range(13))
+
+
+def test_due_times(spark):
+    rows = [("a", "failed", "", "2024-01-01T00:00:00"), ("a", "failed", "", "2024-01-01T00:01:00"), ("b", "failed", "", "2024-01-01T00:00:00"), ("b", "success", "", "2024-01-01T00:00:01"), ("c", "failed", "", "2024-01-01T00:00:30")]
+    found = incremental.schedule(spark.createDataFrame(rows, incremental.LEDGER), wait=5, factor=3)
+    assert sorted((r.video_id, r.attempts, str(r.due)) for r in found.collect()) == [("a", 2, "2024-01-01 00:01:15"), ("c", 1, "2024-01-01 00:00:35")]
+
+
 def test_registry(spark):
     names = set(__spark_entry__.queries())
     assert names >= set(__spark_entry__.oracle_sql()) and len(names) >= 40
