@@ -50,6 +50,17 @@ CONTEXT = {
     "local": ("phone", "call", "tel", "mobile", "fax", "telefon"),
     "number": ("ssn", "social", "security", "iban", "account", "konto", "compte", "cuenta"),
 }
+#: Words that speak against it: what stands behind them is a number of something, a version or a placeholder.
+AGAINST = {
+    "email": ("example", "sample", "placeholder"),
+    "ip": ("version", "release", "section", "chapter", "build"),
+    "card": ("order", "invoice", "isbn", "serial", "tracking", "ticket"),
+    "phone": ("order", "invoice", "isbn", "serial", "tracking", "ticket"),
+    "secret": ("example", "sample", "placeholder", "dummy", "your"),
+    "obfuscated": ("example", "sample", "placeholder"),
+    "local": ("order", "invoice", "isbn", "serial", "tracking", "ticket", "part", "model", "version"),
+    "number": ("order", "invoice", "isbn", "serial", "tracking", "ticket", "part", "model", "version"),
+}
 #: Characters before a span in which context words are looked for.
 BEFORE = 40
 LABELERS = ("pattern", "gazetteer", "context")
@@ -136,7 +147,8 @@ def votes(text: str, start: int, end: int, kind: str) -> tuple[int, int, int]:
     """What the labelers say of a span: 1 personal, -1 not, 0 nothing. In the order of LABELERS.
 
     The pattern labeler judges the form beyond what made the span a candidate, the gazetteer its parts against lists, the
-    context labeler the whole words before it. Each may say no where another says yes.
+    context labeler the whole words before it: CONTEXT for, AGAINST against. Each may say no where another says yes; the
+    gazetteer has no list that rules out an address, a secret or a number in groups, so there it says yes or no or nothing.
     """
     value = text[start:end]
     digits = _digits(value)
@@ -159,7 +171,7 @@ def votes(text: str, start: int, end: int, kind: str) -> tuple[int, int, int]:
         gazetteer = 1 if digits[0] in "3456" else -1
     elif kind == "phone":
         pattern = -1 if few or digits[0] == "0" else 1
-        gazetteer = 1 if digits.startswith(CALLING_CODES) else 0
+        gazetteer = 1 if digits.startswith(CALLING_CODES) else -1
     elif kind == "secret":
         pattern = 1 if _entropy(value) >= 3 and any(c.isdigit() for c in value) else -1
         gazetteer = -1 if value.rstrip("._-").isalpha() else 0
@@ -168,11 +180,13 @@ def votes(text: str, start: int, end: int, kind: str) -> tuple[int, int, int]:
         gazetteer = -1 if digits[0] in "01" or digits[1:3] == "11" else 1
     else:
         pattern = -1 if few or ("-" in value and (digits[:3] in ("000", "666") or digits[0] == "9" or digits[3:5] == "00")) else 1
-        gazetteer = 1 if value[:2] in ACCOUNT_LENGTHS else 0
+        gazetteer = 0 if "-" in value else 1 if value[:2] in ACCOUNT_LENGTHS else -1
+    before = words_before(text, start)
     if kind == "secret":  # its name stands before it anyway
-        context = 1 if text[max(0, start - 1) : start] in ("'", '"') else 0
+        said = text[max(0, start - 1) : start] in ("'", '"')
     else:
-        context = 0 if words_before(text, start).isdisjoint(CONTEXT[kind]) else 1
+        said = not before.isdisjoint(CONTEXT[kind])
+    context = -1 if not before.isdisjoint(AGAINST[kind]) else int(said)
     return pattern, gazetteer, context
 
 

@@ -243,3 +243,83 @@ def test_written_out_addresses_have_no_longest_length(spark):
     docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts * 20)], "doc_id long, text string")
     model, _ = pii.fit(docs)
     assert {r.text for r in pii.redact(docs, model).collect()} == {"mail [obfuscated] now", "mail ..[obfuscated] now"}
+
+
+def planted(seed, n=600):
+    """(text, start, end, kind) with a span that is personal, and the same with one that only looks like it, as (text, None)."""
+    rng = random.Random(seed)
+    digits = lambda k: "".join(rng.choice("0123456789") for _ in range(k))
+    filler = lambda: " ".join(rng.choice(["the", "report", "says", "that", "people", "walk", "home", "late"]) for _ in range(rng.randrange(3, 12)))
+    out = []
+    for i in range(n):
+        kind = rng.choice(["secret", "obfuscated", "local", "number"])
+        true = rng.random() < 0.5
+        if kind == "secret":
+            value = hashlib.md5(str((seed, i)).encode()).hexdigest() if true else rng.choice(["whatever", "unknownvalue", "correcthorse", "aaaaaaaa11"])
+            lead = rng.choice(["api_key = ", "token: ", 'secret="', "password="]) if true else rng.choice(["password: ", "your token = ", "example api_key = "])
+        elif kind == "obfuscated":
+            value = f"{rng.choice(['joe', 'ann.b'])} [at] host{rng.randrange(9)} [dot] {rng.choice(['com', 'org', 'de']) if true else rng.choice(['t1', 'xx9', '12'])}"
+            lead = rng.choice(["write ", "mail ", "ask "]) if true else rng.choice(["sample ", "seen "])
+        elif kind == "local":
+            value = f"{rng.randrange(2, 10)}{rng.randrange(2, 10)}{rng.randrange(10)}-{rng.randrange(2, 10)}{digits(2)}-{digits(4)}" if true else f"{rng.randrange(2)}{digits(2)}-{rng.randrange(2)}{digits(2)}-{digits(4)}"
+            lead = rng.choice(["call ", "phone ", "at "]) if true else rng.choice(["order ", "part ", "on "])
+        else:
+            value = rng.choice([f"{rng.randrange(100, 600)}-{rng.randrange(10, 99)}-{digits(4)}", f"DE{digits(20)}", f"ES{digits(22)}"]) if true else rng.choice([f"000-{rng.randrange(10, 99)}-{digits(4)}", f"ZZ{digits(20)}", f"9{digits(2)}-00-{digits(4)}"])
+            lead = rng.choice(["account ", "ssn ", "of "]) if true else rng.choice(["serial ", "model ", "in "])
+        text = filler() + " " + lead
+        start = len(text)
+        text += value + ('"' if lead.endswith('"') else "") + " " + filler()
+        out.append((text, (start, start + len(value), kind) if true else None))
+    return out
+
+
+def test_precision_and_recall_of_planted_spans(spark):
+    found = wanted = hits = 0
+    for seed in (1, 2):
+        rows = planted(seed)
+        got = pii.report(spark.createDataFrame([(i, t) for i, (t, _) in enumerate(rows)], "doc_id long, text string")).collect()
+        extras = {(r.doc_id, s) for r in got for s in r.spans.split(",") if s and s.split(":")[0] in pii.EXTRA}
+        true = {(i, f"{s[2]}:{s[0]}:{s[1]}") for i, (_, s) in enumerate(rows) if s}
+        found, wanted, hits = found + len(extras), wanted + len(true), hits + len(extras & true)
+    print(f"precision {hits / found:.3f}, recall {hits / wanted:.3f} of {wanted}")
+    assert hits / found >= 0.95 and hits / wanted >= 0.95
+
+
+def plain_numbers(text):
+    """Numbers in groups, and accounts: two capitals, two digits, then groups of four and a shorter one, tried by length."""
+    out = [(m.start(), m.end()) for m in re.finditer(r"[0-9]{3}-[0-9]{2}-[0-9]{4}", text) if text[m.start() - 1 : m.start()] not in tuple("0123456789-") and text[m.end() : m.end() + 1] not in tuple("0123456789-")]
+    word = lambda c: c != "" and c.isascii() and c.isalnum()
+    at = 0
+    while at < len(text):
+        if not re.match(r"[A-Z]{2}[0-9]{2}", text[at : at + 4]) or (at and word(text[at - 1])):
+            at += 1
+            continue
+        ends, place, count = [], at, 0  # every end after so many characters, a space allowed before each group of four
+        while True:
+            if count and count % 4 == 0 and count >= 4 and text[place : place + 1] == " " and re.match(r"[A-Z0-9]", text[place + 1 : place + 2]):
+                place += 1
+            if not re.match(r"[A-Z0-9]", text[place : place + 1]):
+                break
+            place, count = place + 1, count + 1
+            if not word(text[place : place + 1]):
+                ends.append((count, place))
+        own = [e for n, e in ends if n == pii.ACCOUNT_LENGTHS.get(text[at : at + 2])]
+        longest = [e for n, e in ends if 15 <= n <= 36]
+        if own or longest:
+            out.append((at, (own or longest[-1:])[0]))
+            at = out[-1][1]
+        else:
+            at += 1
+    return sorted(out)
+
+
+def test_numbers_of_the_whole_table_against_plain_groups(spark):
+    rows = [r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect()]
+    rows += [t for t, _ in planted(3)] + ["ES91 2100 0418 4502 0005 1332 AND", "GB29NWBK60161331926819.", "x DE89 3704 0044 0532 0130 00 y", "AB12 3456 7890 123"]
+    checked = 0
+    for text in rows:
+        mine = sorted(s[:2] for s in pii.extra_spans(text) if s[2] == "number")
+        assert mine == plain_numbers(text), text[:200]
+        checked += len(mine)
+        assert [s[:2] for s in pii.extra_spans(text) if s[2] == "obfuscated"] == plain_written_out(text)
+    assert checked > 100
