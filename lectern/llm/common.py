@@ -36,8 +36,19 @@ def shared_folder(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
+_MARKED: set[str] = set()
+
+
 def shared_path(spark: SparkSession, what: str) -> str:
-    return f"{shared_folder(spark)}/{what}-{uuid.uuid4().hex}"
+    """A new path in the application's own folder below the shared one, which goes when the driver ends."""
+    own = f"{shared_folder(spark)}/lectern-{spark.sparkContext.applicationId}"
+    if own not in _MARKED:
+        at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(own)
+        files = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        files.mkdirs(at)
+        files.deleteOnExit(at)
+        _MARKED.add(own)
+    return f"{own}/{what}-{uuid.uuid4().hex}"
 
 
 def delete(spark: SparkSession, path: str) -> None:
