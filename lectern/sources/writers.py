@@ -26,17 +26,27 @@ def put(spark: SparkSession, path: str, text: str) -> None:
         out.close()
 
 
-_LOCAL: dict[str, str] = {}
+_OWN: dict[str, str] = {}
 
 
 def work_folder(spark: SparkSession, what: str) -> str:
-    """A new folder's path below spark.checkpoint.dir, which all machines see; a temporary one only on a single machine."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named:
-        if not re.match(r"local(\[|$)", spark.sparkContext.master):
-            raise ValueError("spark.checkpoint.dir names no folder that the driver and the executors share")
-        named = _LOCAL.setdefault(spark.sparkContext.applicationId, tempfile.mkdtemp(prefix="lectern-"))
-    return f"{named.rstrip('/')}/{what}-{uuid.uuid4().hex}"
+    """A new path in the application's own folder below spark.checkpoint.dir, which all machines see; that folder goes when
+    the driver ends. Where none is named a session on one machine takes a temporary one, any other is an error.
+    """
+    context = spark.sparkContext
+    if context.applicationId not in _OWN:
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named:
+            if not re.match(r"local(\[|$)", context.master):
+                raise ValueError("spark.checkpoint.dir names no folder that the driver and the executors share")
+            named = tempfile.mkdtemp(prefix="lectern-")
+        own = f"{named.rstrip('/')}/lectern-work-{context.applicationId}"
+        at = context._jvm.org.apache.hadoop.fs.Path(own)
+        files = at.getFileSystem(context._jsc.hadoopConfiguration())
+        files.mkdirs(at)
+        files.deleteOnExit(at)
+        _OWN[context.applicationId] = own
+    return f"{_OWN[context.applicationId]}/{what}-{uuid.uuid4().hex}"
 
 
 def guarded(rows: DataFrame, key: str = "video_id") -> DataFrame:
