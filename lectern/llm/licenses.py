@@ -171,7 +171,11 @@ def scan(docs: DataFrame, known: DataFrame, max_broadcast: int = MAX_BROADCAST,
 
 
 def matches(found: DataFrame) -> DataFrame:
-    """license_id, n, n_docs: the texts of a scan that are a known licence, and the documents that they are of."""
+    """license_id, n, n_docs: the texts of a scan that are a known licence, and the documents that they are of.
+
+    Texts without a licence, nulls among them, count nowhere; repeated rows count each in n, documents of a null id not in
+    n_docs. Nothing found, or an empty table: no rows.
+    """
     return found.where("license_id is not null").groupBy("license_id").agg(F.count("*").alias("n"), F.countDistinct("doc_id").alias("n_docs"))
 
 

@@ -223,7 +223,7 @@ def samples(media: bytes) -> bytes:
 
 
 def features(media: bytes) -> dict:
-    """Digests and a feature string of one stored payload, all from what is read back."""
+    """Digests and a feature string of one stored payload, all from what is read back; of a null or a form that isn't whole an error."""
     data = samples(media)
     counts = np.bincount(np.frombuffer(data, np.uint8), minlength=256)
     share = counts[counts > 0] / len(data)
@@ -335,7 +335,11 @@ def text_payload_report(docs: DataFrame) -> DataFrame:
 
 
 def page_report(pages: DataFrame) -> DataFrame:
-    """page_id, n_texts, n_media, first_text, texts_md5 (text items joined by line ends) of the sequence of each page."""
+    """page_id, n_texts, n_media, first_text, texts_md5 (text items joined by line ends) of the sequence of each page.
+
+    Null, empty and broken pages have what can be read of them, at least 0 texts, a null first_text and the digest of nothing.
+    Repeated rows stay repeated; extra columns are ignored; an empty table gives an empty result.
+    """
     texts = F.transform(F.filter("items", lambda i: i["kind"] == "text"), lambda i: i["text"])
     rows = interleaved(pages, keep=("page_id",)).select("page_id", texts.alias("_t"), F.size(F.filter("items", lambda i: i["kind"] != "text")).cast("long").alias("n_media"))
     return rows.select("page_id", F.size("_t").cast("long").alias("n_texts"), "n_media", F.get("_t", F.lit(0)).alias("first_text"), F.md5(F.array_join("_t", "\n").cast("binary")).alias("texts_md5"))

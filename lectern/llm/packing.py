@@ -214,7 +214,11 @@ def pack(docs: DataFrame, tokenizer: str, *, end_id: int = END_ID, capacity: int
 
 
 def sequences(docs: DataFrame, tokenizer: str, **options) -> DataFrame:
-    """The packed sequences themselves: sequence_id, ids (array of int), ends (where each piece ends), doc_ids."""
+    """The packed sequences themselves: sequence_id, ids (array of int), ends (where each piece ends), doc_ids.
+
+    Null and empty texts are one piece, the end id; null ids are ids like any other; repeated rows are pieces each; extra
+    columns are ignored. A sequence is one task's row, of at most the capacity. Empty table: no sequences.
+    """
     cut = written(pieces(docs, tokenizer, with_ids=True, **options), "pack-ids")
     where = place(cut.drop("ids"), capacity=options.get("capacity", CAPACITY))
     copy = Window.partitionBy(*_NAMES[:5]).orderBy(F.lit(1))

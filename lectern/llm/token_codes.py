@@ -159,7 +159,11 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def read_report(docs_schema_kind: str, files: DataFrame) -> DataFrame:
-    """From written files: doc_id, start (ids of all documents before), n_tokens, ids_crc32 of what is read back."""
+    """From written files: doc_id, start (ids of all documents before), n_tokens, ids_crc32 of what is read back.
+
+    A row a document, repeated rows and null ids as they were written; null and empty texts have the end id alone. What is
+    summed up over all parts is a row a segment. Files of an empty table: no rows.
+    """
     rows = files.select("part", "segment", "doc_ids", "lengths", "codes").mapInArrow(_read, f"part int, segment int, doc_id {docs_schema_kind}, own_start long, n_tokens long, ids_crc32 long")
     sums = files.groupBy("part", "segment").agg(F.sum("n_ids").alias("_n"))
     parts = sums.groupBy("part").agg(F.sum("_n").alias("_part_n"))

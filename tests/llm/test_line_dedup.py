@@ -56,8 +56,7 @@ def made(seed, n):
     return [*rows, (None, None), (None, "hot\nhot"), (3, ""), rows[0], rows[0], (n, "x" * 300_000 + "\nhot")]
 
 
-@pytest.mark.parametrize("partitions, batch", [("1", "10000"), ("7", "5"), ("40", "3")])
-@pytest.mark.parametrize("options", [{}, {"min_docs": 2, "keep_first": True}, {"min_docs": 5, "min_chars": 5}, {"min_docs": 1}])
+@pytest.mark.parametrize("partitions, batch, options", [("1", "10000", {}), ("40", "3", {}), ("7", "5", {"min_docs": 2, "keep_first": True}), ("7", "5", {"min_docs": 5, "min_chars": 5}), ("3", "5", {"min_docs": 1})])
 def test_against_plain_lines(spark, partitions, batch, options):
     rows = made(5, 80)
     found, wanted = run(spark, rows, partitions, batch, **options), plain(rows, **options)
