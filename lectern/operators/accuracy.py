@@ -81,6 +81,26 @@ def _distance(a: Sequence, b: Sequence) -> int:
     return distance
 
 
+def common_subsequence(a: Sequence, b: Sequence) -> int:
+    """The length of the longest common subsequence, bit-parallel like distances(): a bit for each item of the longer side
+    that falls where the length grows.
+    """
+    a, b = _coded(a, b)
+    if len(a) < len(b):
+        a, b = b, a
+    full, found = (1 << len(a)) - 1, {}
+    row = full
+    for item in b.tolist():
+        same = found.get(item)
+        if same is None:
+            same = int.from_bytes(np.packbits(a == item, bitorder="little").tobytes(), "little")
+            if (len(found) + 1) * len(a) <= KEPT_BITS:
+                found[item] = same
+        shared = row & same
+        row = ((row + shared) | (row - shared)) & full
+    return len(a) - row.bit_count()
+
+
 def character_error_rate(reference: Column, hypothesis: Column) -> Column:
     """Of normalised texts, in code points; null texts are empty."""
     return F.pandas_udf(lambda r, h: pd.Series([_rate(d, len(x)) for d, x in zip(distances(r, h), r)], dtype="float64"), "double")(normalised(reference), normalised(hypothesis))

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import SPACE, once, strip, words
-from . import vectors
+from . import accuracy, vectors
 
 #: Words that carry nothing, with the comma after them. Fixed values.
 FILLERS = ("um", "umm", "uh", "uhh", "er", "erm", "hmm", "mhm")
@@ -58,6 +59,16 @@ def retrieve(index: DataFrame, queries: DataFrame, *, key: str = "vec_id", vecto
     return vectors.nearest(index, queries, key=key, vector=vector, k=k)
 
 
+def rouge_l(reference: Column, hypothesis: Column) -> Column:
+    """F1 of the longest common subsequence of words, in lower case; 0 if both texts are empty or either is."""
+    def scores(r: pd.Series, h: pd.Series) -> pd.Series:
+        pairs = [(x.split(accuracy.SEPARATOR) if x else [], y.split(accuracy.SEPARATOR) if y else []) for x, y in zip(r, h)]
+        return pd.Series([2 * accuracy.common_subsequence(x, y) / (len(x) + len(y)) if x or y else 0.0 for x, y in pairs], dtype="float64")
+
+    joined = lambda text: F.array_join(words(F.lower(text)), accuracy.SEPARATOR)
+    return F.pandas_udf(scores, "double")(joined(reference), joined(hypothesis))
+
+
 def gram_metrics(pairs: DataFrame, key: str = "video_id", longest: int = LONGEST_GRAM) -> DataFrame:
     """key, rouge1, rouge2 (F1 of word and word-pair counts) and bleu of pairs (key, reference, hypothesis), in lower case.
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
-from ..operators import answers, vectors
+from ..operators import answers, chunking, vectors
 from ..sources import writers
 from . import oracle
 from . import queries as base
@@ -28,6 +28,18 @@ def sentence_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "chunk", "n_words", F.md5(F.col("text").cast("binary")).alias("text_md5"))
 
 
+def topic_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents in chunks that end where their words change. No SQL."""
+    rows = chunking.topic_chunks(base.table(spark, sf_dir, "documents"), "doc_id", max_words=100)
+    return rows.select("doc_id", "chunk", "n_words", F.md5(F.col("text").cast("binary")).alias("text_md5"))
+
+
+def rouge_l(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns against the next turn, by their longest common subsequences of words."""
+    rows = base._turn_pairs(spark, sf_dir)
+    return rows.select("video_id", base.r6(answers.rouge_l(F.col("reference"), F.col("hypothesis"))).alias("rouge_l"))
+
+
 def retrieved(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The vectors whose number divides by 50 ask all others and themselves."""
     rows = base.table(spark, sf_dir, "embeddings")
@@ -73,7 +85,7 @@ def answer_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (cleaned_text, sentence_chunks, retrieved, indexed_search, index_report, answer_metrics)
+    found = (cleaned_text, sentence_chunks, topic_chunks, retrieved, indexed_search, index_report, answer_metrics, rouge_l)
     return {f.__name__: f for f in found}
 
 
@@ -97,6 +109,17 @@ def oracle_sql() -> dict[str, str]:
             r as (select *, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank from s) select query_id, rank, vec_id, round(score, 6) as score from r where rank <= 10""",
         "index_report": """select count(*) as n_rows, count(distinct vec_id) as n_keys, count(*) filter (where vec_id % 50 = 0) as n_queries, 10 * count(*) filter (where vec_id % 50 = 0) as n_found,
             true as recall_reached, true as scores_exact from embeddings""",
+        # a row of lengths follows from the one before: the longest up to here of what is above, or one more than above to the left
+        "rouge_l": f"""with recursive p0 as (select conv_id * 1000 + turn as video_id, text as reference, lead(text) over (partition by conv_id order by turn) as hypothesis from conversations),
+            p as (select video_id, {oracle.words('lower(reference)')} as r, {oracle.words('lower(hypothesis)')} as h from p0 where hypothesis is not null),
+            g as (select video_id, unnest(h) as word, generate_subscripts(h, 1) as j from p),
+            c as (
+              select video_id, 0 as i, unnest(range(0, cast(len(h) as bigint) + 1)) as j, cast(0 as bigint) as n from p
+              union all
+              select video_id, i + 1, j, max(t) over (partition by video_id order by j) from (
+                select c.video_id, c.i, c.j, greatest(c.n, case when g.word = p.r[c.i + 1] then lag(c.n) over (partition by c.video_id order by c.j) + 1 else 0 end) as t
+                from c join p on p.video_id = c.video_id left join g on g.video_id = c.video_id and g.j = c.j where c.i < len(p.r)))
+            select p.video_id, round(case when len(r) + len(h) > 0 then 2.0::double * n / (len(r) + len(h)) else 0.0::double end, 6) as rouge_l from c join p on p.video_id = c.video_id and c.i = len(p.r) and c.j = len(p.h)""",
         "answer_metrics": f"""with p0 as (select conv_id * 1000 + turn as video_id, text as reference, lead(text) over (partition by conv_id order by turn) as hypothesis from conversations),
             p as (select video_id, {oracle.words('lower(reference)')} as r, {oracle.words('lower(hypothesis)')} as h from p0 where hypothesis is not null),
             k as (select unnest([1, 2, 3, 4]) as n),
