@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from lectern.llm import jaccard, langid, mixing, packing, pii
-from lectern.llm.common import delete, kept, release, shared_path
+from lectern.llm.common import delete, keep, kept, release, shared_path
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -70,7 +70,8 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents; each result is written and read again as the next stage's documents.
 
-    What a stage has written on its way is deleted once its result stands, and the result once the next stage's does.
+    What a stage has written on its way is deleted once its result stands, and the result once the next stage's does; what
+    the last one reads is left to release(), or to the end of the driver.
     """
     docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
@@ -80,4 +81,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         if before:
             delete(spark, before)
         docs, before = spark.read.parquet(path), path
+    if before:
+        keep(before)
     return STAGES[-1][1](spark, docs, sf_dir)
