@@ -327,7 +327,8 @@ def text_scalars(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _document_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document against one benchmark item: its number modulo the count of items is the item's place by item_id.
 
-    Documents without a number get the first item; without any items the references are null.
+    Documents without a number get the first item; without any items the references are null. Items are numbered in one task:
+    the benchmark is small.
     """
     bench = table(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("reference"))
     bench = bench.select((F.row_number().over(Window.orderBy("item_id", "reference")) - 1).cast("long").alias("place"), "reference")
