@@ -20,6 +20,8 @@ MAX_QUERIES, QUERY_BYTES = 4096, 16_000_000
 SAMPLE, MAX_CELLS, CODES, PASSES, BATCH = 65_536, 4096, 256, 12, 2048
 #: Candidates that are scored exactly, for each of the k wanted; least recall among the sample that probes are chosen for.
 RERANK, RECALL = 20, 0.97
+#: Queries that a task scores at a time, codes that it holds for that, and candidates before the best are chosen: what a task has in memory doesn't follow the wave.
+QUERY_BLOCK, HELD_CODES, HELD_FOUND = 256, 65_536, 262_144
 #: Scores of a matrix product are this near to those of the plain sum, about.
 _NEAR = 1e-9
 
@@ -55,21 +57,67 @@ class _Best:
         self.floor[q[full]] = score[full]
         self.q, self.score, self.key = q[keep], score[keep], key[keep]
 
-    def batch(self, kind: pa.DataType) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(self.q, pa.int32()), pa.array([] if self.key is None else self.key.tolist(), kind), pa.array(self.score)], names=["q", "key", "score"])
+    def batch(self, kind: pa.DataType, first: int = 0) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(self.q + first, pa.int32()), pa.array([] if self.key is None else self.key.tolist(), kind), pa.array(self.score)], names=["q", "key", "score"])
 
 
-def _scored(best: _Best, asked: np.ndarray, keys: np.ndarray, vectors: np.ndarray, of: np.ndarray) -> None:
-    """Shows unit vectors to the queries `of`: a matrix product finds who may be among the best, a plain sum scores them."""
-    rough = asked[of] @ vectors.T
-    floor = best.floor[of]
+def _blocks(asked: np.ndarray, k: int) -> list[tuple[int, np.ndarray, _Best]]:
+    """(first query, unit vectors, best so far) of each QUERY_BLOCK of a wave's queries."""
+    return [(a, part := asked[a : a + QUERY_BLOCK], _Best(len(part), k)) for a in range(0, len(asked), QUERY_BLOCK)]
+
+
+def _scored(best: _Best, asked: np.ndarray, keys: np.ndarray, vectors: np.ndarray) -> None:
+    """Shows unit vectors to all queries: a matrix product finds who may be among the best, a plain sum scores them."""
+    rough, floor = asked @ vectors.T, best.floor
     if len(keys) > best.k:
         floor = np.maximum(floor, np.partition(rough, len(keys) - best.k, 1)[:, len(keys) - best.k])
     i, j = np.nonzero(rough >= floor[:, None] - _NEAR)
     score = np.empty(len(i))
-    for a in range(0, len(i), 1 << 16):
-        score[a : a + (1 << 16)] = (asked[of][i[a : a + (1 << 16)]] * vectors[j[a : a + (1 << 16)]]).sum(1)
-    best.take(of[i], score, keys[j])
+    for a in range(0, len(i), 1 << 14):
+        score[a : a + (1 << 14)] = (asked[i[a : a + (1 << 14)]] * vectors[j[a : a + (1 << 14)]]).sum(1)
+    best.take(i, score, keys[j])
+
+
+def _held(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, pa.DataType]]:
+    """(cells, keys, codes, type of the keys) of about HELD_CODES rows at a time."""
+    held, n = [], 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        codes = np.frombuffer(b"".join(batch.column("codes").to_pylist()), np.uint8).reshape(batch.num_rows, -1)
+        held.append((batch.column("cell").to_numpy(), batch.column("key").to_numpy(zero_copy_only=False), codes))
+        n += batch.num_rows
+        if n >= HELD_CODES:
+            yield *map(np.concatenate, zip(*held)), batch.schema.field("key").type
+            held, n = [], 0
+    if n:
+        yield *map(np.concatenate, zip(*held)), batch.schema.field("key").type
+
+
+def _by_code(block: tuple[int, np.ndarray, _Best], probed: np.ndarray, model: Quantiser, cell: np.ndarray, keys: np.ndarray, codes: np.ndarray) -> None:
+    """Shows codes to the queries of a block that probe their cells, by what each code adds to the product."""
+    first, asked, best = block
+    probed, tables, centres = probed[first : first + len(asked)], model.tables(asked), asked @ model.cells.T
+    order, found, n = np.argsort(cell, kind="stable"), [], 0
+    for own in np.split(order, np.flatnonzero(np.diff(cell[order])) + 1):
+        c, of = cell[own[0]], np.flatnonzero((probed == cell[own[0]]).any(1))
+        for a in range(0, len(own) if len(of) else 0, BATCH):
+            rows = own[a : a + BATCH]
+            score = np.zeros((len(of), len(rows)))
+            for p in range(codes.shape[1]):
+                score += tables[of, p][:, codes[rows, p]]
+            score += centres[of, c][:, None]
+            floor = best.floor[of]
+            if len(rows) > best.k:
+                floor = np.maximum(floor, np.partition(score, len(rows) - best.k, 1)[:, len(rows) - best.k])
+            i, j = np.nonzero(score >= floor[:, None])
+            found.append((of[i], score[i, j], keys[rows[j]]))
+            n += len(i)
+            if n >= HELD_FOUND:
+                best.take(*map(np.concatenate, zip(*found)))
+                found, n = [], 0
+    if n:
+        best.take(*map(np.concatenate, zip(*found)))
 
 
 def _short_batches(df: DataFrame) -> None:
@@ -110,13 +158,16 @@ def nearest(index: DataFrame, queries: DataFrame, *, key: str = "vec_id", vector
             shared = spark.sparkContext.broadcast(asked)
 
             def run(batches: Iterator[pa.RecordBatch], shared=shared, dims=dims) -> Iterator[pa.RecordBatch]:
-                asked, best, arrow = shared.value, _Best(len(shared.value), k), None
+                blocks, arrow = _blocks(shared.value, k), None
                 for batch in batches:
                     arrow = batch.schema.field("key").type
                     at, unit = _unit(batch.column("v"), dims)
-                    _scored(best, asked, batch.column("key").take(pa.array(at)).to_numpy(zero_copy_only=False), unit, np.arange(len(asked)))
+                    keys = batch.column("key").take(pa.array(at)).to_numpy(zero_copy_only=False)
+                    for _, asked, best in blocks:
+                        _scored(best, asked, keys, unit)
                 if arrow is not None:
-                    yield best.batch(arrow)
+                    for first, _, best in blocks:
+                        yield best.batch(arrow, first)
 
             found = rows.mapInArrow(run, f"q int, key {kind}, score double")
             _ranked(found, ids, id_kind, key, k).write.parquet(f"{out}/wave={made}")
@@ -265,21 +316,13 @@ def search(spark, path: str, model: Quantiser, queries: DataFrame, *, vector: st
 
         def by_code(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             asked, probed, model = shared.value
-            tables, centres, best, arrow = model.tables(asked), asked @ model.cells.T, _Best(len(asked), wanted), None
-            for batch in batches:
-                arrow = batch.schema.field("key").type
-                cell, keys = batch.column("cell").to_numpy(), batch.column("key").to_numpy(zero_copy_only=False)
-                codes = np.frombuffer(b"".join(batch.column("codes").to_pylist()), np.uint8).reshape(len(cell), -1)
-                for c in np.unique(cell):
-                    rows, of = np.flatnonzero(cell == c), np.flatnonzero((probed == c).any(1))
-                    score = centres[of, c][:, None] + sum(tables[of, p][:, codes[rows, p]] for p in range(codes.shape[1]))
-                    floor = best.floor[of]
-                    if len(rows) > wanted:
-                        floor = np.maximum(floor, np.partition(score, len(rows) - wanted, 1)[:, len(rows) - wanted])
-                    i, j = np.nonzero(score >= floor[:, None])
-                    best.take(of[i], score[i, j], keys[rows[j]])
+            blocks, arrow = _blocks(asked, wanted), None
+            for cell, keys, codes, arrow in _held(batches):
+                for block in blocks:
+                    _by_code(block, probed, model, cell, keys, codes)
             if arrow is not None:
-                yield best.batch(arrow)
+                for first, _, best in blocks:
+                    yield best.batch(arrow, first)
 
         def exact(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             asked, _, model = shared.value
