@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 # White space as Python's str.split() and str.strip() know it, and line ends as str.splitlines() does.
 SPACE = r"\t-\r\x{1c}-\x{1f} \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+#: The same characters for Spark's regular expressions: one look at a character's type, where the list is tried entry by entry.
+GAP = r"\x{1c}-\x{1f}\p{IsWhite_Space}"
 LINE_END = r"\r\n|[\n\r\x0b\x0c\x{1c}\x{1d}\x{1e}\x{85}\x{2028}\x{2029}]"
 # Captions. Lines that begin so, hold an arrow, or are digits alone carry no speech.
 CAPTION_HEADERS = r"^(WEBVTT|Kind:|Language:|NOTE|STYLE)"
@@ -17,7 +19,7 @@ INLINE_TAG = r"<[^>]+>"
 SPEAKER_LABEL = r"^[A-Za-z][A-Za-z .'\-]{0,40}:[" + SPACE + r"]+"
 PARENTHESIS = r"\([^)]*\)"
 # Topics.
-SENTENCE_END = rf"(?<=[.!?])[{SPACE}]+"
+SENTENCE_END = rf"(?<=[.!?])[{GAP}]+"
 NO_SPEECH = "(no speech isolated)"
 TOPIC_WORDS = 15
 NGRAM = 4
@@ -42,7 +44,7 @@ def once(rows: DataFrame, keep: Sequence[str], value: Column) -> DataFrame:
 
 def words(text: Column) -> Column:
     """The words of a text as an array, split at Unicode white space; empty for null."""
-    return F.filter(F.split(F.coalesce(text, F.lit("")), f"[{SPACE}]+"), lambda w: w != "")
+    return F.array_remove(F.split(F.coalesce(text, F.lit("")), f"[{GAP}]+"), "")
 
 
 def word_count(text: Column) -> Column:
@@ -51,7 +53,7 @@ def word_count(text: Column) -> Column:
 
 def strip(text: Column) -> Column:
     """Unicode white space off both ends."""
-    return F.regexp_replace(text, f"^[{SPACE}]+|[{SPACE}]+$", "")
+    return F.regexp_replace(text, f"^[{GAP}]+|[{GAP}]+$", "")
 
 
 def repetition_of(tokens: Column, n: int = NGRAM) -> Column:
@@ -102,13 +104,13 @@ def caption_text(text: Column) -> Column:
     spoken = F.filter(stripped, lambda line: (line != "") & ~line.rlike(CAPTION_HEADERS) & ~line.contains("-->") & ~line.rlike(DIGITS_ONLY))
     plain = F.transform(spoken, lambda line: F.regexp_replace(F.regexp_replace(line, INLINE_TAG, ""), SPEAKER_LABEL, ""))
     joined = F.regexp_replace(F.array_join(plain, " "), PARENTHESIS, "")
-    return strip(F.regexp_replace(joined, f"[{SPACE}]+", " "))
+    return strip(F.regexp_replace(joined, f"[{GAP}]+", " "))
 
 
 def normalised(text: Column) -> Column:
     """Lower case, no punctuation (category P), runs of white space as one space, stripped: what error rates compare."""
     bare = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"\p{P}", "")
-    return strip(F.regexp_replace(bare, f"[{SPACE}][{SPACE}]+", " "))
+    return strip(F.regexp_replace(bare, f"[{GAP}][{GAP}]+", " "))
 
 
 def last_line(text: Column) -> Column:

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import normalised, strip, words
@@ -25,10 +25,42 @@ def coverage_counts(rows: DataFrame) -> DataFrame:
     return rows.agg(F.count_if(F.col("bucket") == "scored").alias("num_scored"), F.count_if(F.col("bucket") == "missing_transcript").alias("missing_transcript"), F.count_if(F.col("bucket") == "empty_reference").alias("empty_reference"))
 
 
-#: Stands in no word.
-SEPARATOR = "\n"
-#: Bits of the places of items that a pair keeps: 64 MB.
-KEPT_BITS = 1 << 29
+#: Rows that a Python worker is handed at a time, at most: texts may be long.
+BATCH = 256
+#: Bits of the places of items that a pair keeps: 64 MB. Items up to which places are found item by item, which is faster for few.
+KEPT_BITS, FEW = 1 << 29, 2048
+
+
+def scored_by(score, kind: str, reference: Column, hypothesis: Column) -> Column:
+    """A function of two Series of texts as a column. The session's batches are lowered to BATCH rows, and stay so."""
+    name, conf = "spark.sql.execution.arrow.maxRecordsPerBatch", SparkSession.active().conf
+    if not 0 < int(conf.get(name)) <= BATCH:
+        conf.set(name, str(BATCH))
+    return F.pandas_udf(score, kind)(reference, hypothesis)
+
+
+def _places(a: Sequence, b: Sequence):
+    """item -> the places in a of an item of b, as bits."""
+    if len(a) <= FEW:
+        found, bit = dict.fromkeys(b, 0), 1
+        for item in a:
+            if item in found:
+                found[item] |= bit
+            bit <<= 1
+        return found.__getitem__
+    a, b = _coded(a, b)
+    found, size = {}, len(a)
+
+    def places(item) -> int:
+        same = found.get(item)
+        if same is None:
+            same = int.from_bytes(np.packbits(a == item, bitorder="little").tobytes(), "little")
+            if (len(found) + 1) * size <= KEPT_BITS:
+                found[item] = same
+        return same
+
+    codes = iter(b.tolist())  # asked in the order of b
+    return lambda _: places(next(codes))
 
 
 def distances(references: Sequence[Sequence], hypotheses: Sequence[Sequence]) -> list[int]:
@@ -49,30 +81,28 @@ def _coded(a: Sequence, b: Sequence) -> tuple[np.ndarray, np.ndarray]:
     return tuple(np.fromiter((codes.setdefault(x, len(codes)) for x in side), np.uint32, len(side)) for side in (a, b))
 
 
-def _distance(a: Sequence, b: Sequence) -> int:
-    a, b = _coded(a, b)
+def _differing(a: Sequence, b: Sequence) -> tuple[Sequence, Sequence]:
+    """The longer side and the other without what both begin and end with."""
     if len(a) < len(b):
         a, b = b, a
-    if not len(b):
-        return len(a)
-    differ = np.flatnonzero(a[: len(b)] != b)
-    start = int(differ[0]) if len(differ) else len(b)
-    a, b = a[start:], b[start:]
-    differ = np.flatnonzero(a[len(a) - len(b) :] != b)
-    end = len(b) - 1 - int(differ[-1]) if len(differ) else len(b)
-    a, b = a[: len(a) - end], b[: len(b) - end]
+    n, start, end = len(b), 0, 0
+    while start < n and a[start] == b[start]:
+        start += 1
+    while end < n - start and a[-1 - end] == b[-1 - end]:
+        end += 1
+    return a[start : len(a) - end], b[start : n - end]
+
+
+def _distance(a: Sequence, b: Sequence) -> int:
+    a, b = _differing(a, b)
     size = len(a)
     if not len(b):
         return size
-    found: dict[int, int] = {}
+    places = _places(a, b)
     full, top = (1 << size) - 1, size - 1
     up, down, distance = full, 0, size  # where going down a column adds one, and where it takes one away
-    for item in b.tolist():
-        same = found.get(item)
-        if same is None:
-            same = int.from_bytes(np.packbits(a == item, bitorder="little").tobytes(), "little")
-            if (len(found) + 1) * size <= KEPT_BITS:
-                found[item] = same
+    for item in b:
+        same = places(item)
         zero = (((same & up) + up) ^ up) | same | down
         right_up, right_down = down | ~(zero | up), up & zero
         distance += (right_up >> top & 1) - (right_down >> top & 1)
@@ -85,17 +115,12 @@ def common_subsequence(a: Sequence, b: Sequence) -> int:
     """The length of the longest common subsequence, bit-parallel like distances(): a bit for each item of the longer side
     that falls where the length grows.
     """
-    a, b = _coded(a, b)
     if len(a) < len(b):
         a, b = b, a
-    full, found = (1 << len(a)) - 1, {}
+    full, places = (1 << len(a)) - 1, _places(a, b)
     row = full
-    for item in b.tolist():
-        same = found.get(item)
-        if same is None:
-            same = int.from_bytes(np.packbits(a == item, bitorder="little").tobytes(), "little")
-            if (len(found) + 1) * len(a) <= KEPT_BITS:
-                found[item] = same
+    for item in b:
+        same = places(item)
         shared = row & same
         row = ((row + shared) | (row - shared)) & full
     return len(a) - row.bit_count()
@@ -103,7 +128,8 @@ def common_subsequence(a: Sequence, b: Sequence) -> int:
 
 def character_error_rate(reference: Column, hypothesis: Column) -> Column:
     """Of normalised texts, in code points; null texts are empty."""
-    return F.pandas_udf(lambda r, h: pd.Series([_rate(d, len(x)) for d, x in zip(distances(r, h), r)], dtype="float64"), "double")(normalised(reference), normalised(hypothesis))
+    rates = lambda r, h: pd.Series([_rate(d, len(x)) for d, x in zip(distances(r, h), r)], dtype="float64")
+    return scored_by(rates, "double", normalised(reference), normalised(hypothesis))
 
 
 def _rate(errors: int, length: int) -> float:
@@ -142,7 +168,7 @@ def align(reference: list[str], hypothesis: list[str]) -> tuple[int, int, int, i
 def _rates(reference: pd.Series, hypothesis: pd.Series) -> pd.DataFrame:
     out = []
     for ref, hyp in zip(reference, hypothesis):
-        ref, hyp = list(ref), list(hyp)
+        ref, hyp = ref.split(), hyp.split()
         h, s, d, i = align(ref, hyp)
         errors = s + d + i
         wer = errors / len(ref) if ref else float(errors)
@@ -154,17 +180,15 @@ def _rates(reference: pd.Series, hypothesis: pd.Series) -> pd.DataFrame:
 
 def word_rates(reference: Column, hypothesis: Column) -> Column:
     """A struct of wer, mer, wil of two texts, of any number of words."""
-    return F.pandas_udf(_rates, "wer double, mer double, wil double")(words(normalised(reference)), words(normalised(hypothesis)))
+    return scored_by(_rates, "wer double, mer double, wil double", normalised(reference), normalised(hypothesis))
 
 
 def word_error_rate(reference: Column, hypothesis: Column) -> Column:
     """The word error rate alone, of normalised texts; null texts are empty."""
     def rates(r: pd.Series, h: pd.Series) -> pd.Series:
-        pairs = [(x.split(SEPARATOR) if x else [], y.split(SEPARATOR) if y else []) for x, y in zip(r, h)]
-        return pd.Series([_rate(_distance(x, y), len(x)) for x, y in pairs], dtype="float64")
+        return pd.Series([_rate(_distance(x, y), len(x)) for x, y in zip(map(str.split, r), map(str.split, h))], dtype="float64")
 
-    joined = lambda text: F.array_join(words(normalised(text)), SEPARATOR)
-    return F.pandas_udf(rates, "double")(joined(reference), joined(hypothesis))
+    return scored_by(rates, "double", normalised(reference), normalised(hypothesis))
 
 
 def dealt(pairs: DataFrame) -> DataFrame:
