@@ -1,11 +1,77 @@
 """Rows and tables that once cost more than their size: each of these failed before."""
 
+import time
+import tracemalloc
+from collections import Counter
+
+import numpy as np
 from pyspark.sql import functions as F
 
-from lectern.operators import answers
+from lectern.functions import text
+from lectern.operators import accuracy, answers, chunking, vectors
 
 
 def test_a_long_run_of_fillers_is_cleaned(spark):
     rows = [("um, " * 100_000 + "hello there. uh er Umm... yes",), ("um " * 100_000,), ("umbrella hmm, x.um y éum um um",)]
     got = [r[0] for r in spark.createDataFrame(rows, "text string").select(answers.clean(F.col("text"))).collect()]
     assert got == ["Hello there. Yes", "", "Umbrella x.y éum"]
+
+
+def test_a_tasks_memory_of_codes_follows_the_block_not_the_wave():
+    rng = np.random.default_rng(3)
+    model = vectors.Quantiser(rng.normal(size=(4, 64)), rng.normal(size=(16, 256, 4)), 4)
+    asked, cell, codes = rng.normal(size=(2048, 64)), np.arange(4096, dtype=np.int32) % 4, rng.integers(0, 256, (4096, 16)).astype(np.uint8)
+    probed, keys = model.probed(asked), np.arange(4096)
+    tracemalloc.start()
+    blocks = vectors._blocks(asked, 20)
+    for block in blocks:
+        vectors._by_code(block, probed, model, cell, keys, codes)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40_000_000  # the tables of the whole wave alone are 67 MB
+    parts = codes.astype(int) + 256 * np.arange(16)
+    for q in (0, 255, 256, 2047):
+        score = model.tables(asked[q : q + 1])[0].ravel()[parts].sum(1) + (asked[q] @ model.cells.T)[cell]
+        first, _, best = blocks[q // 256]
+        assert sorted(best.key[best.q == q - first].tolist()) == sorted(np.argsort(-score)[:20].tolist())
+
+
+def test_long_texts_come_to_python_in_small_batches_and_as_texts(spark):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    held = spark.conf.get(name)
+    try:
+        spark.conf.set(name, "10000")
+        pairs = spark.createDataFrame([(1, "a b c", "a\x1cb d")], "video_id long, reference string, hypothesis string")
+        scores = accuracy.score(pairs)
+        assert int(spark.conf.get(name)) <= 256
+        assert "array<string>" not in scores.select("wer", "mer", "wil")._jdf.queryExecution().optimizedPlan().treeString()
+        assert round(scores.first().wer, 6) == 0.333333
+    finally:
+        spark.conf.set(name, held)
+
+
+def test_words_of_rates_are_split_in_python(spark):
+    pairs = spark.createDataFrame([("a b c", "a\x1cb d"), (None, "x")], "r string, h string")
+    rates = pairs.select(accuracy.word_error_rate(F.col("r"), F.col("h")).alias("wer"))
+    assert "lambdafunction" not in rates._jdf.queryExecution().optimizedPlan().toString()
+    assert [round(r.wer, 6) for r in rates.collect()] == [0.333333, 1.0]
+
+
+def test_white_space_is_the_same_for_spark_and_python(spark):
+    rows = spark.range(1, 0x11000).where("id < 55296 or id > 57343").select("id", F.expr("decode(unhex(lpad(hex(id), 8, '0')), 'UTF-32')").alias("c"))
+    found = {r.id for r in rows.where(F.col("c").rlike(f"^[{text.GAP}]$")).collect()}
+    assert found == {r.id for r in rows.where(F.col("c").rlike(f"^[{text.SPACE}]$")).collect()} == {i for i in range(1, 0x11000) if chr(i).isspace()}
+
+
+def test_gram_metrics_shuffle_nothing(spark):
+    pairs = spark.range(50).select(F.col("id").alias("video_id"), F.lit("The cat sat on the mat").alias("reference"), F.lit("the cat on the the mat").alias("hypothesis"))
+    scored = answers.gram_metrics(pairs)
+    assert "Exchange" not in scored._jdf.queryExecution().executedPlan().toString()
+    assert {(round(r.rouge1, 6), round(r.rouge2, 6), r.bleu) for r in scored.collect()} == {(0.833333, 0.6, 0.0)}
+
+
+def test_cohesion_takes_time_in_proportion_to_the_text():
+    bags = [Counter({f"w{i}-{k}": 1 for k in range(10)}) for i in range(6000)]
+    began = time.process_time()
+    assert chunking.cohesion(bags) == [0.0] * 5999
+    assert time.process_time() - began < 3  # every word ever met was looked at again for each gap
