@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import fnmatch
+import os
+import re
+import zlib
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -36,10 +41,44 @@ def folders(spark: SparkSession, path: str, key: str) -> DataFrame:
     return rows.select(F.url_decode(F.replace(value, F.lit("+"), F.lit("%2B"))).alias(key)).where(F.col(key) != "").distinct()
 
 
+def _listed(spark: SparkSession, folder: str, glob: str) -> DataFrame:
+    """The files of a mounted folder, listed by as many tasks as there are cores: each goes over the names and asks for the
+    length of its share. Spark's own listing holds all files in the driver, and makes a task of each few.
+    """
+    n, folder = spark.sparkContext.defaultParallelism, folder.rstrip("/")
+    names = ["path", "file_name", "length", "modificationTime"]
+    kinds = [pa.string(), pa.string(), pa.int64(), pa.timestamp("us", "UTC")]
+
+    def hidden(name: str) -> bool:
+        return name.startswith(".") or (name.startswith("_") and "=" not in name) or name.endswith("._COPYING_")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made = lambda rows: pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
+        for part in (i for batch in batches for i in batch.column(0).to_pylist()):
+            rows = []
+            with os.scandir(folder) as entries:
+                for e in entries:
+                    if zlib.crc32(os.fsencode(e.name)) % n != part or hidden(e.name) or not fnmatch.fnmatchcase(e.name, glob) or not e.is_file():
+                        continue
+                    at, name = e.stat(), os.fsencode(e.name).decode("utf-8", "replace")
+                    if at.st_size:
+                        rows.append((f"file:{folder}/{name}", name, at.st_size, at.st_mtime_ns // 1_000_000 * 1000))
+                    if len(rows) == 10_000:
+                        yield made(rows)
+                        rows = []
+            if rows:
+                yield made(rows)
+
+    return spark.range(0, n, 1, n).mapInArrow(run, "path string, file_name string, length long, modificationTime timestamp")
+
+
 def files(spark: SparkSession, folder: str, glob: str | None = None) -> DataFrame:
     """path, file_name, stem, length, modificationTime of the regular files directly in a folder, by path; contents unread. Empty files aren't listed."""
     if not exists(spark, folder):
         return spark.createDataFrame([], "path string, file_name string, stem string, length long, modificationTime timestamp")
+    if keyed_files.mounted(folder) and not re.search(r"[\[\]{}\\]", glob or ""):
+        rows = _listed(spark, keyed_files.local(folder), glob or "*")
+        return rows.select("path", "file_name", stem(F.col("file_name")).alias("stem"), "length", "modificationTime").orderBy("path")
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "false")
     reader = reader if glob is None else reader.option("pathGlobFilter", glob)
     name = F.element_at(F.split("path", "/"), -1)

@@ -5,10 +5,13 @@ import tracemalloc
 from collections import Counter
 
 import numpy as np
+import public_tokenizers
 from pyspark.sql import functions as F
 
 from lectern.functions import text
+from lectern.llm import tokenizing
 from lectern.operators import accuracy, answers, chunking, vectors
+from lectern.sources import readers
 
 
 def test_a_long_run_of_fillers_is_cleaned(spark):
@@ -75,3 +78,28 @@ def test_cohesion_takes_time_in_proportion_to_the_text():
     began = time.process_time()
     assert chunking.cohesion(bags) == [0.0] * 5999
     assert time.process_time() - began < 3  # every word ever met was looked at again for each gap
+
+
+def test_a_folder_of_many_files_is_listed_by_few_tasks(spark, tmp_path):
+    for i in range(400):
+        (tmp_path / f"é {i}.v.mp4").write_text("x" * (i % 3))
+    (tmp_path / "_hidden").write_text("x")
+    (tmp_path / "sub").mkdir()
+    (tmp_path / "sub" / "below.mp4").write_text("x")
+    rows = readers.files(spark, str(tmp_path))
+    assert rows.drop("stem").rdd.getNumPartitions() <= 8
+    spark_own = spark.read.format("binaryFile").load(str(tmp_path)).select("path", "length", "modificationTime")
+    assert sorted(rows.select("path", "length", "modificationTime").collect()) == sorted(spark_own.collect())
+    assert [r.path for r in rows.collect()] == sorted(r.path for r in spark_own.collect())
+    assert readers.files(spark, f"file://{tmp_path}", "*1.v.mp4").count() == sum(1 for i in range(400) if i % 10 == 1 and i % 3)
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert "binaryFile" not in plan  # a task of each few files, whose results all go to the driver
+
+
+def test_words_between_spaces_are_encoded_as_the_library_has_them():
+    odd = ["a\nb", " a", "a ", "a  b", "\nx", "x\n", "a.\nB, c'd", "a\tb", "é\xa0b", "x\x1cy", "a \nb", "A\n\nb", "don't, \"x\"\nend.", " \n", "a, b ,c .\n-d", "Été, word, word. word\nword"]
+    for name in ("byte_bpe_50k.json", "word_bpe_49k.json"):
+        encode = tokenizing.PieceEncoder(public_tokenizers.path(name))
+        for text_ in odd:
+            assert encode(text_) == np.array(encode.whole.encode(text_, add_special_tokens=False).ids, "<u4").tobytes()
+        assert {"word", "word,"} <= set(encode.tokens)
