@@ -6,6 +6,7 @@ import json
 import os
 import shutil
 import uuid
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from urllib.parse import unquote, urlparse
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, DataSourceWriter, InputPartition, WriterCommitMessage
 
 NAME = "keyed_files"
-#: Files and bytes of a partition, at most; a larger file is one by itself. Entries of a manifest.
+#: Files and bytes of a stream's partition, at most; a larger file is one by itself.
 FILES, BYTES = 10_000, 64_000_000
 _COMMITS = "_commits"
 
@@ -82,6 +83,12 @@ class _Files(InputPartition):
     names: list[str]
 
 
+@dataclass
+class _Share(InputPartition):
+    part: int
+    of: int
+
+
 @dataclass
 class _Written(WriterCommitMessage):
     files: int
@@ -103,8 +110,11 @@ class _Reading:
     def __init__(self, options: dict):
         self.folder, self.suffix = local(options["path"]), options.get("suffix", "")
 
-    def read(self, partition: _Files) -> Iterator[tuple]:
-        for name in partition.names:
+    def names(self, partition: _Files) -> list[str]:
+        return partition.names
+
+    def read(self, partition: _Files | _Share) -> Iterator[tuple]:
+        for name in self.names(partition):
             try:
                 with open(f"{self.folder}/{name}", encoding="utf-8", errors="replace", newline="") as f:
                     yield name[: len(name) - len(self.suffix)], f.read()
@@ -113,12 +123,21 @@ class _Reading:
 
 
 class _Reader(_Reading, DataSourceReader):
-    def partitions(self) -> list[_Files]:
+    """Nothing is listed in the driver: each task goes over the folder's names and reads its share of them, in their order."""
+
+    def __init__(self, options: dict):
+        super().__init__(options)
+        self.tasks = int(options.get("tasks", 1))
+
+    def partitions(self) -> list[_Share]:
+        return [_Share(i, self.tasks) for i in range(self.tasks)]
+
+    def names(self, partition: _Share) -> list[str]:
         if not os.path.isdir(self.folder):
-            return _split([])
+            return []
         with os.scandir(self.folder) as entries:
-            found = sorted((e.name, e.stat().st_size) for e in entries if e.name.endswith(self.suffix) and not e.name.startswith(("_", ".")) and e.is_file())
-        return _split(found)
+            mine = (e for e in entries if e.name.endswith(self.suffix) and zlib.crc32(os.fsencode(e.name)) % partition.of == partition.part)
+            return sorted(e.name for e in mine if not e.name.startswith(("_", ".")) and e.is_file())
 
 
 class _StreamReader(_Reading, DataSourceStreamReader):
@@ -188,7 +207,7 @@ class _Writer(DataSourceWriter):
 
 
 class KeyedFiles(DataSource):
-    """Options: path, suffix (".json", ".txt", ".vtt"), and for writing existing: replace or skip."""
+    """Options: path, suffix (".json", ".txt", ".vtt"), for reading tasks, and for writing existing: replace or skip."""
 
     @classmethod
     def name(cls) -> str:
@@ -212,9 +231,11 @@ def register(spark: SparkSession) -> None:
 
 
 def read(spark: SparkSession, path: str, suffix: str) -> DataFrame:
-    """key, content of the files `<key><suffix>` directly in a folder; none if it isn't there. UTF-8 (other bytes are replaced), read whole."""
+    """key, content of the files `<key><suffix>` directly in a folder, by as many tasks as there are cores; none if it isn't
+    there. UTF-8 (other bytes are replaced), read whole.
+    """
     register(spark)
-    return spark.read.format(NAME).option("path", path).option("suffix", suffix).load()
+    return spark.read.format(NAME).option("path", path).option("suffix", suffix).option("tasks", spark.sparkContext.defaultParallelism).load()
 
 
 def read_stream(spark: SparkSession, path: str, suffix: str) -> DataFrame:

@@ -92,9 +92,19 @@ def _file_name() -> Column:
 
 
 def matching(spark: SparkSession, pattern: str) -> bool:
-    """Whether a path pattern matches anything."""
+    """Whether a path pattern matches anything. Names in a local folder are gone over up to the first match; Hadoop's glob
+    would ask for the status of all its files, and hold them.
+    """
     at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
-    found = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(at)
+    files = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    folder, _, glob = re.sub("^file:(//)?", "", pattern).rpartition("/")
+    if files.getUri().getScheme() == "file" and not re.search(r"[\[\]{}\\]", pattern) and not re.search("[*?]", folder):
+        if not os.path.isdir(folder):
+            return False
+        fits = re.compile(fnmatch.translate(glob)).match
+        with os.scandir(folder) as entries:
+            return any(fits(e.name) for e in entries)
+    found = files.globStatus(at)
     return found is not None and len(found) > 0
 
 

@@ -1,8 +1,10 @@
 """Rows and tables that once cost more than their size: each of these failed before."""
 
+import os
 import time
 import tracemalloc
 from collections import Counter
+from contextlib import contextmanager
 
 import numpy as np
 import public_tokenizers
@@ -11,7 +13,7 @@ from pyspark.sql import functions as F
 from lectern.functions import text
 from lectern.llm import tokenizing
 from lectern.operators import accuracy, answers, chunking, vectors
-from lectern.sources import readers
+from lectern.sources import keyed_files, readers
 
 
 def test_a_long_run_of_fillers_is_cleaned(spark):
@@ -96,6 +98,37 @@ def test_a_folder_of_many_files_is_listed_by_few_tasks(spark, tmp_path):
     assert "binaryFile" not in plan  # a task of each few files, whose results all go to the driver
 
 
+def test_a_folder_of_many_keyed_files_is_not_listed_in_the_driver(spark, tmp_path, monkeypatch):
+    for i in range(300):
+        (tmp_path / f"d {i}.txt").write_text(str(i))
+        (tmp_path / f"d {i}.vtt").write_text("")
+    for other in ("_d.txt", ".d.txt"):
+        (tmp_path / other).write_text("hidden")
+    (tmp_path / "f.txt").mkdir()
+    reader = keyed_files._Reader({"path": str(tmp_path), "suffix": ".txt", "tasks": "7"})
+    parts = reader.partitions()
+    assert len(parts) == 7 and "d 1" not in str(parts)
+    shares = [list(reader.read(p)) for p in parts]
+    assert all(shares) and sorted(r for share in shares for r in share) == sorted((f"d {i}", str(i)) for i in range(300))
+    folder, seen, scan = f"file://{tmp_path}", [], os.scandir
+
+    @contextmanager
+    def scandir(path):
+        with scan(path) as entries:
+            yield (e for e in entries if not seen.append(e.name))
+
+    monkeypatch.setattr(os, "scandir", scandir)
+    assert not readers.matching(spark, f"{folder}/video_id=*") and len(seen) == 603  # names; Hadoop's glob asks for each one's status
+    seen.clear()
+    assert readers.matching(spark, f"{folder}/*.*") and len(seen) == 1
+    assert not readers.matching(spark, f"{folder}/none/*.txt") and readers.matching(spark, f"{folder}/[d] 1.*") and len(seen) == 1
+    monkeypatch.undo()
+    (tmp_path / "video_id=a%3Ab").mkdir()
+    (tmp_path / "video_id=a%3Ab/part-0.txt").write_text("in a folder")
+    rows = {r.video_id: r.text for r in readers.references(spark, folder).collect()}
+    assert rows == {"a:b": "in a folder"} | {f"d {i}": str(i) for i in range(300)}
+
+
 def test_words_between_spaces_are_encoded_as_the_library_has_them():
     odd = ["a\nb", " a", "a ", "a  b", "\nx", "x\n", "a.\nB, c'd", "a\tb", "é\xa0b", "x\x1cy", "a \nb", "A\n\nb", "don't, \"x\"\nend.", " \n", "a, b ,c .\n-d", "Été, word, word. word\nword"]
     for name in ("byte_bpe_50k.json", "word_bpe_49k.json"):
